@@ -2,11 +2,11 @@
 
 Plan shape (one exchange for the per-window work):
 
-1. ``dedupe_seconds``: one row per ``(stock_id, time_id, second)``.  It is a
-   ``groupBy`` with ``min(struct(...))`` so Spark combines duplicate copies
-   map-side before they are shuffled; a source that repeats a window many
-   times costs no more than one copy downstream.
-2. ``book_runs``: one exchange on ``(stock_id, time_id)``, one sort by second,
+1. ``collapse_copies``: ``groupBy(stock_id, time_id)`` with ``collect_set`` of
+   the rows, so exact copies collapse map-side before the one shuffle; a
+   source that repeats a window many times costs no more than one copy
+   downstream.  ``dedupe_seconds`` then keeps one row per second.
+2. ``book_runs``: the same ``(stock_id, time_id)`` partitioning, one sort by second,
    and window functions over the observed rows only (<= 600 per window):
    per-column forward fill, weighted price, log return against the previous
    observed row, the next observed second, and the count of usable returns
@@ -37,13 +37,27 @@ def window_spec():
     return Window.partitionBy(*KEYS).orderBy(SEC)
 
 
-def dedupe_seconds(book: DataFrame) -> DataFrame:
-    """Keep one row per second -- the smallest under a total order of all
-    book columns, so the choice is deterministic (the original kept an
-    arbitrary one).  Seconds outside ``0..599`` are dropped like a reindex."""
+def collapse_copies(book: DataFrame) -> DataFrame:
+    """Pack each window's distinct rows: ``groupBy(stock_id, time_id)`` with
+    ``collect_set`` runs map-side first, so exact copies of book rows collapse
+    before the shuffle, and the shuffle it needs is the ``(stock_id,
+    time_id)`` one the window stage uses anyway.  Seconds outside ``0..599``
+    are dropped like a reindex would."""
     in_grid = book.where(F.col(SEC).between(0, SECONDS_PER_WINDOW - 1) & F.col("time_id").isNotNull())
-    picked = in_grid.groupBy(*KEYS, SEC).agg(F.min(F.struct(*BOOK_VALUE_COLUMNS)).alias("_row"))
-    return picked.select(*KEYS, SEC, *[F.col(f"_row.{c}").alias(c) for c in BOOK_VALUE_COLUMNS])
+    fields = ", ".join([SEC, *BOOK_VALUE_COLUMNS])
+    return in_grid.groupBy(*KEYS).agg(F.expr(f"collect_set(struct({fields})) AS _rows"))
+
+
+def dedupe_seconds(book: DataFrame) -> DataFrame:
+    """One row per second -- the smallest under a total order of all book
+    columns, so the choice is deterministic (the original kept an arbitrary
+    one).  Output stays hash-partitioned by ``(stock_id, time_id)`` and sorted
+    by second within each window."""
+    rows = collapse_copies(book).selectExpr(*KEYS, "inline(_rows)")
+    order = ", ".join(BOOK_VALUE_COLUMNS)
+    return rows.selectExpr(
+        "*", f"row_number() OVER (PARTITION BY stock_id, time_id, {SEC} ORDER BY {order}) AS _rn"
+    ).where("_rn = 1").drop("_rn")
 
 
 def weighted_price(b1, a1, b2, a2, bs1, as1, bs2, as2):
@@ -60,45 +74,38 @@ def book_runs(book: DataFrame, partitions: int | None = None) -> DataFrame:
     at the row's own second, null when not finite), ``next_sec``,
     ``is_first_obs``, ``n_valid`` (usable returns in this run), ``pos_before``
     (usable returns before the run) and ``n_total`` (usable returns in the
-    window).
+    window).  All window functions share one sort by ``(stock_id, time_id,
+    seconds_in_bucket)``.
     """
-    deduped = dedupe_seconds(book)
     if partitions:
-        deduped = deduped.repartition(partitions, *KEYS)
-    else:
-        deduped = deduped.repartition(*KEYS)
-    w = window_spec()
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = deduped.select(
+        book = book.repartition(partitions, *KEYS)
+    deduped = dedupe_seconds(book)
+    over = f"OVER (PARTITION BY stock_id, time_id ORDER BY {SEC})"
+    upto = f"OVER (PARTITION BY stock_id, time_id ORDER BY {SEC} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    filled = deduped.selectExpr(
         *KEYS,
         SEC,
-        *[F.last(c, ignorenulls=True).over(upto).alias(c) for c in BOOK_VALUE_COLUMNS],
-        F.lead(SEC, 1, SECONDS_PER_WINDOW).over(w).alias("next_sec"),
-        (F.row_number().over(w) == 1).alias("is_first_obs"),
+        *[f"last({c}, true) {upto} AS {c}" for c in BOOK_VALUE_COLUMNS],
+        f"lead({SEC}, 1, {SECONDS_PER_WINDOW}) {over} AS next_sec",
+        f"row_number() {over} = 1 AS is_first_obs",
     )
-    c = {name: F.col(name) for name in BOOK_VALUE_COLUMNS}
-    wap = weighted_price(
-        c["bid_price1"], c["ask_price1"], c["bid_price2"], c["ask_price2"],
-        c["bid_size1"], c["ask_size1"], c["bid_size2"], c["ask_size2"],
+    wap = (
+        "(bid_price1 * ask_size1 + ask_price1 * bid_size1 + bid_price2 * ask_size2 + ask_price2 * bid_size2)"
+        " / nullif(bid_size1 + ask_size1 + bid_size2 + ask_size2, 0D)"
     )
-    priced = filled.select(
+    priced = filled.selectExpr("*", f"{wap} AS weighted_price", "(bid_price1 + ask_price1) / 2 AS mid_price")
+    priced = priced.selectExpr("*", "CASE WHEN weighted_price > 0 THEN ln(weighted_price) END AS log_price")
+    with_ret = priced.selectExpr("*", f"(log_price - lag(log_price) {over}) * {RETURN_SCALE}D AS ret_first")
+    counted = with_ret.selectExpr(
         "*",
-        wap.alias("weighted_price"),
-        ((c["bid_price1"] + c["ask_price1"]) / 2).alias("mid_price"),
-        safe_log(wap).alias("log_price"),
+        f"CASE WHEN log_price IS NULL THEN 0 ELSE next_sec - {SEC} - 1 + CAST(ret_first IS NOT NULL AS INT) END AS n_valid",
     )
-    ret = (F.col("log_price") - F.lag("log_price").over(w)) * F.lit(RETURN_SCALE)
-    with_ret = priced.select("*", ret.alias("ret_first"))
-    span = F.col("next_sec") - F.col(SEC)
-    n_valid = F.when(F.col("log_price").isNull(), F.lit(0)).otherwise(
-        span - 1 + F.col("ret_first").isNotNull().cast("int")
+    return counted.selectExpr(
+        "*",
+        f"CAST(coalesce(sum(n_valid) OVER (PARTITION BY stock_id, time_id ORDER BY {SEC} "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INT) AS pos_before",
+        "CAST(sum(n_valid) OVER (PARTITION BY stock_id, time_id) AS INT) AS n_total",
     )
-    counted = with_ret.select("*", n_valid.alias("n_valid"))
-    before = F.coalesce(
-        F.sum("n_valid").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    ).cast("int")
-    total = F.sum("n_valid").over(Window.partitionBy(*KEYS)).cast("int")
-    return counted.select("*", before.alias("pos_before"), total.alias("n_total"))
 
 
 def regular_grid(runs: DataFrame) -> DataFrame:

@@ -1,25 +1,33 @@
 """Per-window feature kernel (W3, F4, F5, P6-P9, A1-A13, F8): D2 -> D3.
 
-Everything is one ``groupBy(stock_id, time_id)`` of conditional aggregates
-over the usable-return positions produced by :mod:`volspark.operators.book`.
-The positions keep the ``(stock_id, time_id)`` partitioning of the window
-stage, so the aggregate adds no exchange.  Position arithmetic:
-
-* ``cutoff = n_obs - horizon``; observed returns are ``pos <= cutoff``;
-* ``rev = cutoff - pos + 1`` is the distance from the end of the observed
-  part, so "the last ``w`` observed returns" is ``1 <= rev <= w``.
-
-Two statistics need a value that is itself an aggregate of the window: the
-jump threshold (A6, ``3 * std_pop`` of the same ``w`` returns) and the lag-k
-pairs of the autocorrelation (A8).  Both are computed on the observed-row
-runs (<= 600 rows per window, already sorted) with window functions that share
-the one sort: the jump flags are packed into a bitmask per run, and the pair
-products use ``lead(...) IGNORE NULLS`` over the non-zero returns.
+Position arithmetic (per window): ``cutoff = n_obs - horizon``; observed
+returns are ``pos <= cutoff``; ``rev = cutoff - pos + 1`` is the distance from
+the end of the observed part, so "the last ``w`` observed returns" is
+``1 <= rev <= w``.
+
+Every windowed statistic is a sum (or max, or sorted list) over a prefix
+``rev <= w``.  Instead of one conditional aggregate per (statistic, w) -- 255
+aggregates evaluated on every row -- the kernel runs in three small steps, all
+inside the ``(stock_id, time_id)`` partitioning of the book stage:
+
+1. rows are tagged with the rev-interval ("bucket") they fall in, the
+   interval edges being every window length any feature needs; one
+   ``groupBy(stock, time, bucket)`` computes ~50 plain sums per bucket;
+2. a running-sum window over the ~30 buckets of a window turns them into
+   prefix sums, i.e. the value of every statistic for every window length;
+3. one ``collect_list`` per window gathers the bucket rows in order and the
+   255 features are read off by position.
+
+The jump threshold (A6) and the lag-k pair products (A8) need values that are
+aggregates of the same window; they are prepared on the observed-row runs
+(<= 600 rows, already sorted) with window functions that share the book
+stage's single sort.  Expressions are SQL strings: one parse per expression
+instead of a py4j call per node.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import (
@@ -31,225 +39,288 @@ from ..config import (
     ewma_name,
     feature_columns,
 )
-from ..functions.columns import safe_div, var_to_vol
-from .book import KEYS, SEC, book_runs, return_positions
+from .book import KEYS, book_runs
 
-_D = "double"
+WIN = "PARTITION BY stock_id, time_id"
+ORD = f"{WIN} ORDER BY seconds_in_bucket"
+LAGS = (1, 5)
 
+SPREAD = "((ask_price1 - bid_price1) / nullif((bid_price1 + ask_price1) / 2, 0D))"
+L2 = "nullif(bid_size2 + ask_size2, 0D)"
+DEPTH = f"(bid_size1 + ask_size1 + {L2})"
+IMBALANCE = "((bid_size1 - ask_size1) / nullif(bid_size1 + ask_size1, 0D))"
+PRESSURE = f"((bid_size1 + bid_size2 - ask_size1 - ask_size2) / nullif({DEPTH}, 0D))"
+DEPTH_RATIO = f"((bid_size1 + ask_size1) / {L2})"
+SHIFTED = {"sp": SPREAD, "im": IMBALANCE, "dp": DEPTH}  # std needs a shift for stability
+PLAIN = {"dr": DEPTH_RATIO, "pr": PRESSURE}
 
-def _null():
-    return F.lit(None).cast(_D)
+
+def edges(cfg: FeatureConfig) -> list[int]:
+    """Every prefix length a feature reads (window lengths and lag ranges)."""
+    e = set(cfg.return_windows) | set(cfg.book_windows) | set(cfg.acf_windows) | {1}
+    for w in cfg.acf_windows:
+        for k in LAGS:
+            e |= {k, w - k}
+    return sorted(x for x in e if x >= 1)
 
 
 def annotate_runs(runs: DataFrame, cfg: FeatureConfig) -> DataFrame:
-    """Run-level helpers for A6 (jump bitmask) and A8 (lag-1/lag-5 products)."""
+    """Run-level helpers: jump bitmask (A6), lag products (A8), and the book
+    values at ``rev = 1`` used as a shift for the book standard deviations."""
     h = cfg.forecast_horizon
-    first_ok = F.col("ret_first").isNotNull() & (F.col("n_valid") > 0)
-    first_pos = F.when(first_ok, F.col("pos_before") + 1)
-    rev_first = (F.col("n_total") - h) - first_pos + 1
-    base = runs.select("*", first_pos.alias("_fp"), rev_first.alias("_rf"))
-    whole = Window.partitionBy(*KEYS)
     windows = sorted(set(cfg.return_windows))
+    base = runs.selectExpr(
+        "*",
+        "CASE WHEN ret_first IS NOT NULL AND n_valid > 0 THEN pos_before + 1 END AS _fp",
+        f"(n_total - {h}) - pos_before AS _rev_hi",
+        f"(n_total - {h}) - pos_before - n_valid + 1 AS _rev_lo",
+    ).selectExpr("*", "_rev_hi AS _rf_raw", "CASE WHEN _fp IS NOT NULL THEN _rev_hi END AS _rf")
+    covers1 = "_rev_lo <= 1 AND _rev_hi >= 1 AND n_valid > 0"
     sums = []
     for w in windows:
-        inside = F.col("_rf").between(1, w)
-        sums.append(F.sum(F.when(inside, F.col("ret_first"))).over(whole).alias(f"_s1_{w}"))
-        sums.append(F.sum(F.when(inside, F.col("ret_first") ** 2)).over(whole).alias(f"_s2_{w}"))
-    with_sums = base.select("*", *sums)
-    mask = F.lit(0).cast("long")
-    for i, w in enumerate(windows):
-        mean = F.coalesce(F.col(f"_s1_{w}"), F.lit(0.0)) / w
-        var = F.coalesce(F.col(f"_s2_{w}"), F.lit(0.0)) / w - mean * mean
-        sigma = F.sqrt(F.greatest(var, F.lit(0.0)))
-        jump = F.col("_rf").between(1, w) & (F.abs(F.col("ret_first")) > 3 * sigma + EPS)
-        mask = mask + F.when(jump, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long"))
-    lags = sorted({1, 5})
+        sums.append(f"sum(CASE WHEN _rf BETWEEN 1 AND {w} THEN ret_first END) OVER ({WIN}) AS _s1_{w}")
+        sums.append(f"sum(CASE WHEN _rf BETWEEN 1 AND {w} THEN ret_first * ret_first END) OVER ({WIN}) AS _s2_{w}")
+    for key, expr in SHIFTED.items():
+        sums.append(f"coalesce(max(CASE WHEN {covers1} THEN {expr} END) OVER ({WIN}), 0D) AS _k_{key}")
     leads = []
-    part = "PARTITION BY stock_id, time_id ORDER BY seconds_in_bucket"
-    for j in range(1, max(lags) + 1):
-        leads.append(F.expr(f"lead(_fp, {j}) IGNORE NULLS OVER ({part})").alias(f"_lp{j}"))
-        leads.append(F.expr(f"lead(CASE WHEN _fp IS NOT NULL THEN ret_first END, {j}) IGNORE NULLS OVER ({part})").alias(f"_lr{j}"))
-    with_leads = with_sums.select(*runs.columns, "_fp", mask.alias("_x_jumps"), *leads)
-    extra = []
-    for k in lags:
-        prod = _null()
-        terms = [
-            F.when(F.col(f"_lp{j}") == F.col("_fp") + k, F.col("ret_first") * F.col(f"_lr{j}"))
-            for j in range(1, k + 1)
-        ]
-        prod = F.coalesce(*terms, F.lit(0.0)) if terms else F.lit(0.0)
-        extra.append(prod.alias(f"_x_cross{k}"))
-    return with_leads.select(*runs.columns, "_x_jumps", *extra)
+    for j in range(1, max(LAGS) + 1):
+        leads.append(f"lead(_fp, {j}) IGNORE NULLS OVER ({ORD}) AS _lp{j}")
+        leads.append(f"lead(CASE WHEN _fp IS NOT NULL THEN ret_first END, {j}) IGNORE NULLS OVER ({ORD}) AS _lr{j}")
+    step = base.selectExpr("*", *sums, *leads)
+    bits = []
+    for i, w in enumerate(windows):
+        sigma = f"sqrt(greatest(coalesce(_s2_{w}, 0D) / {w} - power(coalesce(_s1_{w}, 0D) / {w}, 2), 0D))"
+        bits.append(f"CASE WHEN _rf BETWEEN 1 AND {w} AND abs(ret_first) > 3 * {sigma} + {EPS} THEN {1 << i} ELSE 0 END")
+    cross = []
+    for k in LAGS:
+        terms = ", ".join(
+            f"CASE WHEN _lp{j} = _fp + {k} THEN ret_first * _lr{j} END" for j in range(1, k + 1)
+        )
+        cross.append(f"coalesce({terms}, 0D) AS _x_cross{k}")
+    # The last w returns are the in-window non-zero run-first returns plus
+    # (w - nonzero) zeros.  The first observed row never carries a usable
+    # return, so it carries the zeros as one value with that frequency.
+    nz = [f"count_if(_rf BETWEEN 1 AND {w} AND ret_first <> 0) OVER ({WIN}) AS _nz_{w}" for w in windows]
+    keep = [c for c in runs.columns] + ["_k_sp", "_k_im", "_k_dp"]
+    with_nz = step.selectExpr(*keep, f"CAST({' + '.join(bits)} AS BIGINT) AS _x_jumps", *cross, "_rf", *nz)
+    quant = []
+    for w in windows:
+        value = (
+            f"CASE WHEN is_first_obs AND _nz_{w} < {w} THEN 0D "
+            f"WHEN _rf BETWEEN 1 AND {w} AND ret_first <> 0 THEN ret_first END"
+        )
+        freq = f"CASE WHEN is_first_obs THEN greatest({w} - _nz_{w}, 1) ELSE 1 END"
+        quant.append(f"percentile({value}, array(0.1D, 0.9D), {freq}) OVER ({WIN}) AS _q_{w}")
+    with_q = with_nz.selectExpr("*", *quant)
+    firsts = [
+        f"CASE WHEN is_first_obs THEN _q_{w}[{i}] END AS _x_q{i}_{w}" for w in windows for i in (0, 1)
+    ]
+    return with_q.selectExpr(*keep, "_x_jumps", *[f"_x_cross{k}" for k in LAGS], *firsts)
+
+
+def _bucket_expr(cuts: list[int], rev: str = "rev") -> str:
+    # bucket 1..len(cuts) for (cuts[i-1], cuts[i]], len+1 for older observed, len+2 target
+    nb = len(cuts)
+    parts = [f"WHEN {rev} < 1 THEN {nb + 2}"]
+    parts += [f"WHEN {rev} <= {c} THEN {i + 1}" for i, c in enumerate(cuts)]
+    return "CASE " + " ".join(parts) + f" ELSE {nb + 1} END"
 
 
-def feature_aggregates(cfg: FeatureConfig) -> tuple[list, list]:
-    """(aggregate expressions, final projections) for the whole kernel."""
+def positions_with_buckets(runs: DataFrame, cfg: FeatureConfig) -> DataFrame:
+    """One row per usable return, tagged with its bucket; plus one empty row
+    per bucket and window so every bucket exists (keeps positions fixed)."""
+    h = cfg.forecast_horizon
+    cuts = edges(cfg)
+    nb = len(cuts) + 2
+    exploded = runs.where("n_valid > 0 OR is_first_obs").selectExpr(
+        "*",
+        f"explode(sequence(CASE WHEN is_first_obs THEN -{nb} ELSE 0 END, n_valid - 1)) AS _j",
+    )
+    real = "_j >= 0"
+    run_first = f"({real} AND _j = 0 AND ret_first IS NOT NULL)"
+    rev = f"((n_total - {h}) - (pos_before + _j + 1) + 1)"
+    book = [f"CASE WHEN {real} THEN {c} END AS {c}" for c in (
+        "bid_price1", "ask_price1", "bid_price2", "ask_price2", "bid_size1", "ask_size1", "bid_size2", "ask_size2")]
+    return exploded.selectExpr(
+        *KEYS,
+        "n_total",
+        "_k_sp", "_k_im", "_k_dp",
+        f"CASE WHEN {real} THEN {rev} END AS rev",
+        f"CASE WHEN {real} THEN CASE WHEN {run_first} THEN ret_first ELSE 0D END END AS r",
+        f"{run_first} AS run_first",
+        f"CASE WHEN {real} THEN {_bucket_expr(cuts, rev)} ELSE -_j END AS bucket",
+        *book,
+        "_x_jumps", "_x_cross1", "_x_cross5",
+        *[c for c in runs.columns if c.startswith("_x_q")],
+    )
+
+
+def _bucket_aggs(cfg: FeatureConfig) -> list[str]:
     h = cfg.forecast_horizon
-    pos, n = F.col("pos"), F.col("n_total")
-    cutoff = n - h
-    rev = cutoff - pos + 1
-    r = F.col("ret")
-    obs = rev >= 1
-    aggs = [
-        F.max("n_total").alias("n_obs"),
-        F.sum(F.when(~obs, r * r)).alias("_tgt_sum"),
-        F.sum(F.when(~obs & (r != 0), 1).otherwise(0)).alias("_tgt_moves"),
-        F.sum(F.when(obs & (r != 0), 1).otherwise(0)).alias("_obs_moves"),
-        F.max(F.when(rev == 1, r)).alias("last_return"),
-    ]
-    # A2-A7 over the last w observed returns
     windows = sorted(set(cfg.return_windows))
-    for i, w in enumerate(windows):
-        inw = obs & (rev <= w)
-        aggs += [
-            F.avg(F.when(inw, r * r)).alias(f"RV_{w}"),
-            F.avg(F.when(inw, F.abs(r))).alias(f"mean_abs_ret_{w}"),
-            F.avg(F.when(inw, r)).alias(f"mean_ret_{w}"),
-            F.max(F.when(inw, F.abs(r))).alias(f"max_abs_ret_{w}"),
-            F.avg(F.when(inw, (r == 0).cast(_D))).alias(f"prop_zero_ret_{w}"),
-            F.coalesce(F.avg(F.when(inw & (r < 0), r * r)), F.lit(0.0)).alias(f"downside_RV_{w}"),
-            F.coalesce(F.avg(F.when(inw & (r > 0), r * r)), F.lit(0.0)).alias(f"upside_RV_{w}"),
-            F.sum(
-                F.when(inw & F.col("run_first"), F.shiftright(F.col("_x_jumps"), i).bitwiseAND(1))
-            ).alias(f"_jumps_{w}"),
-            F.percentile(F.when(inw, r), F.array(F.lit(0.1), F.lit(0.9))).alias(f"_q_{w}"),
-        ]
-    # Moments of v[:-k] (rev in [k+1, w]) and v[k:] (rev in [1, w-k])
-    for w in sorted(set(cfg.acf_windows)):
-        for k in (1, 5):
-            a = obs & (rev >= k + 1) & (rev <= w)
-            b = obs & (rev <= w - k)
-            aggs += [
-                F.sum(F.when(a, r)).alias(f"_a1_{w}_{k}"),
-                F.sum(F.when(a, r * r)).alias(f"_a2_{w}_{k}"),
-                F.sum(F.when(b, r)).alias(f"_b1_{w}_{k}"),
-                F.sum(F.when(b, r * r)).alias(f"_b2_{w}_{k}"),
-                F.sum(F.when(a & F.col("run_first"), F.col(f"_x_cross{k}"))).alias(f"_ab_{w}_{k}"),
-            ]
-    # Closed form of the adjust=False recursion over all observed returns
-    for lam in cfg.ewma_lambdas:
-        weight = F.when(rev == cutoff, F.pow(F.lit(lam), cutoff - 1)).otherwise(
-            F.lit(1.0 - lam) * F.pow(F.lit(lam), rev - 1)
-        )
-        aggs.append(F.sum(F.when(obs & (r != 0), r * r * weight)).alias(f"_ewma_{ewma_name(lam)}"))
-    # P6-P9 + A11 over the last w observed book rows
-    b1, a1 = F.col("bid_price1"), F.col("ask_price1")
-    bs1, as1, bs2, as2 = F.col("bid_size1"), F.col("ask_size1"), F.col("bid_size2"), F.col("ask_size2")
-    mid = (b1 + a1) / 2
-    spread = safe_div(a1 - b1, mid)
-    total_l1 = bs1 + as1
-    total_l2 = F.nullif(bs2 + as2, F.lit(0.0))
-    depth = total_l1 + total_l2
-    imbalance = safe_div(bs1 - as1, total_l1)
-    pressure = safe_div(bs1 + bs2 - as1 - as2, depth)
-    depth_ratio = total_l1 / total_l2
-    for w in sorted(set(cfg.book_windows)):
-        inw = obs & (rev <= w)
-        aggs += [
-            F.avg(F.when(inw, spread)).alias(f"mean_spread_{w}"),
-            F.stddev_samp(F.when(inw, spread)).alias(f"std_spread_{w}"),
-            F.avg(F.when(inw, imbalance)).alias(f"mean_imbalance_{w}"),
-            F.stddev_samp(F.when(inw, imbalance)).alias(f"std_imbalance_{w}"),
-            F.avg(F.when(inw, depth_ratio)).alias(f"depth_ratio_{w}"),
-            F.avg(F.when(inw, depth)).alias(f"mean_depth_{w}"),
-            F.stddev_samp(F.when(inw, depth)).alias(f"std_depth_{w}"),
-            F.avg(F.when(inw, pressure)).alias(f"book_pressure_{w}"),
+    cutoff = f"(n_total - {h})"
+    a = [
+        "count(r) AS cnt",
+        "sum(r) AS s1",
+        "sum(r * r) AS s2",
+        "sum(abs(r)) AS sa",
+        "max(abs(r)) AS mx",
+        "count_if(r <> 0) AS nz",
+        "sum(CASE WHEN r < 0 THEN r * r END) AS ns",
+        "count_if(r < 0) AS nn",
+        "sum(CASE WHEN r > 0 THEN r * r END) AS ps",
+        "count_if(r > 0) AS pn",
+    ]
+    for k in LAGS:
+        a.append(f"sum(CASE WHEN run_first THEN _x_cross{k} END) AS c{k}")
+    for i, lam in enumerate(cfg.ewma_lambdas):
+        weight = f"CASE WHEN rev = {cutoff} THEN power({lam}D, {cutoff} - 1) ELSE {1.0 - lam}D * power({lam}D, rev - 1) END"
+        a.append(f"sum(CASE WHEN r <> 0 AND rev >= 1 THEN r * r * {weight} END) AS e{i}")
+    for i, _ in enumerate(windows):
+        a.append(f"sum(CASE WHEN run_first THEN shiftright(_x_jumps, {i}) & 1 END) AS j{i}")
+    for key, expr in SHIFTED.items():
+        a += [
+            f"sum({expr} - _k_{key}) AS {key}_s",
+            f"sum(power({expr} - _k_{key}, 2)) AS {key}_q",
+            f"count({expr}) AS {key}_n",
         ]
-    return aggs, _finals(cfg)
+    for key, expr in PLAIN.items():
+        a += [f"sum({expr}) AS {key}_s", f"count({expr}) AS {key}_n"]
+    for w in windows:
+        a += [f"max(_x_q0_{w}) AS q0_{w}", f"max(_x_q1_{w}) AS q1_{w}"]
+    return a
 
 
-def _finals(cfg: FeatureConfig) -> list:
+_RUNNING_MAX = {"mx"} | {f"q{i}_{w}" for i in (0, 1) for w in range(1, 1000)}
+_RAW = {"s2", "nz"}  # target bucket uses raw (not running) values
+
+
+def feature_table_from_runs(runs: DataFrame, cfg: FeatureConfig) -> DataFrame:
     h = cfg.forecast_horizon
-    n = F.col("n_obs")
-    cutoff = n - h
-    out = {
-        "seconds_elapsed": (cutoff.cast(_D) / F.greatest(n, F.lit(1))),
-        "n_obs": n.cast(_D),
-        "cutoff": cutoff.cast(_D),
-        "last_return": F.col("last_return"),
-        "abs_last_return": F.abs(F.col("last_return")),
+    cuts = edges(cfg)
+    nb = len(cuts) + 2
+    pos = positions_with_buckets(annotate_runs(runs, cfg), cfg)
+    group = [*KEYS, "n_total", "_k_sp", "_k_im", "_k_dp", "bucket"]
+    aggs = _bucket_aggs(cfg)
+    names = [x.rsplit(" AS ", 1)[1] for x in aggs]
+    level1 = pos.groupBy(*group).agg(*[F.expr(x) for x in aggs])
+    frame = f"{WIN} ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    running = []
+    for n in names:
+        if n in _RUNNING_MAX:
+            running.append(f"max({n}) OVER ({frame}) AS {n}")
+        else:
+            running.append(f"coalesce(sum({n}) OVER ({frame}), 0) AS {n}")
+    raw = [f"{n} AS raw_{n}" for n in sorted(_RAW)]
+    level2 = level1.selectExpr(*group, *running, *raw)
+    fields = ", ".join(["bucket"] + names + [f"raw_{n}" for n in sorted(_RAW)])
+    level3 = level2.groupBy(*group[:-1]).agg(
+        F.expr(f"array_sort(collect_list(struct({fields}))) AS bk")
+    )
+    n_obs = "n_total"
+    cutoff = f"(n_total - {h})"
+    idx = {c: i for i, c in enumerate(cuts)}  # bucket i+1 sits at array index i
+    older = nb - 2  # array index of bucket nb-1 (prefix = all observed returns)
+    tgt = nb - 1  # array index of bucket nb (target returns)
+
+    def at(field, w):
+        return f"bk[{idx[w]}].{field}"
+
+    out: dict[str, str] = {
+        "seconds_elapsed": f"CAST({cutoff} AS DOUBLE) / greatest({n_obs}, 1)",
+        "n_obs": f"CAST({n_obs} AS DOUBLE)",
+        "cutoff": f"CAST({cutoff} AS DOUBLE)",
+        "last_return": f"{at('s1', 1)}",
+        "abs_last_return": f"abs({at('s1', 1)})",
     }
-    for w in cfg.return_windows:
-        ok = cutoff >= w
-        g = lambda name: F.when(ok, F.col(name))
-        out[f"RV_{w}"] = g(f"RV_{w}")
-        out[f"vol_{w}"] = F.when(ok, F.sqrt(F.col(f"RV_{w}")))
-        for name in ("mean_abs_ret", "mean_ret", "max_abs_ret", "prop_zero_ret", "downside_RV", "upside_RV"):
-            out[f"{name}_{w}"] = g(f"{name}_{w}")
-        out[f"jump_count_{w}"] = F.when(ok, F.coalesce(F.col(f"_jumps_{w}"), F.lit(0)).cast(_D))
-        out[f"ret_q10_{w}"] = F.when(ok, F.col(f"_q_{w}")[0])
-        out[f"ret_q90_{w}"] = F.when(ok, F.col(f"_q_{w}")[1])
+    windows = sorted(set(cfg.return_windows))
+    for i, w in enumerate(windows):
+        ok = f"{cutoff} >= {w}"
+        g = lambda e: f"CASE WHEN {ok} THEN {e} END"
+        out[f"RV_{w}"] = g(f"{at('s2', w)} / {w}")
+        out[f"vol_{w}"] = g(f"sqrt({at('s2', w)} / {w})")
+        out[f"mean_abs_ret_{w}"] = g(f"{at('sa', w)} / {w}")
+        out[f"mean_ret_{w}"] = g(f"{at('s1', w)} / {w}")
+        out[f"max_abs_ret_{w}"] = g(f"coalesce({at('mx', w)}, 0D)")
+        out[f"prop_zero_ret_{w}"] = g(f"1D - {at('nz', w)} / {w}D")
+        out[f"downside_RV_{w}"] = g(f"coalesce({at('ns', w)} / nullif({at('nn', w)}, 0), 0D)")
+        out[f"upside_RV_{w}"] = g(f"coalesce({at('ps', w)} / nullif({at('pn', w)}, 0), 0D)")
+        out[f"jump_count_{w}"] = g(f"CAST({at(f'j{i}', w)} AS DOUBLE)")
+        for q, name in ((0.1, "ret_q10"), (0.9, "ret_q90")):
+            out[f"{name}_{w}"] = g(f"bk[{older}].q{0 if q < 0.5 else 1}_{w}")
     for w in cfg.acf_windows:
         for k, name in ((1, "ret_autocorr"), (5, "ret_autocorr5")):
-            m = F.lit(float(w - k))
-            ma = F.coalesce(F.col(f"_a1_{w}_{k}"), F.lit(0.0)) / m
-            mb = F.coalesce(F.col(f"_b1_{w}_{k}"), F.lit(0.0)) / m
-            va = F.coalesce(F.col(f"_a2_{w}_{k}"), F.lit(0.0)) / m - ma * ma
-            vb = F.coalesce(F.col(f"_b2_{w}_{k}"), F.lit(0.0)) / m - mb * mb
-            cov = F.coalesce(F.col(f"_ab_{w}_{k}"), F.lit(0.0)) / m - ma * mb
-            denom = F.sqrt(F.greatest(va, F.lit(0.0))) * F.sqrt(F.greatest(vb, F.lit(0.0)))
-            corr = F.when(denom > 0, cov / F.nullif(denom, F.lit(0.0))).otherwise(F.lit(0.0))
-            out[f"{name}_{w}"] = F.when(cutoff >= w, corr)
-    for lam in cfg.ewma_lambdas:
-        out[ewma_name(lam)] = F.coalesce(F.col(f"_ewma_{ewma_name(lam)}"), F.lit(0.0))
-    rv = lambda w: out.get(f"RV_{w}", _null())
-    out["vol_trend"] = rv(30) / (rv(300) + EPS)
-    for s, l in RATIO_PAIRS:
-        out[f"RV_ratio_{s}_{l}"] = rv(s) / (rv(l) + EPS)
-    for w in cfg.book_windows:
-        ok = cutoff >= w
-        for name in ("mean_spread", "std_spread", "mean_imbalance", "std_imbalance", "depth_ratio", "mean_depth", "std_depth", "book_pressure"):
-            out[f"{name}_{w}"] = F.when(ok, F.col(f"{name}_{w}"))
-    target = F.col("_tgt_sum") / F.lit(float(h))
-    finals = [
-        F.col("stock_id"),
-        F.col("time_id"),
-        target.alias("target_var"),
-        var_to_vol(target).alias("target_vol"),
-    ]
-    finals += [out[c].cast(_D).alias(c) for c in feature_columns(cfg)]
-    return finals
+            m = f"{float(w - k)}D"
+            sa1 = f"({at('s1', w)} - {at('s1', k)})"
+            sa2 = f"({at('s2', w)} - {at('s2', k)})"
+            sb1 = f"{at('s1', w - k)}"
+            sb2 = f"{at('s2', w - k)}"
+            sab = f"({at(f'c{k}', w)} - {at(f'c{k}', k)})"
+            ma, mb = f"({sa1} / {m})", f"({sb1} / {m})"
+            va = f"greatest({sa2} / {m} - {ma} * {ma}, 0D)"
+            vb = f"greatest({sb2} / {m} - {mb} * {mb}, 0D)"
+            den = f"(sqrt({va}) * sqrt({vb}))"
+            cov = f"({sab} / {m} - {ma} * {mb})"
+            out[f"{name}_{w}"] = f"CASE WHEN {cutoff} >= {w} THEN CASE WHEN {den} > 0 THEN {cov} / {den} ELSE 0D END END"
+    for i, lam in enumerate(cfg.ewma_lambdas):
+        out[ewma_name(lam)] = f"coalesce(bk[{older}].e{i}, 0D)"
 
+    def rv(w):
+        return out.get(f"RV_{w}", "CAST(NULL AS DOUBLE)")
 
-def window_filter(cfg: FeatureConfig):
-    """F4 + F5 as a HAVING predicate on the aggregate."""
-    return (
-        (F.col("n_obs") >= cfg.min_observations)
-        & (F.col("_obs_moves") >= MIN_OBSERVED_MOVES)
-        & (F.col("_tgt_moves") >= MIN_TARGET_MOVES)
+    out["vol_trend"] = f"({rv(30)}) / (({rv(300)}) + {EPS})"
+    for s, l in RATIO_PAIRS:
+        out[f"RV_ratio_{s}_{l}"] = f"({rv(s)}) / (({rv(l)}) + {EPS})"
+    for w in cfg.book_windows:
+        ok = f"{cutoff} >= {w}"
+        for key, mean_name, std_name in (("sp", "mean_spread", "std_spread"), ("im", "mean_imbalance", "std_imbalance"), ("dp", "mean_depth", "std_depth")):
+            s, q, n = at(f"{key}_s", w), at(f"{key}_q", w), at(f"{key}_n", w)
+            out[f"{mean_name}_{w}"] = f"CASE WHEN {ok} THEN _k_{key} + {s} / nullif({n}, 0) END"
+            var = f"greatest(({q} - {s} * {s} / {n}) / ({n} - 1), 0D)"
+            out[f"{std_name}_{w}"] = f"CASE WHEN {ok} AND {n} > 1 THEN sqrt({var}) END"
+        out[f"depth_ratio_{w}"] = f"CASE WHEN {ok} THEN {at('dr_s', w)} / nullif({at('dr_n', w)}, 0) END"
+        out[f"book_pressure_{w}"] = f"CASE WHEN {ok} THEN {at('pr_s', w)} / nullif({at('pr_n', w)}, 0) END"
+    target = f"(coalesce(bk[{tgt}].raw_s2, 0D) / {float(h)})"
+    obs_moves = f"bk[{older}].nz"
+    tgt_moves = f"bk[{tgt}].raw_nz"
+    keep = (
+        f"{n_obs} >= {cfg.min_observations} AND {obs_moves} >= {MIN_OBSERVED_MOVES}"
+        f" AND {tgt_moves} >= {MIN_TARGET_MOVES}"
     )
+    finals = ["stock_id", "time_id", f"{target} AS target_var", f"sqrt(greatest({target}, 0D)) AS target_vol"]
+    finals += [f"CAST({out[c]} AS DOUBLE) AS `{c}`" for c in feature_columns(cfg)]
+    return level3.where(keep).selectExpr(*finals)
 
 
 def build_features(book: DataFrame, cfg: FeatureConfig = FeatureConfig(), partitions: int | None = None) -> DataFrame:
     """D1 -> D3: ``stock_id, time_id, target_var, target_vol`` + features."""
-    runs = annotate_runs(book_runs(book, partitions), cfg)
-    positions = return_positions(runs)
-    aggs, finals = feature_aggregates(cfg)
-    grouped = positions.groupBy(*KEYS).agg(*aggs)
-    return grouped.where(window_filter(cfg)).select(*finals)
+    return feature_table_from_runs(book_runs(book, partitions), cfg)
 
 
 def window_targets(book: DataFrame, cfg: FeatureConfig = FeatureConfig(), partitions: int | None = None) -> DataFrame:
-    """W3/F4/F5/A12 only: the target of every window that passes the filters."""
-    positions = return_positions(book_runs(book, partitions))
+    """W3/F4/F5/A12 on the runs alone (no per-second expansion): the target
+    is the last ``horizon`` usable returns, i.e. ``rev < 1``."""
     h = cfg.forecast_horizon
-    rev = (F.col("n_total") - h) - F.col("pos") + 1
-    r = F.col("ret")
-    grouped = positions.groupBy(*KEYS).agg(
-        F.max("n_total").alias("n_obs"),
-        F.sum(F.when(rev < 1, r * r)).alias("_tgt_sum"),
-        F.sum(F.when((rev < 1) & (r != 0), 1).otherwise(0)).alias("_tgt_moves"),
-        F.sum(F.when((rev >= 1) & (r != 0), 1).otherwise(0)).alias("_obs_moves"),
+    runs = book_runs(book, partitions)
+    rev = f"((n_total - {h}) - pos_before)"  # rev of the run's first usable return
+    first = "(ret_first IS NOT NULL AND n_valid > 0)"
+    grouped = runs.groupBy(*KEYS).agg(
+        F.expr("max(n_total) AS n_obs"),
+        F.expr(f"sum(CASE WHEN {first} AND {rev} < 1 THEN ret_first * ret_first END) AS tgt_sum"),
+        F.expr(f"count_if({first} AND {rev} < 1 AND ret_first <> 0) AS target_moves"),
+        F.expr(f"count_if({first} AND {rev} >= 1 AND ret_first <> 0) AS observed_moves"),
     )
-    target = F.col("_tgt_sum") / F.lit(float(h))
-    return grouped.where(window_filter(cfg)).select(
+    target = f"(coalesce(tgt_sum, 0D) / {float(h)})"
+    return grouped.where(
+        f"n_obs >= {cfg.min_observations} AND observed_moves >= {MIN_OBSERVED_MOVES} AND target_moves >= {MIN_TARGET_MOVES}"
+    ).selectExpr(
         *KEYS,
-        F.col("n_obs").cast("int").alias("n_obs"),
-        (F.col("n_obs") - h).cast("int").alias("cutoff"),
-        F.col("_obs_moves").cast("int").alias("observed_moves"),
-        F.col("_tgt_moves").cast("int").alias("target_moves"),
-        target.alias("target_var"),
-        var_to_vol(target).alias("target_vol"),
+        "CAST(n_obs AS INT) AS n_obs",
+        f"CAST(n_obs - {h} AS INT) AS cutoff",
+        "CAST(observed_moves AS INT) AS observed_moves",
+        "CAST(target_moves AS INT) AS target_moves",
+        f"{target} AS target_var",
+        f"sqrt(greatest({target}, 0D)) AS target_vol",
     )
 
 
@@ -259,18 +330,16 @@ def usable_columns(features: DataFrame, cfg: FeatureConfig = FeatureConfig()) ->
     Returns one row per feature column: ``column, position, usable``."""
     cols = [c for c in feature_columns(cfg) if c in features.columns]
     aggs = []
-    for c in cols:
-        x = F.col(c)
-        bad = x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
+    for i, c in enumerate(cols):
+        bad = f"(`{c}` IS NULL OR isnan(`{c}`) OR abs(`{c}`) = double('inf'))"
         aggs += [
-            F.sum(bad.cast("int")).alias(f"b{len(aggs)}"),
-            F.min(F.when(~bad, x)).alias(f"b{len(aggs) + 1}"),
-            F.max(F.when(~bad, x)).alias(f"b{len(aggs) + 2}"),
+            F.expr(f"count_if({bad}) AS b{i}"),
+            F.expr(f"min(CASE WHEN NOT {bad} THEN `{c}` END) AS lo{i}"),
+            F.expr(f"max(CASE WHEN NOT {bad} THEN `{c}` END) AS hi{i}"),
         ]
     stats = features.agg(*aggs)
-    entries = []
-    for i, c in enumerate(cols):
-        bad, lo, hi = (F.col(f"b{3 * i + k}") for k in range(3))
-        usable = (F.coalesce(bad, F.lit(0)) == 0) & (lo < hi)
-        entries.append(F.struct(F.lit(c).alias("column"), F.lit(i + 1).alias("position"), F.coalesce(usable, F.lit(False)).alias("usable")))
-    return stats.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    entries = ", ".join(
+        f"struct('{c}' AS column, {i + 1} AS position, coalesce(b{i} = 0 AND lo{i} < hi{i}, false) AS usable)"
+        for i, c in enumerate(cols)
+    )
+    return stats.selectExpr(f"inline(array({entries}))")
