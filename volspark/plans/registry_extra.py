@@ -1 +1,89 @@
-"""Further query families (legacy, cluster, models, store)."""
+"""Query families whose results are not SQL-expressible (model fits and
+likelihood optimisation): registered without an oracle, so the driver checks
+rows only; pytest checks them against numpy on small fixtures."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..config import ModelSpec, SplitConfig
+from ..operators import features as FT
+from ..operators import folds as FO
+from ..operators import garch as GA
+from ..operators import models as MO
+from ..operators import report as RP
+from .queries import CFG, book, register, stored
+
+PCA_K = 12
+
+
+def _data(spark, sf):
+    f = stored(spark, sf)
+    cols = MO.usable_feature_list(FT.usable_columns(f, CFG))
+    return FO.with_folds(f, SplitConfig()), cols
+
+
+def _ml(model_type: str, mode: str = "PCA"):
+    def build(spark, sf):
+        data, cols = _data(spark, sf)
+        pred, _imp = MO.run_models(data, [ModelSpec(name=model_type, model_type=model_type)], cols, mode, PCA_K)
+        return pred
+
+    return build
+
+
+for _name, _type in (
+    ("ml_linear", "Linear Regression"),
+    ("ml_ridge", "Ridge Regression"),
+    ("ml_lasso", "LASSO"),
+    ("ml_har", "HAR-RV"),
+    ("ml_tree", "Decision Tree"),
+    ("ml_forest", "Random Forest"),
+    ("ml_boosted", "XGBoost"),
+):
+    register(_name, None)(_ml(_type))
+
+
+def _importance(spark, sf):
+    data, cols = _data(spark, sf)
+    specs = [ModelSpec(name="Linear Regression", model_type="Linear Regression"),
+             ModelSpec(name="Decision Tree", model_type="Decision Tree")]
+    _pred, imp = MO.run_models(data, specs, cols, "Manual", PCA_K)
+    return imp
+
+
+@register("importance_top10", None)
+def q_importance_top10(spark, sf):
+    return RP.importance_top(_importance(spark, sf), 10)
+
+
+@register("importance_pivot", None)
+def q_importance_pivot(spark, sf):
+    return RP.importance_pivot(_importance(spark, sf), 10)
+
+
+@register("pca_variance", None)
+def q_pca_variance(spark, sf):
+    f = stored(spark, sf)
+    cols = MO.usable_feature_list(FT.usable_columns(f, CFG))
+    ratios = MO.pca_variance(f, cols, PCA_K).selectExpr("*", "CAST(substr(component, 3) AS INT) AS k")
+    return RP.cumulative_share(ratios, "k", "explained_variance_ratio").drop("k")  # W16
+
+
+@register("stock_pca_map", None)
+def q_stock_pca_map(spark, sf):
+    f = stored(spark, sf)
+    cols = MO.usable_feature_list(FT.usable_columns(f, CFG))
+    return MO.stock_pca_map(f, cols)
+
+
+def _garch(model_type):
+    def build(spark, sf):
+        folds = FO.fold_table(stored(spark, sf), SplitConfig())
+        return GA.garch_forecasts(book(spark, sf), folds, model_type, CFG.forecast_horizon)
+
+    return build
+
+
+register("garch_window", None)(_garch("GARCH(1,1)"))
+register("gjr_garch_window", None)(_garch("GJR-GARCH(1,1)"))
