@@ -87,3 +87,302 @@ def _garch(model_type):
 
 register("garch_window", None)(_garch("GARCH(1,1)"))
 register("gjr_garch_window", None)(_garch("GJR-GARCH(1,1)"))
+
+
+# ---------------------------------------------------------------- legacy path
+from ..operators import cluster as CL  # noqa: E402
+from ..operators import legacy as LG  # noqa: E402
+from ..operators import metrics as ME  # noqa: E402
+from ..operators import universe as UV  # noqa: E402
+from ..config import BOOK_VALUE_COLUMNS  # noqa: E402
+from .queries import R, book_ctes, predictions, sql_pred, sql_stock_model  # noqa: E402
+
+BOOK_ONLY = "WITH " + book_ctes().lstrip().split(",\ndedup")[0]
+LORDER = "seconds_in_bucket, " + ", ".join(BOOK_VALUE_COLUMNS)
+LEG_OUT = [
+    "rv_first", "std_log_return", "skew_log_return", "kurt_log_return", "max_log_return", "min_log_return",
+    "realized_quarticity", "abs_return_mean", "max_abs_return", "wap_range", "wap_std", "n_price_changes", "n_rows",
+    "mean_spread", "std_spread", "spread_range", "mean_rel_spread", "std_rel_spread", "mean_depth", "std_depth",
+    "mean_imbalance", "std_imbalance", "mean_bid_size1", "mean_ask_size1", "arrival_rate", "wap_momentum",
+    "acf1", "acf5", "pacf1", "pacf5", "log_rv_second",
+]
+
+
+def _legacy_sql_ctes() -> str:
+    h1 = lambda e: f"CASE WHEN half = 1 THEN {e} END"
+    acfs = ", ".join(f"sum({h1(f'(lr - lr_mean) * (l{k} - lr_mean)')}) / NULLIF(sum({h1('power(lr - lr_mean, 2)')}), 0) AS acf_{k}" for k in range(1, 6))
+    leads = ", ".join(f"lead(lr, {k}) OVER w AS l{k}" for k in range(1, 6))
+    dl = ["p1_1 AS (SELECT *, acf_1 AS p1_1 FROM lacf)"]
+    prev = "p1_1"
+    steps = []
+    cur = "(SELECT *, acf_1 AS p1_1 FROM lacf)"
+    for k in range(2, 6):
+        num = f"acf_{k} - (" + " + ".join(f"p{k - 1}_{j} * acf_{k - j}" for j in range(1, k)) + ")"
+        den = "1 - (" + " + ".join(f"p{k - 1}_{j} * acf_{j}" for j in range(1, k)) + ")"
+        cur = f"(SELECT *, ({num}) / NULLIF({den}, 0) AS p{k}_{k} FROM {cur})"
+        upd = ", ".join(f"p{k - 1}_{j} - p{k}_{k} * p{k - 1}_{k - j} AS p{k}_{j}" for j in range(1, k))
+        cur = f"(SELECT *, {upd} FROM {cur})"
+    skew = "CASE WHEN n1 >= 3 THEN CASE WHEN m2 = 0 THEN 0 ELSE (m3 / power(m2, 1.5)) * sqrt(n1 * (n1 - 1)) / (n1 - 2) END END"
+    kurt = "CASE WHEN n1 >= 4 THEN CASE WHEN m2 = 0 THEN 0 ELSE ((n1 + 1) * (m4 / (m2 * m2) - 3) + 6) * (n1 - 1) / ((n1 - 2) * (n1 - 3)) END END"
+    return f""",
+lr1 AS (SELECT *, CASE WHEN seconds_in_bucket < 300 THEN 1 ELSE 2 END AS half,
+               (bid_price1 * ask_size1 + ask_price1 * bid_size1) / NULLIF(bid_size1 + ask_size1, 0) AS wap FROM book),
+lr2 AS (SELECT *, CASE WHEN wap > 0 THEN ln(wap) END AS lw, ask_price1 - bid_price1 AS spread,
+               (ask_price1 - bid_price1) / NULLIF((bid_price1 + ask_price1) / 2, 0) AS rel_spread,
+               bid_size1 + ask_size1 AS depth, (bid_size1 - ask_size1) / NULLIF(bid_size1 + ask_size1, 0) AS imbalance FROM lr1),
+lr3 AS (SELECT *, lw - lag(lw) OVER w AS lr, wap - lag(wap) OVER w AS dwap, row_number() OVER w AS rn FROM lr2
+        WINDOW w AS (PARTITION BY stock_id, time_id, half ORDER BY {LORDER})),
+lr4 AS (SELECT *, avg(lr) OVER (PARTITION BY stock_id, time_id, half) AS lr_mean, {leads} FROM lr3
+        WINDOW w AS (PARTITION BY stock_id, time_id, half ORDER BY {LORDER})),
+lacf AS (
+  SELECT stock_id, time_id,
+    sqrt(coalesce(sum({h1('lr * lr')}), 0)) AS rv_first, stddev_samp({h1('lr')}) AS std_log_return,
+    count({h1('lr')}) AS n1, avg({h1('power(lr - lr_mean, 2)')}) AS m2, avg({h1('power(lr - lr_mean, 3)')}) AS m3,
+    avg({h1('power(lr - lr_mean, 4)')}) AS m4,
+    max({h1('lr')}) AS max_log_return, min({h1('lr')}) AS min_log_return, sum({h1('power(lr, 4)')}) AS s4,
+    avg({h1('abs(lr)')}) AS abs_return_mean, max({h1('abs(lr)')}) AS max_abs_return,
+    max({h1('wap')}) - min({h1('wap')}) AS wap_range, stddev_samp({h1('wap')}) AS wap_std,
+    count_if(half = 1 AND dwap IS NOT NULL AND dwap <> 0) AS n_price_changes,
+    avg({h1('spread')}) AS mean_spread, stddev_samp({h1('spread')}) AS std_spread, max({h1('spread')}) - min({h1('spread')}) AS spread_range,
+    avg({h1('rel_spread')}) AS mean_rel_spread, stddev_samp({h1('rel_spread')}) AS std_rel_spread,
+    avg({h1('depth')}) AS mean_depth, stddev_samp({h1('depth')}) AS std_depth,
+    avg({h1('imbalance')}) AS mean_imbalance, stddev_samp({h1('imbalance')}) AS std_imbalance,
+    avg({h1('bid_size1')}) AS mean_bid_size1, avg({h1('ask_size1')}) AS mean_ask_size1, count({h1('wap')}) AS n_rows,
+    arg_min({h1('wap')}, {h1('CASE WHEN wap IS NOT NULL THEN rn END')}) AS wf, arg_max({h1('wap')}, {h1('CASE WHEN wap IS NOT NULL THEN rn END')}) AS wl,
+    {acfs},
+    count_if(half = 1) AS r1, count_if(half = 2) AS r2,
+    sqrt(coalesce(sum(CASE WHEN half = 2 THEN lr * lr END), 0)) AS rv_second
+  FROM lr4 GROUP BY stock_id, time_id HAVING count_if(half = 1) > 0 AND count_if(half = 2) > 0),
+ldl AS {cur},
+legacy AS (
+  SELECT stock_id, time_id, rv_first, std_log_return, {skew} AS skew_log_return, {kurt} AS kurt_log_return,
+         max_log_return, min_log_return, n1 / 3.0 * s4 AS realized_quarticity, abs_return_mean, max_abs_return,
+         wap_range, wap_std, CAST(n_price_changes AS DOUBLE) AS n_price_changes, CAST(n_rows AS DOUBLE) AS n_rows,
+         mean_spread, std_spread, spread_range, mean_rel_spread, std_rel_spread, mean_depth, std_depth,
+         mean_imbalance, std_imbalance, mean_bid_size1, mean_ask_size1, n_rows / 300.0 AS arrival_rate, wl - wf AS wap_momentum,
+         acf_1 AS acf1, acf_5 AS acf5, p1_1 AS pacf1, p5_5 AS pacf5, ln(rv_second + 1e-8) AS log_rv_second
+  FROM ldl)"""
+
+
+@register(
+    "legacy_window_features",
+    BOOK_ONLY + _legacy_sql_ctes() + "\nSELECT stock_id, time_id, " + ", ".join(R(c, c) for c in LEG_OUT) + " FROM legacy",
+)
+def q_legacy_window_features(spark, sf):
+    return LG.window_features(book(spark, sf)).select("stock_id", "time_id", *LEG_OUT)
+
+
+def _lags_sql() -> str:
+    w = "PARTITION BY stock_id ORDER BY time_id"
+    roll = "ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING"
+    cond = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in LG.FEATURE_COLS + ["log_rv_second"])
+    return BOOK_ONLY + _legacy_sql_ctes() + f""",
+lagged AS (SELECT *, lag(rv_first, 1) OVER ({w}) AS rv_first_lag1, lag(rv_first, 2) OVER ({w}) AS rv_first_lag2,
+  lag(log_rv_second, 1) OVER ({w}) AS log_rv_lag1, lag(log_rv_second, 2) OVER ({w}) AS log_rv_lag2,
+  lag(log_rv_second, 3) OVER ({w}) AS log_rv_lag3,
+  CASE WHEN count(log_rv_second) OVER ({w} {roll}) = 5 THEN avg(log_rv_second) OVER ({w} {roll}) END AS log_rv_rolling5,
+  rv_first / (mean_depth + 1e-10) AS vol_per_depth, rv_first * mean_rel_spread AS vol_x_spread,
+  abs(mean_imbalance) * rv_first AS pressure_x_vol FROM legacy)
+SELECT stock_id, time_id, {', '.join(R(c, c) for c in ['rv_first_lag1', 'rv_first_lag2', 'log_rv_lag1', 'log_rv_lag2', 'log_rv_lag3', 'log_rv_rolling5', 'vol_per_depth', 'vol_x_spread', 'pressure_x_vol', 'log_rv_second'])}
+FROM lagged WHERE {cond}"""
+
+
+LAG_OUT = ["rv_first_lag1", "rv_first_lag2", "log_rv_lag1", "log_rv_lag2", "log_rv_lag3", "log_rv_rolling5",
+           "vol_per_depth", "vol_x_spread", "pressure_x_vol", "log_rv_second"]
+
+
+@register("legacy_lags", _lags_sql())
+def q_legacy_lags(spark, sf):
+    return LG.with_lags(LG.window_features(book(spark, sf))).select("stock_id", "time_id", *LAG_OUT)
+
+
+def _har_sql() -> str:
+    w = "PARTITION BY stock_id ORDER BY time_id"
+    return BOOK_ONLY + f""",
+hr AS (SELECT *, (bid_price1 * ask_size1 + ask_price1 * bid_size1) / NULLIF(bid_size1 + ask_size1, 0) AS wap FROM book),
+hr2 AS (SELECT *, CASE WHEN wap > 0 THEN ln(wap) END - lag(CASE WHEN wap > 0 THEN ln(wap) END) OVER w AS lr, row_number() OVER w AS rn
+        FROM hr WINDOW w AS (PARTITION BY stock_id, time_id ORDER BY {LORDER})),
+hb AS (SELECT stock_id, time_id, sqrt(coalesce(sum(CASE WHEN seconds_in_bucket < 300 THEN lr * lr END), 0)) AS rv_first,
+              sqrt(coalesce(sum(CASE WHEN seconds_in_bucket >= 300 THEN lr * lr END), 0)) AS rv_second,
+              arg_max(wap, CASE WHEN wap IS NOT NULL THEN rn END) AS last_wap
+       FROM hr2 GROUP BY stock_id, time_id
+       HAVING count_if(seconds_in_bucket < 300) > 0 AND count_if(seconds_in_bucket >= 300) > 0),
+hb2 AS (SELECT *, ln(rv_second + 1e-8) AS log_rv_second FROM hb WHERE last_wap IS NOT NULL),
+hl AS (SELECT *, lag(log_rv_second, 1) OVER ({w}) AS lag_d,
+  CASE WHEN count(log_rv_second) OVER ({w} ROWS BETWEEN 5 PRECEDING AND 2 PRECEDING) = 4
+       THEN avg(log_rv_second) OVER ({w} ROWS BETWEEN 5 PRECEDING AND 2 PRECEDING) END AS lag_w,
+  CASE WHEN count(log_rv_second) OVER ({w} ROWS BETWEEN 22 PRECEDING AND 6 PRECEDING) = 17
+       THEN avg(log_rv_second) OVER ({w} ROWS BETWEEN 22 PRECEDING AND 6 PRECEDING) END AS lag_m FROM hb2)
+SELECT stock_id, time_id, {R('log_rv_second', 'log_rv_second')}, {R('lag_d', 'lag_d')}, {R('lag_w', 'lag_w')}, {R('lag_m', 'lag_m')}
+FROM hl WHERE lag_d IS NOT NULL AND lag_w IS NOT NULL AND lag_m IS NOT NULL"""
+
+
+@register("har_lags", _har_sql())
+def q_har_lags(spark, sf):
+    return LG.har_lags(LG.har_base(book(spark, sf))).select("stock_id", "time_id", "log_rv_second", "lag_d", "lag_w", "lag_m")
+
+
+@register("har_per_stock", None)
+def q_har_per_stock(spark, sf):
+    fitted = LG.har_per_stock(LG.har_lags(LG.har_base(book(spark, sf))))
+    losses = ME.legacy_losses(fitted.where("split = 'test'"), ["stock_id"], "y_true", "y_pred")
+    coef = fitted.groupBy("stock_id").agg(*[F.first(c).alias(c) for c in ("b0", "b_d", "b_w", "b_m")])
+    return losses.join(coef, "stock_id")
+
+
+@register("garch_calibrated", None)
+def q_garch_calibrated(spark, sf):
+    return GA.legacy_garch(LG.har_base(book(spark, sf)))
+
+
+# ---------------------------------------------------------------- clusters
+def labels(df):
+    """Cluster labels for the fixture: ``stock_number % 2 + 1``."""
+    return df.select("stock_id").distinct().selectExpr(
+        "stock_id", "CAST(CAST(regexp_extract(stock_id, '(\\\\d+)$', 1) AS INT) % 2 + 1 AS INT) AS cluster"
+    )
+
+
+RV_SQL = f""",
+cr AS (SELECT *, CASE WHEN (bid_price1 * ask_size1 + ask_price1 * bid_size1) / NULLIF(bid_size1 + ask_size1, 0) > 0
+                      THEN ln((bid_price1 * ask_size1 + ask_price1 * bid_size1) / NULLIF(bid_size1 + ask_size1, 0)) END AS lw FROM book),
+cr2 AS (SELECT *, lw - lag(lw) OVER (PARTITION BY stock_id, time_id ORDER BY {LORDER}) AS lr FROM cr),
+rv AS (SELECT stock_id, time_id, sqrt(coalesce(sum(lr * lr), 0)) AS rv FROM cr2 GROUP BY stock_id, time_id),
+lab AS (SELECT DISTINCT stock_id, CAST(CAST(regexp_extract(stock_id, '(\\d+)$', 1) AS INTEGER) % 2 + 1 AS INTEGER) AS cluster FROM rv)"""
+
+
+@register(
+    "cluster_rv_series",
+    BOOK_ONLY + RV_SQL + """,
+cw AS (SELECT time_id FROM rv GROUP BY time_id HAVING count(DISTINCT stock_id) = (SELECT count(DISTINCT stock_id) FROM rv))
+SELECT cluster, time_id, """ + R("avg(rv)", "mean_rv") + """ FROM rv JOIN lab USING (stock_id)
+WHERE time_id IN (SELECT time_id FROM cw) GROUP BY cluster, time_id""",
+)
+def q_cluster_rv_series(spark, sf):
+    rv = LG.window_rv(book(spark, sf))
+    return CL.cluster_rv_series(rv, labels(rv))
+
+
+def _behaviour_sql() -> str:
+    skew = "CASE WHEN n >= 3 THEN CASE WHEN m2 = 0 THEN 0 ELSE (m3 / power(m2, 1.5)) * sqrt(n * (n - 1)) / (n - 2) END END"
+    kurt = "CASE WHEN n >= 4 THEN CASE WHEN m2 = 0 THEN 0 ELSE ((n + 1) * (m4 / (m2 * m2) - 3) + 6) * (n - 1) / ((n - 2) * (n - 3)) END END"
+    return BOOK_ONLY + _legacy_sql_ctes() + RV_SQL + f""",
+rvm AS (SELECT *, avg(rv) OVER (PARTITION BY stock_id) AS mu, lag(rv) OVER (PARTITION BY stock_id ORDER BY time_id) AS rv_prev FROM rv),
+bm AS (SELECT stock_id, avg(rv) AS mean_rv, stddev_samp(rv) AS std_rv, count(rv) AS n, avg(power(rv - mu, 2)) AS m2,
+              avg(power(rv - mu, 3)) AS m3, avg(power(rv - mu, 4)) AS m4, quantile_cont(rv, 0.9) AS p90_rv,
+              CASE WHEN count(rv_prev) > 1 AND stddev_pop(rv_prev) > 0 AND stddev_pop(CASE WHEN rv_prev IS NOT NULL THEN rv END) > 0
+                   THEN covar_pop(rv_prev, CASE WHEN rv_prev IS NOT NULL THEN rv END)
+                        / (stddev_pop(rv_prev) * stddev_pop(CASE WHEN rv_prev IS NOT NULL THEN rv END)) END AS rv_autocorr
+       FROM rvm GROUP BY stock_id),
+bs AS (SELECT stock_id, avg(mean_rel_spread) AS mean_rel_spread, avg(std_rel_spread) AS std_rel_spread,
+              avg(mean_imbalance) AS mean_imbalance FROM legacy GROUP BY stock_id),
+beh AS (SELECT bm.stock_id, mean_rv, std_rv, {skew} AS skew_rv, {kurt} AS kurt_rv, rv_autocorr, p90_rv,
+               mean_rel_spread, std_rel_spread, mean_imbalance FROM bm JOIN bs USING (stock_id))"""
+
+
+def _behaviour(spark, sf):
+    b = book(spark, sf)
+    rv = LG.window_rv(b)
+    return CL.behaviour(rv, LG.window_features(b)), labels(rv)
+
+
+@register(
+    "cluster_summary",
+    _behaviour_sql() + "\nSELECT cluster, count(*) AS n_stocks, " + R("avg(mean_rv)", "mean_rv")
+    + " FROM beh JOIN lab USING (stock_id) GROUP BY cluster",
+)
+def q_cluster_summary(spark, sf):
+    feats, lab = _behaviour(spark, sf)
+    return CL.cluster_summary(feats, lab)
+
+
+@register(
+    "cluster_behaviour",
+    _behaviour_sql() + "\nSELECT stock_id, " + ", ".join(R(c, c) for c in CL.BEHAVIOUR) + " FROM beh",
+)
+def q_cluster_behaviour(spark, sf):
+    feats, _lab = _behaviour(spark, sf)
+    return feats
+
+
+def _z_sql() -> str:
+    pairs = " UNION ALL ".join(f"SELECT stock_id, '{c}' AS feature, {c} AS x FROM beh" for c in CL.BEHAVIOUR)
+    return f""",
+lng AS ({pairs}),
+z AS (SELECT stock_id, feature, (x - avg(x) OVER (PARTITION BY feature)) / NULLIF(stddev_pop(x) OVER (PARTITION BY feature), 0) AS z FROM lng),
+zl AS (SELECT z.*, lab.cluster FROM z JOIN lab USING (stock_id) WHERE z IS NOT NULL)"""
+
+
+@register(
+    "cluster_variance",
+    _behaviour_sql() + _z_sql() + """,
+g AS (SELECT feature, avg(z) AS g FROM zl GROUP BY feature),
+pc AS (SELECT cluster, feature, avg(z) AS m, count(*) AS n FROM zl GROUP BY cluster, feature),
+bw AS (SELECT sum(n * power(m - g, 2)) AS between_var FROM pc JOIN g USING (feature)),
+wi AS (SELECT sum(power(z - m, 2)) AS within_var FROM zl JOIN pc USING (cluster, feature))
+SELECT """ + R("between_var", "between_var") + ", " + R("within_var", "within_var") + ", "
+    + R("between_var / NULLIF(within_var, 0)", "ratio") + " FROM bw, wi",
+)
+def q_cluster_variance(spark, sf):
+    feats, lab = _behaviour(spark, sf)
+    return CL.variance_ratio(feats, lab)
+
+
+@register(
+    "cluster_silhouette_given",
+    _behaviour_sql() + _z_sql() + """,
+d AS (SELECT a.stock_id AS sa, b.stock_id AS sb, a.cluster AS ca, b.cluster AS cb, sqrt(sum(power(a.z - b.z, 2))) AS dist
+      FROM zl a JOIN zl b ON a.feature = b.feature AND a.stock_id <> b.stock_id GROUP BY a.stock_id, b.stock_id, a.cluster, b.cluster),
+pm AS (SELECT sa, ca, cb, avg(dist) AS md FROM d GROUP BY sa, ca, cb),
+s AS (SELECT sa, CASE WHEN max(CASE WHEN ca = cb THEN md END) IS NULL THEN 0
+           ELSE (min(CASE WHEN ca <> cb THEN md END) - max(CASE WHEN ca = cb THEN md END))
+                / greatest(max(CASE WHEN ca = cb THEN md END), min(CASE WHEN ca <> cb THEN md END)) END AS s FROM pm GROUP BY sa)
+SELECT """ + R("avg(s)", "silhouette") + " FROM s",
+)
+def q_cluster_silhouette_given(spark, sf):
+    feats, lab = _behaviour(spark, sf)
+    return CL.silhouette_given(feats, lab)
+
+
+@register("cluster_kmeans_silhouette", None)
+def q_cluster_kmeans(spark, sf):
+    feats, _lab = _behaviour(spark, sf)
+    return CL.kmeans_silhouette(feats)
+
+
+@register("cluster_pca", None)
+def q_cluster_pca(spark, sf):
+    feats, _lab = _behaviour(spark, sf)
+    return CL.pca_2d(feats)
+
+
+@register(
+    "cluster_win_rate",
+    "WITH " + sql_pred() + "," + sql_stock_model() + """,
+lab AS (SELECT DISTINCT stock_id, CAST(CAST(regexp_extract(stock_id, '(\\d+)$', 1) AS INTEGER) % 2 + 1 AS INTEGER) AS cluster FROM pred),
+bench AS (SELECT l.cluster, p.model, sqrt(avg(power(p.pred_var - p.actual_var, 2))) AS bench_rmse
+          FROM pred p JOIN lab l USING (stock_id) GROUP BY l.cluster, p.model),
+j AS (SELECT l.cluster, sm.model, sm.stock_id, sm.rmse < coalesce(b.bench_rmse, CAST('Infinity' AS DOUBLE)) AS beats
+      FROM sm JOIN lab l USING (stock_id) LEFT JOIN bench b ON b.cluster = l.cluster AND b.model = sm.model WHERE sm.n >= 30)
+SELECT cluster, model, """ + R("avg(CAST(beats AS DOUBLE))", "win_rate") + ", count(*) AS n_stocks FROM j GROUP BY cluster, model",
+)
+def q_cluster_win_rate(spark, sf):
+    pred = predictions(spark, sf)
+    lab = labels(pred)
+    sm = UV.stock_model_metrics(pred)
+    bench = pred.join(lab, "stock_id").groupBy("cluster", "model").agg(
+        F.expr("sqrt(avg(power(pred_var - actual_var, 2))) AS bench_rmse")
+    )
+    return CL.win_rate(sm, bench, lab, min_rows=30)
+
+
+@register(
+    "cluster_loss_quartiles",
+    "WITH " + sql_pred() + "," + sql_stock_model() + """,
+lab AS (SELECT DISTINCT stock_id, CAST(CAST(regexp_extract(stock_id, '(\\d+)$', 1) AS INTEGER) % 2 + 1 AS INTEGER) AS cluster FROM pred)
+SELECT cluster, model, """ + ", ".join(R(f"quantile_cont(qlike, {q})", n) for q, n in ((0, "min"), (0.25, "q1"), (0.5, "median"), (0.75, "q3"), (1, "max")))
+    + " FROM sm JOIN lab USING (stock_id) GROUP BY cluster, model",
+)
+def q_cluster_loss_quartiles(spark, sf):
+    pred = predictions(spark, sf)
+    return CL.loss_quartiles(UV.stock_model_metrics(pred), labels(pred), "qlike")
