@@ -386,3 +386,70 @@ SELECT cluster, model, """ + ", ".join(R(f"quantile_cont(qlike, {q})", n) for q,
 def q_cluster_loss_quartiles(spark, sf):
     pred = predictions(spark, sf)
     return CL.loss_quartiles(UV.stock_model_metrics(pred), labels(pred), "qlike")
+
+
+# ---------------------------------------------------------------- storage
+from ..session import ensure_checkpoint_dir  # noqa: E402
+from ..sources import store as ST  # noqa: E402
+from .queries import features, sql_features  # noqa: E402
+
+
+def _table_path(spark, sf):
+    stored(spark, sf)  # make sure it exists
+    base = ensure_checkpoint_dir(spark)
+    return f"{base.rstrip('/')}/feature_table/{ST.config_key(CFG, sf)}"
+
+
+@register(
+    "cache_counts",
+    "WITH " + sql_features() + """
+SELECT stock_id, count(*) AS n_rows, count(DISTINCT time_id) AS n_windows FROM feat GROUP BY stock_id
+UNION ALL SELECT '__all__', count(*), count(DISTINCT time_id) FROM feat""",
+)
+def q_cache_counts(spark, sf):
+    return ST.manifest(spark.read.parquet(_table_path(spark, sf)))
+
+
+@register(
+    "cache_limit_per_stock",
+    "WITH " + sql_features() + """
+SELECT stock_id, time_id, """ + R("target_var", "target_var") + ", " + R("target_vol", "target_vol") + """ FROM (
+  SELECT *, row_number() OVER (PARTITION BY stock_id ORDER BY time_id) AS r FROM feat
+  WHERE stock_id IN ('stock_0', 'stock_1', 'stock_2', 'stock_3')) WHERE r <= 20""",
+)
+def q_cache_limit_per_stock(spark, sf):
+    return ST.load_feature_table(
+        spark, _table_path(spark, sf), columns=["target_var", "target_vol"], stocks=["0", "1", "stock_2", "3"], max_windows=20
+    )
+
+
+@register("run_artifacts", None)
+def q_run_artifacts(spark, sf):
+    """S12 + S13 + S14: write a run's frames and status, list runs."""
+    import uuid
+    from datetime import datetime, timezone
+
+    base = ensure_checkpoint_dir(spark).rstrip("/") + "/runs"
+    run_id = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%SZ") + "_" + uuid.uuid4().hex[:8]
+    pred = predictions(spark, sf)
+    frames = {
+        "predictions": pred,
+        "metrics": ME.fold_metrics(pred),
+        "universe_summary": UV.universe_summary(stored(spark, sf), pred),
+        "stock_similarity": UV.stock_similarity(stored(spark, sf)),
+    }
+    ST.write_run(f"{base}/{run_id}", frames, {"features": CFG.__dict__}, {"status": "completed", "run_id": run_id})
+    return ST.run_catalogue(spark, base)
+
+
+@register("resume_build", None)
+def q_resume_build(spark, sf):
+    """Build stocks in two passes; the second pass appends only the
+    stocks that are not in the table yet."""
+    import uuid
+
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/resume/{uuid.uuid4().hex[:8]}"
+    f = features(spark, sf)
+    ST.write_new_stocks(f.where("stock_id IN ('stock_0', 'stock_1')"), path)
+    ST.write_new_stocks(f, path)
+    return ST.manifest(spark.read.parquet(path))

@@ -128,11 +128,11 @@ def run_catalogue(spark: SparkSession, runs_dir: str) -> DataFrame:
     """S13 + S14: one row per run (id from the folder name, status fields),
     newest first; ``latest_completed`` marks the newest completed run."""
     status = spark.read.json(f"{runs_dir}/*/status").select(
-        "*", F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/status/", 1).alias("run_id")
+        "*", F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/status/", 1).alias("run_folder")
     )
     return status.selectExpr(
-        "*", "row_number() OVER (PARTITION BY status = 'completed' ORDER BY run_id DESC) = 1 AND status = 'completed' AS latest_completed"
-    ).orderBy(F.desc("run_id"))
+        "*", "row_number() OVER (PARTITION BY status = 'completed' ORDER BY run_folder DESC) = 1 AND status = 'completed' AS latest_completed"
+    ).orderBy(F.desc("run_folder"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
