@@ -98,24 +98,40 @@ def annotate_runs(runs: DataFrame, cfg: FeatureConfig) -> DataFrame:
         )
         cross.append(f"coalesce({terms}, 0D) AS _x_cross{k}")
     # The last w returns are the in-window non-zero run-first returns plus
-    # (w - nonzero) zeros.  The first observed row never carries a usable
-    # return, so it carries the zeros as one value with that frequency.
-    nz = [f"count_if(_rf BETWEEN 1 AND {w} AND ret_first <> 0) OVER ({WIN}) AS _nz_{w}" for w in windows]
+    # (w - nonzero) zeros.  One value-sorted list of the observed non-zero
+    # returns (with their rev) per window, attached to the first observed row
+    # only; each window length filters it (order is kept) and reads the two
+    # order statistics around the quantile position -- negatives first, then
+    # the implicit zeros, then positives.
     keep = [c for c in runs.columns] + ["_k_sp", "_k_im", "_k_dp"]
-    with_nz = step.selectExpr(*keep, f"CAST({' + '.join(bits)} AS BIGINT) AS _x_jumps", *cross, "_rf", *nz)
-    quant = []
+    with_x = step.selectExpr(*keep, f"CAST({' + '.join(bits)} AS BIGINT) AS _x_jumps", *cross, "_rf")
+    collected = (
+        f"array_sort(collect_list(CASE WHEN _rf >= 1 AND ret_first <> 0 THEN struct(ret_first AS r, _rf AS rev) END) OVER ({WIN}))"
+    )
+    with_list = with_x.selectExpr("*", f"CASE WHEN is_first_obs THEN {collected} END AS _vals")
+    subsets = [f"filter(_vals, v -> v.rev <= {w}) AS _s_{w}" for w in windows]
+    with_sub = with_list.selectExpr(*keep, "_x_jumps", *[f"_x_cross{k}" for k in LAGS], *subsets)
+    firsts = []
     for w in windows:
-        value = (
-            f"CASE WHEN is_first_obs AND _nz_{w} < {w} THEN 0D "
-            f"WHEN _rf BETWEEN 1 AND {w} AND ret_first <> 0 THEN ret_first END"
-        )
-        freq = f"CASE WHEN is_first_obs THEN greatest({w} - _nz_{w}, 1) ELSE 1 END"
-        quant.append(f"percentile({value}, array(0.1D, 0.9D), {freq}) OVER ({WIN}) AS _q_{w}")
-    with_q = with_nz.selectExpr("*", *quant)
-    firsts = [
-        f"CASE WHEN is_first_obs THEN _q_{w}[{i}] END AS _x_q{i}_{w}" for w in windows for i in (0, 1)
-    ]
-    return with_q.selectExpr(*keep, "_x_jumps", *[f"_x_cross{k}" for k in LAGS], *firsts)
+        s_w = f"_s_{w}"
+        n_neg = f"size(filter({s_w}, v -> v.r < 0))"
+        n_zero = f"({w} - size({s_w}))"
+        for i, q in enumerate((0.1, 0.9)):
+            h = (w - 1) * q
+            lo = int(h // 1)
+            hi = min(lo + 1, w - 1)
+            frac = h - lo
+
+            def stat(k, s_w=s_w, n_neg=n_neg, n_zero=n_zero):
+                return (
+                    f"CASE WHEN {k} < {n_neg} THEN element_at({s_w}, {k + 1}).r "
+                    f"WHEN {k} < {n_neg} + {n_zero} THEN 0D "
+                    f"ELSE element_at({s_w}, {k + 1} - {n_zero}).r END"
+                )
+
+            a, b = stat(lo), stat(hi)
+            firsts.append(f"CASE WHEN is_first_obs THEN ({a}) + {frac!r}D * (({b}) - ({a})) END AS _x_q{i}_{w}")
+    return with_sub.selectExpr(*keep, "_x_jumps", *[f"_x_cross{k}" for k in LAGS], *firsts)
 
 
 def _bucket_expr(cuts: list[int], rev: str = "rev") -> str:

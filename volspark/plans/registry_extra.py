@@ -453,3 +453,19 @@ def q_resume_build(spark, sf):
     ST.write_new_stocks(f.where("stock_id IN ('stock_0', 'stock_1')"), path)
     ST.write_new_stocks(f, path)
     return ST.manifest(spark.read.parquet(path))
+
+
+@register("streaming_feature_build", None)
+def q_streaming_feature_build(spark, sf):
+    """Structured Streaming form of the feature build: the derived book is
+    written as one parquet file per stock, read back as a file stream and
+    turned into the feature table batch by batch (idempotent appends)."""
+    import uuid
+
+    from ..streaming.incremental import start_incremental_build
+
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/stream/{uuid.uuid4().hex[:8]}"
+    book(spark, sf).repartition("stock_id").write.mode("overwrite").parquet(f"{base}/book")
+    query = start_incremental_build(spark, f"{base}/book", f"{base}/features", f"{base}/ckpt", CFG, files_per_batch=2)
+    query.awaitTermination()
+    return spark.read.parquet(f"{base}/features")

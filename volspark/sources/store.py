@@ -51,10 +51,12 @@ def manifest(features: DataFrame) -> DataFrame:
 
 
 def write_feature_table(features: DataFrame, path: str, cfg: FeatureConfig = FeatureConfig(), mode: str = "overwrite") -> None:
-    """S8 + O1: range-partition by key, sort within partitions, write parquet
-    partitioned by ``stock_id``; then the manifest (A41) as JSON."""
+    """S8 + O1: sort within partitions by key and write parquet partitioned
+    by ``stock_id``; then the manifest (A41) as JSON.  No range repartition:
+    its sampling pass would run the whole upstream plan a second time, and the
+    table (one row per window) arrives hash-partitioned by window already."""
     spark = features.sparkSession
-    ordered = features.repartitionByRange("stock_id", "time_id").sortWithinPartitions("stock_id", "time_id")
+    ordered = features.sortWithinPartitions("stock_id", "time_id")
     ordered.write.mode(mode).partitionBy("stock_id").parquet(path)
     written = spark.read.parquet(path)
     man = manifest(written).withColumn("created_at_utc", F.lit(datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")))
@@ -70,7 +72,7 @@ def write_new_stocks(features: DataFrame, path: str) -> None:
         done = spark.read.parquet(path).select("stock_id").distinct()
         features = features.join(done, "stock_id", "left_anti")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    features.repartitionByRange("stock_id", "time_id").sortWithinPartitions("stock_id", "time_id").write.mode(
+    features.sortWithinPartitions("stock_id", "time_id").write.mode(
         "overwrite" if not path_exists(spark, path) else "append"
     ).partitionBy("stock_id").parquet(path)
 
