@@ -44,6 +44,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2 if cpus != "*" else 16, app="volspark-bench")
+    # a fresh feature table for this run (never one left by an earlier run)
+    spark.conf.set("volspark.store.salt", f"bench-{time.time_ns()}")
     times: dict[str, float] = {}
     for name in HEADLINE:
         t0 = time.perf_counter()

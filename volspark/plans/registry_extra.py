@@ -396,8 +396,7 @@ from .queries import features, sql_features  # noqa: E402
 
 def _table_path(spark, sf):
     stored(spark, sf)  # make sure it exists
-    base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/feature_table/{ST.config_key(CFG, sf)}"
+    return ST.feature_table_path(spark, sf, CFG)
 
 
 @register(
@@ -469,3 +468,103 @@ def q_streaming_feature_build(spark, sf):
     query = start_incremental_build(spark, f"{base}/book", f"{base}/features", f"{base}/ckpt", CFG, files_per_batch=2)
     query.awaitTermination()
     return spark.read.parquet(f"{base}/features")
+
+
+# ---------------------------------------------------------------- sources on files, report tables
+from ..config import LOSS_METRICS  # noqa: E402
+from ..operators import curves as CV  # noqa: E402
+from ..sources.book import list_stocks, read_book  # noqa: E402
+from .queries import BOOK_VALS, metrics as metrics_df  # noqa: E402
+
+
+def _stock_files(spark, sf, fmt):
+    """The derived book stored per stock (one folder per stock, written in
+    one distributed job; the stock column comes back from the folder name)."""
+    import uuid
+
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/book_files/{uuid.uuid4().hex[:8]}"
+    writer = book(spark, sf).write.partitionBy("stock_id")
+    (writer.option("header", True).csv(base) if fmt == "csv" else writer.parquet(base))
+    return base
+
+
+@register(
+    "book_sources",
+    "WITH " + book_ctes().lstrip().split(",\ndedup")[0]
+    + "\nSELECT time_id, seconds_in_bucket, " + ", ".join(R(c, c) for c in BOOK_VALS) + ", stock_id FROM book",
+)
+def q_book_sources(spark, sf):
+    """S1 + S3 + S4 + P15: discover ``stock_*.csv`` files, scan them with a
+    fixed schema (missing columns raise), stock name from the file name."""
+    base = _stock_files(spark, sf, "csv")
+    stocks = list_stocks(spark, base, "csv")
+    scanned = read_book(spark, base, "csv", partitioned=True)
+    return scanned.join(stocks, "stock_id", "left_semi").select("time_id", "seconds_in_bucket", *BOOK_VALS, "stock_id")
+
+
+@register(
+    "result_csv",
+    "WITH " + sql_pred() + "," + sql_stock_model() + """
+SELECT stock_id, model, metric, """ + R("value", "value") + """ FROM (
+  UNPIVOT (SELECT stock_id, model, rmse, qlike FROM sm) ON rmse, qlike INTO NAME metric VALUE value)""",
+)
+def q_result_csv(spark, sf):
+    """Per-stock results written as CSV, read back and melted."""
+    import uuid
+
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/results/{uuid.uuid4().hex[:8]}"
+    ST.write_csv(UV.stock_model_metrics(predictions(spark, sf)).select("stock_id", "model", "rmse", "qlike"), path)
+    back = ST.read_csv(spark, path, "stock_id string, model string, rmse double, qlike double")
+    return ST.melt_benchmarks(back, "stock_id, model", ["rmse", "qlike"])
+
+
+@register(
+    "prediction_series",
+    "WITH " + sql_pred() + """
+SELECT model, fold, stock_id, time_id, """ + R("pred_vol", "pred_vol") + ", " + R("actual_vol", "actual_vol")
+    + " FROM pred WHERE stock_id = 'stock_0' AND time_id = 7",
+)
+def q_prediction_series(spark, sf):
+    """F12 + O6: one stock's (and window's) predictions, ordered by model,
+    fold, window -- the filter reaches the stored table's partitions."""
+    p = predictions(spark, sf).where("stock_id = 'stock_0' AND time_id = 7")
+    return p.select("model", "fold", "stock_id", "time_id", "pred_vol", "actual_vol").orderBy("model", "fold", "time_id")
+
+
+@register(
+    "model_summary",
+    "WITH " + sql_pred() + """,
+metrics AS (
+  SELECT CAST(CASE WHEN grouping(fold) = 1 THEN 0 ELSE fold END AS INTEGER) AS fold, model, """ + ",\n       ".join(ME.loss_exprs())
+    + """ FROM pred GROUP BY GROUPING SETS ((model), (model, fold))),
+fm AS (SELECT model, """ + ", ".join(f"avg({m}) AS {m}" for m in LOSS_METRICS) + """ FROM metrics GROUP BY model),
+lat AS (SELECT model, avg(CASE WHEN NOT isnan(inference_ms) THEN inference_ms END) * 1000 AS inference_us FROM pred GROUP BY model)
+SELECT coalesce(fm.model, lat.model) AS model, """ + R("lat.inference_us", "mean_inference_us") + ", "
+    + ", ".join(R(f"fm.{m}", m) for m in LOSS_METRICS) + " FROM fm FULL OUTER JOIN lat ON fm.model = lat.model",
+)
+def q_model_summary(spark, sf):
+    """J8 + J9 + U3 + A28 + A29: figure metrics (means over all metric rows)
+    full-joined with mean latency; one row per model."""
+    pred = predictions(spark, sf)
+    fm = ME.figure_metrics(ME.fold_metrics(pred)).dropDuplicates(["model"])
+    lat = ME.mean_latency(pred).withColumnRenamed("inference_us", "mean_inference_us")
+    joined = fm.join(lat, "model", "full")
+    return joined.select("model", "mean_inference_us", *LOSS_METRICS)
+
+
+@register(
+    "payload_selection",
+    "WITH " + sql_pred() + """,
+sk AS (SELECT stock_id FROM (SELECT stock_id, row_number() OVER (ORDER BY CASE WHEN stock_id = 'stock_0' THEN 0 ELSE 1 END,
+          CAST(regexp_extract(stock_id, '(\\d+)$', 1) AS BIGINT), stock_id) AS r FROM (SELECT DISTINCT stock_id FROM pred)) WHERE r <= 3),
+tk AS (SELECT time_id FROM (SELECT time_id, row_number() OVER (ORDER BY CASE WHEN time_id = 45 THEN 0 ELSE 1 END, time_id) AS r
+          FROM (SELECT DISTINCT time_id FROM pred)) WHERE r <= 20)
+SELECT model, stock_id, time_id, """ + R("pred_vol", "pred_vol") + """ FROM pred
+WHERE stock_id IN (SELECT stock_id FROM sk) AND time_id IN (SELECT time_id FROM tk)""",
+)
+def q_payload_selection(spark, sf):
+    """First 3 stocks (numeric order, stock_0 forced) and first 20
+    windows (window 45 forced) of the forecast table."""
+    p = predictions(spark, sf).select("model", "stock_id", "time_id", "pred_vol")
+    p = CV.first_keys_with_forced(p, "stock_id", 3, "stock_0")
+    return CV.first_keys_with_forced(p, "time_id", 20, 45)

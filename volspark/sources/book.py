@@ -75,18 +75,20 @@ def derived_book(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def read_book(spark: SparkSession, source_dir: str, fmt: str = "csv") -> DataFrame:
-    """One scan over ``stock_*.{csv,parquet}`` in ``source_dir``.
+def read_book(spark: SparkSession, source_dir: str, fmt: str = "csv", partitioned: bool = False) -> DataFrame:
+    """One scan over ``stock_*.{csv,parquet}`` in ``source_dir`` (or,
+    ``partitioned``, over ``stock_id=<name>/`` folders).
 
     Missing columns raise (like the per-file check of the original); the
     ``stock_id`` column is normalised (P15) and, when absent from the file,
-    taken from the file name.
+    taken from the file (or folder) name.
     """
     reader = spark.read
+    path = source_dir if partitioned else f"{source_dir}/stock_*.{fmt}"
     if fmt == "csv":
-        df = reader.option("header", True).option("inferSchema", False).csv(f"{source_dir}/stock_*.csv")
+        df = reader.option("header", True).option("inferSchema", False).csv(path)
     else:
-        df = reader.parquet(f"{source_dir}/stock_*.parquet")
+        df = reader.parquet(path)
     names = set(df.columns)
     file_stock = F.regexp_extract(F.col("_metadata.file_name"), STOCK_FILE_PATTERN, 1)
     if "stock_id" not in names:
@@ -105,8 +107,10 @@ def list_stocks(spark: SparkSession, source_dir: str, fmt: str = "csv") -> DataF
     Uses the file listing only (``binaryFile`` with the content column pruned),
     never the file contents.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"stock_*.{fmt}").load(source_dir)
-    name = F.regexp_extract(F.element_at(F.split(F.col("path"), "/"), -1), STOCK_FILE_PATTERN, 1)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source_dir).select("path")
+    stem = F.regexp_extract(F.element_at(F.split(F.col("path"), "/"), -1), STOCK_FILE_PATTERN, 1)
+    folder = F.regexp_extract(F.col("path"), r"/stock_id=(stock_[^/]+)/", 1)
+    name = F.when(stem != "", stem).otherwise(folder)
     return files.select(name.alias("stock_id")).where(F.col("stock_id") != "").distinct().orderBy("stock_id")
 
 

@@ -34,11 +34,44 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def config_key(cfg: FeatureConfig, source: str) -> str:
-    payload = json.dumps({"source": source, "cfg": cfg.__dict__}, sort_keys=True, default=list)
+def _code_version() -> str:
+    """Hash of the modules that define the feature table, so a stored table
+    is never reused by a different version of the kernel."""
+    import os
+
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1()
+    for rel in ("config.py", "operators/book.py", "operators/features.py", "sources/book.py"):
+        with open(os.path.join(here, rel), "rb") as fh:
+            h.update(fh.read())
+    return h.hexdigest()[:12]
+
+
+def source_stamp(spark: SparkSession, source: str) -> str:
+    """Length and modification time of the source files (cheap listing)."""
+    try:
+        fs, p = _fs(spark, source)
+        stats = fs.listStatus(p)
+        return ",".join(sorted(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}" for st in stats))
+    except Exception:  # noqa: BLE001
+        return ""
+
+
+def config_key(cfg: FeatureConfig, source: str, stamp: str = "", salt: str = "") -> str:
+    payload = json.dumps(
+        {"source": source, "cfg": cfg.__dict__, "code": _code_version(), "stamp": stamp, "salt": salt},
+        sort_keys=True, default=list,
+    )
     return hashlib.sha1(payload.encode()).hexdigest()[:16]
 
 
+def feature_table_path(spark: SparkSession, sf_dir: str, cfg: FeatureConfig = FeatureConfig()) -> str:
+    base = ensure_checkpoint_dir(spark)
+    salt = spark.conf.get("volspark.store.salt", "")
+    key = config_key(cfg, sf_dir, source_stamp(spark, sf_dir), salt)
+    return f"{base.rstrip('/')}/feature_table/{key}"
+
+
 def manifest(features: DataFrame) -> DataFrame:
     """Rows and distinct windows per stock, plus a total row."""
     per = features.groupBy("stock_id").agg(
@@ -104,8 +137,7 @@ def materialized_features(spark: SparkSession, sf_dir: str, build, cfg: FeatureC
     written under the session's shared checkpoint folder, then read back.
     Downstream plans start from the stored table instead of re-running the
     per-second kernel in every branch."""
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/feature_table/{config_key(cfg, sf_dir)}"
+    path = feature_table_path(spark, sf_dir, cfg)
     key = (id(spark), path)
     if key in _MEMO:
         return _MEMO[key]
@@ -150,4 +182,5 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataF
 def melt_benchmarks(wide: DataFrame, id_col: str, value_cols: list[str], name: str = "metric", value: str = "value") -> DataFrame:
     """S17 (re-read side): wide benchmark table -> long ``(id, metric, value)``."""
     pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in value_cols)
-    return wide.selectExpr(id_col, f"stack({len(value_cols)}, {pairs}) AS ({name}, {value})")
+    ids = [c.strip() for c in id_col.split(",")]
+    return wide.selectExpr(*ids, f"stack({len(value_cols)}, {pairs}) AS ({name}, {value})")
