@@ -264,3 +264,48 @@ def stock_pca_map(features: DataFrame, cols: list[str]) -> DataFrame:
     prep, vec, kk, _ = _prepare(filled, keep, k)
     out = prep.transform(filled).select("stock_id", vector_to_array(vec).alias("_v"))
     return out.select("stock_id", *[F.col("_v")[i].alias(f"PC{i + 1}") for i in range(kk)])
+
+
+# Explicit penalty grids for the cross-validated legacy models
+# (the original relied on library default grids).
+LEGACY_LASSO_GRID = (1e-3, 1e-2, 1e-1)
+LEGACY_RIDGE_GRID = (1e-1, 1.0, 10.0)
+
+
+def legacy_zoo(data: DataFrame, feature_cols: list[str], label: str = "log_rv_second", group: str = "cluster"):
+    """M15 (re-aimed): per group (cluster), temporal split on ``split``,
+    fit MLR, cross-validated LASSO / ridge (5-fold ``CrossValidator`` over
+    explicit grids), a depth-6 tree and a 200-tree forest; returns test-set
+    predictions ``(group, model, stock_id, time_id, y_true, y_pred)``."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    assembled = VectorAssembler(inputCols=feature_cols, outputCol="features", handleInvalid="skip").transform(
+        data.withColumn("label", F.col(label))
+    ).persist()
+    groups = [r[0] for r in assembled.select(group).distinct().orderBy(group).collect()]  # few clusters
+    out = []
+    for g in groups:
+        train = assembled.where((F.col(group) == g) & (F.col("split") == "train"))
+        test = assembled.where((F.col(group) == g) & (F.col("split") == "test"))
+        lasso = LinearRegression(elasticNetParam=1.0, maxIter=1000, tol=1e-6)
+        ridge = LinearRegression(elasticNetParam=0.0, solver="normal")
+        ev = RegressionEvaluator(metricName="rmse")
+        models = {
+            "MLR": LinearRegression(solver="normal"),
+            "Lasso": CrossValidator(estimator=lasso, evaluator=ev, numFolds=5, seed=42, parallelism=4,
+                                    estimatorParamMaps=ParamGridBuilder().addGrid(lasso.regParam, list(LEGACY_LASSO_GRID)).build()),
+            "Ridge": CrossValidator(estimator=ridge, evaluator=ev, numFolds=5, seed=42, parallelism=4,
+                                    estimatorParamMaps=ParamGridBuilder().addGrid(ridge.regParam, list(LEGACY_RIDGE_GRID)).build()),
+            "DT": DecisionTreeRegressor(maxDepth=6, seed=42),
+            "RF": RandomForestRegressor(numTrees=200, maxDepth=15, featureSubsetStrategy="onethird", seed=42),
+        }
+        for name, est in models.items():
+            fitted = est.fit(train)
+            out.append(fitted.transform(test).selectExpr(
+                f"{group}", f"'{name}' AS model", "stock_id", "time_id", "label AS y_true", "prediction AS y_pred"
+            ))
+    res = out[0]
+    for o in out[1:]:
+        res = res.unionByName(o)
+    return res

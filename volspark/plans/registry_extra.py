@@ -568,3 +568,13 @@ def q_payload_selection(spark, sf):
     p = predictions(spark, sf).select("model", "stock_id", "time_id", "pred_vol")
     p = CV.first_keys_with_forced(p, "stock_id", 3, "stock_0")
     return CV.first_keys_with_forced(p, "time_id", 20, 45)
+
+
+@register("ml_legacy_zoo", None)
+def q_ml_legacy_zoo(spark, sf):
+    """M15 + M22 + W12: cluster models on the legacy features, temporal split,
+    log-vol RMSE / QLIKE per (cluster, model)."""
+    data = LG.with_lags(LG.window_features(book(spark, sf)))
+    data = FO.temporal_split(data, 0.8).join(labels(data), "stock_id")
+    pred = MO.legacy_zoo(data, LG.FEATURE_COLS)
+    return ME.legacy_losses(pred, ["cluster", "model"], "y_true", "y_pred")
