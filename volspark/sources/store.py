@@ -83,7 +83,8 @@ def manifest(features: DataFrame) -> DataFrame:
     return per.unionByName(total)
 
 
-def write_feature_table(features: DataFrame, path: str, cfg: FeatureConfig = FeatureConfig(), mode: str = "overwrite") -> None:
+def write_feature_table(features: DataFrame, path: str, cfg: FeatureConfig = FeatureConfig(), mode: str = "overwrite",
+                        manifest_path: str | None = None) -> None:
     """S8 + O1: sort within partitions by key and write parquet partitioned
     by ``stock_id``; then the manifest (A41) as JSON.  No range repartition:
     its sampling pass would run the whole upstream plan a second time, and the
@@ -94,7 +95,7 @@ def write_feature_table(features: DataFrame, path: str, cfg: FeatureConfig = Fea
     written = spark.read.parquet(path)
     man = manifest(written).withColumn("created_at_utc", F.lit(datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")))
     man = man.withColumn("config", F.lit(json.dumps(cfg.__dict__, default=list)))
-    man.coalesce(1).write.mode("overwrite").json(path + "_manifest")
+    man.coalesce(1).write.mode("overwrite").json(manifest_path or path + "_manifest")
 
 
 def write_new_stocks(features: DataFrame, path: str) -> None:
@@ -142,7 +143,16 @@ def materialized_features(spark: SparkSession, sf_dir: str, build, cfg: FeatureC
     if key in _MEMO:
         return _MEMO[key]
     if not path_exists(spark, path + "/_SUCCESS"):
-        write_feature_table(build(), path, cfg)
+        # publish atomically: write a private folder, then rename it into
+        # place; if another job published first, its table is used
+        import uuid
+
+        tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
+        write_feature_table(build(), tmp, cfg, manifest_path=f"{tmp}/_manifest")
+        fs, _ = _fs(spark, path)
+        jvm = spark.sparkContext._jvm
+        if not fs.exists(jvm.org.apache.hadoop.fs.Path(path)):
+            fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), jvm.org.apache.hadoop.fs.Path(path))
     df = spark.read.parquet(path).select("stock_id", "time_id", "target_var", "target_vol", *feature_columns(cfg))
     _MEMO[key] = df
     return df
