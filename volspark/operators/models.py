@@ -212,19 +212,30 @@ def choose_columns(spec: ModelSpec, available: list[str], mode: str, manual=())
     return available
 
 
-def run_models(features_with_fold: DataFrame, specs, cols: list[str], mode: str = "PCA", n_pca: int = 12):
-    """Every (fold, model) pair; returns (predictions, importance)."""
+def run_models(features_with_fold: DataFrame, specs, cols: list[str], mode: str = "PCA", n_pca: int = 12,
+               parallelism: int = 4):
+    """Every (fold, model) pair; returns (predictions, importance).
+
+    The (fold, model) fits are independent Spark jobs; like MLlib's
+    ``CrossValidator(parallelism=...)`` they are submitted from a few driver
+    threads so small fits do not queue behind each other."""
+    from concurrent.futures import ThreadPoolExecutor
+
     data = features_with_fold.persist()
     folds = [r[0] for r in data.select("fold").distinct().orderBy("fold").collect()]  # <= n_folds rows
-    preds, imps = [], []
+    tasks = []
     for fold in folds:
         for spec in specs:
             use = choose_columns(spec, cols, mode)
             k = (spec.n_pca_components or n_pca) if (spec.feature_mode or mode) == "PCA" else None
-            p, i = fit_predict_fold(data, spec, use, fold, k)
-            preds.append(p)
-            if i is not None:
-                imps.append(i)
+            tasks.append((spec, use, fold, k))
+    with ThreadPoolExecutor(max_workers=max(1, int(parallelism))) as pool:
+        results = list(pool.map(lambda t: fit_predict_fold(data, t[0], t[1], t[2], t[3]), tasks))
+    preds, imps = [], []
+    for p, i in results:
+        preds.append(p)
+        if i is not None:
+            imps.append(i)
     pred = preds[0]
     for p in preds[1:]:
         pred = pred.unionByName(p)

@@ -391,6 +391,7 @@ def q_cluster_loss_quartiles(spark, sf):
 # ---------------------------------------------------------------- storage
 from ..session import ensure_checkpoint_dir  # noqa: E402
 from ..sources import store as ST  # noqa: E402
+from ..config import feature_columns  # noqa: E402
 from .queries import features, sql_features  # noqa: E402
 
 
@@ -441,7 +442,12 @@ def q_run_artifacts(spark, sf):
     return ST.run_catalogue(spark, base)
 
 
-@register("resume_build", None)
+@register(
+    "resume_build",
+    "WITH " + sql_features() + """
+SELECT stock_id, count(*) AS n_rows, count(DISTINCT time_id) AS n_windows FROM feat GROUP BY stock_id
+UNION ALL SELECT '__all__', count(*), count(DISTINCT time_id) FROM feat""",
+)
 def q_resume_build(spark, sf):
     """Build stocks in two passes; the second pass appends only the
     stocks that are not in the table yet."""
@@ -454,7 +460,11 @@ def q_resume_build(spark, sf):
     return ST.manifest(spark.read.parquet(path))
 
 
-@register("streaming_feature_build", None)
+@register(
+    "streaming_feature_build",
+    "WITH " + sql_features() + "\nSELECT stock_id, time_id, " + R("target_var", "target_var") + ", "
+    + R("target_vol", "target_vol") + ", " + ", ".join(R(c, c) for c in feature_columns(CFG)) + " FROM feat",
+)
 def q_streaming_feature_build(spark, sf):
     """Structured Streaming form of the feature build: the derived book is
     written as one parquet file per stock, read back as a file stream and
