@@ -1,12 +1,15 @@
-"""Session helpers: a local session for tests/bench and checkpoint handling."""
+"""Session helpers: a local session for tests/bench and shared scratch space."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL_SCRATCH: list[str] = []
+
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str = "volspark") -> SparkSession:
     """A local session configured like the cluster one (AQE on, UTC, no UI)."""
@@ -29,26 +32,40 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared folder and is used as is.  Only
-    when it is unset (tests, local runs) a scratch folder is created here.
+    Only a single-process ``local`` master, where the driver is the executor,
+    may do without the setting (one scratch folder per Python process then).
+    On a cluster a missing setting is an error: a machine-local folder would
+    be a different folder on every node.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    path = tempfile.mkdtemp(prefix="volspark-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
+        return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH.append(tempfile.mkdtemp(prefix="volspark-"))
+    return _LOCAL_SCRATCH[0]
+
+
+def scratch_path(spark: SparkSession, prefix: str) -> str:
+    """A new, not yet existing folder name under the shared folder."""
+    return f"{shared_dir(spark)}/{prefix}-{uuid.uuid4().hex}"
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Set the context's checkpoint folder to the shared one and return it."""
+    path = shared_dir(spark)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss); never a local one."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder as Parquet and read it back: later
+    plans start from the files, which outlive any executor."""
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
