@@ -57,7 +57,10 @@ class DigestIndex:
     def append(self, digests: DataFrame) -> None:
         """Add the digests of ``(doc_id, text_sha256)`` that are not indexed yet."""
         groups = digests.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        new = groups.join(self.table().select("text_sha256").hint("merge"), "text_sha256", "left_anti")
+        # An anti join, as an outer join and a null test: Catalyst would push a
+        # left_anti below the aggregation and shuffle every copy of a hot text.
+        known = self.table().select("text_sha256", F.lit(True).alias("known"))
+        new = groups.join(known.hint("merge"), "text_sha256", "left").filter(F.col("known").isNull())
         new.select("text_sha256", "keep_id", "group_size").write.insertInto(self.name)
         self.spark.catalog.refreshTable(self.name)
 
