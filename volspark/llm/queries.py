@@ -5,10 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from volspark.llm import exact_dedup
+from volspark.llm import exact_dedup, packing, topk_search
 from volspark.llm.common import table
 
+#: The vocabulary that op5 is asked for; its path is a parameter of the operator.
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -36,3 +44,27 @@ def query(name: str, sql: str | None = None):
 )
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents"), exact_dedup.new_index(spark))
+
+
+@query(
+    "op4_exact_topk",
+    """
+    WITH v AS (
+        SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS q
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    s AS (
+        SELECT a.vec_id AS query_id, b.vec_id,
+               list_sum([z[1] * z[2] FOR z IN list_zip(a.q, b.q)])::BIGINT AS score
+        FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+)
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+@query("op5_best_fit_packing")
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048)
