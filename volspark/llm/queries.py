@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volspark.llm import exact_dedup, packing, topk_search
-from volspark.llm.common import table
+from volspark.llm import exact_dedup, langid, packing, quality, topk_search
+from volspark.llm.common import fold, table
+from volspark.session import cut_lineage
 
 #: The vocabulary that op5 is asked for; its path is a parameter of the operator.
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -68,3 +69,17 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_best_fit_packing")
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048)
+
+
+@query("op6_quality_trees")
+def op6_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = cut_lineage(quality.features(table(spark, sf_dir, "documents")))
+    model = quality.train(stats, table(spark, sf_dir, "labels"), "quality")
+    return quality.score(stats, model).select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op10_language_mixture")
+def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", (fold(F.col("doc_id"), 4) == 2).alias("held_out"))
+    model = langid.MixtureModel.fit(langid.count_by_language(docs.filter(~F.col("held_out"))))
+    return langid.identify(docs, model)
