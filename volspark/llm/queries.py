@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volspark.llm import exact_dedup, langid, packing, quality, topk_search
+from volspark.llm import exact_dedup, langid, packing, quality, topk_search, toxicity
 from volspark.llm.common import fold, table
 from volspark.session import cut_lineage
 
@@ -83,3 +83,9 @@ def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", (fold(F.col("doc_id"), 4) == 2).alias("held_out"))
     model = langid.MixtureModel.fit(langid.count_by_language(docs.filter(~F.col("held_out"))))
     return langid.identify(docs, model)
+
+
+@query("op1_toxicity_neighbours")
+def op1_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "vote", "neighbours")
