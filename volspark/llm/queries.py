@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volspark.llm import exact_dedup, langid, packing, quality, topk_search, toxicity
+from volspark.llm import exact_dedup, hmm, langid, packing, quality, topk_search, toxicity
 from volspark.llm.common import fold, table
 from volspark.session import cut_lineage
 
@@ -89,3 +89,8 @@ def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "vote", "neighbours")
+
+
+@query("op2_hidden_markov_lm")
+def op2_hidden_markov_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"))
