@@ -16,10 +16,8 @@ an id may repeat (each row is packed); null ids stay null.
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,76 +27,104 @@ from pyspark.sql import functions as F
 from volspark.llm.common import texts_of
 from volspark.session import cut_lineage
 
-#: A run of letters at the start of a word, if what follows cannot join or
-#: change it (the tokenizer composes combining marks and knows contractions).
-LETTERS = re.compile(r"[^\W\d_]++(?=[!-&(-~]|$)")
+#: ASCII punctuation that, after a letter or digit, begins a token of its own
+#: (not the apostrophe, which begins a contraction).
+TAIL = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+
+
+class _Table(dict):
+    """Word -> number; a word that is asked for first is numbered and noted."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        i = self[word] = len(self)
+        self.new.append(word)
+        return i
 
 
 class WordEncoder:
-    """Ids of whole texts from a tokenizer that drops white space, so that a
-    text's ids are those of its words in turn; words are encoded once and kept
-    in a table that is emptied when it holds ``max_words``."""
+    """Ids of whole texts from a tokenizer that drops white space and case, so
+    that a text's ids are those of its words in turn; each word is encoded
+    once and kept in a table that is emptied when it holds ``max_words``."""
 
-    def __init__(self, path: str, max_words: int = 400_000):
+    def __init__(self, path: str, max_words: int = 1_600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.max_words = Tokenizer.from_file(path), max_words
-        self.clear()
+        self._clear()
 
-    def clear(self) -> None:
-        self.words: dict[bytes, int] = {}
-        self.units: dict[str, list[int]] = {}
+    def _clear(self) -> None:
+        self.words = _Table()
         self.flat, self.ends = array("i"), array("q", [0])
 
-    def _learn(self, words: list[bytes]) -> None:
-        split, unknown = [], {}
-        for w in words:
-            s = w.decode()
-            m = LETTERS.match(s)
-            parts = (s,) if m is None or m.end() == len(s) else (s[: m.end()], s[m.end() :])
-            split.append(parts)
-            for p in parts:
-                if p not in self.units:
-                    unknown[p] = None
-        new = list(unknown)
-        for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.units[p] = e.ids
-        for w, parts in zip(words, split):
-            for p in parts:
-                self.flat.extend(self.units[p])
-            self.words[w] = len(self.ends) - 1
+    @staticmethod
+    def _split(word: bytes) -> tuple[bytes, bytes] | None:
+        """Core and trailing punctuation, if the tokenizer splits there too."""
+        core = word.rstrip(TAIL)
+        if not core or len(core) == len(word):
+            return None
+        last = core[-1:]
+        ends_word = last.isalnum() if last < b"\x80" else core.decode()[-1].lower()[-1].isalpha()
+        return (core, word[len(core) :]) if ends_word else None
+
+    def _learn(self) -> None:
+        words, first = self.words, len(self.ends) - 1
+        parts: list[tuple[int, int] | None] = []
+        while len(parts) < len(words.new):  # cores and tails may be new words too
+            split = self._split(words.new[len(parts)])
+            parts.append(split and (words[split[0]], words[split[1]]))
+        plain = [w.decode() for w, p in zip(words.new, parts) if p is None]
+        encoded = iter(self.tokenizer.encode_batch(plain, add_special_tokens=False))
+        ids = [next(encoded).ids if p is None else None for p in parts]
+        for p, own in zip(parts, ids):
+            if p is None:
+                self.flat.extend(own)
+            else:
+                for i in p:
+                    self.flat.extend(ids[i - first] if i >= first else self.flat[self.ends[i] : self.ends[i + 1]])
             self.ends.append(len(self.flat))
+        words.new = []
+
+    def encode(self, text: bytes) -> np.ndarray:
+        """The text's ids and then the separator, id 0."""
+        if b"<|" in text:  # perhaps a special token: case and neighbours count
+            return np.array([*self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, 0], np.uint32)
+        if len(self.words) > self.max_words:
+            self._clear()
+        words = text.lower().split()
+        at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        if self.words.new:
+            self._learn()
+        ends, flat = np.frombuffer(self.ends, np.int64), np.frombuffer(self.flat, np.int32)
+        first, n = ends[at], ends[at + 1] - ends[at]
+        out = np.zeros(int(n.sum()) + 1, np.uint32)
+        if len(out) > 1:
+            out[:-1] = flat[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(len(out) - 1)]
+        return out
+
+
+#: One encoder per tokenizer file and Python worker; workers serve many tasks.
+_ENCODERS: dict[str, WordEncoder] = {}
+
 
-    def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        for text in texts:
-            words = text.split()
-            known = self.words
-            missing = list(dict.fromkeys(w for w in words if w not in known))
-            if missing:
-                if len(known) + len(missing) > self.max_words and known:
-                    self.clear()
-                    missing, known = list(dict.fromkeys(words)), self.words
-                self._learn(missing)
-            at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-            ends, flat = np.frombuffer(self.ends, np.int64), np.frombuffer(self.flat, np.int32)
-            first, n = ends[at], ends[at + 1] - ends[at]
-            out = np.zeros(int(n.sum()) + 1, np.uint32)  # the separator, id 0, ends it
-            if len(out) > 1:
-                skip = np.cumsum(n) - n
-                out[:-1] = flat[np.repeat(first - skip, n) + np.arange(len(out) - 1)]
-            del ends, flat  # the arrays cannot grow while they are viewed
-            yield out
+def encoder_for(path: str) -> WordEncoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
 
 
 def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: pieces of at most ``capacity`` ids."""
 
     def run(batches):
-        encoder = WordEncoder(tokenizer_path)
+        encoder = encoder_for(tokenizer_path)
         for b in batches:
-            ids = b.column("doc_id").to_pylist()
             rows = []
-            for doc, tokens in zip(ids, encoder.encode(b.column("text").cast(pa.binary()).to_pylist())):
+            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist()):
+                tokens = encoder.encode(text)
                 for piece, start in enumerate(range(0, len(tokens), capacity)):
                     part = tokens[start : start + capacity]
                     rows.append((doc, piece, start, len(part), zlib.crc32(part.astype("<u4").tobytes())))
@@ -154,7 +180,7 @@ def minimum_bin_slack(histogram: dict[int, int], capacity: int) -> list[tuple[di
     return out
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, salts: int = 256) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, salts: int = 64) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
     spark = docs.sparkSession
     pieces = cut_lineage(pieces_of(docs, tokenizer_path, capacity))
