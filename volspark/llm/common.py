@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,3 +29,37 @@ def texts_of(docs: DataFrame) -> DataFrame:
     """The two columns every text operator works on; a null text is empty.
     Taking only these keeps further columns, whatever their names, out."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+
+
+#: Arrays that tasks add up travel in chunks of this many numbers.
+CHUNK = 8192
+PARTS = "chunk int, task int, values array<double>"
+
+
+def array_parts(values: np.ndarray, task: int):
+    """Arrow batches of schema PARTS that hold ``values``."""
+    for c in range(0, len(values), CHUNK):
+        yield pa.RecordBatch.from_arrays([pa.array([c // CHUNK], pa.int32()), pa.array([task], pa.int32()), pa.array([values[c : c + CHUNK].astype(float)], pa.list_(pa.float64()))], names=["chunk", "task", "values"])
+
+
+def add_arrays(parts: DataFrame, fan: int = 64) -> DataFrame:
+    """Sums ``values`` by ``chunk`` over ``task``, in two rounds."""
+
+    def add(t: pa.Table) -> pa.Table:
+        total = np.sum([np.asarray(v) for v in t["values"].to_numpy()], axis=0)
+        return pa.table({"chunk": pa.array([t["chunk"][0].as_py()], pa.int32()), "task": pa.array([t["task"][0].as_py()], pa.int32()), "values": pa.array([total], pa.list_(pa.float64()))})
+
+    some = parts.withColumn("task", F.pmod("task", F.lit(fan)).cast("int")).groupBy("chunk", "task").applyInArrow(add, PARTS)
+    return some.withColumn("task", F.lit(0)).groupBy("chunk", "task").applyInArrow(add, PARTS)
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, most: int = 1000) -> DataFrame:
+    """``rows`` joined to ``groups`` (one row per ``key``, with the number of
+    rows of the key in ``size``).  Keys that hold 1 / ``most`` of the ``total``
+    rows or more -- so at most ``most`` keys -- are joined by broadcast, the
+    others by a shuffle in which no key is hot.  Both inputs are read twice."""
+    hot = groups.filter(F.col(size) * most >= max(total, 1))
+    marked = rows.join(F.broadcast(hot), key, "left")
+    is_hot = F.col(size).isNotNull()
+    cold = marked.filter(~is_hot).select(*rows.columns).join(groups, key)
+    return marked.filter(is_hot).unionByName(cold)

@@ -31,11 +31,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from volspark.llm.common import fold, texts_of
+from volspark.llm.common import PARTS, add_arrays, array_parts, fold, texts_of
 from volspark.session import cut_lineage
 
 END = b""  # no word is empty
-CHUNK = 8192
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -184,18 +183,6 @@ class HiddenMarkov:
         return float(np.log(scale.astype(np.float64)).sum())
 
 
-def add_arrays(parts: DataFrame, fan: int = 64) -> DataFrame:
-    """Sums ``values`` by ``chunk`` over ``task``, in two rounds."""
-
-    def add(t: pa.Table) -> pa.Table:
-        total = np.sum([np.asarray(v) for v in t["values"].to_numpy()], axis=0)
-        return pa.table({"chunk": pa.array([t["chunk"][0].as_py()], pa.int32()), "task": pa.array([t["task"][0].as_py()], pa.int32()), "values": pa.array([total], pa.list_(pa.float64()))})
-
-    schema = "chunk int, task int, values array<double>"
-    some = parts.withColumn("task", F.pmod("task", F.lit(fan)).cast("int")).groupBy("chunk", "task").applyInArrow(add, schema)
-    return some.withColumn("task", F.lit(0)).groupBy("chunk", "task").applyInArrow(add, schema)
-
-
 def baum_welch(encoded: DataFrame, model: HiddenMarkov, prior: np.ndarray, rounds: int, segment: int, batch_tokens: int = 1_000_000) -> tuple[HiddenMarkov, list[float]]:
     """``rounds`` of re-estimation over all rows of ``encoded``; ``prior`` holds
     pseudo-counts per symbol.  Returns the model and each round's log likelihood."""
@@ -218,10 +205,9 @@ def baum_welch(encoded: DataFrame, model: HiddenMarkov, prior: np.ndarray, round
                         like += model.expected(flat, s[i:j], n[i:j], into)
             every = np.concatenate([[like], into[0], into[1].ravel(), into[2].ravel()])
             task = TaskContext.get().partitionId()
-            for c in range(0, len(every), CHUNK):
-                yield pa.RecordBatch.from_arrays([pa.array([c // CHUNK], pa.int32()), pa.array([task], pa.int32()), pa.array([every[c : c + CHUNK]], pa.list_(pa.float64()))], names=["chunk", "task", "values"])
+            yield from array_parts(every, task)
 
-        sums = add_arrays(encoded.select("ids").mapInArrow(run, "chunk int, task int, values array<double>")).collect()
+        sums = add_arrays(encoded.select("ids").mapInArrow(run, PARTS)).collect()
         if not sums:
             break
         every = np.concatenate([r["values"] for r in sorted(sums, key=lambda r: r.chunk)])

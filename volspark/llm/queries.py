@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volspark.llm import exact_dedup, hmm, langid, packing, pii, quality, topk_search, toxicity
+from volspark.llm import exact_dedup, hmm, jaccard_join, langid, packing, pii, quality, topk_search, toxicity
 from volspark.llm.common import fold, table
 from volspark.session import cut_lineage
 
@@ -99,3 +99,8 @@ def op2_hidden_markov_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_pii_weak_supervision")
 def op7_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
+
+
+@query("op3_jaccard_rtree")
+def op3_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.group(table(spark, sf_dir, "documents"))
