@@ -30,10 +30,11 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from volspark.llm.common import fold, texts_of
+from volspark.llm.common import PARTS, add_arrays, array_parts, fold, texts_of
 from volspark.session import cut_lineage
 
 WORD = re.compile(rb"[a-z\x80-\xff]+")
@@ -123,6 +124,19 @@ def vectors_of(texts: DataFrame, vocabulary: Iterable[bytes]) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, terms array<int>, counts array<int>")
 
 
+def document_frequencies(vectors: DataFrame, size: int) -> np.ndarray:
+    """In how many rows each of the ``size`` terms occurs."""
+
+    def run(batches):
+        total = np.zeros(max(1, size))
+        for b in batches:
+            total += np.bincount(b.column("terms").flatten().to_numpy(), minlength=max(1, size))
+        yield from array_parts(total, TaskContext.get().partitionId())
+
+    parts = add_arrays(vectors.select("terms").mapInArrow(run, PARTS)).collect()
+    return np.concatenate([r["values"] for r in sorted(parts, key=lambda r: r.chunk)])[:size] if parts else np.zeros(size)
+
+
 class BlockMaxIndex:
     """Inverted index over unit vectors, in blocks of consecutive examples."""
 
@@ -224,9 +238,7 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out_mod
     terms = choose_terms(texts, for_index, vocabulary)
     vectors = cut_lineage(vectors_of(texts, terms))
     n = vectors.count()
-    df = np.zeros(len(terms))
-    for r in vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect():
-        df[r.t] = r.n
+    df = document_frequencies(vectors, len(terms))
     idf = (np.log((n + 1) / (df + 1)) + 1) * np.array(list(terms.values()))
     rows = vectors.join(F.broadcast(for_index), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
     prior = float(np.mean([r.y for r in rows])) if rows else 0.0
