@@ -1,9 +1,9 @@
 """Quality classifier: histogram gradient-boosted trees over text statistics.
 
-One pass over the texts computes the statistics of every document (an Arrow
-map); they are written once and both learning and scoring read them.  The trees
-are fitted on at most ``max_rows`` labelled rows (drawn by a hash of the id; a
-parameter, so what reaches the driver is ``max_rows`` x 20 numbers) and are
+The trees are fitted on at most ``max_rows`` labelled rows (drawn by a hash of
+the id; a parameter, so what reaches the driver is ``max_rows`` x 20 numbers),
+whose ids are broadcast to pick their texts.  One pass over all whole texts
+then computes the statistics and the score of every document: the trees are
 flattened into arrays, over which a batch of rows is moved level by level.
 
 Defined results: a null text is empty; an id with several labels has their
@@ -61,15 +61,9 @@ def _is_word_byte(b: int) -> bool:
     return _CLASS[b] in (0, 1, 2, 7)
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """``doc_id, x`` with x the statistics in the order of FEATURES."""
-
-    def run(batches):
-        for b in batches:
-            x = [statistics(t) for t in b.column("text").cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "x"])
-
-    return texts_of(docs).mapInArrow(run, "doc_id long, x array<double>")
+def matrix(texts: pa.Array) -> np.ndarray:
+    """Statistics of an Arrow column of texts; null is empty."""
+    return np.array([statistics(t or b"") for t in texts.cast(pa.binary()).to_pylist()], dtype=float).reshape(len(texts), len(FEATURES))
 
 
 class BoostedTrees:
@@ -157,26 +151,45 @@ class BoostedTrees:
         return 1 / (1 + np.exp(-(self.base + self.value[at].sum(axis=1))))
 
 
-def train(stats: DataFrame, labels: DataFrame, label: str, held_out_mod: int = 5, held_out: int = 0, max_rows: int = 40_000) -> BoostedTrees | None:
+def train(docs: DataFrame, labels: DataFrame, label: str, held_out_mod: int = 5, held_out: int = 0, max_rows: int = 40_000) -> BoostedTrees | None:
     """Fit on the labelled rows outside the held-out fold, at most ``max_rows``."""
     known = (
         labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), held_out_mod) != held_out))
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.avg(F.col(label).cast("double")).alias("y"))
     )
     drawn = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    rows = stats.join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
-    if not len(rows):
-        return None
-    return BoostedTrees.fit(np.stack(rows["x"].to_numpy()), rows["y"].to_numpy())
+
+    def run(batches):
+        for b in batches:
+            x = matrix(b.column("text"))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
+
+    rows = texts_of(docs).join(F.broadcast(drawn), "doc_id").mapInArrow(run, "doc_id long, y double, x array<double>")
+    got = rows.toPandas().sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
+    return BoostedTrees.fit(np.stack(got["x"].to_numpy()), got["y"].to_numpy(float)) if len(got) else None
+
+
+def probabilities(texts: pa.Array, model: BoostedTrees | None, step: int = 2000) -> np.ndarray:
+    if model is None:
+        return np.full(len(texts), 0.5)
+    return np.concatenate([np.zeros(0), *(model.probability(matrix(texts[i : i + step])) for i in range(0, len(texts), step))])
+
+
+def score(docs: DataFrame, model: BoostedTrees | None) -> DataFrame:
+    """``doc_id, score`` of every row of ``docs``."""
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(probabilities(b.column("text"), model), pa.float64())], names=["doc_id", "score"])
+
+    return texts_of(docs).mapInArrow(run, "doc_id long, score double")
 
 
-def score(stats: DataFrame, model: BoostedTrees | None) -> DataFrame:
-    """``doc_id, score`` of every row of ``stats``."""
+def keep(docs: DataFrame, model: BoostedTrees | None, least: float) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is ``least`` or more."""
 
     def run(batches):
         for b in batches:
-            x = np.array(b.column("x").to_pylist(), dtype=float).reshape(b.num_rows, -1)
-            parts = [model.probability(x[i : i + 2000]) for i in range(0, len(x), 2000)] if model is not None else [np.full(len(x), 0.5)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())], names=["doc_id", "score"])
+            yield b.filter(pa.array(probabilities(b.column("text"), model) >= least))
 
-    return stats.mapInArrow(run, "doc_id long, score double")
+    return docs.mapInArrow(run, docs.schema)

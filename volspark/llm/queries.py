@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from volspark.llm import exact_dedup, hmm, jaccard_join, langid, packing, pii, quality, topk_search, toxicity
 from volspark.llm.common import fold, table
-from volspark.session import cut_lineage
 
 #: The vocabulary that op5 is asked for; its path is a parameter of the operator.
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -73,9 +72,9 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_quality_trees")
 def op6_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = cut_lineage(quality.features(table(spark, sf_dir, "documents")))
-    model = quality.train(stats, table(spark, sf_dir, "labels"), "quality")
-    return quality.score(stats, model).select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), "quality")
+    return quality.score(docs, model).select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 @query("op10_language_mixture")
