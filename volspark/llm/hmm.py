@@ -67,6 +67,25 @@ def count_tokens(docs: DataFrame, flush: int = 400_000) -> DataFrame:
     return docs.select("text", "held_out").mapInArrow(run, "word binary, c long, n long").groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
 
 
+def most_frequent(counts: DataFrame, size: int) -> list[tuple[bytes, int]]:
+    """``(word, c)`` of at most ``size`` words, the most frequent in all texts:
+    those above a threshold that a coarse histogram of frequencies gives, so
+    that no more than ``size`` rows reach the driver."""
+    steps = F.floor(F.log2("n") * 32).cast("int")
+    sizes = {r.s: r.k for r in counts.groupBy(steps.alias("s")).agg(F.count(F.lit(1)).alias("k")).collect()}
+    least, held = None, 0
+    for s in sorted(sizes, reverse=True):
+        held += sizes[s]
+        if held > size:
+            break
+        least = s
+    if least is None:
+        return []
+    got = counts.filter(steps >= least).toArrow()
+    rows = sorted(zip(got["n"].to_pylist(), got["word"].to_pylist(), got["c"].to_pylist()), key=lambda r: (-r[0], r[1]))
+    return [(word, c) for _, word, c in rows]
+
+
 def encode(docs: DataFrame, head: list[tuple[bytes, int]], emission_words: int) -> DataFrame:
     """One row per text: ids of its tokens (``emission_words``, or as many as
     there are: the rest class), sums over its head words, and its other words.
@@ -222,7 +241,7 @@ def score(docs: DataFrame, held_out_mod: int = 5, held_out: int = 1, states: int
     texts = texts_of(docs).withColumn("held_out", fold(F.col("doc_id"), held_out_mod) == held_out)
     counts = cut_lineage(count_tokens(texts))
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
-    head = [(bytes(r.word), r.c) for r in counts.orderBy(F.desc("n"), "word").limit(head_words).collect()]
+    head = most_frequent(counts, head_words)
     encoded = cut_lineage(encode(texts, head, emission_words))
 
     # symbols: the emitted words, then the class of all the rest
@@ -241,9 +260,8 @@ def score(docs: DataFrame, held_out_mod: int = 5, held_out: int = 1, states: int
     emit[is_unseen] = emit[rest] * (0.5 / rest_mass)
     scorer = HiddenMarkov(model.start, model.step, emit)
 
-    others = encoded.select("key", F.explode("others").alias("word")).groupBy("key", "word").agg(F.count(F.lit(1)).alias("k"))
-    looked = others.join(counts.select("word", "c"), "word", "left")
-    per_text = looked.groupBy("key").agg(F.sum(F.col("k") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5))).alias("more_logs"), F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("more_known"))
+    looked = encoded.select("key", F.explode("others").alias("word")).join(counts.select("word", "c"), "word", "left")
+    per_text = looked.groupBy("key").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5))).alias("more_logs"), F.sum(F.when(F.col("c") > 0, 1).otherwise(0)).alias("more_known"))
 
     def run(batches):
         for b in batches:
