@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volspark.llm import exact_dedup, hmm, jaccard_join, langid, packing, pii, quality, topk_search, toxicity
+from volspark.llm import exact_dedup, hmm, jaccard_join, langid, packing, pii, quality, sentencepiece_sampling, topk_search, toxicity
 from volspark.llm.common import fold, table
 
-#: The vocabulary that op5 is asked for; its path is a parameter of the operator.
+#: Public vocabularies; their path is a parameter of the operators.
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -103,3 +103,8 @@ def op7_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_jaccard_rtree")
 def op3_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.group(table(spark, sf_dir, "documents"))
+
+
+@query("op8_sentencepiece_sampling")
+def op8_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_sampling.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
