@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import zlib
 from array import array
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -95,7 +96,8 @@ class WordEncoder:
         if len(self.words) > self.max_words:
             self._clear()
         words = text.lower().split()
-        at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        # one call for all words; the separate last one makes it a sequence
+        at = np.array(itemgetter(*words, words[-1])(self.words)[:-1], np.int64) if words else np.zeros(0, np.int64)
         if self.words.new:
             self._learn()
         ends, flat = np.frombuffer(self.ends, np.int64), np.frombuffer(self.flat, np.int32)
