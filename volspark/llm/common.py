@@ -31,6 +31,14 @@ def texts_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def small(batches, rows: int = 500):
+    """The Arrow batches in slices, so that a worker turns few texts at a time
+    into Python objects."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 #: Arrays that tasks add up travel in chunks of this many numbers.
 CHUNK = 8192
 PARTS = "chunk int, task int, values array<double>"

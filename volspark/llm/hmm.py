@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from volspark.llm.common import PARTS, add_arrays, array_parts, fold, texts_of
+from volspark.llm.common import PARTS, add_arrays, array_parts, fold, small, texts_of
 from volspark.session import cut_lineage
 
 END = b""  # no word is empty
@@ -54,7 +54,7 @@ def count_tokens(docs: DataFrame, flush: int = 400_000) -> DataFrame:
             n = [a + kept[w] for a, w in zip(c, words)]
             return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(c, pa.int64()), pa.array(n, pa.int64())], names=["word", "c", "n"])
 
-        for b in batches:
+        for b in small(batches):
             for text, held in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("held_out").to_pylist()):
                 into = kept if held else seen
                 into.update(words_of(text))
@@ -98,7 +98,7 @@ def encode(docs: DataFrame, head: list[tuple[bytes, int]], emission_words: int)
     def run(batches):
         part, row = TaskContext.get().partitionId(), 0
         far = len(head)
-        for b in batches:
+        for b in small(batches):
             keys, ids, in_model, in_rest, n_known, n_rest, others = [], [], [], [], [], [], []
             for text in b.column("text").cast(pa.binary()).to_pylist():
                 words = words_of(text)
@@ -139,7 +139,8 @@ class HiddenMarkov:
     @staticmethod
     def initial(unigram: np.ndarray, states: int, seed: int = 7, stay: float = 0.9) -> "HiddenMarkov":
         rng = np.random.default_rng(seed)
-        emit = unigram[:, None] * np.exp(rng.normal(0, 1.0, (len(unigram), states)))
+        noise = rng.normal(0, 1.0, (len(unigram), states)) if states > 1 else np.zeros((len(unigram), 1))
+        emit = unigram[:, None] * np.exp(noise)
         step = np.full((states, states), (1 - stay) / max(1, states - 1))
         np.fill_diagonal(step, stay if states > 1 else 1.0)
         return HiddenMarkov(np.full(states, 1 / states), step, emit / emit.sum(axis=0))

@@ -15,12 +15,13 @@ shingle is a cell with a tree of its own.  Cells of frequent shingles are split
 by salt.  Nothing is dropped: the result is exact up to collisions of 64-bit
 shingle hashes within a pair.
 
-Steps: 1. set sizes, digests and the frequency sketch; 2. cells with two or
-more documents; 3. points and sets of their documents; 4. neighbours in the
-leaf order of each tree are verified and joined into components, so a group of
-M near copies costs about M pairs; 5. in cells that still hold several
-components all pairs between components go through the tree; survivors are
-verified.  Documents with equal sets are one point throughout.
+Steps: 1. set sizes, digests, points and the frequency sketch; 2. cells with
+two or more documents, one for each set of documents; 3. neighbours in the leaf
+order of each tree are verified and joined into components, so a group of M
+near copies costs about M pairs; 4. in cells that still hold several components
+all pairs between components go through the tree; survivors are verified.
+Pairs are tested with a finer point before their sets are made.  Documents with
+equal sets are one point throughout.
 
 Defined results: null or empty texts and texts without words have an empty set
 and link with nothing; fewer than five words are one shingle; rows with a null
@@ -39,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from volspark.llm.common import PARTS, add_arrays, array_parts, join_groups, texts_of
+from volspark.llm.common import PARTS, add_arrays, array_parts, join_groups, small, texts_of
 from volspark.session import cut_lineage
 
 WORDS = 5
@@ -70,8 +71,23 @@ def shingles(text: bytes) -> np.ndarray:
     return np.unique(out ^ (out >> np.uint64(30)))
 
 
-def point(s: np.ndarray) -> np.ndarray:
-    return np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+def point(s: np.ndarray, groups: int = GROUPS) -> np.ndarray:
+    return np.bincount((s & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+
+
+def packed(counts: np.ndarray, kind) -> bytes:
+    """Counts in a small integer type, whose largest value means 'unbounded'."""
+    return np.minimum(counts, np.iinfo(kind).max).astype(kind).tobytes()
+
+
+def unpacked(blob: bytes, kind) -> np.ndarray:
+    x = np.frombuffer(blob, kind)
+    return np.where(x == np.iinfo(kind).max, 1 << 40, x.astype(np.int64))
+
+
+def fine_groups(n: int) -> int:
+    """Groups of the second, finer point of a set: two to four members each."""
+    return max(GROUPS, 1 << max(0, (n // 2).bit_length() - 1))
 
 
 def enough(shared, a, b):
@@ -80,33 +96,35 @@ def enough(shared, a, b):
 
 
 def sets_and_sketch(texts: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """``doc_id, n, set_key`` of each text, and counts of all sets' shingles by
-    the upper SKETCH_BITS of their hash."""
+    """``doc_id, n, set_key`` and two points (coarse and fine) of each text, and
+    counts of all sets' shingles by the upper SKETCH_BITS of their hash."""
 
     def run(batches):
         total = np.zeros(1 << SKETCH_BITS, np.int64)
-        for b in batches:
-            n, keys, slots = [], [], [np.zeros(0, np.int64)]
+        for b in small(batches):
+            n, keys, coarse, fine, slots = [], [], [], [], [np.zeros(0, np.int64)]
             for t in b.column("text").cast(pa.binary()).to_pylist():
                 s = shingles(t)
                 n.append(len(s))
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest())
+                coarse.append(packed(point(s), np.uint16))
+                fine.append(packed(point(s, fine_groups(len(s))), np.uint8))
                 slots.append((s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
                 if len(slots) == 1000:
                     total += np.bincount(np.concatenate(slots), minlength=1 << SKETCH_BITS)
                     slots = slots[:1]
             total += np.bincount(np.concatenate(slots), minlength=1 << SKETCH_BITS)
             none = [None] * len(n)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.string()), pa.array(none, pa.int32()), pa.array(none, pa.int32()), pa.array(none, pa.list_(pa.float64()))], names=names)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.string()), pa.array(coarse, pa.binary()), pa.array(fine, pa.binary()), pa.array(none, pa.int32()), pa.array(none, pa.int32()), pa.array(none, pa.list_(pa.float64()))], names=names)
         for part in array_parts(total, TaskContext.get().partitionId()):
             none = [None] * part.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(none, pa.int64()), pa.array(none, pa.int64()), pa.array(none, pa.string()), *part.columns], names=names)
+            yield pa.RecordBatch.from_arrays([*[pa.array(none, kind) for kind in (pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary())], *part.columns], names=names)
 
-    names = ["doc_id", "n", "set_key", "chunk", "task", "values"]
-    found = cut_lineage(texts.mapInArrow(run, f"doc_id long, n long, set_key string, {PARTS}"))
+    names = ["doc_id", "n", "set_key", "x", "fine", "chunk", "task", "values"]
+    found = cut_lineage(texts.mapInArrow(run, f"doc_id long, n long, set_key string, x binary, fine binary, {PARTS}"))
     parts = add_arrays(found.filter(F.col("chunk").isNotNull()).select("chunk", "task", "values")).collect()
     counts = np.concatenate([r["values"] for r in sorted(parts, key=lambda r: r.chunk)]) if parts else np.zeros(1 << SKETCH_BITS)
-    return found.filter(F.col("chunk").isNull()).select("doc_id", "n", "set_key"), counts
+    return found.filter(F.col("chunk").isNull()).select("doc_id", "n", "set_key", "x", "fine"), counts
 
 
 class Order:
@@ -121,55 +139,69 @@ class Order:
         self.salts = np.maximum(1, np.ceil(excess / CELL)).astype(np.int32)
 
     def prefix(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The leading shingles of which a set with J >= 3/4 shares one; their salts."""
+        """The leading shingles, in order, of which a set with J >= 3/4 shares one; their salts."""
         n = len(s)
         size = n - -(-3 * n // 4) + 1
         slot = (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
         rank = (self.level[slot] << np.uint64(58)) | (((s * MULT) >> np.uint64(6)))
         at = np.argpartition(rank, size - 1)[:size] if size < n else np.arange(n)
+        at = at[np.argsort(rank[at])]
         return s[at], self.salts[slot[at]]
 
 
 def cells(texts: DataFrame, order: Order, postings: int, shuffles: int) -> DataFrame:
-    """``key, salt, salts, doc``: the cells with at least two rows."""
+    """``key, salt, salts, doc, n, pos``: the cells with at least two rows; pos
+    counts the shingles of the row before ``key`` in the order."""
     buckets = max(shuffles, -(-postings // 1_000_000))
+    kinds = {"keys": np.int64, "salt": np.int32, "salts": np.int32, "docs": np.int64, "n": np.int32, "pos": np.int32}
 
     def deal(batches):
-        for b in batches:
-            keys, salts, docs = [], [], []
+        for b in small(batches, 2000):
+            rows = []
             for doc, t in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist()):
                 s = shingles(t)
                 if len(s):
                     k, m = order.prefix(s)
-                    keys.append(k)
-                    salts.append(m)
-                    docs.append(np.full(len(k), doc, np.int64))
-            if not keys:
+                    rows.append((k, m, np.full(len(k), doc, np.int64), np.full(len(k), len(s), np.int32), np.arange(len(k), dtype=np.int32)))
+            if not rows:
                 continue
-            k, m, d = np.concatenate(keys), np.concatenate(salts), np.concatenate(docs)
+            k, m, d, n, pos = (np.concatenate(x) for x in zip(*rows))
             with np.errstate(over="ignore"):
                 salt = (((d.astype(np.uint64) + np.uint64(1)) * MULT >> np.uint64(33)).astype(np.int64) % m).astype(np.int32)
                 bucket = ((((k ^ (salt.astype(np.uint64) << np.uint64(40))) * MULT) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
             at = np.argsort(bucket, kind="stable")
-            k, m, d, salt, bucket = k[at], m[at], d[at], salt[at], bucket[at]
-            cut = np.searchsorted(bucket, np.arange(buckets + 1))
+            cut = np.searchsorted(bucket[at], np.arange(buckets + 1))
             full = np.flatnonzero(np.diff(cut))
-            blob = lambda x: pa.array([x[cut[i] : cut[i + 1]].tobytes() for i in full], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), blob(k), blob(salt), blob(m), blob(d)], names=["bucket", "keys", "salt", "salts", "docs"])
+            blob = lambda x: pa.array([x[at[cut[i] : cut[i + 1]]].tobytes() for i in full], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *map(blob, (k, salt, m, d, n, pos))], names=["bucket", *kinds])
 
     def shared(t: pa.Table) -> pa.Table:
-        get = lambda c, kind: np.frombuffer(b"".join(t[c].to_pylist()), kind)
-        k, salt, m, d = get("keys", np.int64), get("salt", np.int32), get("salts", np.int32), get("docs", np.int64)
-        at = np.lexsort((d, salt, k))
-        k, salt, m, d = k[at], salt[at], m[at], d[at]
-        new = np.r_[True, (k[1:] != k[:-1]) | (salt[1:] != salt[:-1])]
-        size = np.diff(np.r_[np.flatnonzero(new), len(k)])
+        k, salt, m, d, n, pos = (np.frombuffer(b"".join(t[c].to_pylist()), kind) for c, kind in kinds.items())
+        at = np.lexsort((pos, n, d, salt, k))
+        again = (k[at][1:] == k[at][:-1]) & (d[at][1:] == d[at][:-1]) & (n[at][1:] == n[at][:-1]) & (pos[at][1:] == pos[at][:-1])
+        at = at[np.r_[True, ~again]]  # rows that repeat an id and a text
+        new = np.r_[True, (k[at][1:] != k[at][:-1]) | (salt[at][1:] != salt[at][:-1])]
+        size = np.diff(np.r_[np.flatnonzero(new), len(at)])
         # a salted cell may meet its rows in the cells of the other salts
-        keep = (np.repeat(size, size) > 1) | (m > 1)
-        return pa.table({"key": pa.array(k[keep], pa.int64()), "salt": pa.array(salt[keep], pa.int32()), "salts": pa.array(m[keep], pa.int32()), "doc": pa.array(d[keep], pa.int64())})
+        at = at[(np.repeat(size, size) > 1) | (m[at] > 1)]
+        return pa.table({"key": pa.array(k[at], pa.int64()), "salt": pa.array(salt[at], pa.int32()), "salts": pa.array(m[at], pa.int32()), "doc": pa.array(d[at], pa.int64()), "n": pa.array(n[at], pa.int64()), "pos": pa.array(pos[at], pa.int32())})
 
-    blobs = texts.mapInArrow(deal, "bucket int, keys binary, salt binary, salts binary, docs binary")
-    return blobs.groupBy("bucket").applyInArrow(shared, "key long, salt int, salts int, doc long")
+    blobs = texts.mapInArrow(deal, "bucket int, keys binary, salt binary, salts binary, docs binary, n binary, pos binary")
+    return blobs.groupBy("bucket").applyInArrow(shared, "key long, salt int, salts int, doc long, n long, pos int")
+
+
+def distinct_cells(held: DataFrame) -> DataFrame:
+    """The rows of one cell for each set of two or more documents.  The shingles
+    of a shared passage are cells with the same documents; the first of them
+    in the order sees every pair at its first common shingle among them.
+    Split cells are all kept."""
+    about = held.groupBy("key").agg(
+        F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.max("salts").alias("salts"), F.count(F.lit(1)).alias("rows"), F.min("pos").alias("pos"),
+        F.bit_xor(F.xxhash64(F.lit(1), "doc", "n")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(2), "n", "doc")).alias("h2"),
+    ).filter("lo < hi")
+    same = F.when(F.col("salts") > 1, F.col("key"))  # null but for split cells
+    first = about.groupBy("h1", "h2", "rows", same.alias("same")).agg(F.min(F.struct("pos", "key")).alias("c")).select("c.key")
+    return held.join(first, "key", "left_semi")
 
 
 class Tree:
@@ -193,7 +225,7 @@ class Tree:
             fits = (4 * high[a] >= 3 * low[b]) & (4 * high[b] >= 3 * low[a])
             a, b = a[fits], b[fits]
             part = np.zeros(len(fits), bool)
-            part[fits] = enough(np.minimum(top[a], top[b]).sum(axis=1, dtype=np.int64), low[a], low[b])
+            part[fits] = enough(np.minimum(top[a], top[b]).sum(axis=1), low[a], low[b])
             ok[s : s + slice_] = part
         return ok
 
@@ -233,9 +265,9 @@ def _pairs_table(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.Table:
 
 
 def _cells_of(t: pa.Table):
-    """(rows of one cell, ids, sizes, points, salts, components) of a bucket."""
+    """(rows of one cell, columns, points) for each cell of a bucket."""
     cols = {c: t[c].to_numpy() for c in t.column_names if c != "x"}
-    x = np.frombuffer(b"".join(t["x"].to_pylist()), np.int32).reshape(-1, GROUPS)
+    x = unpacked(b"".join(t["x"].to_pylist()), np.uint16).reshape(-1, GROUPS)
     names = [c for c in ("key", "i", "j") if c in cols]
     at = np.lexsort((cols["doc"], *[cols[c] for c in reversed(names)]))
     new = np.zeros(len(at), bool)
@@ -248,47 +280,88 @@ def _cells_of(t: pa.Table):
             yield at[lo:hi], cols, x
 
 
+def _reachable(cols, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Can the pair be linked if this cell is its first common shingle?  All
+    that it shares then comes from here on in both orders."""
+    rest = np.minimum(cols["n"][i] - cols["pos"][i], cols["n"][j] - cols["pos"][j])
+    return enough(rest, cols["n"][i], cols["n"][j])
+
+
 def _near(t: pa.Table) -> pa.Table:
     out = []
     for rows, cols, x in _cells_of(t):
         i, j = Tree(cols["n"][rows], x[rows]).neighbours()
-        out.append((cols["doc"][rows[i]], cols["doc"][rows[j]]))
+        i, j = rows[i], rows[j]
+        ok = _reachable(cols, i, j)
+        out.append((cols["doc"][i[ok]], cols["doc"][j[ok]]))
     return _pairs_table(out)
 
 
 def _between(t: pa.Table) -> pa.Table:
     out = []
     for rows, cols, x in _cells_of(t):
-        comp, salt = cols["comp"][rows], cols["salt"][rows]
-        if comp.min() == comp.max():
+        if cols["comp"][rows].min() == cols["comp"][rows].max():
             continue
         i, j = Tree(cols["n"][rows], x[rows]).pairs()
-        apart = comp[i] != comp[j]
+        i, j = rows[i], rows[j]
+        ok = (cols["comp"][i] != cols["comp"][j]) & _reachable(cols, i, j)
         if cols["i"][rows[0]] != cols["j"][rows[0]]:
-            apart &= salt[i] != salt[j]
-        out.append((cols["doc"][rows[i[apart]]], cols["doc"][rows[j[apart]]]))
+            ok &= cols["salt"][i] != cols["salt"][j]
+        out.append((cols["doc"][i[ok]], cols["doc"][j[ok]]))
     return _pairs_table(out)
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose sets are similar enough."""
+def _fold(x: np.ndarray, groups: int) -> np.ndarray:
+    """A finer point as one of fewer groups (both counts are powers of two)."""
+    return x.reshape(-1, groups).sum(axis=0)
+
+
+def _test_pairs(pairs: DataFrame, values: DataFrame, test) -> DataFrame:
+    """The pairs for which ``test`` of the two documents' values holds;
+    ``values`` has ``doc, value``, perhaps several rows for an id."""
 
     def run(batches):
-        for b in batches:
-            ok = []
-            for s, t in zip(b.column("s").to_pylist(), b.column("t").to_pylist()):
-                x, y = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                ok.append(bool(enough(int((y[at] == x).sum()), len(x), len(y))))
+        for b in small(batches, 2000):
+            ok = [test(s, t) for s, t in zip(b.column("s").to_pylist(), b.column("t").to_pylist())]
             mask = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column("a").filter(mask), b.column("b").filter(mask)], names=["a", "b"])
 
-    left = pairs.join(sets.select(F.col("doc").alias("a"), F.col("shingles").alias("s")), "a")
-    both = left.join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("t")), "b")
+    left = pairs.join(values.select(F.col("doc").alias("a"), F.col("value").alias("s")), "a")
+    both = left.join(values.select(F.col("doc").alias("b"), F.col("value").alias("t")), "b")
     return both.select("a", "b", "s", "t").mapInArrow(run, PAIRS).distinct()
 
 
+def _fine_bound(s: bytes, t: bytes) -> bool:
+    x, y = unpacked(s, np.uint8), unpacked(t, np.uint8)
+    g = min(len(x), len(y))
+    x, y = _fold(x, g), _fold(y, g)
+    return bool(enough(int(np.minimum(x, y).sum()), int(x.sum()), int(y.sum()))) or max(x.max(), y.max()) >= 1 << 40
+
+
+def _similar(s: bytes, t: bytes) -> bool:
+    x, y = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    return bool(enough(int((y[at] == x).sum()), len(x), len(y)))
+
+
+def verify(pairs: DataFrame, points: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose sets are similar enough: first by the bound of the finer
+    points, then on the sets, which are made anew for the documents left."""
+    left = cut_lineage(_test_pairs(pairs, points.select("doc", F.col("fine").alias("value")), _fine_bound))
+    flags = doc_filter(left.select(F.explode(F.array("a", "b")).alias("doc")))
+
+    def prepare(batches):
+        for b in small(batches):
+            ids = b.column("doc_id").to_numpy()
+            b = b.filter(pa.array(flags[_slots(ids)], pa.bool_()))
+            sets = [shingles(t).tobytes() for t in b.column("text").cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sets, pa.binary())], names=["doc", "value"])
+
+    sets = cut_lineage(texts.mapInArrow(prepare, "doc long, value binary"))
+    return _test_pairs(left, sets.filter(F.length("value") > 0), _similar)
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, comp`` (smallest reachable node) of all nodes of ``links (a, b)``
     by contraction: every node moves to its smallest neighbour's smallest
@@ -324,46 +397,30 @@ def group(docs: DataFrame) -> DataFrame:
     classes = cut_lineage(named.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
     totals = ids.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.floor(F.col("n") / 4) + 1), F.lit(0)).alias("postings")).first()
 
-    # cells of class representatives
+    # points of class representatives, in their cells
     reps = classes.select(F.col("rep").alias("doc")).distinct()
+    points = named.select(F.col("doc_id").alias("doc"), "n", "x", "fine").join(reps, "doc", "left_semi")
+    points = cut_lineage(points.dropDuplicates(["doc", "n", "fine", "x"]))
     held = cut_lineage(cells(texts, order, totals.postings, shuffles).join(reps, "doc", "left_semi"))
-    multi = held.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("key")
-    held = cut_lineage(held.join(multi, "key", "left_semi"))
-
-    # points and sets of the documents in them
-    needed = held.select("doc").distinct()
-    flags = doc_filter(needed)
-
-    def prepare(batches):
-        for b in batches:
-            docs_, n, xs, sets_ = [], [], [], []
-            for doc, t in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist()):
-                if flags[_slot(doc)]:
-                    s = shingles(t)
-                    docs_.append(doc), n.append(len(s)), xs.append(point(s).tobytes()), sets_.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(docs_, pa.int64()), pa.array(n, pa.int64()), pa.array(xs, pa.binary()), pa.array(sets_, pa.binary())], names=["doc", "n", "x", "shingles"])
-
-    sets = cut_lineage(texts.mapInArrow(prepare, "doc long, n long, x binary, shingles binary").join(needed, "doc", "left_semi"))
-    placed = cut_lineage(held.join(sets.select("doc", "n", "x"), "doc"))
+    placed = cut_lineage(distinct_cells(held).join(points.select("doc", "n", "x"), ["doc", "n"]))
 
     # neighbours in each cell, and among the first documents of a split cell's parts
     buckets = max(shuffles, -(-placed.count() // 200_000))
     deal = lambda *c: F.pmod(F.xxhash64(*c), F.lit(buckets)).cast("int")
-    cell = placed.select("key", F.col("salt").alias("i"), "doc", "n", "x", deal("key", "salt").alias("bucket"))
-    first = placed.filter("salts > 1").groupBy("key", "salt").agg(F.min(F.struct("doc", "n", "x")).alias("r")).select("key", F.lit(-1).alias("i"), "r.*", deal("key").alias("bucket"))
+    cell = placed.select("key", F.col("salt").alias("i"), "doc", "n", "pos", "x", deal("key", "salt").alias("bucket"))
+    first = placed.filter("salts > 1").groupBy("key", "salt").agg(F.min(F.struct("doc", "n", "pos", "x")).alias("r")).select("key", F.lit(-1).alias("i"), "r.*", deal("key").alias("bucket"))
     near = cut_lineage(cell.unionByName(first).groupBy("bucket").applyInArrow(_near, PAIRS).distinct())
-    links = cut_lineage(verify(near, sets))
+    links = cut_lineage(verify(near, points, texts))
     comp = components(links)
 
     # cells that still hold several components: all pairs between them
     known = placed.join(comp.select(F.col("node").alias("doc"), "comp"), "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
-    known = cut_lineage(known)
     mixed = known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
     split = known.join(mixed, "key", "left_semi").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    split = split.select("key", F.least("salt", "other").alias("i"), F.greatest("salt", "other").alias("j"), "salt", "doc", "n", "x", "comp")
+    split = split.select("key", F.least("salt", "other").alias("i"), F.greatest("salt", "other").alias("j"), "salt", "doc", "n", "pos", "x", "comp")
     rest = split.withColumn("bucket", deal("key", "i", "j")).groupBy("bucket").applyInArrow(_between, PAIRS).distinct()
     rest = cut_lineage(rest.join(near, ["a", "b"], "left_anti"))
-    more = cut_lineage(verify(rest, sets))
+    more = cut_lineage(verify(rest, points, texts))
     of = lambda c: comp.select(F.col("node").alias(c), F.col("comp").alias(f"{c}_comp"))
     joined = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("a_comp", "a").alias("a"), F.coalesce("b_comp", "b").alias("b"))
     upper = components(joined)
@@ -373,15 +430,16 @@ def group(docs: DataFrame) -> DataFrame:
     final = final.join(upper.select(F.col("node").alias("comp"), F.col("comp").alias("top")), "comp", "left")
     final = cut_lineage(final.select("set_key", "copies", F.coalesce("top", "comp").alias("component_id")))
     alone = ids.filter(F.col("doc_id").isNull() | (F.col("n") == 0)).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    linked = join_groups(named, final, "set_key", "copies", totals.rows)
+    linked = join_groups(named.select("doc_id", "n", "set_key"), final, "set_key", "copies", totals.rows)
     return linked.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(alone)
 
 
 FILTER_BITS = 22
 
 
-def _slot(doc: int) -> int:
-    return (doc * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) >> (64 - FILTER_BITS)
+def _slots(ids: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return ((ids.astype(np.uint64) * MULT) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
 def doc_filter(docs: DataFrame) -> np.ndarray:
@@ -391,9 +449,7 @@ def doc_filter(docs: DataFrame) -> np.ndarray:
     def run(batches):
         flags = np.zeros(1 << FILTER_BITS, bool)
         for b in batches:
-            d = b.column("doc").to_numpy().astype(np.uint64)
-            with np.errstate(over="ignore"):
-                flags[((d * MULT) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+            flags[_slots(b.column("doc").to_numpy())] = True
         yield from array_parts(np.packbits(flags).view(np.uint32).astype(float), TaskContext.get().partitionId())
 
     def either(t: pa.Table) -> pa.Table:

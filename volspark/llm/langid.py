@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from volspark.llm.common import small
+
 BITS = 15
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, languages string"
 
@@ -53,7 +55,7 @@ def count_by_language(docs: DataFrame, bits: int = BITS) -> DataFrame:
 
     def run(batches):
         total: dict[str, np.ndarray] = {}
-        for b in batches:
+        for b in small(batches):
             for text, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist()):
                 if text:
                     if lang not in total:
@@ -115,7 +117,7 @@ def identify(docs: DataFrame, model: MixtureModel) -> DataFrame:
     """Rows of ``(doc_id, held_out, text)`` -> doc_id, held_out, lang_pred, score, languages."""
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             found = [model.proportions(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [

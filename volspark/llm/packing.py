@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from volspark.llm.common import texts_of
+from volspark.llm.common import small, texts_of
 from volspark.session import cut_lineage
 
 #: ASCII punctuation that, after a letter or digit, begins a token of its own
@@ -123,7 +123,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFrame:
 
     def run(batches):
         encoder = encoder_for(tokenizer_path)
-        for b in batches:
+        for b in small(batches):
             rows = []
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist()):
                 tokens = encoder.encode(text)

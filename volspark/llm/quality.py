@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from volspark.llm.common import fold, texts_of
+from volspark.llm.common import fold, small, texts_of
 
 FEATURES = (
     "log_bytes log_words word_length upper_share digit_share symbol_share pipe_share space_share newline_share high_share "
@@ -160,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, held_out_mod: int = 5,
     drawn = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             x = matrix(b.column("text"))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
 
@@ -179,7 +179,7 @@ def score(docs: DataFrame, model: BoostedTrees | None) -> DataFrame:
     """``doc_id, score`` of every row of ``docs``."""
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(probabilities(b.column("text"), model), pa.float64())], names=["doc_id", "score"])
 
     return texts_of(docs).mapInArrow(run, "doc_id long, score double")
@@ -189,7 +189,7 @@ def keep(docs: DataFrame, model: BoostedTrees | None, least: float) -> DataFrame
     """The rows of ``docs``, all columns, whose score is ``least`` or more."""
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             yield b.filter(pa.array(probabilities(b.column("text"), model) >= least))
 
     return docs.mapInArrow(run, docs.schema)

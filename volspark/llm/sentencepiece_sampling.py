@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from volspark.llm.common import texts_of
+from volspark.llm.common import small, texts_of
 
 MARK = "▁"
 LITERAL = "\ud800"
@@ -292,7 +292,7 @@ def encode(docs: DataFrame, model_file: str, alpha: float = 1.0, seed: int = 0)
 
     def run(batches):
         s = sampler_for(model_file, alpha)
-        for b in batches:
+        for b in small(batches):
             ids = list(s.encode(b.column("text").to_pylist(), [d or 0 for d in b.column("doc_id").to_pylist()], seed))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
@@ -304,7 +304,7 @@ def decode(encoded: DataFrame, model_file: str, alpha: float = 1.0) -> DataFrame
 
     def run(batches):
         p = sampler_for(model_file, alpha).pieces
-        for b in batches:
+        for b in small(batches):
             texts = [p.decode(np.array(i or [], np.int64)).decode() for i in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
@@ -318,7 +318,7 @@ def round_trip(docs: DataFrame, model_file: str, alpha: float = 1.0, seed: int =
 
     def run(batches):
         s = sampler_for(model_file, alpha)
-        for b in batches:
+        for b in small(batches):
             n, n_bytes, crc, same, sha = [], [], [], [], []
             raw = b.column("text").cast(pa.binary()).to_pylist()
             for text, ids in zip(raw, s.encode(b.column("text").to_pylist(), [d or 0 for d in b.column("doc_id").to_pylist()], seed)):

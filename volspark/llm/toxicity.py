@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from volspark.llm.common import PARTS, add_arrays, array_parts, fold, texts_of
+from volspark.llm.common import PARTS, add_arrays, array_parts, fold, small, texts_of
 from volspark.session import cut_lineage
 
 WORD = re.compile(rb"[a-z\x80-\xff]+")
@@ -77,7 +77,7 @@ def choose_terms(texts: DataFrame, examples: DataFrame, size: int) -> dict[bytes
     the examples, with the distance of the classes' log odds."""
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             for text, y in zip(b.column("text").to_pylist(), b.column("y").to_pylist()):
                 terms = list(terms_of(words_of(text)))
                 yield pa.RecordBatch.from_arrays([pa.array(terms, pa.binary()), pa.array([y] * len(terms), pa.int32())], names=["term", "y"])
@@ -102,7 +102,7 @@ def vectors_of(texts: DataFrame, vocabulary: Iterable[bytes]) -> DataFrame:
 
     def run(batches):
         known = at.keys()
-        for b in batches:
+        for b in small(batches):
             terms, counts = [], []
             for text in b.column("text").to_pylist():
                 words = words_of(text)
@@ -129,7 +129,7 @@ def document_frequencies(vectors: DataFrame, size: int) -> np.ndarray:
 
     def run(batches):
         total = np.zeros(max(1, size))
-        for b in batches:
+        for b in small(batches):
             total += np.bincount(b.column("terms").flatten().to_numpy(), minlength=max(1, size))
         yield from array_parts(total, TaskContext.get().partitionId())
 
@@ -157,7 +157,7 @@ class BlockMaxIndex:
         self.start = np.searchsorted(cell, np.arange(len(idf) * max(1, self.blocks) + 1))
         self.top = np.zeros(len(idf) * max(1, self.blocks))
         np.maximum.at(self.top, cell, self.weight)
-        self.top = self.top.reshape(len(idf), -1)
+        self.top = self.top.reshape(len(idf), max(1, self.blocks))
 
     def unit(self, terms, counts) -> tuple[np.ndarray, np.ndarray]:
         t = np.asarray(terms, np.int64)
@@ -247,7 +247,7 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out_mod
     voter.calibrate([(voter.vote(r.terms, r.counts)[0], r.y) for r in held])
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             out = [voter.vote(t, c) for t, c in zip(b.column("terms").to_pylist(), b.column("counts").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([voter.probability(v) for v, _ in out], pa.float64()), pa.array([v[0] for v, _ in out], pa.float64()), pa.array([e for _, e in out], pa.string())],
