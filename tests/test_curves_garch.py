@@ -58,14 +58,58 @@ def test_garch_window_forecast(spark):
     path = json.loads(row["forecast_vol_path"])
     assert secs == list(range(570, 600)) and len(path) == 30
     assert np.isfinite(row["pred_var"]) and row["prediction_kind"] == "garch_path"
-    w, a, b, g = GA.fit(np.array(eps[:569]), False)
-    assert 0.6 < a + b < 0.99
+    theta, _ = GA.fit_rows(np.array([eps[:569]]), np.array([569]), False)
+    assert 0.6 < theta[0, 1] + theta[0, 2] < 0.99
 
 
-def test_garch_gates():
-    assert not GA.stable(0.1, 0.5, 0.6, 0.0, False)  # non-stationary
-    assert not GA.stable(-0.1, 0.1, 0.5, 0.0, False)
-    assert not GA.stable(0.1, 0.1, 0.5, 0.995, True)
-    assert GA.stable(0.1, 0.1, 0.8, 0.0, False)
-    assert not GA.plausible(float("nan"), np.array([1.0]))
-    assert not GA.plausible(2e6, np.array([2e6]))
+def simulate(omega, alpha, beta, gamma, n, seed):
+    rng, s, e, out = np.random.default_rng(seed), omega / (1 - alpha - beta - gamma / 2), 0.0, []
+    for _ in range(n):
+        s = omega + (alpha + gamma * (e < 0)) * e * e + beta * s
+        e = rng.normal() * math.sqrt(s)
+        out.append(e)
+    return out
+
+
+def test_garch_recovers_strong_effects():
+    eps, n = GA.padded([simulate(0.1, 0.8, 0.1, 0.0, 2500, s) for s in range(6)])
+    assert abs(GA.fit_rows(eps, n, False)[0][:, 1].mean() - 0.8) < 0.08
+    eps, n = GA.padded([simulate(0.1, 0.05, 0.3, 0.9, 2500, s) for s in range(6)])
+    assert abs(GA.fit_rows(eps, n, True)[0][:, 3].mean() - 0.9) < 0.15
+
+
+def test_garch_likelihood_not_below_a_fine_grid():
+    eps, n = GA.padded([simulate(0.1, 0.2, 0.6, 0.0, m, m) for m in (400, 500, 570)])
+    theta, _ = GA.fit_rows(eps, n, False)
+    on = np.arange(eps.shape[1]) < n[:, None]
+    eps = np.where(on, eps, 0)
+    s0, var = GA.backcast(eps, n), (eps**2).sum(1) / n
+    best = GA.recursion(eps, n, s0, theta)[0]
+    for a in np.linspace(0, 1, 21):
+        for b in np.linspace(0, 1 - a, 12):
+            for w in (0.02, 0.1, 0.2, 0.3, 0.6, 1.0):
+                t = np.stack([w * var, np.full(3, a), np.full(3, b), np.zeros(3)], axis=1)
+                assert np.all(GA.recursion(eps, n, s0, t)[0] <= best + 1e-4)
+
+
+def test_garch_gates_and_path(spark):
+    cases = [
+        (1, 0.1, 0.1, 0.8, 0.0, 2.0, -1.0, True),
+        (2, 0.1, 0.5, 0.6, 0.0, 2.0, 1.0, False),  # not stationary
+        (3, -0.1, 0.1, 0.5, 0.0, 2.0, 1.0, False),
+        (4, 0.1, 0.1, 0.1, 0.995, 2.0, 1.0, False),
+        (5, 0.1, 0.1, 0.5, -0.2, 2.0, 1.0, False),  # alpha + gamma < 0
+        (6, 0.1, float("nan"), 0.5, 0.0, 2.0, 1.0, False),
+        (7, 0.1, 0.05, 0.5, 0.2, 2.0, -3.0, True),
+        (8, 5e6, 0.1, 0.5, 0.0, 2.0, 1.0, False),  # beyond the credible range
+    ]
+    df = spark.createDataFrame([c[:7] for c in cases], "id int, omega double, alpha double, beta double, gamma double, last_var double, last_ret double")
+    got = {r["id"]: r for r in GA.forecasts_from_fits(df, 30).collect()}
+    for i, w, a, b, g, v, e, ok in cases:
+        if not ok:
+            assert got[i]["path"] is None and got[i]["pred_var"] is None
+            continue
+        path = [w + (a + g * (e < 0)) * e * e + b * v]
+        for _ in range(29):
+            path.append(w + (a + b + g / 2) * path[-1])
+        assert np.allclose(got[i]["path"], path) and math.isclose(got[i]["pred_var"], np.mean(path), rel_tol=1e-9)

@@ -1,176 +1,227 @@
 """Per-window GARCH(1,1) / GJR-GARCH(1,1) forecasts (M12) and the legacy
 cross-window GARCH calibrated to log RV (M13).
 
-A grouped-map job: ``groupBy(stock_id, time_id).applyInPandas`` -- one group
-is one window (<= 600 returns), so no group is unbounded.  The fit is a
-zero-mean Gaussian likelihood maximised with numpy only: the variance
-recursion is evaluated for a whole grid of parameter sets at once (vectorised
-over candidates), first coarse, then refined around the best point.
-Stability and plausibility gates and the multi-step path follow the textbook
-recursion.
+A window becomes one row with its returns as an array (at most 600 values).
+The zero-mean Gaussian likelihood is maximised for many windows at once: the
+variance recursion runs over time with the windows as array axis, a grid gives
+starting points, and a Nelder-Mead simplex per window (all moved together)
+refines them over the whole parameter space: omega > 0, alpha and beta in
+[0, 1], gamma in [-1, 2], alpha + gamma >= 0, alpha + beta + gamma/2 <= 1.
+The fit returns parameters and the state after the last training return; the
+gates, the multi-step path and the output row are Spark columns.
 """
 
 from __future__ import annotations
 
-import json
-import time
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import GARCH_STABILITY_LIMIT, MAX_REASONABLE_GARCH_VAR
 from .book import book_runs, return_positions
 
-PRED_SCHEMA = (
-    "model string, model_type string, fold int, stock_id string, time_id bigint, pred_var double, pred_vol double, "
-    "actual_var double, actual_vol double, inference_ms double, feature_cols string, prediction_kind string, "
-    "forecast_seconds string, forecast_vol_path string"
-)
-
-
-def backcast(eps: np.ndarray) -> float:
-    """Starting variance: exponentially weighted mean of early squared
-    returns (decay 0.94 over at most 75 values)."""
-    m = min(75, len(eps))
-    w = 0.94 ** np.arange(m)
-    w = w / w.sum()
-    return float(np.sum(w * eps[:m] ** 2))
-
-
-def loglik_grid(eps: np.ndarray, omega, alpha, beta, gamma, s0: float) -> np.ndarray:
-    """Gaussian log-likelihood for arrays of parameter sets (vectorised)."""
-    sig = np.full(omega.shape, s0)
-    ll = np.zeros(omega.shape)
-    prev = None
-    for t in range(len(eps)):
-        if prev is not None:
-            neg = 1.0 if prev < 0 else 0.0
-            sig = omega + (alpha + gamma * neg) * prev * prev + beta * sig
-        sig = np.maximum(sig, 1e-12)
-        ll -= 0.5 * (np.log(sig) + eps[t] * eps[t] / sig)
-        prev = eps[t]
-    return ll - 0.5 * len(eps) * np.log(2 * np.pi)
-
-
-def fit(eps: np.ndarray, asymmetric: bool) -> tuple[float, float, float, float]:
-    """(omega, alpha, beta, gamma) by two-stage grid maximum likelihood."""
-    var = float(np.mean(eps * eps)) if len(eps) else 0.0
-    s0 = backcast(eps) if len(eps) else 1.0
-    a = np.linspace(0.0, 0.5, 11)
-    b = np.linspace(0.0, 0.98, 15)
-    g = np.linspace(-0.3, 0.6, 7) if asymmetric else np.array([0.0])
-    A, B, G = np.meshgrid(a, b, g, indexing="ij")
-    A, B, G = A.ravel(), B.ravel(), G.ravel()
-    pers = A + B + 0.5 * G
-    ok = (pers < 0.999) & (A + G >= 0)
-    A, B, G = A[ok], B[ok], G[ok]
-    W = np.maximum(var * (1 - (A + B + 0.5 * G)), 1e-12)
-    ll = loglik_grid(eps, W, A, B, G, s0)
-    i = int(np.nanargmax(ll))
-    best = (W[i], A[i], B[i], G[i])
-    # refine around the best point, including the level of omega
-    da, db, dg = 0.025, 0.035, (0.075 if asymmetric else 0.0)
-    fa = np.clip(best[1] + np.linspace(-da, da, 5), 0, 1)
-    fb = np.clip(best[2] + np.linspace(-db, db, 5), 0, 1)
-    fg = best[3] + (np.linspace(-dg, dg, 5) if asymmetric else np.array([0.0]))
-    fw = best[0] * np.array([0.5, 0.75, 1.0, 1.33, 2.0])
-    A, B, G, Wm = (x.ravel() for x in np.meshgrid(fa, fb, fg, fw, indexing="ij"))
-    ok = (A + G >= 0) & (A + B + 0.5 * G < 0.9999)
-    A, B, G, Wm = A[ok], B[ok], G[ok], Wm[ok]
-    if len(A):
-        ll2 = loglik_grid(eps, Wm, A, B, G, s0)
-        j = int(np.nanargmax(ll2))
-        if ll2[j] > ll[i]:
-            best = (Wm[j], A[j], B[j], G[j])
-    return tuple(float(x) for x in best)
-
-
-def stable(omega, alpha, beta, gamma, asymmetric: bool) -> bool:
-    lim = GARCH_STABILITY_LIMIT
-    vals = np.array([omega, alpha, beta, gamma])
-    if not np.all(np.isfinite(vals)) or omega < 0 or alpha < 0 or beta < 0:
-        return False
-    if alpha >= lim or beta >= lim:
-        return False
-    if asymmetric and (abs(gamma) >= lim or alpha + gamma < 0):
-        return False
-    pers = alpha + beta + 0.5 * (gamma if asymmetric else 0.0)
-    return 0 <= pers < lim
-
-
-def forecast_path(eps, omega, alpha, beta, gamma, horizon, s0) -> np.ndarray:
-    sig = s0
-    prev = None
-    for e in eps:
-        if prev is not None:
-            sig = omega + (alpha + gamma * (prev < 0)) * prev * prev + beta * sig
-        prev = e
-    first = omega + (alpha + gamma * (prev < 0)) * prev * prev + beta * sig
-    path = [first]
-    pers = alpha + beta + 0.5 * gamma
-    for _ in range(horizon - 1):
-        path.append(omega + pers * path[-1])
-    return np.array(path)
-
-
-def plausible(pred: float, path: np.ndarray) -> bool:
-    if not np.isfinite(pred) or pred < 0 or pred > MAX_REASONABLE_GARCH_VAR or path.size == 0:
-        return False
-    return bool(np.all(np.isfinite(path)) and np.all(path >= 0) and path.max() <= MAX_REASONABLE_GARCH_VAR)
-
-
-def _window_fn(model: str, model_type: str, horizon: int):
-    asymmetric = model_type == "GJR-GARCH(1,1)"
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        r = pdf["ret"].to_numpy(dtype=float)
-        secs = pdf["second"].to_numpy(dtype=int)
-        if len(r) < horizon + 10:
-            return pd.DataFrame(columns=PRED_SCHEMA_COLS)
-        cut = len(r) - horizon
-        train, test = r[:cut], r[cut:]
-        pred, path, ms = np.nan, np.array([]), np.nan
-        try:
-            w, a, b, g = fit(train, asymmetric)
-            if stable(w, a, b, g, asymmetric):
-                t0 = time.perf_counter()
-                path = forecast_path(train, w, a, b, g, horizon, backcast(train))
-                ms = (time.perf_counter() - t0) * 1000
-                pred = float(np.mean(path))
-                if not plausible(pred, path):
-                    pred, path = np.nan, np.array([])
-        except (FloatingPointError, ValueError):
-            pred, path = np.nan, np.array([])
-        actual = float(np.mean(test * test))
-        return pd.DataFrame([{
-            "model": model, "model_type": model_type, "fold": 0,
-            "stock_id": pdf["stock_id"].iloc[0], "time_id": int(pdf["time_id"].iloc[0]),
-            "pred_var": pred, "pred_vol": float(np.sqrt(max(pred, 0.0))) if np.isfinite(pred) else np.nan,
-            "actual_var": actual, "actual_vol": float(np.sqrt(max(actual, 0.0))), "inference_ms": ms,
-            "feature_cols": "", "prediction_kind": "garch_path",
-            "forecast_seconds": json.dumps(secs[cut:].tolist()),
-            "forecast_vol_path": json.dumps(np.sqrt(np.maximum(path, 0.0)).tolist()),
-        }])
-
-    return fn
-
-
-PRED_SCHEMA_COLS = [c.split()[0] for c in PRED_SCHEMA.split(", ")]
-
-
-def garch_forecasts(book: DataFrame, folds: DataFrame, model_type: str = "GARCH(1,1)", horizon: int = 30,
-                    name: str | None = None) -> DataFrame:
+OUT_COLS = (
+    "model model_type fold stock_id time_id pred_var pred_vol actual_var actual_vol inference_ms feature_cols prediction_kind "
+    "forecast_seconds forecast_vol_path"
+).split()
+#: Starting points: (alpha, gamma, persistence).
+STARTS = [(a, g, p) for a in (0.02, 0.1, 0.3, 0.6, 0.85) for g in (0.0, 0.2, 0.7) for p in (0.3, 0.7, 0.9, 0.97) if a + g / 2 <= p]
+FIT = "stock_id string, time_id bigint, omega double, alpha double, beta double, gamma double, last_var double, last_ret double"
+
+
+def backcast(eps: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Starting variance per row: exponentially weighted mean of the first
+    squared returns (decay 0.94 over at most 75 values)."""
+    m = min(75, eps.shape[1])
+    w = 0.94 ** np.arange(m) * (np.arange(m) < n[:, None])
+    return (w * eps[:, :m] ** 2).sum(axis=1) / np.maximum(w.sum(axis=1), 1e-300)
+
+
+def recursion(eps: np.ndarray, n: np.ndarray, s0: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-likelihood and last variance of each row under ``theta``, columns
+    omega, alpha, beta, gamma; row ``i`` has ``n[i]`` returns."""
+    omega, alpha, beta, gamma = theta.T
+    sig, like = np.maximum(s0, 1e-12), np.zeros(len(eps))
+    square = eps**2
+    news = alpha[:, None] * square + gamma[:, None] * np.where(eps < 0, square, 0.0)
+    for t in range(eps.shape[1]):
+        on = t < n
+        if t:
+            sig = np.where(on, np.maximum(omega + news[:, t - 1] + beta * sig, 1e-12), sig)
+        like -= np.where(on, 0.5 * (np.log(sig) + square[:, t] / sig), 0.0)
+    return like - 0.5 * n * np.log(2 * np.pi), sig
+
+
+def feasible(theta: np.ndarray) -> np.ndarray:
+    omega, alpha, beta, gamma = theta.T
+    return (omega > 0) & (alpha >= 0) & (alpha <= 1) & (beta >= 0) & (beta <= 1) & (np.abs(gamma - 0.5) <= 1.5) & (alpha + gamma >= 0) & (alpha + beta + gamma / 2 <= 1)
+
+
+def fit_rows(eps: np.ndarray, n: np.ndarray, asymmetric: bool, steps: int = 160) -> tuple[np.ndarray, np.ndarray]:
+    """Maximum-likelihood parameters and last variance of each (padded) row."""
+    rows = len(eps)
+    on = np.arange(eps.shape[1]) < n[:, None]
+    eps = np.where(on, eps, 0.0)
+    var = np.maximum((eps**2).sum(axis=1) / np.maximum(n, 1), 1e-12)
+    s0 = backcast(eps, n)
+    free = 4 if asymmetric else 3  # log omega / var, alpha, beta, gamma
+
+    def theta_of(p):
+        out = np.zeros((rows, 4))
+        out[:, 0] = np.exp(np.clip(p[:, 0], -20, 5)) * var
+        out[:, 1 : 1 + free - 1] = p[:, 1:]
+        return out
+
+    def loss(p):
+        theta = theta_of(p)
+        ok = feasible(theta)
+        safe = np.where(ok[:, None], theta, np.stack([var, 0 * var, 0 * var, 0 * var], axis=1))
+        return np.where(ok, -recursion(eps, n, s0, safe)[0], np.inf)
+
+    best, value = np.zeros((rows, free)), np.full(rows, np.inf)
+    for a, g, p in STARTS:
+        if g and not asymmetric:
+            continue
+        start = np.tile(np.array([np.log(max(1 - p, 1e-3)), a, p - a - g / 2, g][:free]), (rows, 1))
+        v = loss(start)
+        better = v < value
+        best[better], value[better] = start[better], v[better]
+    simplex = np.repeat(best[:, None, :], free + 1, axis=1)
+    for j, d in enumerate((0.5, 0.08, -0.08, 0.1)[:free]):
+        simplex[:, j + 1, j] += d
+    inside = np.clip(simplex[:, :, 1:3], 0.0, 1.0)
+    simplex[:, :, 1:3] = inside
+    f = np.stack([loss(simplex[:, i]) for i in range(free + 1)], axis=1)
+    every = np.arange(rows)
+    for _ in range(steps):
+        order = np.argsort(f, axis=1, kind="stable")
+        simplex, f = np.take_along_axis(simplex, order[:, :, None], 1), np.take_along_axis(f, order, 1)
+        if np.all(np.where(np.isfinite(f[:, -1]), f[:, -1] - f[:, 0], 1.0) < 1e-7):
+            break
+        centre, worst = simplex[:, :-1].mean(axis=1), simplex[:, -1]
+        mirror = centre + (centre - worst)
+        fm = loss(mirror)
+        # one more point: further out where the mirror is best, else nearer
+        out = fm < f[:, 0]
+        nearer = np.where((fm < f[:, -1])[:, None], centre + 0.5 * (mirror - centre), centre + 0.5 * (worst - centre))
+        extra = np.where(out[:, None], centre + 2 * (centre - worst), nearer)
+        fe = loss(extra)
+        middle = ~out & (fm < f[:, -2])
+        use_extra = ~middle & (fe < np.minimum(fm, f[:, -1]))
+        use_mirror = ~use_extra & (fm < f[:, -1])
+        new = np.where(use_extra[:, None], extra, np.where(use_mirror[:, None], mirror, worst))
+        fn = np.where(use_extra, fe, np.where(use_mirror, fm, f[:, -1]))
+        stuck = every[~(use_extra | use_mirror)]
+        simplex[:, -1], f[:, -1] = new, fn
+        if len(stuck):
+            shrunk = simplex.copy()
+            shrunk[stuck, 1:] = simplex[stuck, :1] + 0.5 * (simplex[stuck, 1:] - simplex[stuck, :1])
+            simplex = shrunk
+            for i in range(1, free + 1):
+                v = loss(simplex[:, i])
+                f[stuck, i] = v[stuck]
+    at = f.argmin(axis=1)
+    theta = theta_of(simplex[every, at])
+    return theta, recursion(eps, n, s0, theta)[1]
+
+
+def padded(lists: list) -> tuple[np.ndarray, np.ndarray]:
+    n = np.array([len(x) for x in lists])
+    out = np.zeros((len(lists), max(1, n.max(initial=0))))
+    for i, x in enumerate(lists):
+        out[i, : len(x)] = x
+    return out, n
+
+
+def fit_windows(windows: DataFrame, asymmetric: bool, together: int = 400) -> DataFrame:
+    """Parameters and final state per window of ``stock_id, time_id, train``."""
+
+    def run(batches):
+        for b in batches:
+            for i in range(0, b.num_rows, together):
+                part = b.slice(i, together)
+                eps, n = padded(part.column("train").to_pylist())
+                theta, last = fit_rows(eps, n, asymmetric)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("stock_id"), part.column("time_id"), *[pa.array(theta[:, j]) for j in range(4)], pa.array(last), pa.array(eps[np.arange(len(n)), n - 1])],
+                    names=["stock_id", "time_id", "omega", "alpha", "beta", "gamma", "last_var", "last_ret"],
+                )
+
+    return windows.select("stock_id", "time_id", "train").mapInArrow(run, FIT)
+
+
+def persistence() -> Column:
+    return F.col("alpha") + F.col("beta") + F.col("gamma") / 2
+
+
+def usable_fit() -> Column:
+    """Gate on the parameters: finite, variance never negative, and both every
+    coefficient and the persistence below the stability limit."""
+    finite = F.forall(F.array("omega", "alpha", "beta", "gamma"), lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    lowest = F.least("omega", "alpha", "beta", F.col("alpha") + F.col("gamma"), persistence())
+    highest = F.greatest("alpha", "beta", F.abs("gamma"), persistence())
+    return finite & (lowest >= 0) & (highest < GARCH_STABILITY_LIMIT)
+
+
+def variance_path(horizon: int) -> Column:
+    """Expected variances 1..horizon steps ahead: the first from the last
+    return and variance, the others drawn to the long-run level."""
+    first = F.col("omega") + (F.col("alpha") + F.when(F.col("last_ret") < 0, F.col("gamma")).otherwise(0.0)) * F.col("last_ret") * F.col("last_ret") + F.col("beta") * F.col("last_var")
+    level = F.col("omega") / (1 - persistence())
+    return F.transform(F.sequence(F.lit(0), F.lit(horizon - 1)), lambda i: level + F.pow(persistence(), i) * (first - level))
+
+
+def credible(path: Column) -> Column:
+    """Gate on a path: every variance between 0 and the limit."""
+    return F.forall(path, lambda v: ~F.isnan(v) & v.between(0.0, MAX_REASONABLE_GARCH_VAR))
+
+
+def forecasts_from_fits(fits: DataFrame, horizon: int) -> DataFrame:
+    """``fits`` with ``path`` (null where a gate fails) and ``pred_var``."""
+    out = fits.withColumn("path", F.when(usable_fit(), variance_path(horizon)))
+    out = out.withColumn("path", F.when(credible(F.col("path")), F.col("path")))
+    return out.withColumn("pred_var", F.aggregate("path", F.lit(0.0), lambda a, v: a + v) / horizon)
+
+
+def garch_windows(book: DataFrame, horizon: int = 30) -> DataFrame:
+    """One row per window long enough to fit: training returns, and the seconds
+    and mean square of the ``horizon`` held-out ones."""
+    pos = return_positions(book_runs(book)).select("stock_id", "time_id", F.struct("pos", "second", "ret").alias("r"))
+    # at most one return per second of a window
+    rows = pos.groupBy("stock_id", "time_id").agg(F.array_sort(F.collect_list("r")).alias("r")).where(F.size("r") >= horizon + 10)
+    cut = F.size("r") - horizon
+    held = F.slice("r", cut + 1, horizon)
+    return rows.select(
+        "stock_id", "time_id", F.transform(F.slice("r", F.lit(1), cut), lambda v: v["ret"]).alias("train"),
+        F.transform(held, lambda v: v["second"].cast("int")).alias("seconds"),
+        (F.aggregate(held, F.lit(0.0), lambda a, v: a + v["ret"] * v["ret"]) / horizon).alias("actual_var"),
+    )
+
+
+def garch_forecasts(book: DataFrame, folds: DataFrame, model_type: str = "GARCH(1,1)", horizon: int = 30, name: str | None = None) -> DataFrame:
     """One forecast row per window (F4's weaker bound only, no F5)."""
-    pos = return_positions(book_runs(book)).select("stock_id", "time_id", "pos", "second", "ret")
-    fn = _window_fn(name or model_type, model_type, horizon)
-    # the positions keep the (stock_id, time_id) partitioning of the book
-    # stage, so the grouped job adds no exchange; the fold is attached to the
-    # one-row-per-window result afterwards
-    fitted = pos.groupBy("stock_id", "time_id").applyInPandas(fn, PRED_SCHEMA)
-    return fitted.drop("fold").join(folds, "time_id").select(*PRED_SCHEMA_COLS)
+    windows = garch_windows(book, horizon)
+    fits = fit_windows(windows, model_type == "GJR-GARCH(1,1)")
+    done = forecasts_from_fits(fits, horizon).join(windows.drop("train"), ["stock_id", "time_id"]).join(folds, "time_id")
+    as_json = lambda c: F.concat(F.lit("["), F.array_join(c, ", "), F.lit("]"))
+    path = F.transform(F.coalesce("path", F.array().cast("array<double>")), lambda v: F.sqrt(v))
+    return done.select(
+        F.lit(name or model_type).alias("model"), F.lit(model_type).alias("model_type"), F.col("fold").cast("int").alias("fold"), "stock_id", "time_id",
+        F.coalesce("pred_var", F.lit(float("nan"))).alias("pred_var"), F.coalesce(F.sqrt("pred_var"), F.lit(float("nan"))).alias("pred_vol"),
+        "actual_var", F.sqrt("actual_var").alias("actual_vol"), F.lit(None).cast("double").alias("inference_ms"), F.lit("").alias("feature_cols"),
+        F.lit("garch_path").alias("prediction_kind"), as_json(F.col("seconds")).alias("forecast_seconds"), as_json(path).alias("forecast_vol_path"),
+    )
+
+
+def conditional_variances(eps: np.ndarray, theta: np.ndarray, s0: float) -> np.ndarray:
+    omega, alpha, beta, _ = theta
+    out, s = np.empty(len(eps)), s0
+    for t in range(len(eps)):
+        s = s if t == 0 else omega + alpha * eps[t - 1] ** 2 + beta * s
+        out[t] = s
+    return out
 
 
 def legacy_garch(series: DataFrame) -> DataFrame:
@@ -178,32 +229,25 @@ def legacy_garch(series: DataFrame) -> DataFrame:
     the last WAP across windows (in time_id order), conditional variance
     calibrated to ``log_rv_second`` by least squares on the first 80 %.
     Input: ``stock_id, time_id, last_wap, log_rv_second`` (one row per window).
-    Output: ``stock_id, time_id, y_true, y_pred, split``."""
+    Output: ``stock_id, time_id, y_true, y_pred, split``; a stock with too few
+    returns for a line is predicted by the mean of its training values.
+
+    The recursion runs along a stock's windows, so a stock is one group: two
+    numbers per window."""
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("time_id").reset_index(drop=True)
         ret = 100 * np.diff(np.log(pdf["last_wap"].to_numpy(dtype=float)))
         y = pdf["log_rv_second"].to_numpy(dtype=float)[1:]
-        tid = pdf["time_id"].to_numpy()[1:]
-        if len(ret) < 20:
-            return pd.DataFrame(columns=["stock_id", "time_id", "y_true", "y_pred", "split"])
-        eps = ret - ret.mean()
-        w, a, b, g = fit(eps, False)
-        s = backcast(eps)
-        var = np.empty(len(eps))
-        for t in range(len(eps)):
-            if t > 0:
-                s = w + a * eps[t - 1] ** 2 + b * s
-            var[t] = s
-        x = np.log(np.sqrt(np.maximum(var, 1e-12)))
-        n_tr = int(0.8 * len(x))
-        coef = np.polyfit(x[:n_tr], y[:n_tr], 1) if n_tr >= 2 else np.array([0.0, float(np.mean(y))])
-        pred = np.polyval(coef, x)
-        return pd.DataFrame({
-            "stock_id": pdf["stock_id"].iloc[0], "time_id": tid, "y_true": y, "y_pred": pred,
-            "split": np.where(np.arange(len(x)) < n_tr, "train", "test"),
-        })
-
-    return series.groupBy("stock_id").applyInPandas(
-        fn, "stock_id string, time_id bigint, y_true double, y_pred double, split string"
-    )
+        train = int(0.8 * len(ret))
+        pred = np.full(len(ret), float(np.mean(y[: max(train, 1)])) if len(y) else np.nan)
+        if train >= 2:
+            eps = ret - ret.mean()
+            n = np.array([len(eps)])
+            theta, _ = fit_rows(eps[None, :], n, False)
+            x = 0.5 * np.log(np.maximum(conditional_variances(eps, theta[0], float(backcast(eps[None, :], n)[0])), 1e-12))
+            if np.ptp(x[:train]) > 0:
+                pred = np.polyval(np.polyfit(x[:train], y[:train], 1), x)
+        return pd.DataFrame({"stock_id": pdf["stock_id"].iloc[0], "time_id": pdf["time_id"].to_numpy()[1:], "y_true": y, "y_pred": pred, "split": np.where(np.arange(len(ret)) < train, "train", "test")})
+
+    return series.groupBy("stock_id").applyInPandas(fn, "stock_id string, time_id bigint, y_true double, y_pred double, split string")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import EPS, MIN_PRED_VOL, PRED_VOL_FLOOR_QUANTILE
+from ..functions.quantiles import complement_quantile
 
 FINITE = "({c} IS NOT NULL AND NOT isnan({c}) AND abs({c}) < CAST('Infinity' AS DOUBLE))"
 
@@ -52,12 +53,9 @@ def loss_metrics(pred: DataFrame, keys: list[str], **kw) -> DataFrame:
 def fold_metrics(pred: DataFrame) -> DataFrame:
     """Per ``(model, fold)`` plus per ``model`` as fold 0, in one
     grouping-sets aggregate (fold-0 rows first when ordered)."""
-    pred.createOrReplaceTempView("_vs_pred_fm")
-    body = ", ".join(loss_exprs())
-    return pred.sparkSession.sql(
-        f"""SELECT CAST(CASE WHEN grouping(fold) = 1 THEN 0 ELSE fold END AS INT) AS fold, model, {body}
-            FROM _vs_pred_fm GROUP BY GROUPING SETS ((model), (model, fold))"""
-    )
+    sets = pred.groupingSets([["model"], ["model", "fold"]], "model", "fold")
+    rows = sets.agg(F.grouping("fold").alias("_all"), *[F.expr(e) for e in loss_exprs()])
+    return rows.withColumn("fold", F.expr("CAST(CASE WHEN _all = 1 THEN 0 ELSE fold END AS INT)")).drop("_all")
 
 
 # Metric names accepted by the named-metric API.
@@ -78,9 +76,10 @@ def named_metrics(pred: DataFrame, names=NAMED_METRICS, keys: list[str] | None =
     exprs = []
     for name in names:
         key = name.upper()
-        if key not in table:
-            raise ValueError(f"Performance Metric '{name}' is not supported.")
-        exprs.append(F.expr(f"{table[key]} AS {key}"))
+        formula = table.get(key)
+        if formula is None:
+            raise ValueError(f"unknown metric {name!r}; choose from {', '.join(NAMED_METRICS)}")
+        exprs.append(F.expr(f"{formula} AS {key}"))
     return pred.groupBy(*(keys or [])).agg(*exprs)
 
 
@@ -115,14 +114,14 @@ def baseline_predictions(features: DataFrame, folds: DataFrame, lookbacks=(30, 1
     )
 
 
-def vol_floor(train_vol: DataFrame, fold_col: str = "fold", vol_col: str = "target_vol", data_driven: bool = True) -> DataFrame:
-    """Per fold, ``max(q01(train vol), 0.001)`` (data-driven floor used
-    by the linear models) or the flat ``0.001``."""
-    if not data_driven:
-        return train_vol.select(fold_col).distinct().withColumn("vol_floor", F.lit(MIN_PRED_VOL))
-    return train_vol.groupBy(fold_col).agg(
-        F.expr(f"greatest(percentile({vol_col}, {PRED_VOL_FLOOR_QUANTILE}D), {MIN_PRED_VOL}D) AS vol_floor")
-    )
+def vol_floors(data: DataFrame, fold_col: str = "fold", vol_col: str = "target_vol", data_driven: bool = True) -> DataFrame:
+    """Per fold ``max(q01(vol of the other folds), 0.001)`` (the floor of
+    the linear models) or the flat ``0.001``; one row per fold."""
+    schema = f"{fold_col} int, vol_floor double"
+    if data_driven:
+        floors = complement_quantile(data.withColumn(fold_col, F.col(fold_col).cast("int")), fold_col, vol_col, PRED_VOL_FLOOR_QUANTILE)
+        return data.sparkSession.createDataFrame([(f, max(q, MIN_PRED_VOL)) for f, q in sorted(floors.items())], schema)
+    return data.select(F.col(fold_col).cast("int").alias(fold_col)).distinct().withColumn("vol_floor", F.lit(MIN_PRED_VOL))
 
 
 def mean_latency(pred: DataFrame, keys=("model",)) -> DataFrame:

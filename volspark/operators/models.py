@@ -1,42 +1,33 @@
-"""Volatility forecasters on the feature table.
+"""Volatility forecasters on the feature table.
 
 Every learner trains on ``target_vol = sqrt(target_var)`` and reports
-``pred_vol`` (floored, P13) and ``pred_var = pred_vol^2``.  The CV loop is a
-driver loop over (fold, model) -- configuration, not data -- on one persisted
-table of assembled vectors; every fit and prediction is an MLlib job.
-
-Scaling: MLlib's ``StandardScaler`` divides by the sample standard deviation;
-the linear penalties are defined on population-scaled inputs, so the scaled
-vectors are multiplied by ``sqrt(n / (n - 1))``.
-
-Ridge with leave-one-out choice of alpha (M6) uses sufficient statistics:
-one aggregate pass for X'X and X'y, the 25 candidate solutions on the driver
-(a d x d system, d <= 255), and one ``mapInPandas`` pass in which every
-partition adds up its exact leave-one-out residuals for all candidates.
+``pred_vol`` (floored, P13) and ``pred_var = pred_vol^2``.  The linear family
+and all principal components come from sufficient statistics
+(:mod:`.linear`): one pass gives the moments of every fold.  Trees are MLlib
+fits per fold on the fold's component scores; (fold, model) is configuration,
+so those fits are driven from a few threads.
+
+``inference_ms`` is null: a lazy plan has no per-row predict call to time.
 """
 
 from __future__ import annotations
 
-import time
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-import pandas as pd
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import (
-    DecisionTreeRegressor,
-    GBTRegressor,
-    LinearRegression,
-    RandomForestRegressor,
-)
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import HAR_COLUMNS, LINEAR_FLOOR_MODELS, MIN_PRED_VOL, PRED_VOL_FLOOR_QUANTILE, ModelSpec
+from ..config import HAR_COLUMNS, LINEAR_FLOOR_MODELS, MIN_PRED_VOL, PRED_VOL_FLOOR_QUANTILE, ModelSpec, columns_for_labels
+from ..functions.quantiles import complement_quantile
+from ..session import cut_lineage
+from . import linear as LN
 
-RIDGE_ALPHAS = np.logspace(-4, 4, 25)
+KEEP = ["stock_id", "time_id", "fold", "target_var", "target_vol"]
+#: MLlib's largest tree depth; stands in for "unlimited".
+DEEPEST = 30
 
 
 def usable_feature_list(usable: DataFrame) -> list[str]:
@@ -44,279 +35,213 @@ def usable_feature_list(usable: DataFrame) -> list[str]:
     return [r["column"] for r in usable.where("usable").orderBy("position").collect()]
 
 
-def _estimator(model_type: str, params: dict):
-    p = dict(params)
-    if model_type in ("Linear Regression", "HAR-RV"):
-        return LinearRegression(regParam=0.0, solver="normal", standardization=False)
-    if model_type == "LASSO":
-        return LinearRegression(
-            elasticNetParam=1.0, regParam=float(p.get("alpha", 0.01)), standardization=False,
-            maxIter=int(p.get("max_iter", 5000)), tol=1e-10,
-        )
-    if model_type == "Decision Tree":
-        return DecisionTreeRegressor(
-            maxDepth=int(p.get("max_depth", 6)), minInstancesPerNode=int(p.get("min_samples_leaf", 20)),
-            maxBins=256, seed=int(p.get("random_state", 42)),
-        )
-    if model_type == "Random Forest":
-        return RandomForestRegressor(
-            numTrees=int(p.get("n_estimators", 60)), featureSubsetStrategy="all",
-            maxDepth=int(p.get("max_depth", 15)), seed=int(p.get("random_state", 42)),
-        )
-    if model_type == "XGBoost":
-        return GBTRegressor(
-            maxIter=int(p.get("n_estimators", 180)), stepSize=float(p.get("learning_rate", 0.05)),
-            maxDepth=int(p.get("max_depth", 4)), subsamplingRate=float(p.get("subsample", 0.8)),
-            featureSubsetStrategy=str(p.get("colsample_bytree", 0.8)), seed=int(p.get("random_state", 42)),
-        )
-    raise ValueError(f"Unsupported estimator model type: {model_type}")
-
-
-def _prepare(train: DataFrame, cols: list[str], n_pca: int | None):
-    """Assembler -> StandardScaler -> population rescale [-> PCA]."""
-    n = train.count()
-    stages = [
-        VectorAssembler(inputCols=cols, outputCol="_raw", handleInvalid="keep"),
-        StandardScaler(inputCol="_raw", outputCol="_z", withMean=True, withStd=True),
-        ElementwiseProduct(
-            scalingVec=Vectors.dense([float(np.sqrt(n / max(n - 1, 1)))] * len(cols)), inputCol="_z", outputCol="_zp"
-        ),
-    ]
-    out = "_zp"
-    k = None
-    if n_pca is not None:
-        k = max(1, min(int(n_pca), len(cols), n))
-        stages.append(PCA(k=k, inputCol="_zp", outputCol="_pc"))
-        out = "_pc"
-    return Pipeline(stages=stages).fit(train), out, k, n
-
-
-def _ridge_fit(train_x: DataFrame, d: int) -> tuple[np.ndarray, float, float]:
-    """Exact leave-one-out RidgeCV (intercept, centred features)."""
-    arr = train_x.select(vector_to_array("x").alias("x"), "y")
-
-    def moments(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.vstack(pdf["x"].to_numpy())
-            y = pdf["y"].to_numpy()
-            yield pd.DataFrame({
-                "n": [float(len(y))], "sy": [float(y.sum())], "sx": [x.sum(0).tolist()],
-                "sxx": [(x.T @ x).ravel().tolist()], "sxy": [(x.T @ y).tolist()],
-            })
-
-    parts = arr.mapInPandas(moments, "n double, sy double, sx array<double>, sxx array<double>, sxy array<double>").collect()
-    # one row per partition: bounded by the partition count
-    n = sum(r["n"] for r in parts)
-    sx = np.sum([r["sx"] for r in parts], axis=0)
-    sxx = np.sum([r["sxx"] for r in parts], axis=0).reshape(d, d)
-    sxy = np.sum([r["sxy"] for r in parts], axis=0)
-    sy = sum(r["sy"] for r in parts)
-    mx, my = sx / n, sy / n
-    xtx = sxx - n * np.outer(mx, mx)
-    xty = sxy - n * mx * my
-    inverses = [np.linalg.inv(xtx + a * np.eye(d)) for a in RIDGE_ALPHAS]
-    coefs = [inv @ xty for inv in inverses]
-
-    def loo(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.vstack(pdf["x"].to_numpy()) - mx
-            y = pdf["y"].to_numpy() - my
-            errs = []
-            for inv, w in zip(inverses, coefs):
-                h = 1.0 / n + np.einsum("ij,jk,ik->i", x, inv, x)
-                e = (y - x @ w) / (1.0 - h)
-                errs.append(float(np.sum(e * e)))
-            yield pd.DataFrame([errs], columns=[f"a{i}" for i in range(len(RIDGE_ALPHAS))])
-
-    schema = ", ".join(f"a{i} double" for i in range(len(RIDGE_ALPHAS)))
-    totals = arr.mapInPandas(loo, schema).agg(*[F.sum(f"a{i}").alias(f"a{i}") for i in range(len(RIDGE_ALPHAS))]).first()
-    best = int(np.argmin([totals[f"a{i}"] for i in range(len(RIDGE_ALPHAS))]))
-    w = coefs[best]
-    return w, float(my - mx @ w), float(RIDGE_ALPHAS[best])
-
-
-def fit_predict_fold(data: DataFrame, spec: ModelSpec, cols: list[str], fold: int, n_pca: int | None):
-    """M18 body: fit ``spec`` on the other folds, predict ``fold``."""
-    train = data.where(F.col("fold") != fold)
-    test = data.where(F.col("fold") == fold)
-    prep, vec, k, n = _prepare(train, cols, n_pca)
-    tr = prep.transform(train).select(F.col(vec).alias("x"), F.col("target_vol").alias("y"))
-    te = prep.transform(test)
-    out_cols = [f"PC{i}" for i in range(1, k + 1)] if k is not None else cols
-    importance = None
-    if spec.model_type == "Ridge Regression":
-        w, b, _alpha = _ridge_fit(tr, len(out_cols))
-        coef = F.array(*[F.lit(float(v)) for v in w])
-        dot = F.aggregate(
-            F.arrays_zip(vector_to_array(F.col(vec)).alias("v"), coef.alias("c")), F.lit(float(b)),
-            lambda acc, z: acc + z["v"] * z["c"],
-        )
-        start = time.perf_counter()
-        scored = te.withColumn("_pred", dot)
-        importance = np.abs(w)
-    else:
-        est = _estimator(spec.model_type, spec.parameters).setFeaturesCol("x").setLabelCol("y").setPredictionCol("_pred")
-        model = est.fit(tr)
-        start = time.perf_counter()
-        scored = model.transform(te.withColumn("x", F.col(vec)))
-        if hasattr(model, "featureImportances"):
-            importance = model.featureImportances.toArray()
-        elif hasattr(model, "coefficients"):
-            importance = np.abs(model.coefficients.toArray())
-    if spec.model_type in LINEAR_FLOOR_MODELS:
-        q = train.agg(F.expr(f"percentile(sqrt(greatest(target_var, 0D)), {PRED_VOL_FLOOR_QUANTILE}D)")).first()[0]
-        floor = max(float(q), MIN_PRED_VOL)
-    else:
-        floor = MIN_PRED_VOL
-    n_test = max(test.count(), 1)
-    inference_ms = (time.perf_counter() - start) * 1000 / n_test
-    pred = scored.selectExpr(
-        f"'{spec.name}' AS model",
-        f"'{spec.model_type}' AS model_type",
-        f"CAST({fold} AS INT) AS fold",
-        "stock_id",
-        "time_id",
-        f"power(greatest(_pred, {floor}D), 2) AS pred_var",
-        f"greatest(_pred, {floor}D) AS pred_vol",
-        "target_var AS actual_var",
-        "target_vol AS actual_vol",
-        f"CAST({inference_ms} AS DOUBLE) AS inference_ms",
-        f"'{','.join(out_cols)}' AS feature_cols",
-        "'horizon_line' AS prediction_kind",
-        "'' AS forecast_seconds",
-        "'' AS forecast_vol_path",
-    )
-    imp = None
-    if importance is not None and len(importance) == len(out_cols):
-        spark = data.sparkSession
-        imp = spark.createDataFrame(
-            [(spec.name, fold, c, float(v)) for c, v in zip(out_cols, importance)],
-            "model string, fold int, feature string, importance double",
-        )
-    return pred, imp
-
-
-def choose_columns(spec: ModelSpec, available: list[str], mode: str, manual=()) -> list[str]:
-    if spec.model_type == "HAR-RV":
-        cols = [c for c in HAR_COLUMNS if c in available]
-        if cols:
-            return cols
-    if (spec.feature_mode or mode) == "Manual":
-        from ..config import resolve_feature_labels
-
-        return resolve_feature_labels(spec.manual_features or manual, available) or available
-    return available
-
-
-def run_models(features_with_fold: DataFrame, specs, cols: list[str], mode: str = "PCA", n_pca: int = 12,
-               parallelism: int = 4):
+#: Model type -> weights of the linear fit from its design and options.
+LINEAR_SOLVERS = {
+    "Linear Regression": lambda d, o: d.least_squares(),
+    "HAR-RV": lambda d, o: d.least_squares(),
+    "LASSO": lambda d, o: d.lasso(float(o.get("alpha", 0.01)), int(o.get("max_iter", 5000))),
+    "Ridge Regression": lambda d, o: d.ridge(o["chosen_alpha"]),
+}
+
+#: Model type -> MLlib tree learner; option names as in the model catalogue.
+TREE_LEARNERS = {
+    "Decision Tree": lambda o: DecisionTreeRegressor(maxDepth=o.get("max_depth", 6), minInstancesPerNode=o.get("min_samples_leaf", 20), maxBins=256),
+    "Random Forest": lambda o: RandomForestRegressor(numTrees=o.get("n_estimators", 60), maxDepth=min(o.get("max_depth") or DEEPEST, DEEPEST), featureSubsetStrategy="all"),
+    "XGBoost": lambda o: GBTRegressor(
+        maxIter=o.get("n_estimators", 180), stepSize=o.get("learning_rate", 0.05), maxDepth=o.get("max_depth", 4),
+        subsamplingRate=o.get("subsample", 0.8), featureSubsetStrategy=str(o.get("colsample_bytree", 0.8)),
+    ),
+}
+
+
+def feature_choice(spec: ModelSpec, available: list[str], mode: str, manual=()) -> list[str]:
+    """M2/M8: HAR-RV reads its own lags, manual models the labelled columns,
+    the others every usable column; an empty choice means every column too."""
+    wanted = list(HAR_COLUMNS) if spec.model_type == "HAR-RV" else []
+    if not set(wanted) & set(available) and (spec.feature_mode or mode) == "Manual":
+        wanted = columns_for_labels(spec.manual_features or manual, available)
+    chosen = [c for c in wanted if c in set(available)]
+    return chosen or available
+
+
+def _result(scored: DataFrame, spec: ModelSpec, floors: dict[int, float], columns: list[str]) -> DataFrame:
+    """D5 prediction rows from ``KEEP`` and a raw prediction ``raw``."""
+    floor = F.lit(MIN_PRED_VOL)
+    if spec.model_type in LINEAR_FLOOR_MODELS and floors:
+        by_fold = F.create_map(*[F.lit(v) for f, q in floors.items() for v in (int(f), float(max(q, MIN_PRED_VOL)))])
+        floor = F.coalesce(by_fold[F.col("fold").cast("int")], floor)
+    vol = F.greatest(F.col("raw"), floor)
+    return scored.select(
+        F.lit(spec.name).alias("model"), F.lit(spec.model_type).alias("model_type"), F.col("fold").cast("int").alias("fold"), "stock_id", "time_id",
+        (vol * vol).alias("pred_var"), vol.alias("pred_vol"), F.col("target_var").alias("actual_var"), F.col("target_vol").alias("actual_vol"),
+        F.lit(None).cast("double").alias("inference_ms"), F.lit(",".join(columns)).alias("feature_cols"), F.lit("horizon_line").alias("prediction_kind"),
+        F.lit("").alias("forecast_seconds"), F.lit("").alias("forecast_vol_path"),
+    )
+
+
+def _union(frames: list[DataFrame]) -> DataFrame | None:
+    out = None
+    for f in frames:
+        out = f if out is None else out.unionByName(f)
+    return out
+
+
+def run_models(features_with_fold: DataFrame, specs, cols: list[str], mode: str = "PCA", n_pca: int = 12, parallelism: int = 4, manual=()):
     """Every (fold, model) pair; returns (predictions, importance).
 
-    The (fold, model) fits are independent Spark jobs; like MLlib's
-    ``CrossValidator(parallelism=...)`` they are submitted from a few driver
-    threads so small fits do not queue behind each other."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    data = features_with_fold.persist()
-    folds = [r[0] for r in data.select("fold").distinct().orderBy("fold").collect()]  # <= n_folds rows
-    tasks = []
-    for fold in folds:
-        for spec in specs:
-            use = choose_columns(spec, cols, mode)
-            k = (spec.n_pca_components or n_pca) if (spec.feature_mode or mode) == "PCA" else None
-            tasks.append((spec, use, fold, k))
-    with ThreadPoolExecutor(max_workers=max(1, int(parallelism))) as pool:
-        results = list(pool.map(lambda t: fit_predict_fold(data, t[0], t[1], t[2], t[3]), tasks))
-    preds, imps = [], []
-    for p, i in results:
-        preds.append(p)
-        if i is not None:
-            imps.append(i)
-    pred = preds[0]
-    for p in preds[1:]:
-        pred = pred.unionByName(p)
-    imp = None
-    if imps:
-        imp = imps[0]
-        for i in imps[1:]:
-            imp = imp.unionByName(i)
-    return pred, imp
+    Models that share columns and component count share one set of moments."""
+    spark = features_with_fold.sparkSession
+    groups: dict[tuple, list[ModelSpec]] = {}
+    for spec in specs:
+        use = tuple(feature_choice(spec, cols, mode, manual))
+        k = (spec.n_pca_components or n_pca) if (spec.feature_mode or mode) == "PCA" else None
+        groups.setdefault((use, k), []).append(spec)
+    wide = cut_lineage(LN.as_rows(features_with_fold, cols, KEEP))
+    floors = complement_quantile(wide, "fold", "target_vol", PRED_VOL_FLOOR_QUANTILE)
+    predictions, importance = [], []
+    for (use, k), members in groups.items():
+        use = list(use)
+        at = [cols.index(c) for c in use]
+        rows = wide if use == cols else wide.select(*KEEP, F.transform(F.array(*[F.lit(i) for i in at]), lambda i: F.get("x", i)).alias("x"))
+        moments = LN.fold_moments(rows, len(use), "target_vol", "fold")
+        if not moments:
+            continue
+        total = None
+        for m in moments.values():
+            total = m if total is None else LN.Moments(total.n + m.n, total.s + m.s, total.ss + m.ss, m.shift)
+        designs = {f: LN.Design(total - m, k) for f, m in moments.items() if total.n > m.n}
+        names = use if k is None else [f"PC{i + 1}" for i in range(next(iter(designs.values())).basis.shape[1])] if designs else []
+        alphas = LN.ridge_penalties(rows, designs, len(use), "target_vol", "fold") if any(s.model_type == "Ridge Regression" for s in members) else {}
+        fitted = {}
+        for spec in members:
+            if spec.model_type in LINEAR_SOLVERS:
+                solve = LINEAR_SOLVERS[spec.model_type]
+                fitted[spec.name] = {f: (d, solve(d, {**spec.parameters, "chosen_alpha": alphas.get(f)})) for f, d in designs.items()}
+                importance += [(spec.name, f, c, float(abs(v))) for f, (_, w) in fitted[spec.name].items() for c, v in zip(names, w)]
+            elif spec.model_type not in TREE_LEARNERS:
+                raise ValueError(f"no learner is registered for model type {spec.model_type!r}; known: {sorted([*LINEAR_SOLVERS, *TREE_LEARNERS])}")
+        if fitted:
+            scored = LN.predict(rows, KEEP, len(use), "fold", fitted)
+            predictions += [_result(scored.where(F.col("model") == s.name), s, floors, names) for s in members if s.name in fitted]
+
+        def tree_fold(task, rows=rows, width=len(use), designs=designs, names=names):
+            fold, specs_ = task
+            data = cut_lineage(LN.component_scores(rows, KEEP, width, designs[fold])).withColumn("x", array_to_vector("t"))
+            out = []
+            for spec in specs_:
+                learner = TREE_LEARNERS[spec.model_type](spec.parameters).setFeaturesCol("x").setLabelCol("target_vol").setPredictionCol("raw").setSeed(int(spec.parameters.get("random_state", 42)))
+                model = learner.fit(data.where(F.col("fold") != fold))
+                weights = model.featureImportances.toArray()
+                out.append((_result(model.transform(data.where(F.col("fold") == fold)), spec, floors, names), [(spec.name, fold, c, float(v)) for c, v in zip(names, weights)]))
+            return out
+
+        trees = [s for s in members if s.model_type in TREE_LEARNERS]
+        if trees:
+            with ThreadPoolExecutor(max_workers=max(1, int(parallelism))) as pool:
+                for done in pool.map(tree_fold, [(f, trees) for f in designs]):
+                    for frame, weights in done:
+                        predictions.append(frame)
+                        importance += weights
+    imp = spark.createDataFrame(importance, "model string, fold int, feature string, importance double") if importance else None
+    return _union(predictions), imp
 
 
 def pca_variance(features: DataFrame, cols: list[str], k: int) -> DataFrame:
     """M3: explained-variance ratios of the pooled, mean-imputed, standardised
     usable features (component, explained_variance_ratio)."""
-    means = features.agg(*[F.avg(c).alias(c) for c in cols]).first().asDict()
-    filled = features.select(*[F.coalesce(F.col(c), F.lit(means[c] if means[c] is not None else 0.0)).alias(c) for c in cols])
-    k = max(1, min(int(k), len(cols)))
-    prep, _vec, kk, _n = _prepare(filled, cols, k)
-    pca_model = prep.stages[-1]
-    spark = features.sparkSession
-    ratios = pca_model.explainedVariance.toArray().tolist()
-    return spark.createDataFrame([(f"PC{i + 1}", float(r)) for i, r in enumerate(ratios)], "component string, explained_variance_ratio double")
+    rows = LN.as_rows(features, cols, [])
+    moments = LN.fold_moments(rows, len(cols))
+    ratios: list[float] = []
+    if moments:
+        c = moments[0].centred
+        sd = np.sqrt(np.maximum(np.diag(c), 0))
+        corr = c / np.outer(np.where(sd > 0, sd, 1), np.where(sd > 0, sd, 1))
+        values, _ = LN.principal(corr, max(1, min(int(k), len(cols))))
+        ratios = (values / max(np.trace(corr), 1e-300)).tolist()
+    return features.sparkSession.createDataFrame([(f"PC{i + 1}", float(r)) for i, r in enumerate(ratios)], "component string, explained_variance_ratio double")
 
 
 def stock_pca_map(features: DataFrame, cols: list[str]) -> DataFrame:
     """M4: per-stock mean features -> drop constant -> impute -> scale -> PCA
     with ``min(stocks, features)`` components; one row per stock."""
-    per = features.groupBy("stock_id").agg(*[F.avg(c).alias(c) for c in cols])
-    stats = per.agg(*[F.countDistinct(c).alias(c) for c in cols]).first().asDict()  # one row
-    keep = [c for c in cols if (stats[c] or 0) > 1]
-    n_stocks = per.count()
-    if n_stocks < 2 or len(keep) < 2:
+    per = cut_lineage(features.groupBy("stock_id").agg(*[F.avg(c).alias(c) for c in cols]))
+    span = per.agg(F.count(F.lit(1)).alias("_n"), *[F.expr(f"min(`{c}`) < max(`{c}`)").alias(c) for c in cols]).first()  # one row
+    keep = [c for c in cols if span[c]]
+    if span["_n"] < 2 or len(keep) < 2:
         return features.sparkSession.createDataFrame([], "stock_id string")
-    means = per.agg(*[F.avg(c).alias(c) for c in keep]).first().asDict()
-    filled = per.select("stock_id", *[F.coalesce(F.col(c), F.lit(means[c])).alias(c) for c in keep])
-    k = min(n_stocks, len(keep))
-    prep, vec, kk, _ = _prepare(filled, keep, k)
-    out = prep.transform(filled).select("stock_id", vector_to_array(vec).alias("_v"))
-    return out.select("stock_id", *[F.col("_v")[i].alias(f"PC{i + 1}") for i in range(kk)])
+    rows = LN.as_rows(per, keep, ["stock_id"])
+    moments = LN.fold_moments(rows, len(keep))[0]
+    # a design without target: the target column is zero
+    d = len(keep)
+    padded = LN.Moments(moments.n, np.append(moments.s, 0.0), np.pad(moments.ss, ((0, 1), (0, 1))), np.append(moments.shift, 0.0))
+    k = min(int(span["_n"]), d)
+    out = LN.component_scores(rows, ["stock_id"], d, LN.Design(padded, k))
+    return out.select("stock_id", *[F.col("t")[i].alias(f"PC{i + 1}") for i in range(k)])
 
 
 # Explicit penalty grids for the cross-validated legacy models
 # (the original relied on library default grids).
-LEGACY_LASSO_GRID = (1e-3, 1e-2, 1e-1)
 LEGACY_RIDGE_GRID = (1e-1, 1.0, 10.0)
+LEGACY_LASSO_PENALTIES = 100
+
+
+def _cross_validated(moments: dict[int, LN.Moments], candidates, fit) -> float:
+    """The candidate with the least mean squared error over the CV folds, from
+    moments alone: the error of weights on a fold is a quadratic form."""
+    total = None
+    for m in moments.values():
+        total = m if total is None else LN.Moments(total.n + m.n, total.s + m.s, total.ss + m.ss, m.shift)
+    errors = np.zeros(len(candidates))
+    for m in moments.values():
+        design = LN.Design(total - m, None)
+        shift = m.shift
+        for i, c in enumerate(candidates):
+            slope = fit(design, c) / design.scale
+            # residual = (y - y0) - slope . (x - x0), with y0, x0 the training means
+            v = np.append(-slope, 1.0)
+            off = v @ (shift - np.append(design.mean, design.y_mean))
+            errors[i] += v @ m.ss @ v + 2 * off * (v @ m.s) + off * off * m.n
+    return candidates[int(np.argmin(errors))]
 
 
 def legacy_zoo(data: DataFrame, feature_cols: list[str], label: str = "log_rv_second", group: str = "cluster"):
-    """M15 (re-aimed): per group (cluster), temporal split on ``split``,
-    fit MLR, cross-validated LASSO / ridge (5-fold ``CrossValidator`` over
-    explicit grids), a depth-6 tree and a 200-tree forest; returns test-set
-    predictions ``(group, model, stock_id, time_id, y_true, y_pred)``."""
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-
-    assembled = VectorAssembler(inputCols=feature_cols, outputCol="features", handleInvalid="skip").transform(
-        data.withColumn("label", F.col(label))
-    ).persist()
-    groups = [r[0] for r in assembled.select(group).distinct().orderBy(group).collect()]  # few clusters
+    """M15 (re-aimed): per group, temporal split on ``split``: least squares,
+    5-fold cross-validated LASSO (100 penalties down from the one that empties
+    the model) and ridge, a depth-6 tree, a 200-tree forest and two boosted
+    tree configurations; returns test-set predictions ``(group, model,
+    stock_id, time_id, y_true, y_pred)``.  Rows with a missing feature or label
+    are an error."""
+    keep = [group, "stock_id", "time_id", "split", "label", "cv"]
+    rows = cut_lineage(LN.as_rows(data.withColumn("label", F.col(label).cast("double")).withColumn("cv", F.pmod(F.xxhash64("stock_id", "time_id"), F.lit(5)).cast("int")), feature_cols, keep))
+    bad = rows.where(F.col("label").isNull() | F.exists("x", lambda v: F.isnan(v))).count()
+    if bad:
+        raise ValueError(f"{bad} rows lack a feature or the label; impute or drop them before fitting")
+    d = len(feature_cols)
     out = []
-    for g in groups:
-        train = assembled.where((F.col(group) == g) & (F.col("split") == "train"))
-        test = assembled.where((F.col(group) == g) & (F.col("split") == "test"))
-        lasso = LinearRegression(elasticNetParam=1.0, maxIter=1000, tol=1e-6)
-        ridge = LinearRegression(elasticNetParam=0.0, solver="normal")
-        ev = RegressionEvaluator(metricName="rmse")
-        models = {
-            "MLR": LinearRegression(solver="normal"),
-            "Lasso": CrossValidator(estimator=lasso, evaluator=ev, numFolds=5, seed=42, parallelism=4,
-                                    estimatorParamMaps=ParamGridBuilder().addGrid(lasso.regParam, list(LEGACY_LASSO_GRID)).build()),
-            "Ridge": CrossValidator(estimator=ridge, evaluator=ev, numFolds=5, seed=42, parallelism=4,
-                                    estimatorParamMaps=ParamGridBuilder().addGrid(ridge.regParam, list(LEGACY_RIDGE_GRID)).build()),
+    for g in [r[0] for r in rows.select(group).distinct().orderBy(group).collect()]:  # few clusters
+        own = rows.where(F.col(group) == g)
+        train, test = own.where("split = 'train'"), own.where("split = 'test'")
+        folds = LN.fold_moments(train, d, "label", "cv")
+        if not folds:
+            continue
+        total = None
+        for m in folds.values():
+            total = m if total is None else LN.Moments(total.n + m.n, total.s + m.s, total.ss + m.ss, m.shift)
+        design = LN.Design(total, None)
+        top = float(np.abs(design.xy).max() / design.n)
+        grid = list(np.geomspace(top, top * 1e-3, LEGACY_LASSO_PENALTIES)) if top > 0 else [0.0]
+        lasso = _cross_validated(folds, grid, lambda s, a: s.lasso(a, 1000, 1e-7))
+        ridge = _cross_validated(folds, list(LEGACY_RIDGE_GRID), lambda s, a: s.ridge(a))
+        linear = {"MLR": design.least_squares(), "Lasso": design.lasso(lasso), "Ridge": design.ridge(ridge)}
+        scored = LN.predict(test.withColumn("one", F.lit(0)), [*keep, "one"], d, "one", {n: {0: (design, w)} for n, w in linear.items()})
+        out.append(scored.selectExpr(group, "model", "stock_id", "time_id", "label AS y_true", "raw AS y_pred"))
+        learners = {
             "DT": DecisionTreeRegressor(maxDepth=6, seed=42),
-            "RF": RandomForestRegressor(numTrees=200, maxDepth=15, featureSubsetStrategy="onethird", seed=42),
+            "RF": RandomForestRegressor(numTrees=200, maxDepth=DEEPEST, featureSubsetStrategy="all", seed=42),
+            "XGB": GBTRegressor(maxIter=100, maxDepth=6, stepSize=0.3, seed=42),
+            "LGBM": GBTRegressor(maxIter=100, maxDepth=5, stepSize=0.1, minInstancesPerNode=20, maxBins=255, seed=42),
         }
-        for name, est in models.items():
-            fitted = est.fit(train)
-            out.append(fitted.transform(test).selectExpr(
-                f"{group}", f"'{name}' AS model", "stock_id", "time_id", "label AS y_true", "prediction AS y_pred"
-            ))
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    return res
+        fit_on, ask = (x.withColumn("features", array_to_vector("x")) for x in (train, test))
+        for name, est in learners.items():
+            out.append(est.fit(fit_on).transform(ask).select(group, F.lit(name).alias("model"), "stock_id", "time_id", F.col("label").alias("y_true"), F.col("prediction").alias("y_pred")))
+    return _union(out)

@@ -424,9 +424,7 @@ SELECT fold, """ + R("greatest(quantile_cont(target_vol, 0.01), 0.001)", "vol_fl
 def q_vol_floor_by_fold(spark, sf):
     f = stored(spark, sf)
     folds = fold_tab(f)
-    ids = folds.select("fold").distinct().withColumnRenamed("fold", "test_fold")
-    train = ids.join(folds, F.col("fold") != F.col("test_fold")).join(f, "time_id")
-    return ME.vol_floor(train.select(F.col("test_fold").alias("fold"), "target_vol"))
+    return ME.vol_floors(f.join(folds, "time_id").select("fold", "target_vol"))
 
 
 @register(
