@@ -1,7 +1,7 @@
 """SentencePiece encoding by sampled segmentations, and lossless decoding.
 
-A text is cut into chunks before each blank (which becomes the word mark) and
-around newlines.
+A text is cut into chunks where no piece can cross: before each blank (which
+becomes the word mark), around newlines, between a letter and most marks.
 Over the piece lattice of a chunk, forward filtering gives the total weight of
 all segmentations of every prefix; backward sampling then draws one whole
 segmentation in proportion to its weight, from the end, piece by piece.  The
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
 import zlib
 from array import array
 
@@ -36,7 +37,7 @@ from volspark.llm.common import small, texts_of
 
 MARK = "▁"
 LITERAL = "\ud800"
-CHUNK = re.compile(f"\n|{MARK}[^{MARK}\n]*|[^{MARK}\n]+")
+LETTER = r"[^\W\d_]"
 SCHEMA = "doc_id long, n_pieces long, n_bytes long, ids_crc32 long, text_sha256 string, lossless boolean"
 
 
@@ -78,6 +79,19 @@ class Pieces:
             at = np.argsort(h)
             self.starts.append((h[at], np.array([self.ids.get(x, -1) for x in own], np.int32)[at]))
 
+        # no piece holds a newline, a blank within, or a letter followed by one
+        # of these marks: cutting there leaves the lattice as it is
+        within = {b for x in self.ids for a, b in zip(x, x[1:]) if re.match(LETTER, a)}
+        marks = "".join(re.escape(c) for c in string.punctuation if c not in within)
+        before_mark = f"{MARK}?{LETTER}++(?=[{marks}])|" if marks else ""
+        self.chunk = re.compile(f"\n|{before_mark}{MARK}[^{MARK}\n]*|[^{MARK}\n]+")
+
+    def chunks_of(self, text: str) -> list[str]:
+        """The text cut before each blank, around newlines and between a letter
+        and a mark.  Blanks are word marks; a literal word mark is a lone
+        surrogate, which neither texts nor pieces hold."""
+        return self.chunk.findall(text.replace(MARK, LITERAL).replace(" ", MARK))
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The UTF-8 text of a piece sequence."""
         n = self.size[ids]
@@ -109,7 +123,7 @@ class Lattices:
     of ``cum`` (cumulative probability), ``piece`` (below 0: a character to be
     spelled in bytes) and ``length`` (characters, so the state to go on from)."""
 
-    def __init__(self, pieces: Pieces, most: int = 8_000_000):
+    def __init__(self, pieces: Pieces, most: int = 16_000_000):
         self.pieces, self.most = pieces, most
         self.clear()
 
@@ -203,13 +217,6 @@ def uniforms(keys: np.ndarray, place: np.ndarray, draw: int) -> np.ndarray:
     return (z >> np.uint64(11)).astype(np.float64) * 2.0**-53
 
 
-def chunks_of(text: str) -> list[str]:
-    """The text cut before each blank and around each newline, neither of which
-    a piece holds within.  Blanks are word marks; a literal word mark is a lone
-    surrogate, which neither texts nor pieces hold."""
-    return CHUNK.findall(text.replace(MARK, LITERAL).replace(" ", MARK))
-
-
 class Sampler:
     def __init__(self, model_file: str, alpha: float = 1.0):
         self.pieces = Pieces(model_file, alpha)
@@ -228,7 +235,7 @@ class Sampler:
             lo = hi
 
     def _some(self, texts, keys, seed):
-        parts = [chunks_of(t) if t else [] for t in texts]
+        parts = [self.pieces.chunks_of(t) if t else [] for t in texts]
         count = np.array([len(x) for x in parts], np.int64)
         chunks = [c for x in parts for c in x]
         if not chunks:
