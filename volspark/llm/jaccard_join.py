@@ -49,6 +49,7 @@ SKETCH_BITS = 18
 CELL = 4096
 LEAF = 16
 MULT = np.uint64(0x9E3779B97F4A7C15)
+UNBOUNDED = np.int32(2**31 - 1)
 
 
 def shingles(text: bytes) -> np.ndarray:
@@ -82,7 +83,7 @@ def packed(counts: np.ndarray, kind) -> bytes:
 
 def unpacked(blob: bytes, kind) -> np.ndarray:
     x = np.frombuffer(blob, kind)
-    return np.where(x == np.iinfo(kind).max, 1 << 40, x.astype(np.int64))
+    return np.where(x == np.iinfo(kind).max, UNBOUNDED, x.astype(np.int32))
 
 
 def fine_groups(n: int) -> int:
@@ -216,36 +217,40 @@ class Tree:
             cut = np.arange(0, len(low), LEAF)
             self.levels.append((np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut), np.maximum.reduceat(top, cut, axis=0)))
 
-    def close(self, level: int, i: np.ndarray, j: np.ndarray, slice_: int = 200_000) -> np.ndarray:
+    def close(self, level: int, i: np.ndarray, j: np.ndarray, together: int = 20_000) -> np.ndarray:
         """Which pairs of boxes may hold a linked pair."""
         low, high, top = self.levels[level]
-        ok = np.zeros(len(i), bool)
-        for s in range(0, len(i), slice_):
-            a, b = i[s : s + slice_], j[s : s + slice_]
-            fits = (4 * high[a] >= 3 * low[b]) & (4 * high[b] >= 3 * low[a])
-            a, b = a[fits], b[fits]
-            part = np.zeros(len(fits), bool)
-            part[fits] = enough(np.minimum(top[a], top[b]).sum(axis=1), low[a], low[b])
-            ok[s : s + slice_] = part
+        ok = (4 * high[i] >= 3 * low[j]) & (4 * high[j] >= 3 * low[i])
+        fits = np.flatnonzero(ok)
+        for s in range(0, len(fits), together):
+            at = fits[s : s + together]
+            a, b = i[at], j[at]
+            ok[at] = enough(np.minimum(top[a], top[b]).sum(axis=1, dtype=np.int64), low[a], low[b])
         return ok
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of all pairs of points whose bound allows a link."""
-        level = len(self.levels) - 1
-        m = len(self.levels[level][0])
-        i, j = np.triu_indices(m)
-        while True:
+    def pairs(self, together: int = 2000) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of all pairs of points whose bound allows a link; depth
+        first, at most ``together`` pairs of boxes are opened at a time."""
+        last = len(self.levels) - 1
+        open_ = [(last, *np.triu_indices(len(self.levels[last][0])))]
+        a, b = np.divmod(np.arange(LEAF * LEAF), LEAF)
+        found = [(np.zeros(0, int), np.zeros(0, int))]
+        while open_:
+            level, i, j = open_.pop()
+            if len(i) > together and level:
+                open_ += [(level, i[s : s + together], j[s : s + together]) for s in range(0, len(i), together)]
+                continue
             ok = self.close(level, i, j)
             i, j = i[ok], j[ok]
             if level == 0:
                 keep = i < j
-                return self.at[i[keep]], self.at[j[keep]]
-            level -= 1
-            m = len(self.levels[level][0])
-            a, b = np.divmod(np.arange(LEAF * LEAF), LEAF)
-            i, j = (i[:, None] * LEAF + a).ravel(), (j[:, None] * LEAF + b).ravel()
-            keep = (i < m) & (j < m) & (i <= j)
-            i, j = i[keep], j[keep]
+                found.append((self.at[i[keep]], self.at[j[keep]]))
+            elif len(i):
+                m = len(self.levels[level - 1][0])
+                i, j = (i[:, None] * LEAF + a).ravel(), (j[:, None] * LEAF + b).ravel()
+                keep = (i < m) & (j < m) & (i <= j)
+                open_.append((level - 1, i[keep], j[keep]))
+        return tuple(np.concatenate(x) for x in zip(*found))
 
     def neighbours(self) -> tuple[np.ndarray, np.ndarray]:
         """Consecutive points in leaf order whose bound allows a link."""
@@ -313,7 +318,7 @@ def _between(t: pa.Table) -> pa.Table:
 
 def _fold(x: np.ndarray, groups: int) -> np.ndarray:
     """A finer point as one of fewer groups (both counts are powers of two)."""
-    return x.reshape(-1, groups).sum(axis=0)
+    return x.reshape(-1, groups).sum(axis=0, dtype=np.int64)
 
 
 def _test_pairs(pairs: DataFrame, values: DataFrame, test) -> DataFrame:
@@ -335,7 +340,7 @@ def _fine_bound(s: bytes, t: bytes) -> bool:
     x, y = unpacked(s, np.uint8), unpacked(t, np.uint8)
     g = min(len(x), len(y))
     x, y = _fold(x, g), _fold(y, g)
-    return bool(enough(int(np.minimum(x, y).sum()), int(x.sum()), int(y.sum()))) or max(x.max(), y.max()) >= 1 << 40
+    return bool(enough(int(np.minimum(x, y).sum()), int(x.sum()), int(y.sum()))) or max(x.max(), y.max()) >= UNBOUNDED
 
 
 def _similar(s: bytes, t: bytes) -> bool:
