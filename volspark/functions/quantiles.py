@@ -75,3 +75,29 @@ def complement_quantile(df: DataFrame, fold: str, value: str, q: float) -> dict:
     for r in got:
         out[r["for_fold"]] += r["_v"] * (1.0 - abs(place[r["for_fold"]] - r["rank"]))
     return out
+
+
+def ranked_in_group(df: DataFrame, group: str, order: str) -> DataFrame:
+    """``df`` with ``_r``, the 1-based rank of the row in its group by ``order``
+    (ties in any order), and ``_n``, the group's size -- without a window over
+    a whole group: a large group is spread over range partitions."""
+    ranged = df.repartitionByRange(F.col(group), F.col(order)).sortWithinPartitions(group, order)
+    place = F.monotonically_increasing_id()
+    rows = cut_lineage(ranged.select("*", F.shiftright(place, 33).cast("int").alias("_pid"), place.bitwiseAND(F.lit((1 << 33) - 1)).alias("_local")))
+    parts = rows.groupBy(group, "_pid").agg(F.min("_local").alias("_lo"), F.count(F.lit(1)).alias("_c"))
+    per = Window.partitionBy(group)
+    parts = parts.select(group, "_pid", "_lo", (F.sum("_c").over(per.orderBy("_pid")) - F.col("_c")).alias("_off"), F.sum("_c").over(per).alias("_n"))
+    return rows.join(parts, [group, "_pid"]).withColumn("_r", F.col("_off") + F.col("_local") - F.col("_lo") + 1).select(*df.columns, "_r", "_n")
+
+
+def in_blocks(df: DataFrame, group: str, order: str, halo: int, block: int = 4096) -> DataFrame:
+    """``df`` with ``_block`` and ``_own``: each group cut into blocks of rows
+    consecutive in ``order``; the last ``halo`` rows of a block also stand, not
+    own, at the head of the next one.  A window over ``(group, _block)`` that
+    looks at most ``halo`` rows back is then right on the own rows, and no task
+    holds more than a block of a large group."""
+    ranked = ranked_in_group(df, group, order)
+    at = F.floor((F.col("_r") - 1) / block).cast("long")
+    tail = (F.col("_r") - 1) % block >= block - halo
+    copies = F.explode(F.when(tail, F.array(at, at + 1)).otherwise(F.array(at))).alias("_block")
+    return ranked.select(*df.columns, at.alias("_home"), copies).select(*df.columns, "_block", (F.col("_home") == F.col("_block")).alias("_own"))

@@ -38,26 +38,19 @@ def window_spec():
 
 
 def collapse_copies(book: DataFrame) -> DataFrame:
-    """Pack each window's distinct rows: ``groupBy(stock_id, time_id)`` with
-    ``collect_set`` runs map-side first, so exact copies of book rows collapse
-    before the shuffle, and the shuffle it needs is the ``(stock_id,
-    time_id)`` one the window stage uses anyway.  Seconds outside ``0..599``
+    """The smallest row of each second of each window, as ``_row``: one row of
+    state per second, and the minimum runs map-side first, so copies collapse
+    before the shuffle however many a window has.  Seconds outside ``0..599``
     are dropped like a reindex would."""
     in_grid = book.where(F.col(SEC).between(0, SECONDS_PER_WINDOW - 1) & F.col("time_id").isNotNull())
-    fields = ", ".join([SEC, *BOOK_VALUE_COLUMNS])
-    return in_grid.groupBy(*KEYS).agg(F.expr(f"collect_set(struct({fields})) AS _rows"))
+    return in_grid.groupBy(*KEYS, SEC).agg(F.min(F.struct(*BOOK_VALUE_COLUMNS)).alias("_row"))
 
 
 def dedupe_seconds(book: DataFrame) -> DataFrame:
     """One row per second -- the smallest under a total order of all book
     columns, so the choice is deterministic (the original kept an arbitrary
-    one).  Output stays hash-partitioned by ``(stock_id, time_id)`` and sorted
-    by second within each window."""
-    rows = collapse_copies(book).selectExpr(*KEYS, "inline(_rows)")
-    order = ", ".join(BOOK_VALUE_COLUMNS)
-    return rows.selectExpr(
-        "*", f"row_number() OVER (PARTITION BY stock_id, time_id, {SEC} ORDER BY {order}) AS _rn"
-    ).where("_rn = 1").drop("_rn")
+    one)."""
+    return collapse_copies(book).select(*KEYS, SEC, "_row.*")
 
 
 def weighted_price(b1, a1, b2, a2, bs1, as1, bs2, as2):

@@ -4,9 +4,14 @@ M21).  Cluster labels are a small table ``(stock_id, cluster)`` joined on
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.quantiles import group_quantiles, in_blocks
+from ..session import cut_lineage
+from . import linear as LN
+
 BEHAVIOUR = ["mean_rv", "std_rv", "skew_rv", "kurt_rv", "rv_autocorr", "p90_rv", "mean_rel_spread", "std_rel_spread", "mean_imbalance"]
 
 
@@ -28,15 +33,15 @@ def behaviour(rv: DataFrame, legacy: DataFrame) -> DataFrame:
     (sample std, bias-corrected skew/kurtosis, lag-1 autocorrelation over
     ``time_id`` order, exact 90th percentile) and first-half spread and
     imbalance means."""
-    w = "PARTITION BY stock_id ORDER BY time_id"
-    lagged = rv.selectExpr("*", f"lag(rv) OVER ({w}) AS rv_prev")
+    w = "PARTITION BY stock_id, _block ORDER BY time_id"
+    lagged = in_blocks(rv, "stock_id", "time_id", 1).selectExpr("*", f"lag(rv) OVER ({w}) AS rv_prev").where("_own")
     g = lagged.groupBy("stock_id").agg(
         F.expr("avg(rv) AS mean_rv"), F.expr("stddev_samp(rv) AS std_rv"), F.expr("count(rv) AS _n"),
         F.expr("skewness(rv) AS _g1"), F.expr("kurtosis(rv) AS _g2"), F.expr("var_pop(rv) AS _v"),
         F.expr("CASE WHEN count(rv_prev) > 1 AND stddev_pop(rv_prev) > 0 AND stddev_pop(CASE WHEN rv_prev IS NOT NULL THEN rv END) > 0 "
                "THEN covar_pop(rv_prev, CASE WHEN rv_prev IS NOT NULL THEN rv END) / (stddev_pop(rv_prev) * stddev_pop(CASE WHEN rv_prev IS NOT NULL THEN rv END)) END AS rv_autocorr"),
-        F.expr("percentile(rv, 0.9D) AS p90_rv"),
     )
+    g = g.join(group_quantiles(rv, ["stock_id"], "rv", {"p90_rv": 0.9}), "stock_id", "left")
     spread = legacy.groupBy("stock_id").agg(
         F.expr("avg(mean_rel_spread) AS mean_rel_spread"), F.expr("avg(std_rel_spread) AS std_rel_spread"),
         F.expr("avg(mean_imbalance) AS mean_imbalance"),
@@ -102,14 +107,14 @@ def loss_quartiles(stock_losses: DataFrame, labels: DataFrame, metric: str) -> D
 
 
 def kmeans_silhouette(feats: DataFrame, ks=range(2, 7)) -> DataFrame:
-    """M20 (re-aimed): k-means for k = 2..6 on standardised behaviour, with
-    MLlib's squared-Euclidean silhouette per k."""
+    """M20 (re-aimed): k-means for k = 2..6 on standardised behaviour (a missing
+    value counts as the mean, so no stock is left out), with MLlib's
+    squared-Euclidean silhouette per k."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.evaluation import ClusteringEvaluator
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
+    from pyspark.ml.functions import array_to_vector
 
-    vec = VectorAssembler(inputCols=BEHAVIOUR, outputCol="_raw", handleInvalid="skip").transform(feats)
-    z = StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True).fit(vec).transform(vec)
+    z = cut_lineage(_components(feats, None)).withColumn("features", array_to_vector("t"))
     n = z.count()
     rows = []
     for k in ks:
@@ -137,12 +142,18 @@ def silhouette_given(feats: DataFrame, labels: DataFrame) -> DataFrame:
     return s.agg(F.expr("avg(s) AS silhouette"))
 
 
+def _components(feats: DataFrame, k: int | None) -> DataFrame:
+    """``stock_id, t``: standardised behaviour, or its ``k`` leading components."""
+    rows, d = LN.as_rows(feats, BEHAVIOUR, ["stock_id"]), len(BEHAVIOUR)
+    found = LN.fold_moments(rows, d)
+    if not found:
+        return rows.select("stock_id", F.col("x").alias("t"))
+    m = found[0]
+    padded = LN.Moments(m.n, np.append(m.s, 0.0), np.pad(m.ss, ((0, 1), (0, 1))), np.append(m.shift, 0.0))
+    return LN.component_scores(rows, ["stock_id"], d, LN.Design(padded, k))
+
+
 def pca_2d(feats: DataFrame) -> DataFrame:
     """Two principal components of the standardised behaviour."""
-    from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
-    vec = VectorAssembler(inputCols=BEHAVIOUR, outputCol="_raw", handleInvalid="skip").transform(feats)
-    z = StandardScaler(inputCol="_raw", outputCol="_z", withMean=True, withStd=True).fit(vec).transform(vec)
-    model = PCA(k=2, inputCol="_z", outputCol="_pc").fit(z)
-    return model.transform(z).select("stock_id", vector_to_array("_pc")[0].alias("PC1"), vector_to_array("_pc")[1].alias("PC2"))
+    t = _components(feats, 2)
+    return t.select("stock_id", F.get("t", F.lit(0)).alias("PC1"), F.get("t", F.lit(1)).alias("PC2"))

@@ -47,34 +47,34 @@ def json_list(col: str, element: str = "double") -> str:
 
 
 def prediction_curves(series: DataFrame, pred: DataFrame) -> DataFrame:
-    """J18 + J19: horizon lines repeat ``pred_vol`` over the held-out seconds
-    (an equi join on the window); GARCH paths zip their JSON seconds and
-    volatilities, preceded by an anchor at the last observed point."""
-    keys = KEYS
-    held = series.where("segment = 'heldout_actual'").select(*keys, "seconds_in_bucket")
-    lines = pred.where(
-        "coalesce(prediction_kind, 'horizon_line') <> 'garch_path' AND pred_vol IS NOT NULL AND NOT isnan(pred_vol)"
-        " AND abs(pred_vol) < double('inf')"
-    ).select(*keys, "model", "model_type", "pred_vol")
-    horizon = lines.join(held, keys).selectExpr(
-        *keys, "model", "model_type", "seconds_in_bucket", "pred_vol", "'horizon_line' AS prediction_kind"
+    """J18 + J19: horizon lines repeat ``pred_vol`` over the held-out seconds;
+    GARCH paths zip their JSON seconds and volatilities, preceded by an anchor
+    at the last observed point.  The series is read once: a window becomes one
+    row with its held-out seconds (at most the horizon) and its anchor, and
+    one join on the window serves both kinds of forecast."""
+    point = F.struct(F.col("seconds_in_bucket"), F.col("realized_vol").alias("pred_vol"))
+    observed = F.when(F.col("segment") == "observed", point)
+    windows = series.groupBy(*KEYS).agg(
+        F.array_sort(F.collect_list(F.when(F.col("segment") == "heldout_actual", F.col("seconds_in_bucket")))).alias("_held"),
+        F.max(observed).alias("_anchor"),
     )
-    paths = pred.where("prediction_kind = 'garch_path'").selectExpr(
-        *keys, "model", "model_type",
-        f"{json_list('forecast_seconds', 'int')} AS _s",
-        f"{json_list('forecast_vol_path')} AS _v",
-    ).where("size(_s) > 0 AND size(_v) > 0")
-    points = paths.selectExpr(*keys, "model", "model_type", "inline(arrays_zip(_s, _v))").where(
-        "_s IS NOT NULL AND _v IS NOT NULL AND NOT isnan(_v) AND abs(_v) < double('inf')"
-    ).selectExpr(*keys, "model", "model_type", "_s AS seconds_in_bucket", "_v AS pred_vol", "'garch_path' AS prediction_kind")
-    anchor_pt = series.where("segment = 'observed'").groupBy(*keys).agg(
-        F.expr("max_by(struct(seconds_in_bucket, realized_vol), seconds_in_bucket) AS _a")
+    is_path = F.coalesce("prediction_kind", F.lit("horizon_line")) == "garch_path"
+    rows = pred.select(
+        *KEYS, "model", "model_type", "pred_vol", F.when(is_path, "garch_path").otherwise("horizon_line").alias("prediction_kind"),
+        F.expr(json_list("forecast_seconds", "int")).alias("_s"), F.expr(json_list("forecast_vol_path")).alias("_v"),
+    ).join(windows, KEYS, "left")
+    points = F.expr(
+        """CASE WHEN prediction_kind = 'garch_path' THEN
+               CASE WHEN size(_s) > 0 AND size(_v) > 0 THEN concat(
+                   filter(array(_anchor), p -> p IS NOT NULL),
+                   transform(filter(arrays_zip(_s, _v), z -> z._s IS NOT NULL AND z._v IS NOT NULL AND NOT isnan(z._v) AND abs(z._v) < double('inf')),
+                             z -> named_struct('seconds_in_bucket', z._s, 'pred_vol', z._v))) END
+           WHEN pred_vol IS NOT NULL AND NOT isnan(pred_vol) AND abs(pred_vol) < double('inf') THEN
+               transform(_held, s -> named_struct('seconds_in_bucket', s, 'pred_vol', pred_vol)) END"""
     )
-    anchors = paths.select(*keys, "model", "model_type").join(anchor_pt, keys).selectExpr(
-        *keys, "model", "model_type", "_a.seconds_in_bucket AS seconds_in_bucket", "_a.realized_vol AS pred_vol",
-        "'garch_path' AS prediction_kind",
+    return rows.select(*KEYS, "model", "model_type", "prediction_kind", F.explode(points).alias("_p")).select(
+        *KEYS, "model", "model_type", "_p.seconds_in_bucket", "_p.pred_vol", "prediction_kind"
     )
-    return horizon.unionByName(points).unionByName(anchors)
 
 
 def window_payload(series: DataFrame, curves: DataFrame) -> DataFrame:
@@ -98,13 +98,6 @@ def window_payload(series: DataFrame, curves: DataFrame) -> DataFrame:
 def first_keys_with_forced(df: DataFrame, key: str, n: int, forced) -> DataFrame:
     """The first ``n`` distinct keys in numeric order, the forced key
     always included (it sorts first)."""
-    keys = df.select(key).distinct()
     number = stock_number(key) if key == "stock_id" else F.col(key).cast("bigint")
-    forced_lit = F.lit(forced)
-    ranked = keys.select(
-        key,
-        F.row_number().over(
-            __import__("pyspark.sql", fromlist=["Window"]).Window.orderBy((F.col(key) != forced_lit).cast("int"), number, F.col(key))
-        ).alias("_r"),
-    )
-    return df.join(ranked.where(f"_r <= {int(n)}").select(key), key, "left_semi")
+    order = [(F.col(key) != F.lit(forced)).cast("int"), number, F.col(key)]
+    return df.join(df.select(key).distinct().orderBy(*order).limit(int(n)), key, "left_semi")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import SplitConfig
 from ..functions.indexing import ntile_from_index, ordered_index
+from ..functions.quantiles import ranked_in_group
 
 
 def fold_table(df: DataFrame, split: SplitConfig = SplitConfig()) -> DataFrame:
@@ -55,11 +56,9 @@ def temporal_split(df: DataFrame, train_frac: float = 0.8, time_col: str = "time
 
 
 def positional_split(df: DataFrame, order_cols: list[str], group: str = "stock_id", train_frac: float = 0.8) -> DataFrame:
-    """Per group, the first ``int(frac * n)`` rows (in ``order_cols``
-    order) are ``train``.  Groups are per stock tables of one row per window."""
-    w = f"PARTITION BY {group} ORDER BY {', '.join(order_cols)}"
-    return df.selectExpr(
-        "*",
-        f"CASE WHEN row_number() OVER ({w}) <= CAST(floor({float(train_frac)} * count(1) OVER (PARTITION BY {group})) AS BIGINT) "
-        "THEN 'train' ELSE 'test' END AS split",
-    )
+    """Per group, the first ``int(frac * n)`` rows (by ``order_cols``) are
+    ``train``; ranks come from range partitions, so a group is never one task."""
+    packed = df.withColumn("_o", F.struct(*order_cols))
+    ranked = ranked_in_group(packed, group, "_o")
+    split = F.when(F.col("_r") <= F.floor(F.lit(float(train_frac)) * F.col("_n")), "train").otherwise("test")
+    return ranked.select(*df.columns, split.alias("split"))

@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.quantiles import in_blocks
+
 from ..config import BOOK_VALUE_COLUMNS
 
 ORDER = "seconds_in_bucket, " + ", ".join(BOOK_VALUE_COLUMNS)
@@ -146,9 +148,9 @@ def with_lags(data: DataFrame) -> DataFrame:
     """W4 + W5 + P11 + F6: lags by stock over ``time_id``, the shifted
     5-window mean (all five required), interactions, then drop rows with any
     missing model input."""
-    w = "PARTITION BY stock_id ORDER BY time_id"
-    roll = f"ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING"
-    lagged = data.selectExpr(
+    w = "PARTITION BY stock_id, _block ORDER BY time_id"
+    roll = "ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING"
+    lagged = in_blocks(data, "stock_id", "time_id", 5).selectExpr(
         "*",
         f"lag(rv_first, 1) OVER ({w}) AS rv_first_lag1",
         f"lag(rv_first, 2) OVER ({w}) AS rv_first_lag2",
@@ -161,7 +163,7 @@ def with_lags(data: DataFrame) -> DataFrame:
         "abs(mean_imbalance) * rv_first AS pressure_x_vol",
     )
     cond = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in FEATURE_COLS + ["log_rv_second"])
-    return lagged.where(cond)
+    return lagged.where(f"_own AND {cond}").drop("_block", "_own")
 
 
 def har_base(book: DataFrame) -> DataFrame:
@@ -189,15 +191,15 @@ def har_base(book: DataFrame) -> DataFrame:
 def har_lags(base: DataFrame) -> DataFrame:
     """daily = lag 1, weekly = mean of lags 2-5 (all 4), monthly = mean of
     lags 6-22 (all 17) of ``log_rv_second``, by stock over ``time_id``."""
-    w = "PARTITION BY stock_id ORDER BY time_id"
+    w = "PARTITION BY stock_id, _block ORDER BY time_id"
     wk, mo = "ROWS BETWEEN 5 PRECEDING AND 2 PRECEDING", "ROWS BETWEEN 22 PRECEDING AND 6 PRECEDING"
-    out = base.selectExpr(
+    out = in_blocks(base, "stock_id", "time_id", 22).selectExpr(
         "*",
         f"lag(log_rv_second, 1) OVER ({w}) AS lag_d",
         f"CASE WHEN count(log_rv_second) OVER ({w} {wk}) = 4 THEN avg(log_rv_second) OVER ({w} {wk}) END AS lag_w",
         f"CASE WHEN count(log_rv_second) OVER ({w} {mo}) = 17 THEN avg(log_rv_second) OVER ({w} {mo}) END AS lag_m",
     )
-    return out.where("lag_d IS NOT NULL AND lag_w IS NOT NULL AND lag_m IS NOT NULL")
+    return out.where("_own AND lag_d IS NOT NULL AND lag_w IS NOT NULL AND lag_m IS NOT NULL").drop("_block", "_own")
 
 
 def har_per_stock(lags: DataFrame) -> DataFrame:

@@ -552,10 +552,12 @@ def q_universe_ranking(spark, sf):
 @register(
     "stock_model_metrics",
     "WITH " + sql_pred() + "," + sql_stock_model() + """,
-lat AS (SELECT stock_id, model, avg(CASE WHEN NOT isnan(inference_ms) THEN inference_ms END) * 1000 AS inference_us FROM pred GROUP BY stock_id, model)
+lat AS (SELECT stock_id, model, avg(CASE WHEN NOT isnan(inference_ms) THEN inference_ms END) * 1000 AS inference_us FROM pred GROUP BY stock_id, model),
+every AS (SELECT stock_id, model FROM sm UNION
+          SELECT stock_id, unnest([""" + ", ".join(f"'{m}'" for m in MODEL_CATALOGUE) + """]) AS model FROM (SELECT DISTINCT stock_id FROM sm))
 SELECT stock_id, model, """ + R("inference_us", "inference_us") + ", " + ", ".join(R(m, m) for m in LOSS_METRICS)
     + ", CAST(coalesce(nullif(list_position([" + ", ".join(f"'{m}'" for m in MODEL_CATALOGUE) + f"], model), 0) - 1, {len(MODEL_CATALOGUE)}) AS INTEGER) AS display_order"
-    + " FROM sm JOIN lat USING (stock_id, model)",
+    + " FROM every LEFT JOIN sm USING (stock_id, model) LEFT JOIN lat USING (stock_id, model)",
 )
 def q_stock_model_metrics(spark, sf):
     return UV.individual_model_metrics(predictions(spark, sf))
@@ -728,13 +730,16 @@ allpts AS (SELECT stock_id, time_id, segment AS curve, seconds_in_bucket, realiz
            UNION ALL SELECT stock_id, time_id, model, seconds_in_bucket, pred_vol FROM curves)
 SELECT stock_id, time_id, curve,
        CAST(to_json(list(seconds_in_bucket ORDER BY seconds_in_bucket)) AS VARCHAR) AS seconds_json,
-       count(*) AS n_points
+       count(*) AS n_points, """ + R("sum(round(value, 6))", "values_sum") + """
 FROM allpts GROUP BY stock_id, time_id, curve""",
 )
 def q_window_payload(spark, sf):
     s = CV.realised_series(book(spark, sf), 30)
     c = CV.prediction_curves(s, predictions(spark, sf))
-    return CV.window_payload(s, c).selectExpr("stock_id", "time_id", "curve", "seconds_json", "CAST(n_points AS BIGINT) AS n_points")
+    return CV.window_payload(s, c).selectExpr(
+        "stock_id", "time_id", "curve", "seconds_json", "CAST(n_points AS BIGINT) AS n_points",
+        "aggregate(from_json(values_json, 'array<double>'), 0D, (a, v) -> a + v) AS values_sum",
+    )
 
 
 @register(

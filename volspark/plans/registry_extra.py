@@ -363,7 +363,7 @@ lab AS (SELECT DISTINCT stock_id, CAST(CAST(regexp_extract(stock_id, '(\\d+)$',
 bench AS (SELECT l.cluster, p.model, sqrt(avg(power(p.pred_var - p.actual_var, 2))) AS bench_rmse
           FROM pred p JOIN lab l USING (stock_id) GROUP BY l.cluster, p.model),
 j AS (SELECT l.cluster, sm.model, sm.stock_id, sm.rmse < coalesce(b.bench_rmse, CAST('Infinity' AS DOUBLE)) AS beats
-      FROM sm JOIN lab l USING (stock_id) LEFT JOIN bench b ON b.cluster = l.cluster AND b.model = sm.model WHERE sm.n >= 30)
+      FROM sm JOIN lab l USING (stock_id) LEFT JOIN bench b ON b.cluster = l.cluster AND b.model = sm.model WHERE sm.n >= 100)
 SELECT cluster, model, """ + R("avg(CAST(beats AS DOUBLE))", "win_rate") + ", count(*) AS n_stocks FROM j GROUP BY cluster, model",
 )
 def q_cluster_win_rate(spark, sf):
@@ -373,7 +373,7 @@ def q_cluster_win_rate(spark, sf):
     bench = pred.join(lab, "stock_id").groupBy("cluster", "model").agg(
         F.expr("sqrt(avg(power(pred_var - actual_var, 2))) AS bench_rmse")
     )
-    return CL.win_rate(sm, bench, lab, min_rows=30)
+    return CL.win_rate(sm, bench, lab)
 
 
 @register(
@@ -389,7 +389,7 @@ def q_cluster_loss_quartiles(spark, sf):
 
 
 # ---------------------------------------------------------------- storage
-from ..session import ensure_checkpoint_dir  # noqa: E402
+from ..session import ensure_checkpoint_dir, scratch_path  # noqa: E402
 from ..sources import store as ST  # noqa: E402
 from ..config import feature_columns  # noqa: E402
 from .queries import features, sql_features  # noqa: E402
@@ -423,13 +423,21 @@ def q_cache_limit_per_stock(spark, sf):
     )
 
 
-@register("run_artifacts", None)
+@register(
+    "run_artifacts",
+    "WITH " + sql_pred() + """
+SELECT 'predictions' AS frame, count(*) AS n_rows, 'completed' AS status FROM pred
+UNION ALL SELECT 'metrics', count(DISTINCT (model, fold)) + count(DISTINCT model), 'completed' FROM pred
+UNION ALL SELECT 'universe_summary', count(DISTINCT stock_id), 'completed' FROM feat
+UNION ALL SELECT 'stock_similarity', count(*), 'completed' FROM (
+    SELECT DISTINCT a.stock_id, b.stock_id AS other FROM feat a JOIN feat b USING (time_id))""",
+)
 def q_run_artifacts(spark, sf):
     """S12 + S13 + S14: write a run's frames and status, list runs."""
     import uuid
     from datetime import datetime, timezone
 
-    base = ensure_checkpoint_dir(spark).rstrip("/") + "/runs"
+    base = scratch_path(spark, "runs")  # a folder of this call's own
     run_id = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%SZ") + "_" + uuid.uuid4().hex[:8]
     pred = predictions(spark, sf)
     frames = {
@@ -439,7 +447,12 @@ def q_run_artifacts(spark, sf):
         "stock_similarity": UV.stock_similarity(stored(spark, sf)),
     }
     ST.write_run(f"{base}/{run_id}", frames, {"features": CFG.__dict__}, {"status": "completed", "run_id": run_id})
-    return ST.run_catalogue(spark, base)
+    catalogue = ST.run_catalogue(spark, base)
+    counts = None
+    for name in frames:
+        one = spark.read.parquet(f"{base}/{run_id}/{name}").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("frame"), "n_rows")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts.join(catalogue.where("latest_completed").select("status"), F.lit(True)).select("frame", "n_rows", "status")
 
 
 @register(
@@ -467,17 +480,17 @@ def q_resume_build(spark, sf):
 )
 def q_streaming_feature_build(spark, sf):
     """Structured Streaming form of the feature build: the derived book is
-    written as one parquet file per stock, read back as a file stream and
-    turned into the feature table batch by batch (idempotent appends)."""
+    written to files that split every window, read back as a file stream and
+    turned into the feature table batch by batch."""
     import uuid
 
-    from ..streaming.incremental import start_incremental_build
+    from ..streaming.incremental import read_features, start_incremental_build
 
     base = ensure_checkpoint_dir(spark).rstrip("/") + f"/stream/{uuid.uuid4().hex[:8]}"
-    book(spark, sf).repartition("stock_id").write.mode("overwrite").parquet(f"{base}/book")
+    book(spark, sf).repartition(8).write.mode("overwrite").parquet(f"{base}/book")
     query = start_incremental_build(spark, f"{base}/book", f"{base}/features", f"{base}/ckpt", CFG, files_per_batch=2)
     query.awaitTermination()
-    return spark.read.parquet(f"{base}/features")
+    return read_features(spark, f"{base}/features")
 
 
 # ---------------------------------------------------------------- sources on files, report tables

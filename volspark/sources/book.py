@@ -86,7 +86,10 @@ def read_book(spark: SparkSession, source_dir: str, fmt: str = "csv", partitione
     reader = spark.read
     path = source_dir if partitioned else f"{source_dir}/stock_*.{fmt}"
     if fmt == "csv":
-        df = reader.option("header", True).option("inferSchema", False).csv(path)
+        # one file's header gives the names; a file whose header differs is an
+        # error, not a misread file
+        reader = reader.option("header", True).option("enforceSchema", False)
+        df = reader.schema(reader.csv(path).schema).csv(path)
     else:
         df = reader.parquet(path)
     names = set(df.columns)

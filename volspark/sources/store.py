@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FeatureConfig, feature_columns
+from ..functions.quantiles import ranked_in_group
 from ..session import ensure_checkpoint_dir
 
 _MEMO: dict[tuple, DataFrame] = {}
@@ -41,7 +42,7 @@ def _code_version() -> str:
 
     here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     h = hashlib.sha1()
-    for rel in ("config.py", "operators/book.py", "operators/features.py", "sources/book.py"):
+    for rel in ("config.py", "operators/book.py", "operators/features.py", "sources/book.py", "functions/columns.py"):
         with open(os.path.join(here, rel), "rb") as fh:
             h.update(fh.read())
     return h.hexdigest()[:12]
@@ -49,12 +50,9 @@ def _code_version() -> str:
 
 def source_stamp(spark: SparkSession, source: str) -> str:
     """Length and modification time of the source files (cheap listing)."""
-    try:
-        fs, p = _fs(spark, source)
-        stats = fs.listStatus(p)
-        return ",".join(sorted(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}" for st in stats))
-    except Exception:  # noqa: BLE001
-        return ""
+    fs, p = _fs(spark, source)
+    stats = fs.listStatus(p)
+    return ",".join(sorted(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}" for st in stats))
 
 
 def config_key(cfg: FeatureConfig, source: str, stamp: str = "", salt: str = "") -> str:
@@ -99,16 +97,16 @@ def write_feature_table(features: DataFrame, path: str, cfg: FeatureConfig = Fea
 
 
 def write_new_stocks(features: DataFrame, path: str) -> None:
-    """S9 resume: append only stocks not already in the table (left anti on
-    the stock list), with dynamic partition overwrite for re-runs."""
+    """S9 resume: write the stocks that carry no completion mark.  A stock is
+    marked, in ``<path>_done``, after its partition is committed; rows of an
+    unmarked stock come from a build that broke off and are overwritten."""
     spark = features.sparkSession
-    if path_exists(spark, path):
-        done = spark.read.parquet(path).select("stock_id").distinct()
-        features = features.join(done, "stock_id", "left_anti")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    features.sortWithinPartitions("stock_id", "time_id").write.mode(
-        "overwrite" if not path_exists(spark, path) else "append"
-    ).partitionBy("stock_id").parquet(path)
+    marks = path + "_done"
+    if path_exists(spark, marks):
+        features = features.join(spark.read.schema("stock_id string").parquet(marks), "stock_id", "left_anti")
+    writer = features.sortWithinPartitions("stock_id", "time_id").write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy("stock_id").parquet(path)
+    features.select("stock_id").distinct().write.mode("append").parquet(marks)
 
 
 def load_feature_table(spark: SparkSession, path: str, columns=None, stocks=None, max_windows: int | None = None) -> DataFrame:
@@ -127,9 +125,9 @@ def load_feature_table(spark: SparkSession, path: str, columns=None, stocks=None
         if missing:
             raise ValueError(f"feature table has no rows for: {missing}")
     if max_windows is not None:
-        df = df.selectExpr("*", "row_number() OVER (PARTITION BY stock_id ORDER BY time_id) AS _r").where(
-            f"_r <= {int(max_windows)}"
-        ).drop("_r")
+        # ranks of the keys alone, from range partitions: a stock may have any number of windows
+        keys = ranked_in_group(df.select("stock_id", "time_id"), "stock_id", "time_id")
+        df = df.join(keys.where(f"_r <= {int(max_windows)}").select("stock_id", "time_id"), ["stock_id", "time_id"], "left_semi")
     return df
 
 
@@ -151,8 +149,10 @@ def materialized_features(spark: SparkSession, sf_dir: str, build, cfg: FeatureC
         write_feature_table(build(), tmp, cfg, manifest_path=f"{tmp}/_manifest")
         fs, _ = _fs(spark, path)
         jvm = spark.sparkContext._jvm
-        if not fs.exists(jvm.org.apache.hadoop.fs.Path(path)):
-            fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), jvm.org.apache.hadoop.fs.Path(path))
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        moved = not fs.exists(target) and fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), target)
+        if not moved and not path_exists(spark, path + "/_SUCCESS"):
+            raise RuntimeError(f"the feature table could not be published as {path}; it was written to {tmp}")
     df = spark.read.parquet(path).select("stock_id", "time_id", "target_var", "target_vol", *feature_columns(cfg))
     _MEMO[key] = df
     return df

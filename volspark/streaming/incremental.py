@@ -1,33 +1,41 @@
 """Incremental feature build with Structured Streaming.
 
 The original has no stream; this is the natural live form of the batch job:
-book files arriving in a folder (each file holding complete windows, e.g. one
-file per stock and day) are read as a file stream, and every micro-batch runs
-the same per-window kernel and appends the finished windows to the feature
-table.  The append is idempotent -- windows already in the table are removed
-with a left-anti join first -- so a micro-batch replayed after a failure does
-not duplicate rows; progress lives in the checkpoint location.
+book files arriving in a folder are read as a file stream, and every
+micro-batch recomputes the windows that it touches from all their rows so far,
+so a window may arrive in any number of files.  Rows and features are kept per
+batch, in a folder of the batch's own that a replay overwrites; the newest
+version of a window counts.  Progress lives in the checkpoint location.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from ..config import FeatureConfig
 from ..operators.features import build_features
 from ..sources.book import BOOK_SCHEMA
-from ..sources.store import path_exists
 
+KEYS = ["stock_id", "time_id"]
 
-def append_new_windows(features: DataFrame, table_path: str) -> None:
-    spark = features.sparkSession
-    if path_exists(spark, table_path + "/_SUCCESS") or path_exists(spark, table_path):
-        try:
-            done = spark.read.parquet(table_path).select("stock_id", "time_id")
-            features = features.join(done, ["stock_id", "time_id"], "left_anti")
-        except Exception:  # noqa: BLE001 -- empty folder on the first batch
-            pass
-    features.write.mode("append").partitionBy("stock_id").parquet(table_path)
+
+def absorb_batch(batch: DataFrame, table_path: str, epoch: int, cfg: FeatureConfig = FeatureConfig()) -> None:
+    """Keep the batch's rows, then write the features of its windows."""
+    spark = batch.sparkSession
+    batch.write.mode("overwrite").parquet(f"{table_path}/rows/epoch={epoch}")
+    rows = spark.read.parquet(f"{table_path}/rows").where(F.col("epoch") <= epoch)
+    touched = rows.where(F.col("epoch") == epoch).select(*KEYS).distinct()
+    known = rows.drop("epoch").join(touched, KEYS, "left_semi")
+    build_features(known, cfg).write.mode("overwrite").parquet(f"{table_path}/features/epoch={epoch}")
+
+
+def read_features(spark: SparkSession, table_path: str) -> DataFrame:
+    """The newest version of every window (a window has a row per batch that
+    touched it, so the ranking is over a handful of rows)."""
+    df = spark.read.parquet(f"{table_path}/features")
+    newest = F.row_number().over(Window.partitionBy(*KEYS).orderBy(F.desc("epoch")))
+    return df.withColumn("_newest", newest).where("_newest = 1").drop("_newest", "epoch")
 
 
 def start_incremental_build(
@@ -48,7 +56,7 @@ def start_incremental_build(
     )
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        append_new_windows(build_features(batch, cfg), table_path)
+        absorb_batch(batch, table_path, epoch_id, cfg)
 
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
