@@ -16,6 +16,7 @@ an id may repeat (each row is packed); null ids stay null.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from operator import itemgetter
@@ -33,6 +34,10 @@ from volspark.session import cut_lineage
 TAIL = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 
 
+#: Lower-case letters of Latin-1: no normalisation, case or splitting to do.
+PLAIN = re.compile("[a-zß-öø-ÿ]+")
+
+
 class _Table(dict):
     """Word -> number; a word that is asked for first is numbered and noted."""
 
@@ -55,8 +60,22 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.max_words = Tokenizer.from_file(path), max_words
+        self.bytes_as_text = self._byte_letters()
         self._clear()
 
+    def _byte_letters(self) -> dict[int, str] | None:
+        """How the pre-tokenizer writes lower-case Latin letters, if words of
+        them go to the merges as they are (checked on probes); else None."""
+        table = {}
+        for c in "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ":
+            parts = self.tokenizer.pre_tokenizer.pre_tokenize_str(c)
+            if len(parts) != 1:
+                return None
+            table[ord(c)] = parts[0][0]
+        probes = ["a", "the", "naïve", "straße", "façade", "zzyzx", "éêèç", "internationalisation", "ñandú", "ÿþð"]
+        same = all([t.id for t in self.tokenizer.model.tokenize(w.translate(table))] == self.tokenizer.encode(w, add_special_tokens=False).ids for w in probes if PLAIN.fullmatch(w))
+        return table if same else None
+
     def _clear(self) -> None:
         self.words = _Table()
         self.flat, self.ends = array("i"), array("q", [0])
@@ -77,9 +96,17 @@ class WordEncoder:
         while len(parts) < len(words.new):  # cores and tails may be new words too
             split = self._split(words.new[len(parts)])
             parts.append(split and (words[split[0]], words[split[1]]))
-        plain = [w.decode() for w, p in zip(words.new, parts) if p is None]
-        encoded = iter(self.tokenizer.encode_batch(plain, add_special_tokens=False))
-        ids = [next(encoded).ids if p is None else None for p in parts]
+        ids: list[list[int] | None] = [None] * len(parts)
+        table, merge, others = self.bytes_as_text, self.tokenizer.model.tokenize, []
+        for i, (w, p) in enumerate(zip(words.new, parts)):
+            if p is None:
+                text = w.decode()
+                if table is not None and PLAIN.fullmatch(text):
+                    ids[i] = [t.id for t in merge(text.translate(table))]
+                else:
+                    others.append((i, text))
+        for (i, _), e in zip(others, self.tokenizer.encode_batch([t for _, t in others], add_special_tokens=False)):
+            ids[i] = e.ids
         for p, own in zip(parts, ids):
             if p is None:
                 self.flat.extend(own)
