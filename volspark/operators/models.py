@@ -217,7 +217,7 @@ def legacy_zoo(data: DataFrame, feature_cols: list[str], label: str = "log_rv_se
     if bad:
         raise ValueError(f"{bad} rows lack a feature or the label; impute or drop them before fitting")
     d = len(feature_cols)
-    out = []
+    out, fits = [], []
     for g in [r[0] for r in rows.select(group).distinct().orderBy(group).collect()]:  # few clusters
         own = rows.where(F.col(group) == g)
         train, test = own.where("split = 'train'"), own.where("split = 'test'")
@@ -242,6 +242,12 @@ def legacy_zoo(data: DataFrame, feature_cols: list[str], label: str = "log_rv_se
             "LGBM": GBTRegressor(maxIter=100, maxDepth=5, stepSize=0.1, minInstancesPerNode=20, maxBins=255, seed=42),
         }
         fit_on, ask = (x.withColumn("features", array_to_vector("x")) for x in (train, test))
-        for name, est in learners.items():
-            out.append(est.fit(fit_on).transform(ask).select(group, F.lit(name).alias("model"), "stock_id", "time_id", F.col("label").alias("y_true"), F.col("prediction").alias("y_pred")))
+        fits += [(name, est, fit_on, ask) for name, est in learners.items()]
+
+    def tree(task) -> DataFrame:
+        name, est, fit_on, ask = task
+        return est.fit(fit_on).transform(ask).select(group, F.lit(name).alias("model"), "stock_id", "time_id", F.col("label").alias("y_true"), F.col("prediction").alias("y_pred"))
+
+    with ThreadPoolExecutor(max_workers=8) as pool:  # many small jobs of few (cluster, learner) pairs
+        out += list(pool.map(tree, fits))
     return _union(out)

@@ -128,8 +128,18 @@ folds AS (SELECT time_id, CAST(ntile(5) OVER (ORDER BY time_id) AS INTEGER) AS f
 pred AS ({union})"""
 
 
-def sql_losses(pred="pred_var", actual="actual_var") -> str:
-    return ",\n       ".join(ME.loss_exprs(pred, actual))
+def sql_losses(p="pred_var", a="actual_var") -> str:
+    """The losses as DuckDB aggregates with filters, written for themselves."""
+    ok = f"FILTER (WHERE isfinite({p}) AND isfinite({a}))"
+    low_p, low_a = f"greatest({p}, 1e-9)", f"greatest({a}, 1e-9)"
+    return f"""count(*) {ok} AS n,
+       avg(({a} - {p}) ^ 2) {ok} AS mse,
+       sqrt(avg(({a} - {p}) ^ 2) {ok}) AS rmse,
+       avg(abs({a} - {p})) {ok} AS mae,
+       100 * avg(abs({low_a} - {low_p}) / {low_a}) {ok} AS mape,
+       sqrt(avg((({low_a} - {low_p}) / {low_a}) ^ 2) {ok}) AS rmspe,
+       avg({low_a} / {low_p} - 1 - ln({low_a}) + ln({low_p})) {ok} AS qlike,
+       CASE WHEN var_pop({p}) {ok} > 0 AND var_pop({a}) {ok} > 0 THEN corr({p}, {a}) {ok} END AS pearson_r"""
 
 
 def sql_metrics() -> str:
@@ -615,13 +625,14 @@ def q_best_model_counts(spark, sf):
     return RP.best_model_counts(summary(spark, sf))
 
 
+SQL_ROW_QLIKE = "greatest(actual_var, 1e-9) / greatest(pred_var, 1e-9) - 1 - ln(greatest(actual_var, 1e-9)) + ln(greatest(pred_var, 1e-9))"
 ROW_QLIKE = "(greatest(actual_var, 1e-09) / greatest(pred_var, 1e-09)) - ln(greatest(actual_var, 1e-09) / greatest(pred_var, 1e-09)) - 1"
 
 
 @register(
     "outlier_cap",
     "WITH " + sql_pred() + f""",
-rows_ AS (SELECT model, stock_id, time_id, {ROW_QLIKE} AS qlike_row FROM pred),
+rows_ AS (SELECT model, stock_id, time_id, {SQL_ROW_QLIKE} AS qlike_row FROM pred),
 caps AS (SELECT model, least(greatest(quantile_cont(qlike_row, 0.75) + 1.5 * (quantile_cont(qlike_row, 0.75) - quantile_cont(qlike_row, 0.25)),
                 quantile_cont(qlike_row, 0.5)), max(qlike_row)) AS cap FROM rows_ GROUP BY model)
 SELECT model, stock_id, time_id, {R('qlike_row', 'qlike_row')}, {R('cap', 'cap')}, {R('least(qlike_row, cap)', 'qlike_row_capped')}
@@ -662,10 +673,28 @@ def q_representative_stock(spark, sf):
     "WITH " + sql_pred() + """,
 pt AS (SELECT stock_id, model, time_id, avg(pred_vol) AS pv, avg(actual_vol) AS av FROM pred GROUP BY stock_id, model, time_id),
 rm AS (SELECT stock_id, model, sqrt(avg(power(pv - av, 2))) AS rmse FROM pt GROUP BY stock_id, model)
-SELECT stock_id, model, CAST(row_number() OVER (PARTITION BY stock_id ORDER BY rmse ASC NULLS LAST, model) AS INTEGER) AS rank_pos FROM rm""",
+SELECT stock_id, model, """ + R("rmse", "rmse") + """, CAST(row_number() OVER (PARTITION BY stock_id ORDER BY rmse ASC NULLS LAST, model) AS INTEGER) AS rank_pos FROM rm""",
 )
 def q_series_models(spark, sf):
-    return RP.series_models(predictions(spark, sf)).selectExpr("stock_id", "model", "CAST(rank_pos AS INT) AS rank_pos")
+    pred = predictions(spark, sf)
+    return RP.series_models(pred).join(RP.single_stock_vol_rmse(pred), ["stock_id", "model"]).selectExpr("stock_id", "model", "rmse", "CAST(rank_pos AS INT) AS rank_pos")
+
+
+@register(
+    "series_models_capped",
+    "WITH " + sql_pred() + """,
+rm AS (SELECT stock_id, model, sqrt(avg((pv - av) ^ 2)) AS rmse
+       FROM (SELECT stock_id, model, time_id, avg(pred_vol) AS pv, avg(actual_vol) AS av FROM pred GROUP BY ALL) GROUP BY stock_id, model),
+best AS (SELECT *, row_number() OVER (PARTITION BY stock_id ORDER BY rmse, model) AS k FROM rm),
+ms AS (SELECT model, avg(inference_ms) AS ms FROM pred GROUP BY model),
+slow AS (SELECT stock_id, model, row_number() OVER (PARTITION BY stock_id ORDER BY ms, model) AS f FROM best JOIN ms USING (model) WHERE k > 2)
+SELECT stock_id, model, CAST(k AS INTEGER) AS rank_pos FROM best WHERE k <= 2
+UNION ALL SELECT stock_id, model, 3 FROM slow WHERE f = 1""",
+)
+def q_series_models_capped(spark, sf):
+    """O4 + J12 with more models than places: the best two and the fastest other."""
+    picked = RP.series_models(predictions(spark, sf), min_models=2, max_models=3, preferred_top_k=2)
+    return picked.selectExpr("stock_id", "model", "CAST(rank_pos AS INT) AS rank_pos")
 
 
 # ---------------------------------------------------------------- curves

@@ -95,7 +95,7 @@ from ..operators import legacy as LG  # noqa: E402
 from ..operators import metrics as ME  # noqa: E402
 from ..operators import universe as UV  # noqa: E402
 from ..config import BOOK_VALUE_COLUMNS  # noqa: E402
-from .queries import R, book_ctes, predictions, sql_pred, sql_stock_model  # noqa: E402
+from .queries import R, book_ctes, predictions, sql_losses, sql_pred, sql_stock_model  # noqa: E402
 
 BOOK_ONLY = "WITH " + book_ctes().lstrip().split(",\ndedup")[0]
 LORDER = "seconds_in_bucket, " + ", ".join(BOOK_VALUE_COLUMNS)
@@ -558,7 +558,7 @@ def q_prediction_series(spark, sf):
     "model_summary",
     "WITH " + sql_pred() + """,
 metrics AS (
-  SELECT CAST(CASE WHEN grouping(fold) = 1 THEN 0 ELSE fold END AS INTEGER) AS fold, model, """ + ",\n       ".join(ME.loss_exprs())
+  SELECT CAST(CASE WHEN grouping(fold) = 1 THEN 0 ELSE fold END AS INTEGER) AS fold, model, """ + sql_losses()
     + """ FROM pred GROUP BY GROUPING SETS ((model), (model, fold))),
 fm AS (SELECT model, """ + ", ".join(f"avg({m}) AS {m}" for m in LOSS_METRICS) + """ FROM metrics GROUP BY model),
 lat AS (SELECT model, avg(CASE WHEN NOT isnan(inference_ms) THEN inference_ms END) * 1000 AS inference_us FROM pred GROUP BY model)
