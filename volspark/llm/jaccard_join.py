@@ -19,7 +19,8 @@ Steps: 1. set sizes, digests, points and the frequency sketch; 2. cells with
 two or more documents, one for each set of documents; 3. neighbours in the leaf
 order of each tree are verified and joined into components, so a group of M
 near copies costs about M pairs; 4. in cells that still hold several components
-all pairs between components go through the tree; survivors are verified.
+each document's most promising partner in another one is tried, then all pairs
+between components go through the tree; survivors are verified.
 Pairs are tested with a finer point before their sets are made.  Documents with
 equal sets are one point throughout.
 
@@ -302,20 +303,54 @@ def _near(t: pa.Table) -> pa.Table:
     return _pairs_table(out)
 
 
-def _between(t: pa.Table) -> pa.Table:
+def _apart(rows: np.ndarray, cols, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the pairs of one cell that may be linked and lie in different components."""
+    if cols["comp"][rows].min() == cols["comp"][rows].max():
+        return rows[:0], rows[:0]
+    i, j = Tree(cols["n"][rows], x[rows]).pairs()
+    i, j = rows[i], rows[j]
+    ok = (cols["comp"][i] != cols["comp"][j]) & _reachable(cols, i, j)
+    if cols["i"][rows[0]] != cols["j"][rows[0]]:
+        ok &= cols["salt"][i] != cols["salt"][j]
+    return i[ok], j[ok]
+
+
+def _closest(t: pa.Table) -> pa.Table:
+    """For every document of a cell its most promising partner elsewhere: the
+    pair with the largest bound for its size."""
     out = []
     for rows, cols, x in _cells_of(t):
-        if cols["comp"][rows].min() == cols["comp"][rows].max():
+        i, j = _apart(rows, cols, x)
+        if not len(i):
             continue
-        i, j = Tree(cols["n"][rows], x[rows]).pairs()
-        i, j = rows[i], rows[j]
-        ok = (cols["comp"][i] != cols["comp"][j]) & _reachable(cols, i, j)
-        if cols["i"][rows[0]] != cols["j"][rows[0]]:
-            ok &= cols["salt"][i] != cols["salt"][j]
-        out.append((cols["doc"][i[ok]], cols["doc"][j[ok]]))
+        bound = np.concatenate([np.minimum(x[i[s : s + 20_000]], x[j[s : s + 20_000]]).sum(axis=1, dtype=np.int64) for s in range(0, len(i), 20_000)])
+        worth = bound / (cols["n"][i] + cols["n"][j])
+        one, other, worth = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([worth, worth])
+        at = np.lexsort((cols["doc"][other], -worth, one))
+        first = at[np.r_[True, one[at][1:] != one[at][:-1]]]
+        out.append((cols["doc"][one[first]], cols["doc"][other[first]]))
     return _pairs_table(out)
 
 
+PARTNERS = "a long, b binary"
+
+
+def _between(t: pa.Table) -> pa.Table:
+    """All pairs of a bucket's cells that may be linked across components, as
+    one row per document with its partners of larger id."""
+    both = _pairs_table([(cols["doc"][i], cols["doc"][j]) for i, j, cols in ((*_apart(rows, c, x), c) for rows, c, x in _cells_of(t))])
+    a, b = both["a"].to_numpy(), both["b"].to_numpy()
+    cut = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else np.zeros(0, int)
+    return pa.table({"a": pa.array(a[cut], pa.int64()), "b": pa.array([p.tobytes() for p in np.split(b, cut[1:])] if len(a) else [], pa.binary())})
+
+
+def _unpack_partners(t: pa.Table) -> pa.Table:
+    """The distinct pairs of all rows of a bucket of documents."""
+    blobs = t["b"].to_pylist()
+    b = np.frombuffer(b"".join(blobs), np.int64)
+    return _pairs_table([(np.repeat(t["a"].to_numpy(), [len(x) // 8 for x in blobs]), b)])
+
+
 def _fold(x: np.ndarray, groups: int) -> np.ndarray:
     """A finer point as one of fewer groups (both counts are powers of two)."""
     return x.reshape(-1, groups).sum(axis=0, dtype=np.int64)
@@ -418,22 +453,33 @@ def group(docs: DataFrame) -> DataFrame:
     links = cut_lineage(verify(near, points, texts))
     comp = components(links)
 
-    # cells that still hold several components: all pairs between them
-    known = placed.join(comp.select(F.col("node").alias("doc"), "comp"), "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
-    mixed = known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    split = known.join(mixed, "key", "left_semi").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    split = split.select("key", F.least("salt", "other").alias("i"), F.greatest("salt", "other").alias("j"), "salt", "doc", "n", "pos", "x", "comp")
-    rest = split.withColumn("bucket", deal("key", "i", "j")).groupBy("bucket").applyInArrow(_between, PAIRS).distinct()
-    rest = cut_lineage(rest.join(near, ["a", "b"], "left_anti"))
-    more = cut_lineage(verify(rest, points, texts))
-    of = lambda c: comp.select(F.col("node").alias(c), F.col("comp").alias(f"{c}_comp"))
-    joined = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("a_comp", "a").alias("a"), F.coalesce("b_comp", "b").alias("b"))
-    upper = components(joined)
+    # twice, in cells that still hold several components: first each document's
+    # most promising partner, which unites most of them, then all pairs left
+    def mixed_cells(comp: DataFrame) -> DataFrame:
+        known = placed.join(comp.select(F.col("node").alias("doc"), "comp"), "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
+        mixed = known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
+        split = known.join(mixed, "key", "left_semi").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+        split = split.select("key", F.least("salt", "other").alias("i"), F.greatest("salt", "other").alias("j"), "salt", "doc", "n", "pos", "x", "comp")
+        return split.withColumn("bucket", deal("key", "i", "j")).groupBy("bucket")
+
+    def united(comp: DataFrame, links: DataFrame) -> DataFrame:
+        """``comp`` after further links between its components."""
+        of = lambda c: comp.select(F.col("node").alias(c), F.col("comp").alias(f"{c}_comp"))
+        joined = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select("a", "b", F.coalesce("a_comp", "a").alias("ca"), F.coalesce("b_comp", "b").alias("cb"))
+        upper = components(joined.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).select(F.col("node").alias("comp"), F.col("comp").alias("top"))
+        nodes = comp.unionByName(joined.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("ca").alias("comp")), F.struct(F.col("b").alias("node"), F.col("cb").alias("comp")))).alias("r")).select("r.*")).distinct()
+        return cut_lineage(nodes.join(upper, "comp", "left").select("node", F.coalesce("top", "comp").alias("comp")))
+
+    closest = cut_lineage(mixed_cells(comp).applyInArrow(_closest, PAIRS).distinct().join(near, ["a", "b"], "left_anti"))
+    comp = united(comp, cut_lineage(verify(closest, points, texts)))
+    partners = mixed_cells(comp).applyInArrow(_between, PARTNERS).withColumn("bucket", deal("a"))
+    rest = partners.groupBy("bucket").applyInArrow(_unpack_partners, PAIRS).distinct()
+    rest = cut_lineage(rest.join(near.unionByName(closest), ["a", "b"], "left_anti"))
+    comp = united(comp, cut_lineage(verify(rest, points, texts)))
 
     # documents -> class representative -> component
-    final = classes.join(comp.select(F.col("node").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    final = final.join(upper.select(F.col("node").alias("comp"), F.col("comp").alias("top")), "comp", "left")
-    final = cut_lineage(final.select("set_key", "copies", F.coalesce("top", "comp").alias("component_id")))
+    final = classes.join(comp.select(F.col("node").alias("rep"), F.col("comp").alias("component_id")), "rep", "left")
+    final = cut_lineage(final.select("set_key", "copies", F.coalesce("component_id", "rep").alias("component_id")))
     alone = ids.filter(F.col("doc_id").isNull() | (F.col("n") == 0)).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     linked = join_groups(named.select("doc_id", "n", "set_key"), final, "set_key", "copies", totals.rows)
     return linked.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(alone)
