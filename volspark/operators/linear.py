@@ -145,10 +145,18 @@ class Design:
         e, u = self.spectrum()
         return u @ ((u.T @ self.xy) / (e + alpha))
 
-    def lasso(self, alpha: float, rounds: int = 5000, tol: float = 1e-10) -> np.ndarray:
+    def lasso_path(self, alphas, rounds: int = 1000, tol: float = 1e-7) -> list[np.ndarray]:
+        """Solutions for falling penalties, each started at the one before."""
+        out: list[np.ndarray] = []
+        for a in alphas:
+            out.append(self.lasso(a, rounds, tol, out[-1] if out else None))
+        return out
+
+    def lasso(self, alpha: float, rounds: int = 5000, tol: float = 1e-10, start: np.ndarray | None = None) -> np.ndarray:
         """Coordinate descent on 1/(2n) |y - Xw|^2 + alpha |w|_1."""
         g, q = self.gram / self.n, self.xy / self.n
-        w, gw = np.zeros(len(q)), np.zeros(len(q))
+        w = np.zeros(len(q)) if start is None else start.copy()
+        gw = g @ w
         for _ in range(rounds):
             change = 0.0
             for j in range(len(q)):

@@ -195,8 +195,8 @@ def _cross_validated(moments: dict[int, LN.Moments], candidates, fit) -> float:
     for m in moments.values():
         design = LN.Design(total - m, None)
         shift = m.shift
-        for i, c in enumerate(candidates):
-            slope = fit(design, c) / design.scale
+        for i, w in enumerate(fit(design, candidates)):
+            slope = w / design.scale
             # residual = (y - y0) - slope . (x - x0), with y0, x0 the training means
             v = np.append(-slope, 1.0)
             off = v @ (shift - np.append(design.mean, design.y_mean))
@@ -230,9 +230,9 @@ def legacy_zoo(data: DataFrame, feature_cols: list[str], label: str = "log_rv_se
         design = LN.Design(total, None)
         top = float(np.abs(design.xy).max() / design.n)
         grid = list(np.geomspace(top, top * 1e-3, LEGACY_LASSO_PENALTIES)) if top > 0 else [0.0]
-        lasso = _cross_validated(folds, grid, lambda s, a: s.lasso(a, 1000, 1e-7))
-        ridge = _cross_validated(folds, list(LEGACY_RIDGE_GRID), lambda s, a: s.ridge(a))
-        linear = {"MLR": design.least_squares(), "Lasso": design.lasso(lasso), "Ridge": design.ridge(ridge)}
+        lasso = _cross_validated(folds, grid, lambda s, grid: s.lasso_path(grid))
+        ridge = _cross_validated(folds, list(LEGACY_RIDGE_GRID), lambda s, grid: [s.ridge(a) for a in grid])
+        linear = {"MLR": design.least_squares(), "Lasso": design.lasso_path([a for a in grid if a >= lasso])[-1], "Ridge": design.ridge(ridge)}
         scored = LN.predict(test.withColumn("one", F.lit(0)), [*keep, "one"], d, "one", {n: {0: (design, w)} for n, w in linear.items()})
         out.append(scored.selectExpr(group, "model", "stock_id", "time_id", "label AS y_true", "raw AS y_pred"))
         learners = {
