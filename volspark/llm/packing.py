@@ -16,6 +16,7 @@ an id may repeat (each row is packed); null ids stay null.
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from array import array
@@ -150,15 +151,22 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFrame:
 
     def run(batches):
         encoder = encoder_for(tokenizer_path)
-        for b in small(batches):
-            rows = []
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist()):
-                tokens = encoder.encode(text)
-                for piece, start in enumerate(range(0, len(tokens), capacity)):
-                    part = tokens[start : start + capacity]
-                    rows.append((doc, piece, start, len(part), zlib.crc32(part.astype("<u4").tobytes())))
-            cols = list(zip(*rows)) if rows else [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        # the word table holds no cycles; the collector would walk all of it again and again
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            for b in small(batches):
+                rows = []
+                for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist()):
+                    tokens = encoder.encode(text)
+                    for piece, start in enumerate(range(0, len(tokens), capacity)):
+                        part = tokens[start : start + capacity]
+                        rows.append((doc, piece, start, len(part), zlib.crc32(part.astype("<u4").tobytes())))
+                cols = list(zip(*rows)) if rows else [()] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        finally:
+            if collecting:
+                gc.enable()
 
     return texts_of(docs).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
