@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from volspark.llm import exact_dedup, jaccard_join
@@ -152,7 +153,9 @@ def test_tree_bounds_never_lose_a_pair():
                 assert (a, b) in found
 
 
-def test_components_of_a_path_and_a_star(spark):
+@pytest.mark.parametrize("together", [1_000_000, 20])
+def test_components_of_a_path_and_a_star(spark, together):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 30)] + [(300, 200), (250, 300)]
-    got = {r.node: r.comp for r in jaccard_join.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    links = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    got = {r.node: r.comp for r in jaccard_join.components(links, together).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{100 + i: 100 for i in range(30)}, 200: 200, 250: 200, 300: 200}

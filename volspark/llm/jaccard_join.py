@@ -402,24 +402,53 @@ def verify(pairs: DataFrame, points: DataFrame, texts: DataFrame) -> DataFrame:
     return _test_pairs(left, sets.filter(F.length("value") > 0), _similar)
 
 
-def components(links: DataFrame) -> DataFrame:
+def _local_roots(batches):
+    """Within one task: every node of its links but the smallest of its part,
+    with that smallest node."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        top = x
+        while (up := root.setdefault(top, top)) != top:
+            top = up
+        while root[x] != top:
+            root[x], x = top, root[x]
+        return top
+
+    for b in batches:
+        for u, v in zip(b.column("u").to_pylist(), b.column("v").to_pylist()):
+            u, v = find(u), find(v)
+            if u != v:
+                root[max(u, v)] = min(u, v)
+    pairs = [(x, find(x)) for x in root]
+    u, v = zip(*[(x, r) for x, r in pairs if x != r]) if root else ((), ())
+    yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+
+def components(links: DataFrame, together: int = 1_000_000) -> DataFrame:
     """``node, comp`` (smallest reachable node) of all nodes of ``links (a, b)``
-    by contraction: every node moves to its smallest neighbour's smallest
-    neighbour, links are rewritten, until none is left."""
+    by contraction.  Tasks of about ``together`` links first replace their links
+    by stars around the smallest node of each of their parts.  While there is
+    more than one task, every node then moves to its smallest neighbour's
+    smallest neighbour and the links are rewritten, until none is left."""
     edges = cut_lineage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
     found = None
-    while True:
-        if edges.isEmpty():
-            break
-        hook = cut_lineage(edges.groupBy("u").agg(F.min("v").alias("h")))
-        far = hook.select(F.col("u").alias("h"), F.col("h").alias("hh"))
-        move = cut_lineage(hook.join(far, "h", "left").select("u", F.coalesce("hh", "h").alias("to")))
-        moved = lambda df, c: df.join(move.select(F.col("u").alias(c), "to"), c, "left").withColumn(c, F.coalesce("to", c)).drop("to")
+    while n := edges.count():
+        tasks = -(-n // together)
+        stars = cut_lineage(edges.coalesce(tasks).mapInArrow(_local_roots, "u long, v long"))
         if found is None:
-            nodes = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-            found = nodes.withColumn("comp", F.col("node"))
+            found = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct().withColumn("comp", F.col("node"))
+        if tasks == 1:
+            move = stars.select("u", F.col("v").alias("to"))
+        else:
+            hook = cut_lineage(stars.groupBy("u").agg(F.min("v").alias("h")))
+            far = hook.select(F.col("u").alias("h"), F.col("h").alias("hh"))
+            move = cut_lineage(hook.join(far, "h", "left").select("u", F.coalesce("hh", "h").alias("to")))
+        moved = lambda df, c: df.join(move.select(F.col("u").alias(c), "to"), c, "left").withColumn(c, F.coalesce("to", c)).drop("to")
         found = cut_lineage(moved(found, "comp"))
-        rewritten = moved(moved(edges, "u"), "v").filter("u <> v")
+        if tasks == 1:
+            break
+        rewritten = moved(moved(stars, "u"), "v").filter("u <> v")
         edges = cut_lineage(rewritten.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     if found is None:
         return edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
