@@ -403,8 +403,7 @@ def verify(pairs: DataFrame, points: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _local_roots(batches):
-    """Within one task: every node of its links but the smallest of its part,
-    with that smallest node."""
+    """Within one task: every node of its links with the smallest of its part."""
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -420,9 +419,8 @@ def _local_roots(batches):
             u, v = find(u), find(v)
             if u != v:
                 root[max(u, v)] = min(u, v)
-    pairs = [(x, find(x)) for x in root]
-    u, v = zip(*[(x, r) for x, r in pairs if x != r]) if root else ((), ())
-    yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+    nodes = list(root)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())], names=["u", "v"])
 
 
 def components(links: DataFrame, together: int = 1_000_000) -> DataFrame:
@@ -436,12 +434,14 @@ def components(links: DataFrame, together: int = 1_000_000) -> DataFrame:
     while n := edges.count():
         tasks = -(-n // together)
         stars = cut_lineage(edges.coalesce(tasks).mapInArrow(_local_roots, "u long, v long"))
+        if found is None and tasks == 1:  # one task has seen every link
+            return stars.select(F.col("u").alias("node"), F.col("v").alias("comp"))
         if found is None:
-            found = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct().withColumn("comp", F.col("node"))
+            found = stars.select(F.col("u").alias("node")).distinct().withColumn("comp", F.col("node"))
         if tasks == 1:
             move = stars.select("u", F.col("v").alias("to"))
         else:
-            hook = cut_lineage(stars.groupBy("u").agg(F.min("v").alias("h")))
+            hook = cut_lineage(stars.filter("u <> v").groupBy("u").agg(F.min("v").alias("h")))
             far = hook.select(F.col("u").alias("h"), F.col("h").alias("hh"))
             move = cut_lineage(hook.join(far, "h", "left").select("u", F.coalesce("hh", "h").alias("to")))
         moved = lambda df, c: df.join(move.select(F.col("u").alias(c), "to"), c, "left").withColumn(c, F.coalesce("to", c)).drop("to")
