@@ -41,7 +41,9 @@ HEADLINE = [
     "har_lags",
     "cluster_variance",
     "ml_linear",
+    "ml_tree",
     "garch_window",
+    "gjr_garch_window",
 ]
 
 
