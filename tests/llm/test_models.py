@@ -69,6 +69,22 @@ def test_block_max_search_is_exact():
         assert np.allclose(cos, all_cos[want])
 
 
+def test_toxicity_indexes_every_term_and_example(spark):
+    # few examples: no term passes a significance threshold, most texts hold none
+    rows = [(i, f"the of and word{'abcdefgh'[i % 8]}", "en", "x") for i in range(200)]
+    ids = [i for i in range(1, 200) if not held(i, 5, 0)]
+    toxic = {i: int(i in ids[:30]) for i in ids}
+    rows = [(i, t + (" zork" if i in ids[:12] else ""), a, b) for i, t, a, b in rows] + [(300, "zork", "en", "x")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.score(docs, labels).collect()}
+    named = {n.split(":")[0] for r in got.values() for n in r.neighbours.split(",") if n}
+    assert got[300].neighbours and all(n.split(":")[1] == "1" for n in got[300].neighbours.split(","))
+    indexed = toxicity.class_terms(docs.join(labels.withColumnRenamed("toxic", "y"), "doc_id"))
+    assert {b"the", b"zork", b"worda", b"word "} <= set(indexed)
+    assert all(got[i].neighbours for i in got) and len(named) >= 50
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1), (2, 1)]])
 def test_without_both_classes(spark, labels):
     docs = spark.createDataFrame([(i, f"text {i}", "en", "x") for i in range(4)], SCHEMA)

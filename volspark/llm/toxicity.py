@@ -1,23 +1,21 @@
 """Toxicity by the nearest labelled examples.
 
 1. A bounded, documented sample of labelled texts (``examples`` per class,
-   drawn by a hash of the id) is broadcast by id and joined to the texts.
-   Terms -- words and the leading bytes of longer words -- whose document
-   frequencies differ most between the classes (chi-square above ``CHI``, log
-   odds apart by ``LEAST_ODDS``) form the vocabulary, at most ``vocabulary``
-   terms; the IDF is scaled by the distance of their log odds.
-2. One pass over all texts turns each document into its vocabulary terms and
-   counts; this small table is written once.  Document frequencies for the
-   IDF are counted over all of it.
-3. The examples' TF-IDF vectors form an inverted index cut into blocks of
-   ``BLOCK`` examples, with each term's largest weight per block.  A query
-   visits blocks by falling upper bound and stops when no block left can
-   reach its k-th cosine: the search is exact.
+   drawn by a hash of the id) is joined to the texts and written once.  Every
+   term of these texts -- words and the leading bytes of longer words -- is
+   indexed, and every example is kept.
+2. One pass over all texts counts the terms' document frequencies for the IDF.
+   The IDF is multiplied by the distance of the term's smoothed log odds
+   between the classes of the examples (a departure from plain TF-IDF, see the
+   README); no term is left out by it.
+3. The examples' vectors form an inverted index; terms that ``FREQUENT`` or
+   more examples hold are columns of a matrix instead.  The cosines of a text
+   with all examples are summed from both: the search is exact.
 4. The neighbours vote with their cosines; a logistic curve, fitted on a
    second bounded sample of labelled rows, turns votes into probabilities.
    The neighbours (ids and cosines) are returned as evidence.
 
-Defined results: a null or empty text, or one without a vocabulary term, has
+Defined results: a null or empty text, or one without a term of an example, has
 no neighbours and gets the curve's value for no vote; an id with several
 labels has their mean, rounded; null labels are ignored; without labels of
 both classes every score is the share of label 1 (0 without any label).
@@ -26,6 +24,7 @@ both classes every score is the share of label 1 (0 without any label).
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable
 
 import numpy as np
@@ -38,11 +37,11 @@ from volspark.llm.common import PARTS, add_arrays, array_parts, fold, small, tex
 from volspark.session import cut_lineage
 
 WORD = re.compile(rb"[a-z\x80-\xff]+")
-BLOCK = 64
 STEMS = (4, 5, 6)
-#: Chi-square (one degree of freedom) that chance gives about once in 20 million
-#: terms, and the least difference of the classes' log odds.
-CHI, LEAST_ODDS = 30.0, 2.0
+#: Terms in so many examples are summed as a matrix product, the others by postings.
+FREQUENT = 400
+#: Texts whose cosines are summed together, and words remembered with their terms.
+TOGETHER, REMEMBERED = 100, 200_000
 SCHEMA = "doc_id long, score double, vote double, neighbours string"
 
 
@@ -50,10 +49,9 @@ def words_of(text: str) -> list[bytes]:
     return WORD.findall(text.lower().encode())
 
 
-def terms_of(words) -> set[bytes]:
-    """Distinct terms; a leading part is marked by a final blank."""
-    seen = set(words)
-    return seen.union(*({w[:n] + b" " for w in seen if len(w) > n} for n in STEMS))
+def terms_of(word: bytes) -> list[bytes]:
+    """A word and its leading parts; these are marked by a final blank."""
+    return [word, *(word[:n] + b" " for n in STEMS if len(word) > n)]
 
 
 def sample_of(labels: DataFrame, label: str, held_out_mod: int, held_out: int, per_class: int, calibration: int):
@@ -72,145 +70,160 @@ def sample_of(labels: DataFrame, label: str, held_out_mod: int, held_out: int, p
     return examples.select("doc_id", "y"), rest.select("doc_id", "y")
 
 
-def choose_terms(texts: DataFrame, examples: DataFrame, size: int) -> dict[bytes, float]:
-    """The ``size`` terms with the largest chi-square between the classes of
-    the examples, with the distance of the classes' log odds."""
+def class_terms(rows: DataFrame) -> dict[bytes, float]:
+    """Every term of the examples ``text, y``, with the distance of its log
+    odds between the classes; nothing if a class is missing."""
 
     def run(batches):
+        seen = (Counter(), Counter())
         for b in small(batches):
             for text, y in zip(b.column("text").to_pylist(), b.column("y").to_pylist()):
-                terms = list(terms_of(words_of(text)))
-                yield pa.RecordBatch.from_arrays([pa.array(terms, pa.binary()), pa.array([y] * len(terms), pa.int32())], names=["term", "y"])
+                seen[y].update({t for w in set(words_of(text)) for t in terms_of(w)})
+        terms = list(seen[0].keys() | seen[1].keys())
+        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.binary()), *(pa.array([c[t] for t in terms], pa.int64()) for c in seen)], names=["term", "in0", "in1"])
 
-    totals = {r.y: r.n for r in examples.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    totals = {r.y: float(r.n) for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(totals) < 2:
         return {}
-    n0, n1 = float(totals[0]), float(totals[1])
-    counted = texts.join(F.broadcast(examples), "doc_id").select("text", "y").mapInArrow(run, "term binary, y int").groupBy("term").agg(F.sum("y").alias("a"), F.count(F.lit(1)).alias("df"))
-    a, b = F.col("a"), F.col("df") - F.col("a")
-    # 2 x 2 chi-square of presence against class
-    c, d = n1 - a, n0 - b
-    chi = (n0 + n1) * (a * d - b * c) ** 2 / ((a + b) * (c + d) * n0 * n1)
-    odds = F.abs(F.log((a + 0.5) / (c + 0.5)) - F.log((b + 0.5) / (d + 0.5)))
-    best = counted.select("term", chi.alias("chi"), odds.alias("odds")).filter((F.col("chi") > CHI) & (F.col("odds") > LEAST_ODDS)).orderBy(F.desc("chi"), "term").limit(size)
-    return {bytes(r.term): r.odds for r in best.collect()}
+    got = rows.select("text", "y").mapInArrow(run, "term binary, in0 long, in1 long").groupBy("term").agg(F.sum("in0").alias("in0"), F.sum("in1").alias("in1")).toArrow()
+    odds = [np.log((c + 0.5) / (totals[y] - c + 0.5)) for y, c in ((y, got[f"in{y}"].to_numpy()) for y in (0, 1))]
+    return dict(sorted(zip(got["term"].to_pylist(), np.abs(odds[1] - odds[0]).tolist())))
+
+
+def count_terms(batches, at: dict[bytes, int]):
+    """For slices of Arrow batches: the slice, and the rows, term numbers and
+    counts of its texts, by row and term.  ``at`` numbers the terms."""
+    known: dict[bytes, list[int]] = {}
+    for b in small(batches, TOGETHER):
+        row, term, count = [], [], []
+        for i, text in enumerate(b.column("text").to_pylist()):
+            before = len(term)
+            for w, n in Counter(words_of(text)).items():
+                ids = known.get(w)
+                if ids is None:
+                    if len(known) >= REMEMBERED:
+                        known.clear()
+                    ids = known[w] = [at[t] for t in terms_of(w) if t in at]
+                term += ids
+                count += [n] * len(ids)
+            row.append(len(term) - before)
+        key = np.repeat(np.arange(b.num_rows), row) * max(1, len(at)) + np.array(term, np.int64)
+        cell, back = np.unique(key, return_inverse=True)
+        yield b, cell // max(1, len(at)), cell % max(1, len(at)), np.bincount(back, np.array(count, float), len(cell))
+
+
+def document_frequencies(texts: DataFrame, at: dict[bytes, int]) -> tuple[int, np.ndarray]:
+    """The number of texts, and in how many of them each term occurs."""
 
+    def run(batches):
+        total = np.zeros(len(at) + 1)
+        for b, _, term, _ in count_terms(batches, at):
+            total += np.bincount(np.append(term, [len(at)] * b.num_rows), minlength=len(total))
+        yield from array_parts(total, TaskContext.get().partitionId())
 
-def vectors_of(texts: DataFrame, vocabulary: Iterable[bytes]) -> DataFrame:
-    """``doc_id, terms, counts`` of the vocabulary terms in each whole text."""
-    at = {t: i for i, t in enumerate(vocabulary)}
+    parts = add_arrays(texts.select("text").mapInArrow(run, PARTS)).collect()
+    total = np.concatenate([r["values"] for r in sorted(parts, key=lambda r: r.chunk)]) if parts else np.zeros(len(at) + 1)
+    return int(total[-1]), total[:-1]
 
-    def run(batches):
-        known = at.keys()
-        for b in small(batches):
-            terms, counts = [], []
-            for text in b.column("text").to_pylist():
-                words = words_of(text)
-                hit = known & terms_of(words)
-                tally = dict.fromkeys(hit, 0)
-                if hit:
-                    for w in words:
-                        if w in tally:
-                            tally[w] += 1
-                    for n in {len(t) - 1 for t in hit if t[-1:] == b" "}:
-                        for w in words:
-                            if len(w) > n and (s := w[:n] + b" ") in tally:
-                                tally[s] += 1
-                ids = sorted((at[t], n) for t, n in tally.items())
-                terms.append([i for i, _ in ids])
-                counts.append([n for _, n in ids])
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(terms, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))], names=["doc_id", "terms", "counts"])
-
-    return texts.mapInArrow(run, "doc_id long, terms array<int>, counts array<int>")
-
-
-def document_frequencies(vectors: DataFrame, size: int) -> np.ndarray:
-    """In how many rows each of the ``size`` terms occurs."""
+
+def vectors_of(texts: DataFrame, at: dict[bytes, int]) -> DataFrame:
+    """``doc_id, y, terms, counts`` of each whole text."""
 
     def run(batches):
-        total = np.zeros(max(1, size))
-        for b in small(batches):
-            total += np.bincount(b.column("terms").flatten().to_numpy(), minlength=max(1, size))
-        yield from array_parts(total, TaskContext.get().partitionId())
+        for b, row, term, count in count_terms(batches, at):
+            off = pa.array(np.searchsorted(row, np.arange(b.num_rows + 1)), pa.int32())
+            lists = [pa.ListArray.from_arrays(off, pa.array(x, pa.int32())) for x in (term, count.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), *lists], names=["doc_id", "y", "terms", "counts"])
 
-    parts = add_arrays(vectors.select("terms").mapInArrow(run, PARTS)).collect()
-    return np.concatenate([r["values"] for r in sorted(parts, key=lambda r: r.chunk)])[:size] if parts else np.zeros(size)
+    return texts.select("doc_id", "y", "text").mapInArrow(run, "doc_id long, y int, terms array<int>, counts array<int>")
 
 
-class BlockMaxIndex:
-    """Inverted index over unit vectors, in blocks of consecutive examples."""
+class ExampleIndex:
+    """Inverted index over the unit vectors of all examples; frequent terms
+    are columns of a matrix."""
 
-    def __init__(self, idf: np.ndarray, examples: list[tuple[int, int, list[int], list[int]]]):
+    def __init__(self, idf: np.ndarray, examples: Iterable[tuple[int, int, list[int], list[int]]]):
         self.idf = idf
-        units = [(doc, y, *self.unit(t, c)) for doc, y, t, c in examples if t]
-        units.sort(key=lambda e: (e[1], list(e[2][:1]), e[0]))  # like examples share blocks
+        units = [(doc, y, *self.unit(t, c)) for doc, y, t, c in examples]
         self.ids = np.array([e[0] for e in units], np.int64)
         self.y = np.array([e[1] for e in units], float)
-        self.blocks = -(-len(units) // BLOCK)
         term = np.concatenate([e[2] for e in units]) if units else np.zeros(0, np.int64)
         weight = np.concatenate([e[3] for e in units]) if units else np.zeros(0)
-        doc = np.repeat(np.arange(len(units)), [len(e[2]) for e in units])
+        doc = np.repeat(np.arange(len(units), dtype=np.int32), [len(e[2]) for e in units])
         order = np.lexsort((doc, term))
         term, self.doc, self.weight = term[order], doc[order], weight[order]
-        # postings of (term, block) are start[term, block] : start[term, block + 1]
-        cell = term * max(1, self.blocks) + self.doc // BLOCK
-        self.start = np.searchsorted(cell, np.arange(len(idf) * max(1, self.blocks) + 1))
-        self.top = np.zeros(len(idf) * max(1, self.blocks))
-        np.maximum.at(self.top, cell, self.weight)
-        self.top = self.top.reshape(len(idf), max(1, self.blocks))
+        self.start = np.searchsorted(term, np.arange(len(idf) + 1))
+        self.frequent = np.flatnonzero(np.diff(self.start) >= FREQUENT)
+        self.column = np.full(len(idf), -1, np.int64)
+        self.column[self.frequent] = np.arange(len(self.frequent))
+        self.matrix = np.zeros((len(self.frequent), len(units)))
+        for i, t in enumerate(self.frequent):
+            at = slice(self.start[t], self.start[t + 1])
+            self.matrix[i, self.doc[at]] = self.weight[at]
 
     def unit(self, terms, counts) -> tuple[np.ndarray, np.ndarray]:
         t = np.asarray(terms, np.int64)
         w = (1 + np.log(np.asarray(counts, float))) * self.idf[t]
-        return t, w / np.sqrt((w**2).sum())
+        return t, w / max(np.sqrt((w**2).sum()), 1e-300)
+
+    def cosines(self, rows: int, row: np.ndarray, term: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Of ``rows`` texts, given by cells (row, term, count), with all examples."""
+        n = len(self.ids)
+        w = (1 + np.log(count)) * self.idf[term]
+        w = w / np.maximum(np.sqrt(np.bincount(row, w**2, rows)), 1e-300)[row]
+        column = self.column[term]
+        dense = column >= 0
+        query = np.zeros((rows, len(self.frequent)))
+        query[row[dense], column[dense]] = w[dense]
+        row, term, w = row[~dense], term[~dense], w[~dense]
+        first = self.start[term]
+        size = self.start[term + 1] - first
+        into = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        rare = np.bincount(np.repeat(row * n, size) + self.doc[into], self.weight[into] * np.repeat(w, size), rows * n)
+        return query @ self.matrix + rare.reshape(rows, n)
+
+    def nearest_of(self, rows: int, row, term, count, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per text: examples and cosines of the exact k nearest (cosine above
+        0), ties to the smaller id."""
+        none = np.zeros(0, np.int64), np.zeros(0)
+        n = len(self.ids)
+        if not n or not len(term):
+            return [none] * rows
+        every = self.cosines(rows, row, term, count)
+        kth = np.partition(every, n - k, axis=1)[:, n - k] if n > k else np.zeros(rows)
+        out = []
+        for cos, least in zip(every, kth):
+            docs = np.flatnonzero((cos > 0) & (cos >= least - 1e-11))
+            best = docs[np.lexsort((self.ids[docs], -cos[docs].round(12)))[:k]]
+            out.append((best, cos[best]))
+        return out
 
     def nearest(self, terms, counts, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Examples and cosines of the exact k nearest (cosine above 0), ties to the smaller id."""
-        none = np.zeros(0, np.int64), np.zeros(0)
-        if not len(terms) or not self.blocks:
-            return none
-        t, w = self.unit(terms, counts)
-        bound = w @ self.top[t]
-        order = np.argsort(-bound, kind="stable")
-        found, cosines, kth, at, step = [], [], 0.0, 0, 4
-        while at < len(order) and bound[order[at]] > 0 and bound[order[at]] >= kth - 1e-12:
-            some = order[at : at + step]
-            lo = (t[:, None] * self.blocks + some[None, :]).ravel()
-            first, n = self.start[lo], self.start[lo + 1] - self.start[lo]
-            total = int(n.sum())
-            if total:
-                into = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(total)
-                docs = self.doc[into]
-                sums = np.bincount(docs, self.weight[into] * np.repeat(np.repeat(w, len(some)), n))
-                hit = np.flatnonzero(sums)
-                found.append(hit)
-                cosines.append(sums[hit])
-                every = np.concatenate(cosines)
-                if len(every) >= k:
-                    kth = np.partition(every, len(every) - k)[len(every) - k]
-            at, step = at + step, step * 2
-        if not found:
-            return none
-        docs, cos = np.concatenate(found), np.concatenate(cosines)
-        best = np.lexsort((self.ids[docs], -cos.round(12)))[:k]
-        return docs[best], cos[best]
+        t = np.asarray(terms, np.int64)
+        return self.nearest_of(1, np.zeros(len(t), np.int64), t, np.asarray(counts, float), k)[0]
+
+
+BlockMaxIndex = ExampleIndex  # its earlier name
 
 
 class Voter:
     """Distance-weighted vote and its calibration curve."""
 
-    def __init__(self, index: BlockMaxIndex, k: int, prior: float):
+    def __init__(self, index: ExampleIndex, k: int, prior: float):
         self.index, self.k, self.prior = index, k, prior
         self.coef: np.ndarray | None = None
 
-    def vote(self, terms, counts) -> tuple[list[float], str]:
-        docs, cos = self.index.nearest(terms, counts, self.k)
-        if not len(docs):
-            return [0.0, 0.0], ""
-        w = cos**2
-        share = float((w * self.index.y[docs]).sum() / w.sum())
-        toxic_mass = float(np.log1p(sum(c for t, c in zip(terms, counts)))) * share
-        return [share, toxic_mass], ",".join(f"{self.index.ids[d]}:{int(self.index.y[d])}:{c:.4f}" for d, c in zip(docs, cos))
+    def votes(self, rows: int, row, term, count) -> list[tuple[list[float], str]]:
+        out = []
+        for (docs, cos), words in zip(self.index.nearest_of(rows, row, term, count, self.k), np.bincount(row, count, rows)):
+            if not len(docs):
+                out.append(([0.0, 0.0], ""))
+                continue
+            w = cos**2
+            share = float((w * self.index.y[docs]).sum() / w.sum())
+            toxic_mass = float(np.log1p(words)) * share
+            out.append(([share, toxic_mass], ",".join(f"{self.index.ids[d]}:{int(self.index.y[d])}:{c:.4f}" for d, c in zip(docs, cos))))
+        return out
 
     def calibrate(self, rows: list[tuple[list[float], int]], steps: int = 25, ridge: float = 0.1) -> None:
         """Logistic regression by Newton steps; a small ridge keeps it finite."""
@@ -231,27 +244,35 @@ class Voter:
         return float(1 / (1 + np.exp(-np.clip(self.coef @ np.array([1.0, *votes]), -30, 30))))
 
 
-def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out_mod: int = 5, held_out: int = 0, examples: int = 2000, calibration: int = 10_000, vocabulary: int = 3000, k: int = 15) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out_mod: int = 5, held_out: int = 0, examples: int = 2000, calibration: int = 10_000, k: int = 15) -> DataFrame:
     """``doc_id, score, vote, neighbours`` of every document."""
     texts = texts_of(docs)
-    for_index, for_curve = (cut_lineage(x) for x in sample_of(labels, label, held_out_mod, held_out, examples, calibration))
-    terms = choose_terms(texts, for_index, vocabulary)
-    vectors = cut_lineage(vectors_of(texts, terms))
-    n = vectors.count()
-    df = document_frequencies(vectors, len(terms))
-    idf = (np.log((n + 1) / (df + 1)) + 1) * np.array(list(terms.values()))
-    rows = vectors.join(F.broadcast(for_index), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
-    prior = float(np.mean([r.y for r in rows])) if rows else 0.0
-    voter = Voter(BlockMaxIndex(idf, [(r.doc_id, r.y, r.terms, r.counts) for r in rows]), k, prior)
-    held = vectors.join(F.broadcast(for_curve), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
-    voter.calibrate([(voter.vote(r.terms, r.counts)[0], r.y) for r in held])
+    for_index, for_curve = sample_of(labels, label, held_out_mod, held_out, examples, calibration)
+    sample = cut_lineage(for_index.withColumn("indexed", F.lit(True)).unionByName(for_curve.withColumn("indexed", F.lit(False))))
+    labelled = cut_lineage(texts.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]))
+    indexed = labelled.filter("indexed")
+    odds = class_terms(indexed)
+    at = {t: i for i, t in enumerate(odds)}
+    n, df = document_frequencies(texts, at)
+    idf = (np.log((n + 1) / (df + 1)) + 1) * np.array(list(odds.values()))
+    rows = vectors_of(indexed, at).toArrow().sort_by("doc_id")
+    prior = float(np.mean(rows["y"].to_numpy())) if rows.num_rows else 0.0
+    voter = Voter(ExampleIndex(idf, zip(rows["doc_id"].to_pylist(), rows["y"].to_pylist(), *([v.values.to_numpy() for v in rows[c]] for c in ("terms", "counts")))), k, prior)
+
+    def cast(batches):
+        for b, *cells in count_terms(batches, at):
+            votes = [v for v, _ in voter.votes(b.num_rows, *cells)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(votes, pa.list_(pa.float64()))], names=["doc_id", "y", "votes"])
+
+    held = labelled.filter("NOT indexed").select("doc_id", "y", "text").mapInArrow(cast, "doc_id long, y int, votes array<double>").collect()
+    voter.calibrate([(r.votes, r.y) for r in sorted(held, key=lambda r: r.doc_id)])
 
     def run(batches):
-        for b in small(batches):
-            out = [voter.vote(t, c) for t, c in zip(b.column("terms").to_pylist(), b.column("counts").to_pylist())]
+        for b, *cells in count_terms(batches, at):
+            out = voter.votes(b.num_rows, *cells)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([voter.probability(v) for v, _ in out], pa.float64()), pa.array([v[0] for v, _ in out], pa.float64()), pa.array([e for _, e in out], pa.string())],
                 names=["doc_id", "score", "vote", "neighbours"],
             )
 
-    return vectors.mapInArrow(run, SCHEMA)
+    return texts.mapInArrow(run, SCHEMA)
