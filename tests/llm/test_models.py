@@ -158,6 +158,22 @@ def test_one_state_is_the_base(spark):
     assert all(abs(r.score - r.base_score) < 1e-6 * r.n_tokens for r in got)
 
 
+def test_hmm_learns_rare_words_and_whole_texts(spark):
+    # after "a" always comes a rare word of one kind, after "b" one of the other: one class of all the rest cannot tell
+    rng = random.Random(5)
+    rare = {c: [f"{c}{w}" for w in range(40)] for c in "ab"}
+    rows = [(i, " ".join(f"{c} {rng.choice(rare[c])}" for c in [rng.choice("ab")] * 30), "en", "x") for i in range(300)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    loose, fine = (hmm.score(docs, states=2, rounds=12, head_words=10, emission_words=3, words_in_class=n).agg(F.sum("score")).first()[0] for n in (10**9, 1))
+    assert fine > loose + 1000
+    # batches and segments change no count
+    flat = spark.createDataFrame([(np.random.default_rng(i).integers(0, 4, 5 + 3 * i).tolist(),) for i in range(12)], "ids array<int>")
+    model = hmm.HiddenMarkov.initial(np.full(4, 0.25), 2)
+    got = [hmm.baum_welch(flat, model, np.ones(4), 2, n) for n in (3, 1000)]
+    assert np.allclose(got[0][0].start, got[1][0].start, atol=1e-5) and np.allclose(got[0][0].step, got[1][0].step, atol=1e-5)
+    assert np.allclose(got[0][1], got[1][1], rtol=1e-5)
+
+
 def test_forward_equals_sum_over_paths():
     import itertools
 

@@ -5,13 +5,15 @@
 2. One pass replaces words by ids.  The ``head_words`` most frequent words
    travel to the tasks with their counts (a fixed bound); the other words of a
    text, each at most 1 / head_words of all tokens, get theirs by a join.
-3. States emit the ``emission_words`` most frequent words and one class of all
-   the rest; within that class a word has probability proportional to c + 0.5
-   (0.5 for all unseen words together), so the model is a proper distribution
-   over the same token types as the unigram base.
+3. States emit the ``emission_words`` most frequent words, classes of the other
+   words of training texts, and one symbol for all unseen words together (base
+   weight 0.5).  A word's class is its crc32 modulo the number of classes, which
+   grows with the vocabulary (``words_in_class`` words in each); within a class a
+   word has probability proportional to c + 0.5, so the model is a proper
+   distribution over the same token types as the unigram base.
 4. Baum-Welch: every task adds up expected counts over all its training texts,
-   Spark adds the tasks' arrays by chunk, the driver normalises.  Texts are cut
-   at ``segment`` tokens for this step only.
+   each from its first to its last token, Spark adds the tasks' arrays by chunk,
+   the driver normalises.
 5. The scaled forward recursion, over whole texts, many texts side by side,
    gives the exact log likelihood.
 
@@ -23,6 +25,7 @@ texts (N = 0) the base is log10(0.5 / 0.5) = 0 per token, and so is the score.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -35,6 +38,7 @@ from volspark.llm.common import PARTS, add_arrays, array_parts, fold, small, tex
 from volspark.session import cut_lineage
 
 END = b""  # no word is empty
+KEPT = ["doc_id", "held_out", "in_model", "in_rest", "n_known", "more"]
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -86,42 +90,46 @@ def most_frequent(counts: DataFrame, size: int) -> list[tuple[bytes, int]]:
     return [(word, c) for _, word, c in rows]
 
 
-def encode(docs: DataFrame, head: list[tuple[bytes, int]], emission_words: int) -> DataFrame:
-    """One row per text: ids of its tokens (``emission_words``, or as many as
-    there are: the rest class), sums over its head words, and its other words.
-    ``key`` numbers the rows; the result is to be written before it is used."""
+def encode(docs: DataFrame, head: list[tuple[bytes, int]], emission_words: int, classes: int) -> DataFrame:
+    """One row per text: symbols of its tokens (``emission_words``, or as many
+    as there are, then ``classes``, then the unseen words), sums over its head
+    words, and its other words with their places; these have the symbol of a
+    class, also where no training text holds them.  ``key`` numbers the rows;
+    the result is to be written before it is used."""
     place = {w: i for i, (w, _) in enumerate(head)}
     logs = np.array([math.log10(c + 0.5) for _, c in head] + [0.0])
     known = np.array([c > 0 for _, c in head] + [False], np.int64)
     emitted = min(emission_words, len(head))
+    symbol = np.array([emitted + classes if not c else i if i < emitted else emitted + zlib.crc32(w) % classes for i, (w, c) in enumerate(head)] + [0], np.int32)
 
     def run(batches):
         part, row = TaskContext.get().partitionId(), 0
         far = len(head)
         for b in small(batches):
-            keys, ids, in_model, in_rest, n_known, n_rest, others = [], [], [], [], [], [], []
+            keys, ids, in_model, in_rest, n_known, others, places = [], [], [], [], [], [], []
             for text in b.column("text").cast(pa.binary()).to_pylist():
                 words = words_of(text)
                 words.append(END)
                 at = np.fromiter((place.get(w, far) for w in words), np.int64, len(words))
-                rest = at >= emitted
+                rest = symbol[at] >= emitted
                 lg = logs[at]
                 keys.append((part << 33) + row)
                 row += 1
                 in_rest.append(float(lg[rest].sum()))
                 in_model.append(float(lg.sum()) - in_rest[-1])
                 n_known.append(int(known[at].sum()))
-                n_rest.append(int(rest.sum()))
-                others.append([words[i] for i in np.flatnonzero(at == far)])
-                ids.append(np.minimum(at, emitted).astype(np.int32))
+                places.append(np.flatnonzero(at == far).astype(np.int32))
+                others.append([words[i] for i in places[-1]])
+                ids.append(symbol[at])
+                ids[-1][places[-1]] = [emitted + zlib.crc32(w) % classes for w in others[-1]]
             off = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), b.column("doc_id"), b.column("held_out"), pa.ListArray.from_arrays(pa.array(off), pa.array(flat)), pa.array(in_model, pa.float64()), pa.array(in_rest, pa.float64()), pa.array(n_known, pa.int64()), pa.array(n_rest, pa.int64()), pa.array(others, pa.list_(pa.binary()))],
-                names=["key", "doc_id", "held_out", "ids", "in_model", "in_rest", "n_known", "n_rest", "others"],
+                [pa.array(keys, pa.int64()), b.column("doc_id"), b.column("held_out"), pa.ListArray.from_arrays(pa.array(off), pa.array(flat)), pa.array(in_model, pa.float64()), pa.array(in_rest, pa.float64()), pa.array(n_known, pa.int64()), pa.array(others, pa.list_(pa.binary())), pa.array(places, pa.list_(pa.int32()))],
+                names=["key", "doc_id", "held_out", "ids", "in_model", "in_rest", "n_known", "others", "places"],
             )
 
-    return docs.mapInArrow(run, "key long, doc_id long, held_out boolean, ids array<int>, in_model double, in_rest double, n_known long, n_rest long, others array<binary>")
+    return docs.mapInArrow(run, "key long, doc_id long, held_out boolean, ids array<int>, in_model double, in_rest double, n_known long, others array<binary>, places array<int>")
 
 
 def ragged(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -205,7 +213,9 @@ class HiddenMarkov:
 
 def baum_welch(encoded: DataFrame, model: HiddenMarkov, prior: np.ndarray, rounds: int, segment: int, batch_tokens: int = 1_000_000) -> tuple[HiddenMarkov, list[float]]:
     """``rounds`` of re-estimation over all rows of ``encoded``; ``prior`` holds
-    pseudo-counts per symbol.  Returns the model and each round's log likelihood."""
+    pseudo-counts per symbol.  Texts are never cut; those longer than ``segment``
+    only share batches apart from the others.  Returns the model and each round's
+    log likelihood."""
     k, width, history = len(model.start), model.emit.shape[0], []
 
     for _ in range(rounds):
@@ -215,14 +225,12 @@ def baum_welch(encoded: DataFrame, model: HiddenMarkov, prior: np.ndarray, round
             like = 0.0
             for b in batches:
                 flat, start, length = ragged(b.column("ids"))
-                cuts = -(-length // segment)
-                nth = np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)
-                s = np.repeat(start, cuts) + nth * segment
-                n = np.minimum(segment, np.repeat(start + length, cuts) - s)
+                order = np.argsort(-length, kind="stable")  # texts of like length share a batch
+                s, n = start[order], length[order]
                 edges = np.searchsorted(np.cumsum(n), np.arange(0, n.sum() + batch_tokens, batch_tokens))
-                for i, j in zip(edges, [*edges[1:], len(n)]):
-                    if j > i:
-                        like += model.expected(flat, s[i:j], n[i:j], into)
+                edges = np.unique([*edges, int((n > segment).sum()), len(n)])
+                for i, j in zip(edges[:-1], edges[1:]):
+                    like += model.expected(flat, s[i:j], n[i:j], into)
             every = np.concatenate([[like], into[0], into[1].ravel(), into[2].ravel()])
             task = TaskContext.get().partitionId()
             yield from array_parts(every, task)
@@ -237,46 +245,59 @@ def baum_welch(encoded: DataFrame, model: HiddenMarkov, prior: np.ndarray, round
     return model, history
 
 
-def score(docs: DataFrame, held_out_mod: int = 5, held_out: int = 1, states: int = 8, rounds: int = 6, head_words: int = 262_144, emission_words: int = 16_384, segment: int = 512) -> DataFrame:
+def score(docs: DataFrame, held_out_mod: int = 5, held_out: int = 1, states: int = 8, rounds: int = 6, head_words: int = 262_144, emission_words: int = 16_384, segment: int = 512, words_in_class: int = 64) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` per document."""
     texts = texts_of(docs).withColumn("held_out", fold(F.col("doc_id"), held_out_mod) == held_out)
     counts = cut_lineage(count_tokens(texts))
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
     head = most_frequent(counts, head_words)
-    encoded = cut_lineage(encode(texts, head, emission_words))
-
-    # symbols: the emitted words, then the class of all the rest
-    emitted = np.array([c + 0.5 for _, c in head[:emission_words]])
+    emitted = min(emission_words, len(head))
+    classes = max(1, -(-total.v // words_in_class))
+    encoded = cut_lineage(encode(texts, head, emission_words, classes))
+
+    # symbols: the emitted words, the classes of the other words, the unseen words
+    rest = np.zeros(classes)
+    by_class = counts.filter("c > 0").groupBy((F.crc32("word") % classes).cast("int").alias("class")).agg(F.sum(F.col("c") + F.lit(0.5)).alias("mass")).toArrow()
+    rest[by_class["class"].to_numpy()] = by_class["mass"].to_numpy()
+    for w, c in head[:emitted]:
+        if c:
+            rest[zlib.crc32(w) % classes] -= c + 0.5  # halves: no rounding
+    symbols = np.concatenate([[c + 0.5 if c else 0.0 for _, c in head[:emitted]], rest, [0.5]])
     mass = total.n + 0.5 * (total.v + 1)
-    unseen_emitted = 0.5 * sum(1 for _, c in head[:emission_words] if not c)  # words of held-out texts only
-    seen_in_rest = mass - 0.5 - (emitted.sum() - unseen_emitted)  # sum of c + 0.5 over seen words of the rest
-    symbols = np.append(np.where(emitted > 0.5, emitted, 0.0), max(seen_in_rest, 0.0) + 0.5)
     unigram = symbols / symbols.sum()
-    is_unseen = np.append(emitted <= 0.5, False)
-    model, _ = baum_welch(encoded.filter(~F.col("held_out")), HiddenMarkov.initial(unigram, states), 20 * unigram, rounds, segment)
-    rest_mass = float(symbols[-1])
-    # a frequent word that no training text holds is an unseen word: rest class, 0.5 of its mass
-    rest = len(emitted)
-    emit = model.emit.copy()
-    emit[is_unseen] = emit[rest] * (0.5 / rest_mass)
-    scorer = HiddenMarkov(model.start, model.step, emit)
-
-    looked = encoded.select("key", F.explode("others").alias("word")).join(counts.select("word", "c"), "word", "left")
-    per_text = looked.groupBy("key").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5))).alias("more_logs"), F.sum(F.when(F.col("c") > 0, 1).otherwise(0)).alias("more_known"))
+    scorer, _ = baum_welch(encoded.filter(~F.col("held_out")), HiddenMarkov.initial(unigram, states), 20 * unigram, rounds, segment)
+    unseen = emitted + classes
+    class_logs = np.log10(np.where(symbols > 0, symbols, 1.0))
+    class_logs[:emitted] = 0.0
+
+    looked = encoded.select("key", F.explode(F.arrays_zip("others", "places")).alias("o")).select("key", F.col("o.others").alias("word"), F.col("o.places").alias("place")).join(counts.select("word", "c"), "word", "left")
+    is_known = F.coalesce("c", F.lit(0)) > 0
+    per_text = looked.groupBy("key").agg(
+        F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5))).alias("more_logs"), F.sum(F.when(is_known, 1).otherwise(0)).alias("more_known"),
+        F.collect_list(F.when(~is_known, F.col("place"))).alias("unseen"),
+    )
 
     def run(batches):
         for b in batches:
             flat, start, length = ragged(b.column("ids"))
-            rest_logs = b.column("n_rest").to_numpy() * math.log10(rest_mass)
+            places = b.column("unseen")
+            flat = flat.copy()
+            flat[np.repeat(start, np.diff(places.offsets.to_numpy())) + places.flatten().to_numpy()] = unseen
+            off = np.concatenate([[0], np.cumsum(class_logs[flat])])
+            rest_logs = off[start + length] - off[start]
             yield pa.RecordBatch.from_arrays(
-                [b.column("key"), b.column("doc_id"), b.column("held_out"), pa.array(length), b.column("in_model"), b.column("in_rest"), b.column("n_known"), pa.array(scorer.log10_likelihood(flat, start, length) - rest_logs)],
-                names=["key", "doc_id", "held_out", "n_tokens", "in_model", "in_rest", "n_known", "forward"],
+                [*(b.column(c) for c in KEPT), pa.array(length), pa.array(scorer.log10_likelihood(flat, start, length) - rest_logs)],
+                names=[*KEPT, "n_tokens", "forward"],
             )
 
-    forward = encoded.select("key", "doc_id", "held_out", "ids", "in_model", "in_rest", "n_known", "n_rest").mapInArrow(run, "key long, doc_id long, held_out boolean, n_tokens long, in_model double, in_rest double, n_known long, forward double")
     more = F.coalesce("more_logs", F.lit(0.0))
-    return forward.join(per_text, "key", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(total.n).cast("long").alias("train_tokens"),
-        (F.col("in_model") + F.col("in_rest") + more - F.col("n_tokens") * math.log10(mass)).alias("base_score"),
-        (F.col("forward") + F.col("in_rest") + more).alias("score"),
+    joined = encoded.drop("others", "places").join(per_text, "key", "left")
+    forward = joined.select(
+        "doc_id", "held_out", "in_model", "in_rest", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), more.alias("more"),
+        "ids", F.coalesce("unseen", F.array().cast("array<int>")).alias("unseen"),
+    ).mapInArrow(run, "doc_id long, held_out boolean, in_model double, in_rest double, n_known long, more double, n_tokens long, forward double")
+    return forward.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(total.n).cast("long").alias("train_tokens"),
+        (F.col("in_model") + F.col("in_rest") + F.col("more") - F.col("n_tokens") * math.log10(mass)).alias("base_score"),
+        (F.col("forward") + F.col("in_rest") + F.col("more")).alias("score"),
     )
