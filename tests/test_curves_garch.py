@@ -92,6 +92,22 @@ def test_garch_likelihood_not_below_a_fine_grid():
                 assert np.all(GA.recursion(eps, n, s0, t)[0] <= best + 1e-4)
 
 
+def test_garch_recovers_low_persistence():
+    eps, n = GA.padded([simulate(0.1, 0.3, 0.2, 0.0, 500, s) for s in range(40)])
+    theta, _ = GA.fit_rows(eps, n, False)
+    assert abs(theta[:, 1].mean() - 0.3) < 0.06 and abs(theta[:, 2].mean() - 0.2) < 0.1
+    s0, var = GA.backcast(eps, n), (eps**2).sum(1) / n
+    best = GA.recursion(eps, n, s0, theta)[0]
+    for a in (0.1, 0.2, 0.3, 0.4, 0.5):
+        for b in (0.05, 0.1, 0.2, 0.3, 0.4):
+            for w in (0.2, 0.35, 0.5, 0.65):
+                assert np.all(GA.recursion(eps, n, s0, np.stack([w * var, 0 * var + a, 0 * var + b, 0 * var], axis=1))[0] <= best + 1e-4)
+    # every coordinate has a vertex of its own, also where beta is 0
+    at = np.array([[np.log(0.7), 0.3, 0.0], [np.log(0.03), 0.97, 0.03]])
+    simplex = GA.first_simplex(lambda p, _: GA.feasible(np.column_stack([np.exp(p[:, 0]), p[:, 1:], np.zeros(2)])), at, np.arange(2))
+    assert all(simplex[i, j + 1, j] != at[i, j] for i in range(2) for j in range(3))
+
+
 def test_garch_gates_and_path(spark):
     cases = [
         (1, 0.1, 0.1, 0.8, 0.0, 2.0, -1.0, True),

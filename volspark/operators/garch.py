@@ -4,8 +4,9 @@ cross-window GARCH calibrated to log RV (M13).
 A window becomes one row with its returns as an array (at most 600 values).
 The zero-mean Gaussian likelihood is maximised for many windows at once: the
 variance recursion runs over time with the windows as array axis, a grid gives
-starting points, and a Nelder-Mead simplex per window (all moved together)
-refines them over the whole parameter space: omega > 0, alpha and beta in
+starting points, and a Nelder-Mead simplex per window (moved together, each
+until its own tolerance is met; from the best start of three ranges of beta, then
+once more from the best of these optima) refines them over the whole parameter space: omega > 0, alpha and beta in
 [0, 1], gamma in [-1, 2], alpha + gamma >= 0, alpha + beta + gamma/2 <= 1.
 The fit returns parameters and the state after the last training return; the
 gates, the multi-step path and the output row are Spark columns.
@@ -59,7 +60,7 @@ def feasible(theta: np.ndarray) -> np.ndarray:
     return (omega > 0) & (alpha >= 0) & (alpha <= 1) & (beta >= 0) & (beta <= 1) & (np.abs(gamma - 0.5) <= 1.5) & (alpha + gamma >= 0) & (alpha + beta + gamma / 2 <= 1)
 
 
-def fit_rows(eps: np.ndarray, n: np.ndarray, asymmetric: bool, steps: int = 160) -> tuple[np.ndarray, np.ndarray]:
+def fit_rows(eps: np.ndarray, n: np.ndarray, asymmetric: bool) -> tuple[np.ndarray, np.ndarray]:
     """Maximum-likelihood parameters and last variance of each (padded) row."""
     rows = len(eps)
     on = np.arange(eps.shape[1]) < n[:, None]
@@ -67,64 +68,101 @@ def fit_rows(eps: np.ndarray, n: np.ndarray, asymmetric: bool, steps: int = 160)
     var = np.maximum((eps**2).sum(axis=1) / np.maximum(n, 1), 1e-12)
     s0 = backcast(eps, n)
     free = 4 if asymmetric else 3  # log omega / var, alpha, beta, gamma
+    every = np.arange(rows)
 
-    def theta_of(p):
-        out = np.zeros((rows, 4))
-        out[:, 0] = np.exp(np.clip(p[:, 0], -20, 5)) * var
+    def theta_of(p, at):
+        out = np.zeros((len(at), 4))
+        out[:, 0] = np.exp(np.clip(p[:, 0], -20, 5)) * var[at]
         out[:, 1 : 1 + free - 1] = p[:, 1:]
         return out
 
-    def loss(p):
-        theta = theta_of(p)
+    def loss(p, at):
+        """Of the parameters ``p`` of the rows ``at``."""
+        theta, v = theta_of(p, at), var[at]
         ok = feasible(theta)
-        safe = np.where(ok[:, None], theta, np.stack([var, 0 * var, 0 * var, 0 * var], axis=1))
-        return np.where(ok, -recursion(eps, n, s0, safe)[0], np.inf)
+        safe = np.where(ok[:, None], theta, np.stack([v, 0 * v, 0 * v, 0 * v], axis=1))
+        return np.where(ok, -recursion(eps[at], n[at], s0[at], safe)[0], np.inf)
 
-    best, value = np.zeros((rows, free)), np.full(rows, np.inf)
+    starts, values = [], []
     for a, g, p in STARTS:
         if g and not asymmetric:
             continue
-        start = np.tile(np.array([np.log(max(1 - p, 1e-3)), a, p - a - g / 2, g][:free]), (rows, 1))
-        v = loss(start)
-        better = v < value
-        best[better], value[better] = start[better], v[better]
+        starts.append(np.array([np.log(max(1 - p, 1e-3)), a, p - a - g / 2, g][:free]))
+        values.append(loss(np.tile(starts[-1], (rows, 1)), every))
+    starts, values = np.array(starts), np.where(np.isnan(values), np.inf, values)
+    # the likelihood may have several maxima: from the best start of each range of beta
+    chosen = []
+    for low, high in ((-1.0, 0.15), (0.15, 0.55), (0.55, 2.0)):
+        own = np.flatnonzero((starts[:, 2] >= low) & (starts[:, 2] < high))
+        chosen.append(starts[own[values[own].argmin(axis=0)]])
+
+    def inside(p, at):
+        return feasible(theta_of(p, at))
+
+    at = np.tile(every, len(chosen))
+    found, reached = descend(loss, inside, np.concatenate(chosen), at)
+    best = found.reshape(len(chosen), rows, free)[reached.reshape(len(chosen), rows).argmin(axis=0), every]
+    best, _ = descend(loss, inside, best, every)  # once more with a fresh simplex
+    theta = theta_of(best, every)
+    return theta, recursion(eps, n, s0, theta)[1]
+
+
+#: First step of each coordinate; the next ones are tried where it leaves the space.
+STEPS = (0.5, 0.08, -0.08, 0.1)
+SMALLER = (1, -1, 1 / 4, -1 / 4, 1 / 16, -1 / 16, 1 / 64, -1 / 64)
+
+
+def first_simplex(inside, best: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """``best`` and per coordinate a vertex that differs in it, within the space."""
+    rows, free = best.shape
     simplex = np.repeat(best[:, None, :], free + 1, axis=1)
-    for j, d in enumerate((0.5, 0.08, -0.08, 0.1)[:free]):
-        simplex[:, j + 1, j] += d
-    inside = np.clip(simplex[:, :, 1:3], 0.0, 1.0)
-    simplex[:, :, 1:3] = inside
-    f = np.stack([loss(simplex[:, i]) for i in range(free + 1)], axis=1)
-    every = np.arange(rows)
-    for _ in range(steps):
+    for j in range(free):
+        open_ = np.ones(rows, bool)
+        for part in SMALLER:
+            trial = best.copy()
+            trial[:, j] += STEPS[j] * part
+            use = open_ & inside(trial, which)
+            simplex[use, j + 1] = trial[use]
+            open_ &= ~use
+    return simplex
+
+
+def descend(loss, inside, best: np.ndarray, which: np.ndarray, tolerance: float = 1e-7) -> tuple[np.ndarray, np.ndarray]:
+    """The best point, and its loss, of a Nelder-Mead simplex from each of
+    ``best`` for the rows ``which``, moved until its values differ by less than
+    ``tolerance`` (or its points no longer differ)."""
+    free, at = best.shape[1], np.arange(len(best))
+    result, value = best.copy(), np.full(len(best), np.inf)
+    simplex = first_simplex(inside, best, which)
+    f = np.stack([loss(simplex[:, i], which) for i in range(free + 1)], axis=1)
+    while len(at):
         order = np.argsort(f, axis=1, kind="stable")
         simplex, f = np.take_along_axis(simplex, order[:, :, None], 1), np.take_along_axis(f, order, 1)
-        if np.all(np.where(np.isfinite(f[:, -1]), f[:, -1] - f[:, 0], 1.0) < 1e-7):
+        result[at], value[at] = simplex[:, 0], f[:, 0]
+        spread = np.where(np.isfinite(f[:, 0]), f[:, -1], f[:, 0]) - np.where(np.isfinite(f[:, 0]), f[:, 0], np.inf)
+        going = (spread >= tolerance) & (np.abs(simplex - simplex[:, :1]).max(axis=(1, 2)) > 1e-12)
+        simplex, f, at = simplex[going], f[going], at[going]
+        if not len(at):
             break
-        centre, worst = simplex[:, :-1].mean(axis=1), simplex[:, -1]
+        centre, worst = simplex[:, :-1].mean(axis=1), simplex[:, -1].copy()
         mirror = centre + (centre - worst)
-        fm = loss(mirror)
+        fm = loss(mirror, which[at])
         # one more point: further out where the mirror is best, else nearer
         out = fm < f[:, 0]
         nearer = np.where((fm < f[:, -1])[:, None], centre + 0.5 * (mirror - centre), centre + 0.5 * (worst - centre))
         extra = np.where(out[:, None], centre + 2 * (centre - worst), nearer)
-        fe = loss(extra)
+        fe = loss(extra, which[at])
         middle = ~out & (fm < f[:, -2])
         use_extra = ~middle & (fe < np.minimum(fm, f[:, -1]))
         use_mirror = ~use_extra & (fm < f[:, -1])
-        new = np.where(use_extra[:, None], extra, np.where(use_mirror[:, None], mirror, worst))
-        fn = np.where(use_extra, fe, np.where(use_mirror, fm, f[:, -1]))
-        stuck = every[~(use_extra | use_mirror)]
-        simplex[:, -1], f[:, -1] = new, fn
+        simplex[:, -1] = np.where(use_extra[:, None], extra, np.where(use_mirror[:, None], mirror, worst))
+        f[:, -1] = np.where(use_extra, fe, np.where(use_mirror, fm, f[:, -1]))
+        stuck = np.flatnonzero(~(use_extra | use_mirror))
         if len(stuck):
-            shrunk = simplex.copy()
-            shrunk[stuck, 1:] = simplex[stuck, :1] + 0.5 * (simplex[stuck, 1:] - simplex[stuck, :1])
-            simplex = shrunk
+            simplex[stuck, 1:] = simplex[stuck, :1] + 0.5 * (simplex[stuck, 1:] - simplex[stuck, :1])
             for i in range(1, free + 1):
-                v = loss(simplex[:, i])
-                f[stuck, i] = v[stuck]
-    at = f.argmin(axis=1)
-    theta = theta_of(simplex[every, at])
-    return theta, recursion(eps, n, s0, theta)[1]
+                f[stuck, i] = loss(simplex[stuck, i], which[at[stuck]])
+    return result, value
 
 
 def padded(lists: list) -> tuple[np.ndarray, np.ndarray]:
