@@ -125,3 +125,8 @@ def test_complement_quantile(spark):
 
 def test_manual_labels():
     assert columns_for_labels(["RV_30", "WAP Returns", "RV_30", "nothing"], ["abs_last_return", "RV_30", "last_return"]) == ["RV_30", "last_return", "abs_last_return"]
+
+
+def test_legacy_boosted_settings(spark):
+    for est in MO.legacy_boosted().values():
+        assert (est.getMaxIter(), est.getStepSize(), est.getMaxDepth(), est.getSubsamplingRate(), est.getFeatureSubsetStrategy()) == (300, 0.05, 6, 0.8, "0.8")
