@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volspark.llm import exact_dedup, hmm, jaccard_join, langid, packing, pii, quality, sentencepiece_sampling, topk_search, toxicity
+from volspark.llm import exact_dedup, hmm, jaccard_join, langid, packing, pii, quality, sentencepiece_sampling, simhash_golay, topk_search, toxicity
 from volspark.llm.common import fold, table
 
 #: Public vocabularies; their path is a parameter of the operators.
@@ -108,3 +108,9 @@ def op3_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_sentencepiece_sampling")
 def op8_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_sampling.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query("op11_simhash_golay")
+def op11_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_golay.group(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
