@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volspark.llm import exact_dedup, hmm, jaccard_join, langid, packing, pii, quality, sentencepiece_sampling, simhash_golay, topk_search, toxicity
+from volspark.llm import angular_negatives, exact_dedup, hmm, jaccard_join, langid, packing, periodic_runs, pii, quality, sentencepiece_sampling, simhash_golay, topk_search, toxicity
 from volspark.llm.common import fold, table
 
 #: Public vocabularies; their path is a parameter of the operators.
@@ -114,3 +114,60 @@ def op8_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_golay.group(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def repeated_words(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; where h = crc32(doc_id) is divisible by 10, the words
+    from a on are repetitions of the p words there: with g = h div 10 and n
+    words, a = g mod n and p = 1 + (n - a) div (3 + g mod 8)."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.when(h % 10 == 0, words).alias("w"), F.floor(h / 10).alias("g"))
+    rows = rows.withColumn("n", F.when(F.size("w") > 0, F.size("w"))).withColumn("a", (F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    tail = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")))
+    made = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(tail, F.lit(1), F.col("n") - F.col("a"))), " ")
+    return rows.select("doc_id", F.when(F.col("n").isNotNull(), made).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find(repeated_words(table(spark, sf_dir, "documents")), digest=True)
+    longest = F.array_sort("runs", lambda x, y: F.when(x["length"] > y["length"], -1).when(x["length"] < y["length"], 1).when(x["start"] < y["start"], -1).when(x["start"] > y["start"], 1).otherwise(x["period"] - y["period"]).cast("int"))
+    found = found.withColumn("best", F.get(longest, F.lit(0)))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    lines = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start"), F.col("best.length"), F.col("best.period"),
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.col("collapsed").alias("collapsed_sha256"),
+    )
+
+
+@query(
+    "op12_angular_negatives",
+    """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS q
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    s AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+               list_sum([z[1] * z[2] FOR z IN list_zip(a.q, b.q)])::BIGINT AS score
+        FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+    p AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+    n AS (
+        SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+               row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+    """,
+)
+def op12_angular_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"), "embedding")
+    return angular_negatives.mine(rows, F.col("id") % 50 == 0)
