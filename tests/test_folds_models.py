@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import numpy as np
 
 import pytest
@@ -127,6 +129,35 @@ def test_manual_labels():
     assert columns_for_labels(["RV_30", "WAP Returns", "RV_30", "nothing"], ["abs_last_return", "RV_30", "last_return"]) == ["RV_30", "last_return", "abs_last_return"]
 
 
-def test_legacy_boosted_settings(spark):
-    for est in MO.legacy_boosted().values():
-        assert (est.getMaxIter(), est.getStepSize(), est.getMaxDepth(), est.getSubsamplingRate(), est.getFeatureSubsetStrategy()) == (300, 0.05, 6, 0.8, "0.8")
+def test_legacy_zoo_fits_clusters_and_stocks(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = []
+    for s, n in (("stock_1", 130), ("stock_2", 120), ("stock_3", 40)):
+        x = rng.normal(size=(n, 3))
+        y = 1 + x[:, 0] - 0.5 * x[:, 1] + 0.05 * rng.normal(size=n)
+        rows += [(s, 1 + (s == "stock_3"), i, float(y[i]), *map(float, x[i])) for i in range(n)]
+    df = spark.createDataFrame(rows, "stock_id string, cluster int, time_id bigint, log_rv_second double, a double, b double, c double").repartition(4)
+    few = {n: replace(t, trees=min(t.trees, 8)) for n, t in MO.LEGACY_TREES.items()}
+    fit = lambda: {(r["unit"], r["model"], r["stock_id"], r["time_id"]): (r["y_true"], r["y_pred"]) for r in MO.legacy_zoo(df, ["a", "b", "c"], trees=few).collect()}
+    got = fit()
+    # last fifth of the windows of each unit; stock_3 has too few rows for its own models
+    tests = {"cluster:1": 26 + 16, "cluster:2": 8, "stock:stock_1": 26, "stock:stock_2": 24}
+    assert {u: sum(k[0] == u and k[1] == "DT" for k in got) for u in tests} == tests and {k[0] for k in got} == set(tests)
+    assert {k[1] for k in got} == {"MLR", "Lasso", "Ridge", "DT", "RF", "XGB", "LGBM"}
+    own = [r for r in rows if r[0] == "stock_1"]
+    x = np.array([[1.0, *r[4:]] for r in own])
+    y = np.array([r[3] for r in own])
+    w = np.linalg.lstsq(x[:104], y[:104], rcond=None)[0]
+    assert all(np.isclose(got["stock:stock_1", "MLR", "stock_1", i][1], x[i] @ w) for i in range(104, 130))
+    for m in ("MLR", "Lasso", "Ridge"):
+        assert np.mean([(t - p) ** 2 for k, (t, p) in got.items() if k[1] == m and k[0] != "cluster:2"]) < 0.01
+    monkeypatch.setattr(MO.TR, "BOUND", 100)  # the larger units by distributed sums
+    again = fit()
+    assert set(again) == set(got) and all(np.allclose(again[k], got[k], atol=1e-6) for k in got)
+
+
+def test_legacy_boosted_settings():
+    for name in ("XGB", "LGBM"):
+        t = MO.LEGACY_TREES[name]
+        assert (t.trees, t.rate, t.depth, t.columns) == (300, 0.05, 6, 0.8)
+    assert MO.LEGACY_TREES["XGB"].rows == 0.8 and MO.TREE_LEARNERS["Random Forest"]({}).depth is None

@@ -1,33 +1,30 @@
-"""Volatility forecasters on the feature table.
+"""Volatility forecasters on the feature table
+and the legacy models per cluster and per stock (M15).
 
 Every learner trains on ``target_vol = sqrt(target_var)`` and reports
 ``pred_vol`` (floored, P13) and ``pred_var = pred_vol^2``.  The linear family
 and all principal components come from sufficient statistics
-(:mod:`.linear`): one pass gives the moments of every fold.  Trees are MLlib
-fits per fold on the fold's component scores; (fold, model) is configuration,
-so those fits are driven from a few threads.
+(:mod:`.linear`): one pass gives the moments of every fold.  Trees of all folds
+(or clusters, or stocks) and models are grown together by :mod:`.trees`.
 
 ``inference_ms`` is null: a lazy plan has no per-row predict call to time.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 import numpy as np
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import HAR_COLUMNS, LINEAR_FLOOR_MODELS, MIN_PRED_VOL, PRED_VOL_FLOOR_QUANTILE, ModelSpec, columns_for_labels
-from ..functions.quantiles import complement_quantile
+from ..functions.quantiles import complement_quantile, ranked_in_group
 from ..session import cut_lineage
 from . import linear as LN
+from . import trees as TR
+from .trees import Learner
 
 KEEP = ["stock_id", "time_id", "fold", "target_var", "target_vol"]
-#: MLlib's largest tree depth; stands in for "unlimited".
-DEEPEST = 30
 
 
 def usable_feature_list(usable: DataFrame) -> list[str]:
@@ -43,13 +40,13 @@ LINEAR_SOLVERS = {
     "Ridge Regression": lambda d, o: d.ridge(o["chosen_alpha"]),
 }
 
-#: Model type -> MLlib tree learner; option names as in the model catalogue.
+#: Model type -> tree learner; option names as in the model catalogue.
 TREE_LEARNERS = {
-    "Decision Tree": lambda o: DecisionTreeRegressor(maxDepth=o.get("max_depth", 6), minInstancesPerNode=o.get("min_samples_leaf", 20), maxBins=256),
-    "Random Forest": lambda o: RandomForestRegressor(numTrees=o.get("n_estimators", 60), maxDepth=min(o.get("max_depth") or DEEPEST, DEEPEST), featureSubsetStrategy="all"),
-    "XGBoost": lambda o: GBTRegressor(
-        maxIter=o.get("n_estimators", 180), stepSize=o.get("learning_rate", 0.05), maxDepth=o.get("max_depth", 4),
-        subsamplingRate=o.get("subsample", 0.8), featureSubsetStrategy=str(o.get("colsample_bytree", 0.8)),
+    "Decision Tree": lambda o: Learner("tree", depth=o.get("max_depth", 6), min_leaf=o.get("min_samples_leaf", 20)),
+    "Random Forest": lambda o: Learner("forest", o.get("n_estimators", 60), o.get("max_depth"), seed=o.get("random_state", 42)),
+    "XGBoost": lambda o: Learner(
+        "boosted", o.get("n_estimators", 180), o.get("max_depth", 4), o.get("learning_rate", 0.05), o.get("subsample", 0.8),
+        o.get("colsample_bytree", 0.8), l2=1.0, seed=o.get("random_state", 42),
     ),
 }
 
@@ -86,7 +83,7 @@ def _union(frames: list[DataFrame]) -> DataFrame | None:
     return out
 
 
-def run_models(features_with_fold: DataFrame, specs, cols: list[str], mode: str = "PCA", n_pca: int = 12, parallelism: int = 4, manual=()):
+def run_models(features_with_fold: DataFrame, specs, cols: list[str], mode: str = "PCA", n_pca: int = 12, manual=()):
     """Every (fold, model) pair; returns (predictions, importance).
 
     Models that share columns and component count share one set of moments."""
@@ -96,13 +93,14 @@ def run_models(features_with_fold: DataFrame, specs, cols: list[str], mode: str
         use = tuple(feature_choice(spec, cols, mode, manual))
         k = (spec.n_pca_components or n_pca) if (spec.feature_mode or mode) == "PCA" else None
         groups.setdefault((use, k), []).append(spec)
-    wide = cut_lineage(LN.as_rows(features_with_fold, cols, KEEP))
+    numbered = features_with_fold.withColumn("row", F.monotonically_increasing_id()).withColumn("draw", F.xxhash64("stock_id", "time_id"))
+    wide = cut_lineage(LN.as_rows(numbered, cols, [*KEEP, "row", "draw"]))
     floors = complement_quantile(wide, "fold", "target_vol", PRED_VOL_FLOOR_QUANTILE)
     predictions, importance = [], []
     for (use, k), members in groups.items():
         use = list(use)
         at = [cols.index(c) for c in use]
-        rows = wide if use == cols else wide.select(*KEEP, F.transform(F.array(*[F.lit(i) for i in at]), lambda i: F.get("x", i)).alias("x"))
+        rows = wide if use == cols else wide.select(*KEEP, "row", "draw", F.transform(F.array(*[F.lit(i) for i in at]), lambda i: F.get("x", i)).alias("x"))
         moments = LN.fold_moments(rows, len(use), "target_vol", "fold")
         if not moments:
             continue
@@ -124,24 +122,19 @@ def run_models(features_with_fold: DataFrame, specs, cols: list[str], mode: str
             scored = LN.predict(rows, KEEP, len(use), "fold", fitted)
             predictions += [_result(scored.where(F.col("model") == s.name), s, floors, names) for s in members if s.name in fitted]
 
-        def tree_fold(task, rows=rows, width=len(use), designs=designs, names=names):
-            fold, specs_ = task
-            data = cut_lineage(LN.component_scores(rows, KEEP, width, designs[fold])).withColumn("x", array_to_vector("t"))
-            out = []
-            for spec in specs_:
-                learner = TREE_LEARNERS[spec.model_type](spec.parameters).setFeaturesCol("x").setLabelCol("target_vol").setPredictionCol("raw").setSeed(int(spec.parameters.get("random_state", 42)))
-                model = learner.fit(data.where(F.col("fold") != fold))
-                weights = model.featureImportances.toArray()
-                out.append((_result(model.transform(data.where(F.col("fold") == fold)), spec, floors, names), [(spec.name, fold, c, float(v)) for c, v in zip(names, weights)]))
-            return out
-
-        trees = [s for s in members if s.model_type in TREE_LEARNERS]
-        if trees:
-            with ThreadPoolExecutor(max_workers=max(1, int(parallelism))) as pool:
-                for done in pool.map(tree_fold, [(f, trees) for f in designs]):
-                    for frame, weights in done:
-                        predictions.append(frame)
-                        importance += weights
+        trees = {s.name: s for s in members if s.model_type in TREE_LEARNERS}
+        if trees and designs:
+            # a fold is a unit; its training rows are those of the other folds
+            units = _union([
+                LN.component_scores(rows, ["fold", "row", "draw", "target_vol"], len(use), design)
+                .select(F.lit(str(f)).alias("unit"), "row", "draw", (F.col("fold") != f).alias("train"), F.col("t").alias("x"), F.col("target_vol").alias("y"))
+                for f, design in designs.items()
+            ])
+            fits = cut_lineage(TR.fit_units(units, {n: TREE_LEARNERS[s.model_type](s.parameters) for n, s in trees.items()}, len(names)))
+            scored = rows.select(*KEEP, "row").join(fits.where("row IS NOT NULL").select("model", "row", "raw"), "row")
+            predictions += [_result(scored.where(F.col("model") == n), s, floors, names) for n, s in trees.items()]
+            gains = fits.where("feature IS NOT NULL").select("model", "unit", "feature", "weight").collect()  # folds x models x features
+            importance += [(r["model"], int(r["unit"]), names[r["feature"]], r["weight"]) for r in gains]
     imp = spark.createDataFrame(importance, "model string, fold int, feature string, importance double") if importance else None
     return _union(predictions), imp
 
@@ -185,12 +178,14 @@ LEGACY_RIDGE_GRID = (1e-1, 1.0, 10.0)
 LEGACY_LASSO_PENALTIES = 100
 
 
-def legacy_boosted() -> dict[str, GBTRegressor]:
-    """The two boosted models with the original's settings.  MLlib draws the
-    columns per node, the original per tree; leaf size and bins of the second
-    are its library's defaults."""
-    same = {"maxIter": 300, "stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "seed": 42}
-    return {"XGB": GBTRegressor(**same), "LGBM": GBTRegressor(**same, minInstancesPerNode=20, maxBins=255)}
+#: The legacy tree models.  The second boosted one grows the best leaf first and
+#: draws no rows, as its library does unless told how often to draw.
+LEGACY_TREES = {
+    "DT": Learner("tree", depth=6),
+    "RF": Learner("forest", 200),
+    "XGB": Learner("boosted", 300, 6, 0.05, 0.8, 0.8, l2=1.0),
+    "LGBM": Learner("boosted", 300, 6, 0.05, 1.0, 0.8, min_leaf=20, leaves=31),
+}
 
 
 def _cross_validated(moments: dict[int, LN.Moments], candidates, fit) -> float:
@@ -212,49 +207,84 @@ def _cross_validated(moments: dict[int, LN.Moments], candidates, fit) -> float:
     return candidates[int(np.argmin(errors))]
 
 
-def legacy_zoo(data: DataFrame, feature_cols: list[str], label: str = "log_rv_second", group: str = "cluster"):
-    """M15 (re-aimed): per group, temporal split on ``split``: least squares,
-    5-fold cross-validated LASSO (100 penalties down from the one that empties
-    the model) and ridge, a depth-6 tree, a 200-tree forest and two boosted
-    models of 300 trees; returns test-set predictions ``(group, model,
-    stock_id, time_id, y_true, y_pred)``.  Rows with a missing feature or label
-    are an error."""
-    keep = [group, "stock_id", "time_id", "split", "label", "cv"]
-    rows = cut_lineage(LN.as_rows(data.withColumn("label", F.col(label).cast("double")).withColumn("cv", F.pmod(F.xxhash64("stock_id", "time_id"), F.lit(5)).cast("int")), feature_cols, keep))
+def _linear_zoo(folds: dict[int, LN.Moments]) -> dict[str, tuple[LN.Design, np.ndarray]]:
+    """Least squares, LASSO (100 penalties down from the one that empties the
+    model) and ridge, both chosen over the folds, from the folds' moments."""
+    total = None
+    for m in folds.values():
+        total = m if total is None else LN.Moments(total.n + m.n, total.s + m.s, total.ss + m.ss, m.shift)
+    design = LN.Design(total, None)
+    top = float(np.abs(design.xy).max(initial=0) / design.n)
+    grid = list(np.geomspace(top, top * 1e-3, LEGACY_LASSO_PENALTIES)) if top > 0 else [0.0]
+    lasso = _cross_validated(folds, grid, lambda s, grid: s.lasso_path(grid))
+    ridge = _cross_validated(folds, list(LEGACY_RIDGE_GRID), lambda s, grid: [s.ridge(a) for a in grid])
+    return {"MLR": (design, design.least_squares()), "Lasso": (design, design.lasso_path([a for a in grid if a >= lasso])[-1]), "Ridge": (design, design.ridge(ridge))}
+
+
+def _moments_of(x: np.ndarray, y: np.ndarray, cv: np.ndarray) -> dict[int, LN.Moments]:
+    full = np.column_stack([x, y])
+    shift = full.mean(axis=0)
+    return {int(f): LN.Moments(float(len(z)), z.sum(axis=0), z.T @ z, shift) for f in np.unique(cv) for z in [full[cv == f] - shift]}
+
+
+def linear_units(units: DataFrame, features: int, bound: int | None = None) -> DataFrame:
+    """The linear legacy models of every unit (``unit, row, draw, train, x, y``),
+    in the schema of :func:`.trees.fit_units`; units of more than ``bound``
+    rows from moments that Spark adds up."""
+
+    def whole(t: pa.Table) -> pa.Table:
+        train = t["train"].to_numpy()
+        if not train.any():
+            return TR.empty_result()
+        x = pa.concat_arrays([c.flatten() for c in t["x"].chunks]).to_numpy().reshape(len(t), features)
+        y, row, cv, out = t["y"].to_numpy(), t["row"].to_numpy(), t["draw"].to_numpy() % 5, []
+        for name, (design, w) in _linear_zoo(_moments_of(x[train], y[train], cv[train])).items():
+            raw = design.y_mean + design.transform(x[~train]) @ w
+            out.append(TR.result(t["unit"][0].as_py(), name, row[~train], raw, np.abs(w)))
+        return pa.concat_tables(out)
+
+    small, large, stats = TR.split_by_size(units, bound or TR.BOUND)
+    out = [small.groupBy("unit").applyInArrow(whole, TR.OUT)]
+    for s in stats:
+        if not s["n_train"]:
+            continue
+        own = large.where(F.col("unit") == s["unit"]).withColumn("cv", F.pmod("draw", F.lit(5)).cast("int"))
+        fitted = _linear_zoo(LN.fold_moments(own.where("train"), features, "y", "cv"))
+        asked = own.where("NOT train").withColumn("one", F.lit(0))
+        scored = LN.predict(asked, ["unit", "row", "one"], features, "one", {n: {0: f} for n, f in fitted.items()})
+        none = [F.lit(None).cast("int").alias("feature"), F.lit(None).cast("double").alias("weight")]
+        out.append(scored.select("unit", "model", "row", "raw", *none))
+        out.append(units.sparkSession.createDataFrame([(s["unit"], n, None, None, i, float(v)) for n, (_, w) in fitted.items() for i, v in enumerate(np.abs(w) / max(np.abs(w).sum(), 1e-300))], TR.OUT))
+    return _union(out)
+
+
+def legacy_units(data: DataFrame, feature_cols: list[str], label: str, group: str, min_rows: int = 100, train_frac: float = 0.8) -> DataFrame:
+    """The rows of every fit: a unit per ``group`` and one per stock of at least
+    ``min_rows`` rows.  Within a unit the windows up to the ordinal
+    ``int(train_frac * n)`` of its distinct ``time_id`` are for training."""
+    keep = [group, "stock_id", "time_id", "label"]
+    rows = LN.as_rows(data.withColumn("label", F.col(label).cast("double")), feature_cols, keep)
+    rows = cut_lineage(rows.withColumn("row", F.monotonically_increasing_id()).withColumn("draw", F.xxhash64("stock_id", "time_id")))
     bad = rows.where(F.col("label").isNull() | F.exists("x", lambda v: F.isnan(v))).count()
     if bad:
         raise ValueError(f"{bad} rows lack a feature or the label; impute or drop them before fitting")
-    d = len(feature_cols)
-    out, fits = [], []
-    for g in [r[0] for r in rows.select(group).distinct().orderBy(group).collect()]:  # few clusters
-        own = rows.where(F.col(group) == g)
-        train, test = own.where("split = 'train'"), own.where("split = 'test'")
-        folds = LN.fold_moments(train, d, "label", "cv")
-        if not folds:
-            continue
-        total = None
-        for m in folds.values():
-            total = m if total is None else LN.Moments(total.n + m.n, total.s + m.s, total.ss + m.ss, m.shift)
-        design = LN.Design(total, None)
-        top = float(np.abs(design.xy).max() / design.n)
-        grid = list(np.geomspace(top, top * 1e-3, LEGACY_LASSO_PENALTIES)) if top > 0 else [0.0]
-        lasso = _cross_validated(folds, grid, lambda s, grid: s.lasso_path(grid))
-        ridge = _cross_validated(folds, list(LEGACY_RIDGE_GRID), lambda s, grid: [s.ridge(a) for a in grid])
-        linear = {"MLR": design.least_squares(), "Lasso": design.lasso_path([a for a in grid if a >= lasso])[-1], "Ridge": design.ridge(ridge)}
-        scored = LN.predict(test.withColumn("one", F.lit(0)), [*keep, "one"], d, "one", {n: {0: (design, w)} for n, w in linear.items()})
-        out.append(scored.selectExpr(group, "model", "stock_id", "time_id", "label AS y_true", "raw AS y_pred"))
-        learners = {
-            "DT": DecisionTreeRegressor(maxDepth=6, seed=42),
-            "RF": RandomForestRegressor(numTrees=200, maxDepth=DEEPEST, featureSubsetStrategy="all", seed=42),
-            **legacy_boosted(),
-        }
-        fit_on, ask = (x.withColumn("features", array_to_vector("x")) for x in (train, test))
-        fits += [(name, est, fit_on, ask) for name, est in learners.items()]
-
-    def tree(task) -> DataFrame:
-        name, est, fit_on, ask = task
-        return est.fit(fit_on).transform(ask).select(group, F.lit(name).alias("model"), "stock_id", "time_id", F.col("label").alias("y_true"), F.col("prediction").alias("y_pred"))
-
-    with ThreadPoolExecutor(max_workers=8) as pool:  # many small jobs of few (cluster, learner) pairs
-        out += list(pool.map(tree, fits))
-    return _union(out)
+    many = rows.groupBy("stock_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_rows).select("stock_id")
+    of_group = rows.withColumn("unit", F.concat(F.lit(f"{group}:"), F.col(group).cast("string")))
+    of_stock = rows.join(many, "stock_id", "left_semi").withColumn("unit", F.concat(F.lit("stock:"), "stock_id"))
+    units = of_group.unionByName(of_stock)
+    ids = ranked_in_group(units.select("unit", "time_id").distinct(), "unit", "time_id")
+    split = ids.select("unit", "time_id", (F.col("_r") <= F.floor(F.lit(float(train_frac)) * F.col("_n"))).alias("train"))
+    return cut_lineage(units.join(split, ["unit", "time_id"]).withColumn("y", F.col("label")))
+
+
+def legacy_zoo(data: DataFrame, feature_cols: list[str], label: str = "log_rv_second", group: str = "cluster", trees: dict[str, Learner] | None = None):
+    """The seven legacy models of every cluster and of every stock with at
+    least 100 rows, all fitted in the same jobs.  Returns the predictions of
+    the test rows ``(unit, model, stock_id, time_id, y_true, y_pred)``; a unit
+    is ``<group>:<value>`` or ``stock:<id>``.  Rows with a missing feature or
+    label are an error."""
+    units, d = legacy_units(data, feature_cols, label, group), len(feature_cols)
+    inputs = units.select("unit", "row", "draw", "train", "x", "y")
+    fits = linear_units(inputs, d).unionByName(TR.fit_units(inputs, trees or LEGACY_TREES, d))
+    asked = units.where("NOT train").select("unit", "row", "stock_id", "time_id", F.col("y").alias("y_true"))
+    return asked.join(fits.where("row IS NOT NULL").select("unit", "row", "model", F.col("raw").alias("y_pred")), ["unit", "row"]).drop("row")
