@@ -102,10 +102,62 @@ def test_garch_recovers_low_persistence():
         for b in (0.05, 0.1, 0.2, 0.3, 0.4):
             for w in (0.2, 0.35, 0.5, 0.65):
                 assert np.all(GA.recursion(eps, n, s0, np.stack([w * var, 0 * var + a, 0 * var + b, 0 * var], axis=1))[0] <= best + 1e-4)
-    # every coordinate has a vertex of its own, also where beta is 0
-    at = np.array([[np.log(0.7), 0.3, 0.0], [np.log(0.03), 0.97, 0.03]])
-    simplex = GA.first_simplex(lambda p, _: GA.feasible(np.column_stack([np.exp(p[:, 0]), p[:, 1:], np.zeros(2)])), at, np.arange(2))
-    assert all(simplex[i, j + 1, j] != at[i, j] for i in range(2) for j in range(3))
+
+
+def test_garch_constant_and_two_value_windows():
+    eps, n = GA.padded([[0.0] * 50, [1.0] * 50, [1.0, -1.0] * 25, [0.0] * 49 + [3.0], [2.0]])
+    for asymmetric in (False, True):
+        theta, last = GA.fit_rows(eps, n, asymmetric)
+        assert np.isfinite(theta).all() and np.isfinite(last).all() and GA.feasible(theta).all()
+
+
+def sequential(ret, theta):
+    eps = np.array(ret) - np.mean(ret)
+    sig = [max(float(GA.backcast(eps[None], np.array([len(eps)]))[0]), 1e-12)]
+    for e in eps[:-1]:
+        sig.append(theta[0] + theta[1] * e * e + theta[2] * sig[-1])
+    return eps, np.array(sig)
+
+
+def test_garch_across_windows_by_blocks(spark, monkeypatch):
+    """Blocks of 80 returns give the sequential recursion and the same fit."""
+    rng, rows, ret = np.random.default_rng(3), [], {}
+    for s, n in (("a", 300), ("b", 129), ("c", 40), ("d", 2), ("e", 1)):
+        ret[s] = np.array(simulate(0.2, 0.2, 0.7, 0.0, n - 1, n) if n > 2 else [1.0] * (n - 1))
+        wap = 100 * np.exp(np.r_[0, np.cumsum(ret[s])] / 100)
+        rows += [(s, i * 3, float(w), float(rng.normal())) for i, w in enumerate(wap)]
+    df = spark.createDataFrame(rows, "stock_id string, time_id bigint, last_wap double, log_rv_second double").repartition(5)
+    theta = (0.15, 0.25, 0.6)
+    blocks = GA.series_blocks(df, 80)
+    assert {r["stock_id"]: r["blocks"] for r in blocks.collect()} == {"a": 4, "b": 2, "c": 1, "d": 1}
+    given = blocks.select("stock_id").distinct().selectExpr("stock_id", "0.15D AS omega", "0.25D AS alpha", "0.6D AS beta")
+    got = {(r["stock_id"], r["time_id"]): (r["sig"], r["r"], r["n"]) for r in GA.filtered(blocks, given).collect()}
+    for s in "abcd":
+        _, want = sequential(ret[s], theta)
+        mine = [got[s, 3 * (i + 1)] for i in range(len(want))]
+        assert np.allclose([m[0] for m in mine], want, rtol=1e-9) and [m[1] for m in mine] == list(range(1, len(want) + 1))
+    long = GA.LongSeries(blocks.where("blocks > 1"))
+    x = np.array([[np.log(0.3), 0.2, 0.5], [np.log(0.1), 0.1, 0.8], [np.log(0.3), 0.0, 0.0]])
+    at = np.array([0, 1, 1])
+    whole = GA.Windows(*GA.padded([ret[s] - ret[s].mean() for s in long.names]), 3)
+    for mine, want in zip(long.score(x, at), whole.score(x, at)):
+        assert np.allclose(mine, want, rtol=1e-8, atol=1e-8)
+    fits = {r["stock_id"]: (r["omega"], r["alpha"], r["beta"]) for r in GA.fit_series(blocks).collect()}
+    for s in ("a", "b", "c"):
+        eps, n = GA.padded([ret[s] - ret[s].mean()])
+        s0 = GA.backcast(eps, n)
+        best = GA.recursion(eps, n, s0, GA.fit_rows(eps, n, False)[0])[0]
+        assert GA.recursion(eps, n, s0, np.array([[*fits[s], 0.0]]))[0] > best - 1e-3
+    monkeypatch.setattr(GA, "BLOCK", 80)
+    out = GA.legacy_garch(df).collect()
+    assert len(out) == 299 + 128 + 39 + 1 and all(np.isfinite(r["y_pred"]) for r in out)
+    for s in ("a", "c"):
+        own = sorted((r for r in out if r["stock_id"] == s), key=lambda r: r["time_id"])
+        _, sig = sequential(ret[s], fits[s])
+        k, y = int(0.8 * len(own)), np.array([r["y_true"] for r in own])
+        line = np.polyfit(0.5 * np.log(sig[:k]), y[:k], 1)
+        assert np.allclose([r["y_pred"] for r in own], np.polyval(line, 0.5 * np.log(sig)), atol=1e-6)
+        assert [r["split"] for r in own] == ["train"] * k + ["test"] * (len(own) - k)
 
 
 def test_garch_gates_and_path(spark):

@@ -2,12 +2,13 @@
 cross-window GARCH calibrated to log RV (M13).
 
 A window becomes one row with its returns as an array (at most 600 values).
-The zero-mean Gaussian likelihood is maximised for many windows at once: the
-variance recursion runs over time with the windows as array axis, a grid gives
-starting points, and a Nelder-Mead simplex per window (moved together, each
-until its own tolerance is met; from the best start of three ranges of beta, then
-once more from the best of these optima) refines them over the whole parameter space: omega > 0, alpha and beta in
-[0, 1], gamma in [-1, 2], alpha + gamma >= 0, alpha + beta + gamma/2 <= 1.
+The zero-mean Gaussian likelihood is maximised for many windows at once, time
+as first axis and windows as last: the variance recursion and, beside it, the
+recursion of its derivatives give the score and the expected information; every
+window takes scoring steps with its own set of active bounds and its own step
+length, from the best starting points of three ranges of beta.  The space is
+omega > 0, alpha and beta in [0, 1], gamma in [-1, 2], alpha + gamma >= 0,
+alpha + beta + gamma/2 <= 1.
 The fit returns parameters and the state after the last training return; the
 gates, the multi-step path and the output row are Spark columns.
 """
@@ -15,12 +16,13 @@ gates, the multi-step path and the output row are Spark columns.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import GARCH_STABILITY_LIMIT, MAX_REASONABLE_GARCH_VAR
+from ..functions.quantiles import in_blocks, ranked_in_group
+from ..session import cut_lineage
 from .book import book_runs, return_positions
 
 OUT_COLS = (
@@ -29,7 +31,7 @@ OUT_COLS = (
 ).split()
 #: Starting points: (alpha, gamma, persistence).
 STARTS = [(a, g, p) for a in (0.02, 0.1, 0.3, 0.6, 0.85) for g in (0.0, 0.2, 0.7) for p in (0.3, 0.7, 0.9, 0.97) if a + g / 2 <= p]
-FIT = "stock_id string, time_id bigint, omega double, alpha double, beta double, gamma double, last_var double, last_ret double"
+FIT = "stock_id string, time_id bigint, seconds array<int>, actual_var double, omega double, alpha double, beta double, gamma double, last_var double, last_ret double"
 
 
 def backcast(eps: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -40,19 +42,30 @@ def backcast(eps: np.ndarray, n: np.ndarray) -> np.ndarray:
     return (w * eps[:, :m] ** 2).sum(axis=1) / np.maximum(w.sum(axis=1), 1e-300)
 
 
-def recursion(eps: np.ndarray, n: np.ndarray, s0: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-likelihood and last variance of each row under ``theta``, columns
-    omega, alpha, beta, gamma; row ``i`` has ``n[i]`` returns."""
+def variances(square: np.ndarray, minus: np.ndarray, s0: np.ndarray, theta: np.ndarray) -> np.ndarray:
+    """Conditional variances (time, rows) under ``theta`` (rows; omega, alpha,
+    beta, gamma); ``minus`` holds the squares of negative returns, else 0."""
     omega, alpha, beta, gamma = theta.T
-    sig, like = np.maximum(s0, 1e-12), np.zeros(len(eps))
-    square = eps**2
-    news = alpha[:, None] * square + gamma[:, None] * np.where(eps < 0, square, 0.0)
-    for t in range(eps.shape[1]):
-        on = t < n
-        if t:
-            sig = np.where(on, np.maximum(omega + news[:, t - 1] + beta * sig, 1e-12), sig)
-        like -= np.where(on, 0.5 * (np.log(sig) + square[:, t] / sig), 0.0)
-    return like - 0.5 * n * np.log(2 * np.pi), sig
+    out = np.empty_like(square)
+    out[0] = np.maximum(s0, 1e-12)
+    out[1:] = omega + alpha * square[:-1] + gamma * minus[:-1]
+    carried = np.empty(len(theta))
+    for t in range(1, len(out)):
+        np.multiply(beta, out[t - 1], out=carried)
+        out[t] += carried
+    return np.maximum(out, 1e-12)
+
+
+def likelihood(square: np.ndarray, on: np.ndarray, sig: np.ndarray) -> np.ndarray:
+    return -0.5 * ((np.log(sig) + square / sig + np.log(2 * np.pi)) * on).sum(axis=0)
+
+
+def recursion(eps: np.ndarray, n: np.ndarray, s0: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-likelihood and last variance of each row under ``theta``; row ``i``
+    has ``n[i]`` returns."""
+    square = np.ascontiguousarray(eps.T**2)
+    sig = variances(square, np.where(eps.T < 0, square, 0.0), s0, theta)
+    return likelihood(square, np.arange(len(square))[:, None] < n, sig), sig[np.maximum(n - 1, 0), np.arange(len(eps))]
 
 
 def feasible(theta: np.ndarray) -> np.ndarray:
@@ -60,109 +73,152 @@ def feasible(theta: np.ndarray) -> np.ndarray:
     return (omega > 0) & (alpha >= 0) & (alpha <= 1) & (beta >= 0) & (beta <= 1) & (np.abs(gamma - 0.5) <= 1.5) & (alpha + gamma >= 0) & (alpha + beta + gamma / 2 <= 1)
 
 
-def fit_rows(eps: np.ndarray, n: np.ndarray, asymmetric: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Maximum-likelihood parameters and last variance of each (padded) row."""
-    rows = len(eps)
-    on = np.arange(eps.shape[1]) < n[:, None]
-    eps = np.where(on, eps, 0.0)
-    var = np.maximum((eps**2).sum(axis=1) / np.maximum(n, 1), 1e-12)
-    s0 = backcast(eps, n)
-    free = 4 if asymmetric else 3  # log omega / var, alpha, beta, gamma
-    every = np.arange(rows)
+#: Bounds ``A x <= b`` on x = (log(omega / var), alpha, beta, gamma); the others follow.
+BOUNDS_A = np.array([[0, -1, 0, 0], [0, 1, 0, 0], [0, 0, -1, 0], [0, 1, 1, 0.5], [0, -1, 0, -1], [1, 0, 0, 0], [-1, 0, 0, 0]], float)
+BOUNDS_B = np.array([0, 1, 0, 1, 0, 5, 20], float)
 
-    def theta_of(p, at):
-        out = np.zeros((len(at), 4))
-        out[:, 0] = np.exp(np.clip(p[:, 0], -20, 5)) * var[at]
-        out[:, 1 : 1 + free - 1] = p[:, 1:]
+
+class Windows:
+    """Padded windows, time first, with what their likelihood needs."""
+
+    def __init__(self, eps: np.ndarray, n: np.ndarray, free: int):
+        on = np.arange(eps.shape[1]) < n[:, None]
+        eps = np.where(on, eps, 0.0)
+        self.on, self.square = np.ascontiguousarray(on.T), np.ascontiguousarray(eps.T**2)
+        self.minus = np.where(eps.T < 0, self.square, 0.0)
+        self.var = np.maximum(self.square.sum(axis=0) / np.maximum(n, 1), 1e-12)
+        self.s0, self.free = backcast(eps, n), free
+
+    def theta(self, x: np.ndarray, at: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(x), 4))
+        out[:, 0] = np.exp(x[:, 0]) * self.var[at]
+        out[:, 1 : self.free] = x[:, 1:]
         return out
 
-    def loss(p, at):
-        """Of the parameters ``p`` of the rows ``at``."""
-        theta, v = theta_of(p, at), var[at]
-        ok = feasible(theta)
-        safe = np.where(ok[:, None], theta, np.stack([v, 0 * v, 0 * v, 0 * v], axis=1))
-        return np.where(ok, -recursion(eps[at], n[at], s0[at], safe)[0], np.inf)
-
-    starts, values = [], []
-    for a, g, p in STARTS:
-        if g and not asymmetric:
-            continue
-        starts.append(np.array([np.log(max(1 - p, 1e-3)), a, p - a - g / 2, g][:free]))
-        values.append(loss(np.tile(starts[-1], (rows, 1)), every))
-    starts, values = np.array(starts), np.where(np.isnan(values), np.inf, values)
-    # the likelihood may have several maxima: from the best start of each range of beta
+    def loss(self, x: np.ndarray, at: np.ndarray) -> np.ndarray:
+        square = self.square[:, at]
+        return -likelihood(square, self.on[:, at], variances(square, self.minus[:, at], self.s0[at], self.theta(x, at)))
+
+    def score(self, x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Loss, its gradient and the expected information in ``x``."""
+        square, on, theta = self.square[:, at], self.on[:, at], self.theta(x, at)
+        sig = variances(square, self.minus[:, at], self.s0[at], theta)
+        change = np.zeros((len(sig), self.free, len(at)))
+        change[1:, 0], change[1:, 1], change[1:, 2] = theta[:, 0], square[:-1], sig[:-1]
+        if self.free > 3:
+            change[1:, 3] = self.minus[:-1, at]
+        carried = np.empty(change.shape[1:])
+        for t in range(2, len(sig)):
+            np.multiply(change[t - 1], theta[:, 2], out=carried)
+            change[t] += carried
+        change *= (on / sig)[:, None]
+        gradient = 0.5 * np.einsum("tkr,tr->rk", change, 1 - square / sig)
+        each = np.ascontiguousarray(change.transpose(2, 1, 0))
+        return -likelihood(square, on, sig), gradient, 0.5 * each @ each.transpose(0, 2, 1)
+
+
+def inside(x: np.ndarray) -> np.ndarray:
+    """``x`` without the last digits by which rounding leaves the bounds."""
+    x = x.copy()
+    x[:, 0], x[:, 1] = np.clip(x[:, 0], -20, 5), np.clip(x[:, 1], 0, 1)
+    skew = np.maximum(x[:, 3], -x[:, 1]) if x.shape[1] > 3 else np.zeros(len(x))
+    x[:, 3:] = skew[:, None][:, : x.shape[1] - 3]
+    x[:, 2] = np.clip(np.minimum(x[:, 2], 1 - 1e-15 - x[:, 1] - skew / 2), 0, 1)
+    return x
+
+
+def climb(windows: Windows, x: np.ndarray, at: np.ndarray, rounds: int, tolerance: float = 1e-8) -> tuple[np.ndarray, np.ndarray]:
+    """Points of least loss, and the losses, from ``x`` for the windows ``at``.
+
+    A row's step solves the scoring equations on its active bounds and goes at
+    most to the next bound, which then is active; where steps gain nothing any
+    more, the bound that holds it back the most is let go, and without such a
+    bound it ends."""
+    k = windows.free
+    a, b = BOUNDS_A[:, :k], BOUNDS_B
+    if k == 3:
+        a, b = np.delete(a, 4, axis=0), np.delete(b, 4)
+    x, active = x.copy(), np.zeros((len(x), len(a)), bool)
+    value, before = np.full(len(x), np.inf), np.full(len(x), np.inf)
+    rested, tries = np.full(len(x), np.inf), np.zeros(len(x), int)
+    curve, slow, rows = np.ones(len(x)), np.zeros(len(x), int), np.arange(len(x))
+    for _ in range(rounds):
+        if not len(rows):
+            break
+        f, g, h = windows.score(x[rows], at[rows])
+        slow[rows] = np.where(before[rows] - f < tolerance, slow[rows] + 1, 0)
+        before[rows] = value[rows] = f
+        w, m = active[rows], len(a)
+        scale = np.einsum("rii->ri", h) + 1e-12
+        h = (h + np.eye(k) * (scale * 1e-9)[:, :, None]) * curve[rows, None, None]
+        system = np.zeros((len(rows), k + m, k + m))
+        system[:, :k, :k] = h
+        held = np.where(w[:, :, None], a, 0.0)
+        system[:, k:, :k], system[:, :k, k:] = held, held.transpose(0, 2, 1)
+        system[:, k:, k:] = np.eye(m) * ~w[:, :, None]
+        # bounds that depend on each other may be active together
+        system[:, k:, k:] -= 1e-13 * np.eye(m) * w[:, :, None]
+        solved = np.linalg.solve(system, np.concatenate([-g, np.zeros((len(rows), m))], axis=1)[:, :, None])[:, :, 0]
+        d, push = solved[:, :k], np.where(w, solved[:, k:], 0.0)
+        gain = np.einsum("ri,rij,rj->r", d, h, d)  # without what rounding at the active bounds adds
+        rest = (gain <= tolerance) | (slow[rows] > 3)
+        helped = rested[rows] - f > tolerance  # since the bound let go last
+        tries[rows[rest]] = np.where(helped[rest], 0, tries[rows[rest]] + 1)
+        rested[rows[rest]] = f[rest]
+        pull = push.min(axis=1)
+        loosen = (rest & (pull < -1e-7) & (tries[rows] < 3)) | ((gain < 1e-4) & (pull < -1e-2) & (tries[rows] < 3))
+        active[rows[loosen], push[loosen].argmin(axis=1)] = False
+        slow[rows[loosen]] = 0
+        ended = rest & ~loosen
+        go = np.flatnonzero(~rest & ~loosen)
+        # the largest step within the bounds that are not active
+        speed, room = d[go] @ a.T, b - x[rows[go]] @ a.T
+        with np.errstate(divide="ignore", invalid="ignore"):
+            until = np.where(~w[go] & (speed > 1e-14), np.maximum(room, 0) / speed, np.inf)
+        limit = until.min(axis=1)
+        first = np.minimum(1.0, limit)
+        t = first.copy()
+        open_ = np.arange(len(go))
+        for _ in range(25):
+            trial = x[rows[go[open_]]] + t[open_, None] * d[go[open_]]
+            f_trial = windows.loss(trial, at[rows[go[open_]]])
+            ok = (t[open_] == 0) | (f_trial <= f[go[open_]] - 0.3 * t[open_] * gain[go[open_]])
+            done = open_[ok]
+            x[rows[go[done]]] = inside(trial[ok])
+            value[rows[go[done]]] = np.where(t[done] == 0, f[go[done]], f_trial[ok])
+            hit = done[t[done] == limit[done]]
+            active[rows[go[hit]], until[hit].argmin(axis=1)] = True
+            # the expected information may be far from the curvature along the way
+            part = np.where(first[done] > 0, t[done] / np.maximum(first[done], 1e-300), 1.0)
+            curve[rows[go[done]]] = np.clip(np.where(part < 1, curve[rows[go[done]]] / part, curve[rows[go[done]]] * 0.7), 0.5, 1e6)
+            open_ = open_[~ok]
+            if not len(open_):
+                break
+            t[open_] /= 2
+        ended[go[open_]] = True  # no step helped
+        rows = rows[~ended]
+    return x, windows.loss(x, at)
+
+
+def fit_rows(eps: np.ndarray, n: np.ndarray, asymmetric: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Maximum-likelihood parameters and last variance of each (padded) row."""
+    rows, free = len(eps), 4 if asymmetric else 3
+    windows, every = Windows(eps, n, free), np.arange(len(eps))
+    starts = np.array([[np.log(max(1 - p, 1e-3)), a, p - a - g / 2, g][:free] for a, g, p in STARTS if asymmetric or not g])
+    values = np.array([windows.loss(np.tile(s, (rows, 1)), every) for s in starts])
+    values = np.where(np.isnan(values), np.inf, values)
+    # the likelihood may have several maxima: from the two best starts of each range of beta
     chosen = []
     for low, high in ((-1.0, 0.15), (0.15, 0.55), (0.55, 2.0)):
         own = np.flatnonzero((starts[:, 2] >= low) & (starts[:, 2] < high))
-        chosen.append(starts[own[values[own].argmin(axis=0)]])
-
-    def inside(p, at):
-        return feasible(theta_of(p, at))
-
-    at = np.tile(every, len(chosen))
-    found, reached = descend(loss, inside, np.concatenate(chosen), at)
-    best = found.reshape(len(chosen), rows, free)[reached.reshape(len(chosen), rows).argmin(axis=0), every]
-    best, _ = descend(loss, inside, best, every)  # once more with a fresh simplex
-    theta = theta_of(best, every)
-    return theta, recursion(eps, n, s0, theta)[1]
-
-
-#: First step of each coordinate; the next ones are tried where it leaves the space.
-STEPS = (0.5, 0.08, -0.08, 0.1)
-SMALLER = (1, -1, 1 / 4, -1 / 4, 1 / 16, -1 / 16, 1 / 64, -1 / 64)
-
-
-def first_simplex(inside, best: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """``best`` and per coordinate a vertex that differs in it, within the space."""
-    rows, free = best.shape
-    simplex = np.repeat(best[:, None, :], free + 1, axis=1)
-    for j in range(free):
-        open_ = np.ones(rows, bool)
-        for part in SMALLER:
-            trial = best.copy()
-            trial[:, j] += STEPS[j] * part
-            use = open_ & inside(trial, which)
-            simplex[use, j + 1] = trial[use]
-            open_ &= ~use
-    return simplex
-
-
-def descend(loss, inside, best: np.ndarray, which: np.ndarray, tolerance: float = 1e-7) -> tuple[np.ndarray, np.ndarray]:
-    """The best point, and its loss, of a Nelder-Mead simplex from each of
-    ``best`` for the rows ``which``, moved until its values differ by less than
-    ``tolerance`` (or its points no longer differ)."""
-    free, at = best.shape[1], np.arange(len(best))
-    result, value = best.copy(), np.full(len(best), np.inf)
-    simplex = first_simplex(inside, best, which)
-    f = np.stack([loss(simplex[:, i], which) for i in range(free + 1)], axis=1)
-    while len(at):
-        order = np.argsort(f, axis=1, kind="stable")
-        simplex, f = np.take_along_axis(simplex, order[:, :, None], 1), np.take_along_axis(f, order, 1)
-        result[at], value[at] = simplex[:, 0], f[:, 0]
-        spread = np.where(np.isfinite(f[:, 0]), f[:, -1], f[:, 0]) - np.where(np.isfinite(f[:, 0]), f[:, 0], np.inf)
-        going = (spread >= tolerance) & (np.abs(simplex - simplex[:, :1]).max(axis=(1, 2)) > 1e-12)
-        simplex, f, at = simplex[going], f[going], at[going]
-        if not len(at):
-            break
-        centre, worst = simplex[:, :-1].mean(axis=1), simplex[:, -1].copy()
-        mirror = centre + (centre - worst)
-        fm = loss(mirror, which[at])
-        # one more point: further out where the mirror is best, else nearer
-        out = fm < f[:, 0]
-        nearer = np.where((fm < f[:, -1])[:, None], centre + 0.5 * (mirror - centre), centre + 0.5 * (worst - centre))
-        extra = np.where(out[:, None], centre + 2 * (centre - worst), nearer)
-        fe = loss(extra, which[at])
-        middle = ~out & (fm < f[:, -2])
-        use_extra = ~middle & (fe < np.minimum(fm, f[:, -1]))
-        use_mirror = ~use_extra & (fm < f[:, -1])
-        simplex[:, -1] = np.where(use_extra[:, None], extra, np.where(use_mirror[:, None], mirror, worst))
-        f[:, -1] = np.where(use_extra, fe, np.where(use_mirror, fm, f[:, -1]))
-        stuck = np.flatnonzero(~(use_extra | use_mirror))
-        if len(stuck):
-            simplex[stuck, 1:] = simplex[stuck, :1] + 0.5 * (simplex[stuck, 1:] - simplex[stuck, :1])
-            for i in range(1, free + 1):
-                f[stuck, i] = loss(simplex[stuck, i], which[at[stuck]])
-    return result, value
+        order = np.argsort(values[own], axis=0, kind="stable")
+        chosen += [starts[own[order[i]]] for i in range(2)]
+    # and from variances that only drift away from their first value
+    chosen += [np.tile(np.array([np.log(w), 0.001, b, 0.0][:free]), (rows, 1)) for w, b in ((0.003, 0.99), (0.03, 0.95))]
+    found, reached = climb(windows, np.concatenate(chosen), np.tile(every, len(chosen)), 100)
+    best = np.where(np.isnan(reached), np.inf, reached).reshape(len(chosen), rows).argmin(axis=0)
+    theta = windows.theta(climb(windows, found.reshape(len(chosen), rows, free)[best, every], every, 500)[0], every)
+    return theta, recursion(np.where(np.arange(eps.shape[1]) < n[:, None], eps, 0.0), n, windows.s0, theta)[1]
 
 
 def padded(lists: list) -> tuple[np.ndarray, np.ndarray]:
@@ -174,7 +230,8 @@ def padded(lists: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_windows(windows: DataFrame, asymmetric: bool, together: int = 400) -> DataFrame:
-    """Parameters and final state per window of ``stock_id, time_id, train``."""
+    """Parameters and final state per window of :func:`garch_windows`."""
+    kept = ["stock_id", "time_id", "seconds", "actual_var"]
 
     def run(batches):
         for b in batches:
@@ -183,11 +240,11 @@ def fit_windows(windows: DataFrame, asymmetric: bool, together: int = 400) -> Da
                 eps, n = padded(part.column("train").to_pylist())
                 theta, last = fit_rows(eps, n, asymmetric)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("stock_id"), part.column("time_id"), *[pa.array(theta[:, j]) for j in range(4)], pa.array(last), pa.array(eps[np.arange(len(n)), n - 1])],
-                    names=["stock_id", "time_id", "omega", "alpha", "beta", "gamma", "last_var", "last_ret"],
+                    [*[part.column(c) for c in kept], *[pa.array(theta[:, j]) for j in range(4)], pa.array(last), pa.array(eps[np.arange(len(n)), n - 1])],
+                    names=[*kept, "omega", "alpha", "beta", "gamma", "last_var", "last_ret"],
                 )
 
-    return windows.select("stock_id", "time_id", "train").mapInArrow(run, FIT)
+    return windows.select(*kept, "train").mapInArrow(run, FIT)
 
 
 def persistence() -> Column:
@@ -242,7 +299,7 @@ def garch_forecasts(book: DataFrame, folds: DataFrame, model_type: str = "GARCH(
     """One forecast row per window (F4's weaker bound only, no F5)."""
     windows = garch_windows(book, horizon)
     fits = fit_windows(windows, model_type == "GJR-GARCH(1,1)")
-    done = forecasts_from_fits(fits, horizon).join(windows.drop("train"), ["stock_id", "time_id"]).join(folds, "time_id")
+    done = forecasts_from_fits(fits, horizon).join(folds, "time_id")
     as_json = lambda c: F.concat(F.lit("["), F.array_join(c, ", "), F.lit("]"))
     path = F.transform(F.coalesce("path", F.array().cast("array<double>")), lambda v: F.sqrt(v))
     return done.select(
@@ -253,39 +310,231 @@ def garch_forecasts(book: DataFrame, folds: DataFrame, model_type: str = "GARCH(
     )
 
 
-def conditional_variances(eps: np.ndarray, theta: np.ndarray, s0: float) -> np.ndarray:
-    omega, alpha, beta, _ = theta
-    out, s = np.empty(len(eps)), s0
-    for t in range(len(eps)):
-        s = s if t == 0 else omega + alpha * eps[t - 1] ** 2 + beta * s
-        out[t] = s
+# ---------------------------------------------------------------- across windows
+#: Returns of a stock that one task filters at a time (75 at least, for the first variance).
+BLOCK = 4096
+SERIES = "stock_id string, block long, blocks long, time_id array<bigint>, ret array<double>, y array<double>, mean double"
+
+
+def series_blocks(series: DataFrame, block: int | None = None) -> DataFrame:
+    """Schema SERIES: 100 x log returns of ``last_wap`` from window to window of
+    a stock with the labels of the later window, cut into blocks; ``mean`` is the
+    mean return of the stock."""
+    block = block or BLOCK
+    w = "PARTITION BY stock_id, _block ORDER BY time_id"
+    rows = in_blocks(series, "stock_id", "time_id", 1).selectExpr(
+        "stock_id", "time_id", "_own", "CAST(log_rv_second AS DOUBLE) AS y", f"100 * (ln(last_wap) - lag(ln(last_wap)) OVER ({w})) AS ret"
+    )
+    ranked = ranked_in_group(rows.where("_own AND ret IS NOT NULL").drop("_own"), "stock_id", "time_id")
+    cells = ranked.groupBy("stock_id", F.floor((F.col("_r") - 1) / block).alias("block")).agg(
+        F.array_sort(F.collect_list(F.struct("time_id", "ret", "y"))).alias("v"), F.first(F.ceil(F.col("_n") / block)).alias("blocks"), F.sum("ret").alias("s")
+    )
+    means = cells.groupBy("stock_id").agg((F.sum("s") / F.sum(F.size("v"))).alias("mean"))
+    return cut_lineage(cells.join(means, "stock_id").select("stock_id", "block", "blocks", *[F.col(f"v.{c}").alias(c) for c in ("time_id", "ret", "y")], "mean"))
+
+
+def block_end(square: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Last variance of a block and its derivatives by omega, alpha and beta for
+    a first variance of zero without derivatives; a row per row of ``theta``."""
+    omega, alpha, beta = theta[:, :3].T
+    s, d = np.zeros(len(theta)), np.zeros((3, len(theta)))
+    for x in square[:-1]:
+        d = beta * d + np.stack([np.ones(len(s)), np.full(len(s), x), s])
+        s = omega + alpha * x + beta * s
+    return s, d
+
+
+def first_states(ends: list, s0: dict[str, float], theta: dict[str, np.ndarray]) -> dict[tuple, tuple[np.ndarray, np.ndarray]]:
+    """First variance and derivatives of every block: a variance is affine in
+    the one before, so a block maps its first state to its last one by the
+    powers of beta, and the blocks are joined one after the other.  ``ends``:
+    (stock, block, length, last square, last variance, last derivatives)."""
+    out = {}
+    for stock, block, m, square, s_end, d_end in sorted(ends, key=lambda e: e[:2]):
+        t = theta[stock]
+        beta, k = t[:, 2], len(t)
+        if block == 0:
+            s, d = np.full(k, max(s0[stock], 1e-12)), np.zeros((3, k))
+        out[stock, block] = (s, d)
+        power, before = beta ** (m - 1), (m - 1) * beta ** max(m - 2, 0)
+        last, slope = power * s + s_end, power * d + d_end
+        slope[2] += before * s
+        # on to the first return of the next block
+        d = beta * slope + np.stack([np.ones(k), np.full(k, square), last])
+        s = t[:, 0] + t[:, 1] * square + beta * last
     return out
 
 
+class LongSeries:
+    """The likelihood of stocks with several blocks, in the form that
+    :func:`climb` asks for; two jobs an evaluation, a few numbers per block and
+    candidate reach the driver."""
+
+    free = 3
+
+    def __init__(self, blocks: DataFrame):
+        self.blocks = blocks
+
+        def about(batches):
+            for b in batches:
+                square = [(np.asarray(r.values) - m) ** 2 for r, m in zip(b.column("ret"), b.column("mean").to_pylist())]
+                first = [float(backcast(np.sqrt(q)[None], np.array([len(q)]))[0]) if k == 0 else None for q, k in zip(square, b.column("block").to_pylist())]
+                yield pa.RecordBatch.from_arrays([b.column("stock_id"), pa.array([float(q.sum()) for q in square]), pa.array([len(q) for q in square], pa.int64()), pa.array(first, pa.float64())], names=["stock_id", "sum", "n", "s0"])
+
+        got = blocks.mapInArrow(about, "stock_id string, sum double, n long, s0 double").groupBy("stock_id").agg(F.sum("sum").alias("sum"), F.sum("n").alias("n"), F.max("s0").alias("s0")).orderBy("stock_id").collect()
+        self.names = [r["stock_id"] for r in got]
+        self.var = np.maximum([r["sum"] / r["n"] for r in got], 1e-12)
+        self.s0 = {r["stock_id"]: r["s0"] for r in got}
+
+    def theta(self, x: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return np.column_stack([np.exp(x[:, 0]) * self.var[at], x[:, 1], x[:, 2], np.zeros(len(x))])
+
+    def states(self, by_stock: dict[str, np.ndarray]) -> dict[tuple, tuple[np.ndarray, np.ndarray]]:
+        def run(batches):
+            for b in batches:
+                out = []
+                for stock, block, ret, mean in zip(*(b.column(c) for c in ("stock_id", "block", "ret", "mean"))):
+                    theta = by_stock.get(stock.as_py())
+                    if theta is not None:
+                        square = (np.asarray(ret.values) - mean.as_py()) ** 2
+                        s, d = block_end(square, theta)
+                        out.append((stock.as_py(), block.as_py(), len(square), float(square[-1]), s.tolist(), d.ravel().tolist()))
+                yield pa.RecordBatch.from_pylist([dict(zip(("stock_id", "block", "m", "square", "s", "d"), r)) for r in out], schema=pa.schema([("stock_id", pa.string()), ("block", pa.int64()), ("m", pa.int64()), ("square", pa.float64()), ("s", pa.list_(pa.float64())), ("d", pa.list_(pa.float64()))]))
+
+        rows = self.blocks.mapInArrow(run, "stock_id string, block long, m long, square double, s array<double>, d array<double>").collect()
+        ends = [(r["stock_id"], r["block"], r["m"], r["square"], np.array(r["s"]), np.array(r["d"]).reshape(3, -1)) for r in rows]
+        return first_states(ends, self.s0, by_stock)
+
+    def score(self, x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        theta = self.theta(x, at)
+        rows = {self.names[i]: np.flatnonzero(at == i) for i in np.unique(at)}
+        by_stock = {s: theta[r] for s, r in rows.items()}
+        first = self.states(by_stock)
+
+        def run(batches):
+            for b in batches:
+                out = []
+                for stock, block, ret, mean in zip(*(b.column(c) for c in ("stock_id", "block", "ret", "mean"))):
+                    t = by_stock.get(stock.as_py())
+                    if t is None:
+                        continue
+                    square, (s, d) = (np.asarray(ret.values) - mean.as_py()) ** 2, first[stock.as_py(), block.as_py()]
+                    omega, alpha, beta = t[:, :3].T
+                    f, g, h = np.zeros(len(t)), np.zeros((len(t), 3)), np.zeros((len(t), 3, 3))
+                    for q in square:
+                        s = np.maximum(s, 1e-12)
+                        e = (d * np.stack([omega, np.ones(len(t)), np.ones(len(t))]) / s).T  # by log omega
+                        f += 0.5 * (np.log(2 * np.pi * s) + q / s)
+                        g += 0.5 * e * (1 - q / s)[:, None]
+                        h += 0.5 * e[:, :, None] * e[:, None, :]
+                        d = beta * d + np.stack([np.ones(len(t)), np.full(len(t), q), s])
+                        s = omega + alpha * q + beta * s
+                    out.append({"stock_id": stock.as_py(), "sums": np.concatenate([f[:, None], g, h.reshape(-1, 9)], axis=1).ravel().tolist()})
+                yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("stock_id", pa.string()), ("sums", pa.list_(pa.float64()))]))
+
+        total = np.zeros((len(x), 13))
+        for r in self.blocks.mapInArrow(run, "stock_id string, sums array<double>").collect():
+            total[rows[r["stock_id"]]] += np.array(r["sums"]).reshape(-1, 13)
+        return total[:, 0], total[:, 1:4], total[:, 4:].reshape(-1, 3, 3)
+
+    def loss(self, x: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return self.score(x, at)[0]
+
+
+def fit_series(blocks: DataFrame) -> DataFrame:
+    """``stock_id, omega, alpha, beta`` of each stock: those of one block in
+    their task, longer ones by distributed sums."""
+
+    def run(batches):
+        for b in batches:
+            eps, n = padded([np.asarray(r.values) - m for r, m in zip(b.column("ret"), b.column("mean").to_pylist())])
+            theta = fit_rows(eps, n, False)[0] if len(n) else np.zeros((0, 4))
+            yield pa.RecordBatch.from_arrays([b.column("stock_id"), *[pa.array(theta[:, j]) for j in range(3)]], names=["stock_id", "omega", "alpha", "beta"])
+
+    schema = "stock_id string, omega double, alpha double, beta double"
+    found = blocks.where("blocks = 1 AND size(ret) > 1").mapInArrow(run, schema)
+    long = LongSeries(blocks.where("blocks > 1"))
+    if not long.names:
+        return found
+    rows = len(long.names)
+    starts = np.array([[np.log(max(1 - p, 1e-3)), a, p - a] for a, g, p in STARTS if not g])
+    every = np.arange(rows)
+    values = long.loss(np.tile(starts, (rows, 1)), np.repeat(every, len(starts))).reshape(rows, -1)
+    best = np.argsort(values, axis=1)[:, :3]
+    x, f = climb(long, starts[best].reshape(-1, 3), np.repeat(every, 3), 40)
+    theta = long.theta(x.reshape(rows, 3, 3)[every, f.reshape(rows, 3).argmin(axis=1)], every)
+    more = blocks.sparkSession.createDataFrame([(s, *map(float, t[:3])) for s, t in zip(long.names, theta)], schema)
+    return found.unionByName(more)
+
+
+def filtered(blocks: DataFrame, parameters: DataFrame) -> DataFrame:
+    """``stock_id, time_id, y, r, n, sig``: the conditional variance of every
+    return under its stock's ``omega, alpha, beta``; ``r`` counts a stock's
+    returns from 1 to ``n``.  Block ends are computed first, joined in order,
+    and every block is then filtered from its own first state."""
+    rows = cut_lineage(blocks.join(parameters, "stock_id"))
+    ends = "stock_id string, block long, m long, square double, s double, s0 double, omega double, alpha double, beta double"
+
+    def to_ends(batches):
+        for b in batches:
+            out = []
+            for r in b.to_pylist():
+                eps = np.array(r["ret"]) - r["mean"]
+                s, _ = block_end(eps**2, np.array([[r["omega"], r["alpha"], r["beta"], 0.0]]))
+                first = float(backcast(eps[None], np.array([len(eps)]))[0]) if r["block"] == 0 else 0.0
+                out.append((r["stock_id"], r["block"], len(eps), float(eps[-1] ** 2), float(s[0]), first, r["omega"], r["alpha"], r["beta"]))
+            kinds = (pa.string(), pa.int64(), pa.int64(), *[pa.float64()] * 6)
+            names = [c.split()[0] for c in ends.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 9, kinds)], names=names)
+
+    # a row per block; the scan along a stock's blocks as a running state
+    cells = rows.mapInArrow(to_ends, ends).groupBy("stock_id").agg(F.array_sort(F.collect_list(F.struct("block", "m", "square", "s", "s0", "omega", "alpha", "beta"))).alias("v"))
+    step = lambda acc, e: F.struct(
+        F.concat(acc["firsts"], F.array(F.struct(e["block"], F.when(e["block"] == 0, F.greatest(e["s0"], F.lit(1e-12))).otherwise(acc["next"]).alias("first"), (acc["seen"]).alias("seen")))).alias("firsts"),
+        (e["omega"] + e["alpha"] * e["square"] + e["beta"] * (F.pow(e["beta"], e["m"] - 1) * F.when(e["block"] == 0, F.greatest(e["s0"], F.lit(1e-12))).otherwise(acc["next"]) + e["s"])).alias("next"),
+        (acc["seen"] + e["m"]).alias("seen"),
+    )
+    start = F.struct(F.array().cast("array<struct<block: bigint, first: double, seen: bigint>>").alias("firsts"), F.lit(0.0).alias("next"), F.lit(0).cast("bigint").alias("seen"))
+    scanned = cells.select("stock_id", F.aggregate("v", start, step).alias("a")).select("stock_id", F.col("a.seen").alias("n"), F.explode("a.firsts").alias("f")).select("stock_id", "n", "f.*")
+
+    def run(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                square = (np.array(r["ret"]) - r["mean"])[:, None] ** 2
+                sig = variances(square, 0 * square, np.array([r["first"]]), np.array([[r["omega"], r["alpha"], r["beta"], 0.0]]))[:, 0]
+                k = len(sig)
+                yield pa.RecordBatch.from_arrays([pa.array([r["stock_id"]] * k), pa.array(r["time_id"], pa.int64()), pa.array(r["y"], pa.float64()), pa.array(np.arange(k) + r["seen"] + 1), pa.array([r["n"]] * k, pa.int64()), pa.array(sig)], names=["stock_id", "time_id", "y", "r", "n", "sig"])
+
+    return rows.join(scanned, ["stock_id", "block"]).mapInArrow(run, "stock_id string, time_id bigint, y double, r long, n long, sig double")
+
+
+def calibrated(variance: DataFrame, train_frac: float = 0.8) -> DataFrame:
+    """``stock_id, time_id, y_true, y_pred, split``: the line of ``y`` on half the
+    log variance, by least squares over each stock's first returns; a stock
+    without a slope is predicted by the mean of its training values."""
+    rows = variance.withColumn("train", F.col("r") <= F.greatest(F.floor(F.lit(float(train_frac)) * F.col("n")), F.lit(1))).withColumn("x", 0.5 * F.log(F.greatest("sig", F.lit(1e-12))))
+    t = lambda c: F.when(F.col("train"), F.col(c))
+    line = rows.groupBy("stock_id").agg(F.avg(t("x")).alias("mx"), F.avg(t("y")).alias("my"), F.covar_pop(t("x"), t("y")).alias("c"), F.var_pop(t("x")).alias("v"), F.min(t("x")).alias("low"), F.max(t("x")).alias("high"))
+    slope = F.when((F.col("low") < F.col("high")) & (F.floor(F.lit(float(train_frac)) * F.col("n")) >= 2), F.col("c") / F.col("v")).otherwise(0.0)
+    split = F.when(F.col("r") <= F.floor(F.lit(float(train_frac)) * F.col("n")), "train").otherwise("test")
+    # one row per stock on the small side; the large side is dealt by its windows where a stock is hot
+    return join_per_stock(rows, line).select("stock_id", "time_id", F.col("y").alias("y_true"), (F.col("my") + slope * (F.col("x") - F.col("mx"))).alias("y_pred"), split.alias("split"))
+
+
+def join_per_stock(rows: DataFrame, per_stock: DataFrame, parts: int = 16) -> DataFrame:
+    """Rows joined to one row per stock, each stock's rows in ``parts`` keys."""
+    copies = per_stock.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return rows.withColumn("_part", F.pmod(F.xxhash64("time_id"), F.lit(parts)).cast("int")).join(copies, ["stock_id", "_part"]).drop("_part")
+
+
 def legacy_garch(series: DataFrame) -> DataFrame:
     """Per stock, GARCH(1,1) with constant mean on 100 x log returns of
     the last WAP across windows (in time_id order), conditional variance
     calibrated to ``log_rv_second`` by least squares on the first 80 %.
     Input: ``stock_id, time_id, last_wap, log_rv_second`` (one row per window).
-    Output: ``stock_id, time_id, y_true, y_pred, split``; a stock with too few
-    returns for a line is predicted by the mean of its training values.
-
-    The recursion runs along a stock's windows, so a stock is one group: two
-    numbers per window."""
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("time_id").reset_index(drop=True)
-        ret = 100 * np.diff(np.log(pdf["last_wap"].to_numpy(dtype=float)))
-        y = pdf["log_rv_second"].to_numpy(dtype=float)[1:]
-        train = int(0.8 * len(ret))
-        pred = np.full(len(ret), float(np.mean(y[: max(train, 1)])) if len(y) else np.nan)
-        if train >= 2:
-            eps = ret - ret.mean()
-            n = np.array([len(eps)])
-            theta, _ = fit_rows(eps[None, :], n, False)
-            x = 0.5 * np.log(np.maximum(conditional_variances(eps, theta[0], float(backcast(eps[None, :], n)[0])), 1e-12))
-            if np.ptp(x[:train]) > 0:
-                pred = np.polyval(np.polyfit(x[:train], y[:train], 1), x)
-        return pd.DataFrame({"stock_id": pdf["stock_id"].iloc[0], "time_id": pdf["time_id"].to_numpy()[1:], "y_true": y, "y_pred": pred, "split": np.where(np.arange(len(ret)) < train, "train", "test")})
-
-    return series.groupBy("stock_id").applyInPandas(fn, "stock_id string, time_id bigint, y_true double, y_pred double, split string")
+    Output: ``stock_id, time_id, y_true, y_pred, split``; a stock of one return
+    is predicted by its value."""
+    blocks = series_blocks(series)
+    # a single return has no fit: any parameters do, its line has no slope
+    single = blocks.where("blocks = 1 AND size(ret) = 1").selectExpr("stock_id", "1D AS omega", "0D AS alpha", "0D AS beta")
+    return calibrated(filtered(blocks, fit_series(blocks).unionByName(single)))
