@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,12 +34,23 @@ def texts_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers serve many stages, and
+    what one leaves in its allocator counts against the next one's."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def small(batches, rows: int = 500):
     """The Arrow batches in slices, so that a worker turns few texts at a time
     into Python objects."""
     for b in batches:
         for i in range(0, b.num_rows, rows):
             yield b.slice(i, rows)
+    give_back()
 
 
 #: Arrays that tasks add up travel in chunks of this many numbers.

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from volspark.llm.common import small, texts_of
+from volspark.llm.common import give_back, small, texts_of
 from volspark.session import cut_lineage
 
 #: ASCII punctuation that, after a letter or digit, begins a token of its own
@@ -136,7 +136,8 @@ class WordEncoder:
         return out
 
 
-#: One encoder per tokenizer file and Python worker; workers serve many tasks.
+#: One encoder per tokenizer file and Python worker; workers serve many tasks,
+#: so its word table is emptied after each.
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -167,6 +168,8 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFrame:
         finally:
             if collecting:
                 gc.enable()
+            encoder._clear()
+            give_back()
 
     return texts_of(docs).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
