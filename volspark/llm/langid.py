@@ -6,6 +6,8 @@ drawn from a mixture of the languages' trigram distributions:
 expectation-maximisation estimates its language proportions, and the set of
 languages grows, largest proportion first, while the penalised likelihood (BIC;
 the log likelihood divided by three, as each byte is in three trigrams) rises.
+The label is that language of the set that alone explains the text best (the
+halves of a short text may be as good as equal); the score is its proportion.
 
 Defined results: a null text or one without a letter is ``und`` with score 0;
 without any learned language every text is ``und``; rows with a null id take
@@ -91,7 +93,7 @@ class MixtureModel:
         return mix, float(c @ np.log(p @ mix))
 
     def proportions(self, text: str | None) -> list[tuple[str, float]]:
-        """(language, share) of the selected set, largest first; empty for ``und``."""
+        """(language, share) of the selected set, the label first; empty for ``und``."""
         if not self.languages or not has_letter(text):
             return []
         grams = trigrams(text)
@@ -109,8 +111,9 @@ class MixtureModel:
             if value <= best_value:
                 break
             best, best_value = mix, value
-        by_share = np.argsort(-best, kind="stable")
-        return [(self.languages[order[i]], float(best[i])) for i in by_share]
+        alone = c @ np.log(p[:, order[: len(best)]])
+        by_likelihood = np.argsort(-alone, kind="stable")
+        return [(self.languages[order[i]], float(best[i])) for i in by_likelihood]
 
 
 def identify(docs: DataFrame, model: MixtureModel) -> DataFrame:
@@ -125,7 +128,7 @@ def identify(docs: DataFrame, model: MixtureModel) -> DataFrame:
                     b.column("held_out"),
                     pa.array([f[0][0] if f else "und" for f in found], pa.string()),
                     pa.array([min(1.0, f[0][1]) if f else 0.0 for f in found], pa.float64()),
-                    pa.array([",".join(f"{lang}:{share:.4f}" for lang, share in f) for f in found], pa.string()),
+                    pa.array([",".join(f"{lang}:{share:.4f}" for lang, share in sorted(f, key=lambda e: -e[1])) for f in found], pa.string()),
                 ],
                 names=["doc_id", "held_out", "lang_pred", "score", "languages"],
             )
