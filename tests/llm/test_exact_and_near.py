@@ -113,6 +113,7 @@ def near_rows(seed=3, n=260):
             w = [word() for _ in range(rng.randint(0, 200))]
         rows.append((i, " ".join(w)))
     rows += [(1000, None), (1001, ""), (1002, " \t\n"), (1003, "a b"), (1004, "A  b"), (1005, "b a"), (None, "a b"), (None, None), (1006, "a b c d e"), (1006, "z y x w v"), (1007, "Z y x w v")]
+    rows += [(1011, "l m n o p"), (1012, "q r s t u"), (1015, "L m n o p"), (1015, "Q r s t u"), (1015, "Q r s t u")]  # linked by an id that represents neither
     return rows
 
 

@@ -27,7 +27,8 @@ equal sets are one point throughout.
 Defined results: null or empty texts and texts without words have an empty set
 and link with nothing; fewer than five words are one shingle; rows with a null
 id link with nothing and have component null; rows that share an id are one
-node, linked by whatever any of them is linked by; other columns are ignored.
+node, linked by whatever any of them is linked by (rows without words keep
+their own id); other columns are ignored.
 """
 
 from __future__ import annotations
@@ -479,7 +480,10 @@ def group(docs: DataFrame) -> DataFrame:
     cell = placed.select("key", F.col("salt").alias("i"), "doc", "n", "pos", "x", deal("key", "salt").alias("bucket"))
     first = placed.filter("salts > 1").groupBy("key", "salt").agg(F.min(F.struct("doc", "n", "pos", "x")).alias("r")).select("key", F.lit(-1).alias("i"), "r.*", deal("key").alias("bucket"))
     near = cut_lineage(cell.unionByName(first).groupBy("bucket").applyInArrow(_near, PAIRS).distinct())
-    links = cut_lineage(verify(near, points, texts))
+    # rows that share an id are one node: the id is linked to the classes it occurs in
+    several = named.groupBy("doc_id").agg(F.min("set_key").alias("lo"), F.max("set_key").alias("hi")).filter("lo <> hi").select("doc_id")
+    shared = named.join(several, "doc_id", "left_semi").select("doc_id", "set_key").distinct().join(classes, "set_key").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    links = cut_lineage(verify(near, points, texts).unionByName(shared))
     comp = components(links)
 
     # twice, in cells that still hold several components: first each document's
