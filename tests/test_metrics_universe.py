@@ -62,7 +62,7 @@ def test_backfill_fills_missing_losses(spark):
 
 
 def test_manual_selection_and_numeric_order(spark):
-    assert UV.parse_manual_stocks("0, stock_2\nstock_2 99") == ["stock_0", "stock_2", "stock_99"]
+    assert [r["stock_id"] for r in UV.listed_stocks(spark, " 0, stock_2\nstock_2 99,").orderBy("manual_pos").collect()] == ["stock_0", "stock_2", "stock_99"]
     summary = spark.createDataFrame([(f"stock_{i}", float(10 - i)) for i in (0, 1, 2, 3, 10)], "stock_id string, mean_volatility double")
     out, missing = UV.select_display_stocks(summary, "mean_volatility", False, 2, "1, stock_3 99")
     assert sorted(r["stock_id"] for r in out.collect()) == ["stock_0", "stock_1", "stock_3"]

@@ -90,14 +90,17 @@ def ranked_in_group(df: DataFrame, group: str, order: str) -> DataFrame:
     return rows.join(parts, [group, "_pid"]).withColumn("_r", F.col("_off") + F.col("_local") - F.col("_lo") + 1).select(*df.columns, "_r", "_n")
 
 
-def in_blocks(df: DataFrame, group: str, order: str, halo: int, block: int = 4096) -> DataFrame:
+def in_blocks(df: DataFrame, group: str, order: str, halo: int, block: int = 4096, rank: str | None = None) -> DataFrame:
     """``df`` with ``_block`` and ``_own``: each group cut into blocks of rows
     consecutive in ``order``; the last ``halo`` rows of a block also stand, not
     own, at the head of the next one.  A window over ``(group, _block)`` that
     looks at most ``halo`` rows back is then right on the own rows, and no task
-    holds more than a block of a large group."""
+    holds more than a block of a large group.  ``rank`` names a column for the
+    row's rank in its group."""
     ranked = ranked_in_group(df, group, order)
     at = F.floor((F.col("_r") - 1) / block).cast("long")
     tail = (F.col("_r") - 1) % block >= block - halo
     copies = F.explode(F.when(tail, F.array(at, at + 1)).otherwise(F.array(at))).alias("_block")
-    return ranked.select(*df.columns, at.alias("_home"), copies).select(*df.columns, "_block", (F.col("_home") == F.col("_block")).alias("_own"))
+    ranks = [F.col("_r").alias(rank)] if rank else []
+    names = [*df.columns, *([rank] if rank else [])]
+    return ranked.select(*df.columns, *ranks, at.alias("_home"), copies).select(*names, "_block", (F.col("_home") == F.col("_block")).alias("_own"))

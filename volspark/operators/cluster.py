@@ -5,12 +5,14 @@ M21).  Cluster labels are a small table ``(stock_id, cluster)`` joined on
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.quantiles import group_quantiles, in_blocks
 from ..session import cut_lineage
 from . import linear as LN
+from .legacy import _kurt, _skew
 
 BEHAVIOUR = ["mean_rv", "std_rv", "skew_rv", "kurt_rv", "rv_autocorr", "p90_rv", "mean_rel_spread", "std_rel_spread", "mean_imbalance"]
 
@@ -46,8 +48,6 @@ def behaviour(rv: DataFrame, legacy: DataFrame) -> DataFrame:
         F.expr("avg(mean_rel_spread) AS mean_rel_spread"), F.expr("avg(std_rel_spread) AS std_rel_spread"),
         F.expr("avg(mean_imbalance) AS mean_imbalance"),
     )
-    from .legacy import _kurt, _skew
-
     return g.join(spread, "stock_id").selectExpr(
         "stock_id", "mean_rv", "std_rv",
         f"{_skew('_n', '_g1', '_v')} AS skew_rv", f"{_kurt('_n', '_g2', '_v')} AS kurt_rv",
@@ -55,28 +55,24 @@ def behaviour(rv: DataFrame, legacy: DataFrame) -> DataFrame:
     )
 
 
-def standardised_long(feats: DataFrame) -> DataFrame:
-    """Long form ``(stock_id, feature, z)`` with population z-scores."""
-    pairs = ", ".join(f"'{c}', CAST({c} AS DOUBLE)" for c in BEHAVIOUR)
-    long = feats.selectExpr("stock_id", f"stack({len(BEHAVIOUR)}, {pairs}) AS (feature, x)")
-    return long.selectExpr(
-        "stock_id", "feature",
-        "(x - avg(x) OVER (PARTITION BY feature)) / nullif(stddev_pop(x) OVER (PARTITION BY feature), 0D) AS z",
-    )
+def standardised(feats: DataFrame) -> DataFrame:
+    """``stock_id`` and the population z-scores of the behaviour columns; the
+    means and deviations are one row."""
+    number = {c: f"CAST({c} AS DOUBLE)" for c in BEHAVIOUR}
+    stats = feats.agg(*[F.expr(f"struct(avg({x}) AS m, stddev_pop({x}) AS s) AS _{c}") for c, x in number.items()])
+    return feats.join(F.broadcast(stats)).selectExpr("stock_id", *[f"({x} - _{c}.m) / nullif(_{c}.s, 0D) AS {c}" for c, x in number.items()])
 
 
 def variance_ratio(feats: DataFrame, labels: DataFrame) -> DataFrame:
     """between = sum_c n_c |mean_c - grand|^2, within = sum |x - mean_c|^2
-    on standardised features, and their ratio."""
-    z = standardised_long(feats).join(labels, "stock_id").where("z IS NOT NULL")
-    grand = z.groupBy("feature").agg(F.expr("avg(z) AS g"))
-    per = z.groupBy("cluster", "feature").agg(F.expr("avg(z) AS m"), F.expr("count(1) AS n"))
-    between = per.join(grand, "feature").agg(F.expr("sum(n * power(m - g, 2)) AS between_var"))
-    within = z.join(per, ["cluster", "feature"]).agg(F.expr("sum(power(z - m, 2)) AS within_var"))
-    one = F.lit(1)
-    return between.withColumn("_o", one).join(within.withColumn("_o", one), "_o").selectExpr(
-        "between_var", "within_var", "between_var / nullif(within_var, 0D) AS ratio"
-    )
+    on standardised features, and their ratio.  One aggregate per cluster, from
+    which the grand means and the sums follow."""
+    z = standardised(feats).join(labels, "stock_id")
+    per = z.groupBy("cluster").agg(*[F.expr(f"struct(count({c}) AS n, avg({c}) AS m, var_pop({c}) * count({c}) AS w) AS {c}") for c in BEHAVIOUR])
+    cells = per.selectExpr("cluster", "inline(array(" + ", ".join(f"struct('{c}' AS feature, {c}.n AS n, {c}.m AS m, {c}.w AS w)" for c in BEHAVIOUR) + "))").where("n > 0")
+    grand = cells.groupBy("feature").agg(F.expr("sum(n * m) / sum(n) AS g"))  # one row per cluster and feature
+    sums = cells.join(grand, "feature").agg(F.expr("sum(n * power(m - g, 2)) AS between_var"), F.expr("sum(w) AS within_var"))
+    return sums.selectExpr("between_var", "within_var", "between_var / nullif(within_var, 0D) AS ratio")
 
 
 def cluster_summary(feats: DataFrame, labels: DataFrame) -> DataFrame:
@@ -86,6 +82,13 @@ def cluster_summary(feats: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def cluster_rmse(stock_losses: DataFrame, labels: DataFrame) -> DataFrame:
+    """Average, least and largest RMSE of the stocks of a cluster, by model."""
+    return stock_losses.join(labels, "stock_id").groupBy("cluster", "model").agg(
+        F.expr("avg(rmse) AS avg_rmse"), F.expr("min(rmse) AS min_rmse"), F.expr("max(rmse) AS max_rmse"), F.expr("CAST(count(1) AS BIGINT) AS n_stocks")
+    )
+
+
 def win_rate(stock_losses: DataFrame, bench: DataFrame, labels: DataFrame, min_rows: int = 100) -> DataFrame:
     """J15 + A40 + F11: share of stocks (with at least ``min_rows`` rows)
     whose RMSE beats their cluster's benchmark RMSE (missing -> infinity)."""
@@ -126,19 +129,42 @@ def kmeans_silhouette(feats: DataFrame, ks=range(2, 7)) -> DataFrame:
     return feats.sparkSession.createDataFrame(rows, "k int, silhouette double")
 
 
-def silhouette_given(feats: DataFrame, labels: DataFrame) -> DataFrame:
-    """Exact Euclidean silhouette of given labels on population z-scores:
-    a self join over stocks (one row per stock, bounded by the stock count)."""
-    z = standardised_long(feats).join(labels, "stock_id")
-    a = z.selectExpr("stock_id AS sa", "feature", "z AS za", "cluster AS ca")
-    b = z.selectExpr("stock_id AS sb", "feature", "z AS zb", "cluster AS cb")
-    d = a.join(b, "feature").where("sa <> sb").groupBy("sa", "sb", "ca", "cb").agg(
-        F.expr("sqrt(sum(power(za - zb, 2))) AS dist")
-    )
-    per = d.groupBy("sa", "ca", "cb").agg(F.expr("avg(dist) AS md"))
-    s = per.groupBy("sa", "ca").agg(
+def silhouette_given(feats: DataFrame, labels: DataFrame, block: int = 1024) -> DataFrame:
+    """Exact Euclidean silhouette of given labels on population z-scores (over
+    the features that both stocks have).  Stocks are vectors dealt to blocks; a
+    pair of blocks is one task, which returns each stock's sum of distances to
+    the stocks of each cluster; the sums are added."""
+    z = standardised(feats).join(labels, "stock_id").select("stock_id", "cluster", F.array(*[F.coalesce(c, F.lit(float("nan"))) for c in BEHAVIOUR]).alias("z"))
+    z = cut_lineage(z.where(F.col("cluster").isNotNull()))
+    blocks = max(1, -(-z.count() // block))
+    z = z.withColumn("own", F.pmod(F.xxhash64("stock_id"), F.lit(blocks)).cast("int"))
+    left = z.withColumn("a", F.col("own")).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    right = z.select(*[F.col(c).alias(f"r_{c}") for c in ("stock_id", "cluster", "z")], F.col("own").alias("r_b"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("r_a"))
+    d = len(BEHAVIOUR)
+
+    def tile(lt: pa.Table, rt: pa.Table) -> pa.Table:
+        vectors = lambda c: pa.concat_arrays([v.flatten() for v in c.chunks]).to_numpy().reshape(-1, d) if len(c) else np.zeros((0, d))
+        x, y = vectors(lt["z"]), vectors(rt["r_z"])
+        ids, others, theirs = lt["stock_id"].to_pylist(), rt["r_stock_id"].to_pylist(), np.array(rt["r_cluster"].to_pylist())
+        out = []
+        for i in range(0, len(x), 128):
+            gap = x[i : i + 128, None, :] - y[None, :, :]
+            none = np.isnan(gap)
+            far = np.sqrt(np.where(none, 0.0, gap**2).sum(axis=2))
+            ok = ~none.all(axis=2) & (np.array(ids[i : i + 128], object)[:, None] != np.array(others, object)[None, :])
+            for c in np.unique(theirs):
+                on = ok & (theirs == c)
+                n, total = on.sum(axis=1), (far * on).sum(axis=1)
+                out += [(ids[i + j], lt["cluster"][i + j].as_py(), c.item(), float(total[j]), int(n[j])) for j in np.flatnonzero(n)]
+        cols = list(zip(*out)) if out else [[]] * 5
+        return pa.table({"stock_id": pa.array(cols[0], pa.string()), "ca": pa.array(cols[1], lt.schema.field("cluster").type), "cb": pa.array(cols[2], lt.schema.field("cluster").type), "total": pa.array(cols[3], pa.float64()), "n": pa.array(cols[4], pa.int64())})
+
+    kind = z.schema["cluster"].dataType.simpleString()
+    sums = left.groupBy("a", "b").cogroup(right.groupBy("r_a", "r_b")).applyInArrow(tile, f"stock_id string, ca {kind}, cb {kind}, total double, n long")
+    means = sums.groupBy("stock_id", "ca", "cb").agg(F.expr("sum(total) / sum(n) AS md"))
+    s = means.groupBy("stock_id", "ca").agg(
         F.expr("max(CASE WHEN ca = cb THEN md END) AS a_"), F.expr("min(CASE WHEN ca <> cb THEN md END) AS b_")
-    ).selectExpr("sa AS stock_id", "ca AS cluster", "CASE WHEN a_ IS NULL THEN 0D ELSE (b_ - a_) / greatest(a_, b_) END AS s")
+    ).selectExpr("CASE WHEN a_ IS NULL THEN 0D ELSE (b_ - a_) / greatest(a_, b_) END AS s")
     return s.agg(F.expr("avg(s) AS silhouette"))
 
 

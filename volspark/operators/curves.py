@@ -41,6 +41,18 @@ def realised_series(book: DataFrame, horizon: int = 30, rolling: int = 30, min_p
     )
 
 
+def with_bridge(series: DataFrame) -> DataFrame:
+    """The series with the last observed point of each window also as the
+    first of its held-out segment (``bridge`` true), if it has both."""
+    following = f"lead(segment) OVER (PARTITION BY {', '.join(KEYS)} ORDER BY seconds_in_bucket)"
+    own = F.struct("segment", F.lit(False).alias("bridge"))
+    again = F.struct(F.col("_next").alias("segment"), F.lit(True).alias("bridge"))
+    meets = (F.col("segment") == "observed") & (F.col("_next") == "heldout_actual")
+    points = F.explode(F.when(meets, F.array(own, again)).otherwise(F.array(own))).alias("_p")
+    marked = series.selectExpr("*", f"{following} AS _next").select(*series.columns, points)
+    return marked.select(*[F.col("_p.segment") if c == "segment" else F.col(c) for c in series.columns], "_p.bridge")
+
+
 def json_list(col: str, element: str = "double") -> str:
     """Tolerant JSON list decode -- anything unparsable is an empty list."""
     return f"coalesce(try_cast(from_json({col}, 'array<{element}>') AS array<{element}>), CAST(array() AS array<{element}>))"

@@ -4,8 +4,11 @@ W17, J2, J3, M14).
 These work on the raw book rows (no densifying), split at second 300: the
 first half gives features, the second half the target.  Both halves come out
 of one ``groupBy(stock_id, time_id)`` with conditional aggregates (J2 as one
-pass instead of two frames and a merge).  Within a window rows are ordered by
-second and then by every book column, so ties are deterministic.
+pass instead of two frames and a merge), all of which are combined map-side.
+Within a window rows are ordered by second and then by every book column, so
+ties are deterministic.  Differences and lags look a few rows back; a window of
+more than ``LARGE`` raw rows is cut into blocks that carry those rows, so no task
+holds it whole.
 
 Definitions of mine (the original names them but never computes them):
 ``realized_quarticity = n/3 * sum(r^4)``, ``abs_return_mean``,
@@ -19,9 +22,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.quantiles import in_blocks
-
 from ..config import BOOK_VALUE_COLUMNS
+from ..functions.quantiles import in_blocks
+from ..session import cut_lineage
 
 ORDER = "seconds_in_bucket, " + ", ".join(BOOK_VALUE_COLUMNS)
 WAP1 = "(bid_price1 * ask_size1 + ask_price1 * bid_size1) / nullif(bid_size1 + ask_size1, 0D)"
@@ -38,9 +41,36 @@ FEATURE_COLS = [
 ]
 
 
+#: Raw rows of a window that one task sorts; larger windows go in blocks.
+LARGE = 65_536
+
+
+def look_back(rows: DataFrame, keys: list[str], steps, back: int) -> DataFrame:
+    """``rows`` with window expressions over each group of ``keys`` in the book's
+    order.  ``steps(window, number)`` gives lists of SQL expressions, each list
+    over the columns of the one before, which together look at most ``back`` rows
+    back; ``window`` is the specification and ``number`` the row's number."""
+
+    def apply(df: DataFrame, window: str, number: str) -> DataFrame:
+        for exprs in steps(window, number):
+            df = df.selectExpr("*", *exprs)
+        return df
+
+    plain = f"PARTITION BY {', '.join(keys)} ORDER BY {ORDER}"
+    number = f"row_number() OVER ({plain})"
+    large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > LARGE).select(*keys)
+    if large.isEmpty():
+        return apply(rows, plain, number)
+    large = cut_lineage(large)
+    hot = rows.join(large, keys, "left_semi").withColumn("_k", F.struct(*keys)).withColumn("_o", F.struct(*[F.col(c.strip()) for c in ORDER.split(",")]))
+    blocks = in_blocks(hot, "_k", "_o", back, rank="_rank")
+    done = apply(blocks, "PARTITION BY _k, _block ORDER BY _rank", "_rank").where("_own")
+    cold = apply(rows.join(large, keys, "left_anti"), plain, number)
+    return cold.unionByName(done.select(*cold.columns))
+
+
 def half_rows(book: DataFrame) -> DataFrame:
     """P5 + P10 + F7 + W2 + W17 per raw row; returns restart in each half."""
-    part = f"PARTITION BY stock_id, time_id, half ORDER BY {ORDER}"
     rows = book.selectExpr(
         "*",
         "CASE WHEN seconds_in_bucket < 300 THEN 1 ELSE 2 END AS half",
@@ -53,15 +83,11 @@ def half_rows(book: DataFrame) -> DataFrame:
         "bid_size1 + ask_size1 AS depth",
         "(bid_size1 - ask_size1) / nullif(bid_size1 + ask_size1, 0D) AS imbalance",
     )
-    with_lag = rows.selectExpr(
-        "*",
-        f"lw - lag(lw) OVER ({part}) AS lr",
-        f"wap - lag(wap) OVER ({part}) AS dwap",
-        f"row_number() OVER ({part}) AS rn",
-    )
-    mean = "avg(lr) OVER (PARTITION BY stock_id, time_id, half)"
-    leads = [f"lead(lr, {k}) OVER ({part}) AS lr_lead{k}" for k in ACF_LAGS]
-    return with_lag.selectExpr("*", f"{mean} AS lr_mean", *leads)
+    steps = lambda w, number: [
+        [f"lw - lag(lw) OVER ({w}) AS lr", f"wap - lag(wap) OVER ({w}) AS dwap", f"{number} AS rn"],
+        [f"lag(lr, {k}) OVER ({w}) AS lr_lag{k}" for k in ACF_LAGS],
+    ]
+    return look_back(rows, ["stock_id", "time_id", "half"], steps, max(ACF_LAGS) + 1)
 
 
 def _skew(n, g1, var):
@@ -110,14 +136,15 @@ def window_features(book: DataFrame) -> DataFrame:
         f"count({h1('wap')}) AS n_rows",
         f"min_by({h1('wap')}, {h1('CASE WHEN wap IS NOT NULL THEN rn END')}) AS _wap_first",
         f"max_by({h1('wap')}, {h1('CASE WHEN wap IS NOT NULL THEN rn END')}) AS _wap_last",
-        f"sum({h1('power(lr - lr_mean, 2)')}) AS _acf0",
-        *[f"sum({h1(f'(lr - lr_mean) * (lr_lead{k} - lr_mean)')}) AS _acfn{k}" for k in ACF_LAGS],
+        f"avg({h1('lr')}) AS _mu",
+        # sums over the pairs k rows apart: products, both members, number
+        *[f"struct(sum({h1(f'lr * lr_lag{k}')}) AS p, sum({h1(f'lr + lr_lag{k}')}) AS s, count({h1(f'lr + lr_lag{k}')}) AS n) AS _pair{k}" for k in ACF_LAGS],
         "count_if(half = 1) AS _rows1",
         "count_if(half = 2) AS _rows2",
         f"sqrt(coalesce(sum({h2('lr * lr')}), 0D)) AS rv_second",
     ]
     g = rows.groupBy("stock_id", "time_id").agg(*[F.expr(a) for a in aggs]).where("_rows1 > 0 AND _rows2 > 0")
-    acf = [f"_acfn{k} / nullif(_acf0, 0D) AS acf_{k}" for k in ACF_LAGS]
+    acf = [f"(_pair{k}.p - _mu * _pair{k}.s + _mu * _mu * _pair{k}.n) / nullif(_v * _n, 0D) AS acf_{k}" for k in ACF_LAGS]
     step = g.selectExpr("*", *acf)
     # Durbin-Levinson: phi_{k,k} from the autocorrelations, one step per lag
     step = step.selectExpr("*", "acf_1 AS p1_1")
@@ -170,11 +197,9 @@ def har_base(book: DataFrame) -> DataFrame:
     """Per window, RV of each half (returns over the whole window, so the
     first second-half return spans the split) and the last WAP; windows
     missing any of them are dropped; logs added."""
-    part = f"PARTITION BY stock_id, time_id ORDER BY {ORDER}"
-    rows = book.selectExpr("*", f"{WAP1} AS wap").selectExpr(
-        "*", f"CASE WHEN wap > 0 THEN ln(wap) END - lag(CASE WHEN wap > 0 THEN ln(wap) END) OVER ({part}) AS lr",
-        f"row_number() OVER ({part}) AS rn",
-    )
+    steps = lambda w, number: [[f"lw - lag(lw) OVER ({w}) AS lr", f"{number} AS rn"]]
+    priced = book.selectExpr("*", f"{WAP1} AS wap").selectExpr("*", "CASE WHEN wap > 0 THEN ln(wap) END AS lw")
+    rows = look_back(priced, ["stock_id", "time_id"], steps, 1)
     g = rows.groupBy("stock_id", "time_id").agg(
         F.expr("count_if(seconds_in_bucket < 300) AS _n1"),
         F.expr("count_if(seconds_in_bucket >= 300) AS _n2"),
@@ -240,8 +265,6 @@ def har_per_stock(lags: DataFrame) -> DataFrame:
 
 def window_rv(book: DataFrame) -> DataFrame:
     """Per (stock, window) RV over all seconds (one-level WAP)."""
-    part = f"PARTITION BY stock_id, time_id ORDER BY {ORDER}"
-    rows = book.selectExpr("*", f"CASE WHEN {WAP1} > 0 THEN ln({WAP1}) END AS lw").selectExpr(
-        "*", f"lw - lag(lw) OVER ({part}) AS lr"
-    )
+    priced = book.selectExpr("*", f"CASE WHEN {WAP1} > 0 THEN ln({WAP1}) END AS lw")
+    rows = look_back(priced, ["stock_id", "time_id"], lambda w, number: [[f"lw - lag(lw) OVER ({w}) AS lr"]], 1)
     return rows.groupBy("stock_id", "time_id").agg(F.expr("sqrt(coalesce(sum(lr * lr), 0D)) AS rv"))

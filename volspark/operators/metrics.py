@@ -83,15 +83,17 @@ def named_metrics(pred: DataFrame, names=NAMED_METRICS, keys: list[str] | None =
     return pred.groupBy(*(keys or [])).agg(*exprs)
 
 
-def baseline_predictions(features: DataFrame, folds: DataFrame, lookbacks=(30, 120, 300, 500)) -> DataFrame:
+def baseline_predictions(features: DataFrame, folds: DataFrame, lookbacks=(30, 120, 300, 500), latency_ms: dict[int, float] | None = None) -> DataFrame:
     """A20 + U1 + P12: realised-variance baseline per lookback as a "model".
 
     ``pred_var`` is the mean squared return of the ``lookback`` returns just
     before the cutoff (``RV_<lookback>``); windows too short for it are
-    skipped; ``inference_ms`` is the deterministic ``lookback / 1e3``.  One
+    skipped; ``inference_ms`` is that given for the lookback, else null.  One
     pass over the feature table: the lookbacks are unpivoted with ``stack``.
     """
     pairs = ", ".join(f"{lb}, RV_{lb}" for lb in lookbacks)
+    known = " ".join(f"WHEN {int(lb)} THEN {float(ms)!r}D" for lb, ms in (latency_ms or {}).items())
+    latency = f"CAST(CASE lookback {known} END AS DOUBLE)" if known else "CAST(NULL AS DOUBLE)"
     long = features.join(folds, "time_id").selectExpr(
         "stock_id", "time_id", "fold", "target_var", "target_vol",
         f"stack({len(lookbacks)}, {pairs}) AS (lookback, pred_var)",
@@ -106,7 +108,7 @@ def baseline_predictions(features: DataFrame, folds: DataFrame, lookbacks=(30, 1
         "sqrt(greatest(pred_var, 0D)) AS pred_vol",
         "target_var AS actual_var",
         "target_vol AS actual_vol",
-        "CAST(lookback / 1e3 AS DOUBLE) AS inference_ms",
+        f"{latency} AS inference_ms",
         "concat('RV_', lookback) AS feature_cols",
         "'horizon_line' AS prediction_kind",
         "'' AS forecast_seconds",
@@ -114,6 +116,19 @@ def baseline_predictions(features: DataFrame, folds: DataFrame, lookbacks=(30, 1
     )
 
 
+def rv_baseline(positions: DataFrame, lookbacks=(570,), horizon: int = 30) -> DataFrame:
+    """Per window and lookback of any length the mean squared return of the
+    ``lookback`` returns before the cutoff as forecast of the mean squared
+    return after it; windows with too few returns are left out.  ``positions``
+    has ``stock_id, time_id, pos, n_total, ret`` (pos from 1)."""
+    cutoff = f"n_total - {int(horizon)}"
+    tail = [f"avg(CASE WHEN pos <= {cutoff} AND pos > {cutoff} - {int(lb)} THEN ret * ret END) AS _v{int(lb)}" for lb in lookbacks]
+    per = positions.groupBy("stock_id", "time_id").agg(F.max("n_total").alias("_n"), F.expr(f"avg(CASE WHEN pos > {cutoff} THEN ret * ret END) AS actual_var"), *[F.expr(t) for t in tail])
+    pairs = ", ".join(f"{int(lb)}, CASE WHEN _n - {int(horizon)} >= {int(lb)} THEN _v{int(lb)} END" for lb in lookbacks)
+    long = per.selectExpr("stock_id", "time_id", "actual_var", f"stack({len(lookbacks)}, {pairs}) AS (lookback, pred_var)")
+    return long.where("pred_var IS NOT NULL AND actual_var IS NOT NULL").selectExpr("*", "sqrt(pred_var) AS pred_vol", "sqrt(actual_var) AS actual_vol")
+
+
 def vol_floors(data: DataFrame, fold_col: str = "fold", vol_col: str = "target_vol", data_driven: bool = True) -> DataFrame:
     """Per fold ``max(q01(vol of the other folds), 0.001)`` (the floor of
     the linear models) or the flat ``0.001``; one row per fold."""

@@ -32,6 +32,8 @@ from .sql_book import book_ctes, feature_sql_parts, target_cte
 DIGITS = 6
 CFG = FeatureConfig()
 LOOKBACKS = (30, 120, 300, 500)
+#: Latencies given with the baselines: an input of the tables that compare models.
+LATENCY_MS = {lb: lb / 1e3 for lb in LOOKBACKS}
 
 
 @dataclass
@@ -78,7 +80,7 @@ def fold_tab(df):
 
 def predictions(spark, sf):
     f = stored(spark, sf)
-    return ME.baseline_predictions(f, fold_tab(f), LOOKBACKS)
+    return ME.baseline_predictions(f, fold_tab(f), LOOKBACKS, LATENCY_MS)
 
 
 def metrics(spark, sf):
@@ -118,7 +120,7 @@ def sql_pred() -> str:
         parts.append(
             f"""SELECT 'RV baseline {lb}' AS model, 'RV baseline' AS model_type, fo.fold, feat.stock_id, feat.time_id,
        RV_{lb} AS pred_var, sqrt(greatest(RV_{lb}, 0)) AS pred_vol, target_var AS actual_var, target_vol AS actual_vol,
-       CAST({lb / 1e3} AS DOUBLE) AS inference_ms, 'RV_{lb}' AS feature_cols, 'horizon_line' AS prediction_kind,
+       CAST({LATENCY_MS[lb]} AS DOUBLE) AS inference_ms, 'RV_{lb}' AS feature_cols, 'horizon_line' AS prediction_kind,
        '' AS forecast_seconds, '' AS forecast_vol_path
 FROM feat JOIN folds fo USING (time_id) WHERE RV_{lb} IS NOT NULL"""
         )
@@ -693,7 +695,7 @@ UNION ALL SELECT stock_id, model, 3 FROM slow WHERE f = 1""",
 )
 def q_series_models_capped(spark, sf):
     """O4 + J12 with more models than places: the best two and the fastest other."""
-    picked = RP.series_models(predictions(spark, sf), min_models=2, max_models=3, preferred_top_k=2)
+    picked = RP.series_models(predictions(spark, sf), places=3)
     return picked.selectExpr("stock_id", "model", "CAST(rank_pos AS INT) AS rank_pos")
 
 
@@ -715,10 +717,15 @@ series AS (
 @register(
     "realised_series",
     "WITH " + _series_sql() + "\nSELECT stock_id, time_id, seconds_in_bucket, " + R("realized_vol", "realized_vol")
-    + ", segment, split_second, forecast_horizon FROM series",
+    + """, segment, false AS bridge, split_second, forecast_horizon FROM series
+UNION ALL
+SELECT stock_id, time_id, seconds_in_bucket, """ + R("realized_vol", "realized_vol") + """, 'heldout_actual', true, split_second, forecast_horizon
+FROM series s WHERE segment = 'observed'
+  AND seconds_in_bucket = (SELECT max(o.seconds_in_bucket) FROM series o WHERE o.stock_id = s.stock_id AND o.time_id = s.time_id AND o.segment = 'observed')
+  AND EXISTS (SELECT 1 FROM series h WHERE h.stock_id = s.stock_id AND h.time_id = s.time_id AND h.segment = 'heldout_actual')""",
 )
 def q_realised_series(spark, sf):
-    return CV.realised_series(book(spark, sf), 30)
+    return CV.with_bridge(CV.realised_series(book(spark, sf), 30))
 
 
 def _curves_ctes() -> str:
@@ -774,15 +781,18 @@ def q_window_payload(spark, sf):
 @register(
     "series_smoothed",
     "WITH " + _series_sql() + """,
-sm AS (SELECT *, avg(realized_vol) OVER (PARTITION BY stock_id, time_id ORDER BY seconds_in_bucket ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS vs,
-              row_number() OVER (PARTITION BY stock_id, time_id ORDER BY seconds_in_bucket) - 1 AS i,
-              count(*) OVER (PARTITION BY stock_id, time_id) AS nn FROM series)
+ix AS (SELECT *, row_number() OVER (PARTITION BY stock_id, time_id ORDER BY seconds_in_bucket) - 1 AS i,
+              count(*) OVER (PARTITION BY stock_id, time_id) AS nn FROM series),
+wd AS (SELECT *, greatest(3, least(25, nn // 75)) AS width FROM ix),
+sm AS (SELECT a.stock_id, a.time_id, a.seconds_in_bucket, a.realized_vol, a.i, a.nn, avg(b.realized_vol) AS vs
+       FROM wd a JOIN wd b ON a.stock_id = b.stock_id AND a.time_id = b.time_id AND abs(a.i - b.i) <= (a.width + 1 - a.width % 2 - 1) / 2
+       GROUP BY ALL)
 SELECT stock_id, time_id, seconds_in_bucket, """ + R("realized_vol", "realized_vol") + ", " + R("vs", "realized_vol_smooth") + """
 FROM sm WHERE nn <= 100 OR list_contains(list_transform(range(0, 100), lambda k: CAST(floor(k * (nn - 1) / 99.0) AS BIGINT)), i)""",
 )
 def q_series_smoothed(spark, sf):
     s = CV.realised_series(book(spark, sf), 30)
-    sm = RP.smooth_centred(s, ["stock_id", "time_id"], "seconds_in_bucket", "realized_vol", 2)
+    sm = RP.smooth_centred(s, ["stock_id", "time_id"], "seconds_in_bucket", "realized_vol")
     return RP.downsample_even(sm, ["stock_id", "time_id"], "seconds_in_bucket", 100).select(
         "stock_id", "time_id", "seconds_in_bucket", "realized_vol", "realized_vol_smooth"
     )

@@ -428,31 +428,34 @@ def q_cache_limit_per_stock(spark, sf):
     "WITH " + sql_pred() + """
 SELECT 'predictions' AS frame, count(*) AS n_rows, 'completed' AS status FROM pred
 UNION ALL SELECT 'metrics', count(DISTINCT (model, fold)) + count(DISTINCT model), 'completed' FROM pred
+UNION ALL SELECT 'feature_importance', count(DISTINCT fold), 'completed' FROM pred
 UNION ALL SELECT 'universe_summary', count(DISTINCT stock_id), 'completed' FROM feat
 UNION ALL SELECT 'stock_similarity', count(*), 'completed' FROM (
     SELECT DISTINCT a.stock_id, b.stock_id AS other FROM feat a JOIN feat b USING (time_id))""",
 )
 def q_run_artifacts(spark, sf):
-    """S12 + S13 + S14: write a run's frames and status, list runs."""
+    """S12 + S13: write a run's five frames and its status, read them back."""
     import uuid
     from datetime import datetime, timezone
 
-    base = scratch_path(spark, "runs")  # a folder of this call's own
+    store = ST.RunStore(spark, scratch_path(spark, "runs"))  # a folder of this call's own
     run_id = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%SZ") + "_" + uuid.uuid4().hex[:8]
-    pred = predictions(spark, sf)
+    pred, f = predictions(spark, sf), stored(spark, sf)
+    one = [ModelSpec(name="Linear Regression", model_type="Linear Regression")]
     frames = {
         "predictions": pred,
         "metrics": ME.fold_metrics(pred),
-        "universe_summary": UV.universe_summary(stored(spark, sf), pred),
-        "stock_similarity": UV.stock_similarity(stored(spark, sf)),
+        "feature_importance": MO.run_models(FO.with_folds(f, SplitConfig()), one, ["RV_300"], "Manual")[1],
+        "universe_summary": UV.universe_summary(f, pred),
+        "stock_similarity": UV.stock_similarity(f),
     }
-    ST.write_run(f"{base}/{run_id}", frames, {"features": CFG.__dict__}, {"status": "completed", "run_id": run_id})
-    catalogue = ST.run_catalogue(spark, base)
+    store.write(run_id, frames, {"features": CFG.__dict__}, {"status": "completed", "run_id": run_id})
+    status = store.runs().where(F.col("run_id") == store.resolve()).select("status")
     counts = None
     for name in frames:
-        one = spark.read.parquet(f"{base}/{run_id}/{name}").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("frame"), "n_rows")
-        counts = one if counts is None else counts.unionByName(one)
-    return counts.join(catalogue.where("latest_completed").select("status"), F.lit(True)).select("frame", "n_rows", "status")
+        n = store.frame(name).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("frame"), "n_rows")
+        counts = n if counts is None else counts.unionByName(n)
+    return counts.crossJoin(F.broadcast(status)).select("frame", "n_rows", "status")  # one row
 
 
 @register(

@@ -8,12 +8,13 @@ so adding stocks never changes the plan; filters on ``stock_id`` and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import BOOK_COLUMNS
 from ..functions.columns import stock_id_normalised
+from ..functions.quantiles import ranked_in_group
 
 BOOK_SCHEMA = T.StructType(
     [
@@ -131,12 +132,10 @@ def select_stocks(book: DataFrame, stocks=None, limit: int | None = None) -> Dat
 def first_windows(book: DataFrame, n: int | None) -> DataFrame:
     """keep the ``n`` smallest distinct ``time_id`` of each stock.
 
-    Ranks distinct ``(stock_id, time_id)`` keys, not book rows, so the window
-    is over one row per window and a large stock is no harder than a small one.
+    Ranks distinct ``(stock_id, time_id)`` keys, not book rows, from range
+    partitions: a stock may have any number of windows.
     """
     if n is None:
         return book
-    keys = book.select("stock_id", "time_id").distinct()
-    ranked = keys.withColumn("_r", F.dense_rank().over(Window.partitionBy("stock_id").orderBy("time_id")))
-    keep = ranked.where(F.col("_r") <= int(n)).drop("_r")
-    return book.join(keep, ["stock_id", "time_id"], "left_semi")
+    ranked = ranked_in_group(book.select("stock_id", "time_id").distinct(), "stock_id", "time_id")
+    return book.join(ranked.where(F.col("_r") <= int(n)).select("stock_id", "time_id"), ["stock_id", "time_id"], "left_semi")

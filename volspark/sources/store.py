@@ -158,25 +158,84 @@ def materialized_features(spark: SparkSession, sf_dir: str, build, cfg: FeatureC
     return df
 
 
-def write_run(run_dir: str, frames: dict[str, DataFrame], config: dict, status: dict) -> None:
-    """One parquet folder per frame plus config/status JSON documents."""
-    spark = next(iter(frames.values())).sparkSession
-    for name, df in frames.items():
-        df.write.mode("overwrite").parquet(f"{run_dir}/{name}")
-    docs = [("config", json.dumps(config, default=str)), ("status", json.dumps(status, default=str))]
-    for name, text in docs:
-        spark.createDataFrame([(text,)], "doc string").coalesce(1).write.mode("overwrite").text(f"{run_dir}/{name}")
-
-
-def run_catalogue(spark: SparkSession, runs_dir: str) -> DataFrame:
-    """S13 + S14: one row per run (id from the folder name, status fields),
-    newest first; ``latest_completed`` marks the newest completed run."""
-    status = spark.read.json(f"{runs_dir}/*/status").select(
-        "*", F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/status/", 1).alias("run_folder")
-    )
-    return status.selectExpr(
-        "*", "row_number() OVER (PARTITION BY status = 'completed' ORDER BY run_folder DESC) = 1 AND status = 'completed' AS latest_completed"
-    ).orderBy(F.desc("run_folder"))
+#: The frames of a run and their columns.
+RUN_FRAMES = {
+    "predictions": "model string, model_type string, fold int, stock_id string, time_id bigint, pred_var double, pred_vol double, actual_var double, "
+    "actual_vol double, inference_ms double, feature_cols string, prediction_kind string, forecast_seconds string, forecast_vol_path string",
+    "metrics": "fold int, model string, n bigint, mse double, rmse double, mae double, mape double, rmspe double, qlike double, pearson_r double",
+    "feature_importance": "model string, fold int, feature string, importance double",
+    "universe_summary": "stock_id string, mean_volatility double, mean_variance double, n_windows bigint, best_model string, "
+    "mse double, rmse double, mae double, mape double, rmspe double, qlike double",
+    "stock_similarity": "stock_a string, stock_b string, corr double",
+}
+
+
+class RunStore:
+    """Runs as folders of Parquet frames with a config and a status document
+    (S12-S14).  The status is written last: a run without one broke off."""
+
+    def __init__(self, spark: SparkSession, runs_dir: str):
+        self.spark, self.runs_dir = spark, runs_dir.rstrip("/")
+
+    def _has(self, *parts: str) -> bool:
+        return path_exists(self.spark, "/".join([self.runs_dir, *parts]))
+
+    def _documents(self, name: str) -> DataFrame:
+        """``run_id, doc`` of every run that has the document; whatever it holds."""
+        folder = f"{self.runs_dir}/*/{name}"
+        fs, p = _fs(self.spark, folder)
+        if not self._has() or not fs.globStatus(p):
+            return self.spark.createDataFrame([], "run_id string, doc string")
+        run = F.regexp_extract(F.col("_metadata.file_path"), rf"/([^/]+)/{name}/[^/]*$", 1)
+        return self.spark.read.option("wholetext", True).text(folder).select(run.alias("run_id"), F.col("value").alias("doc"))
+
+    def write(self, run_id: str, frames: dict[str, DataFrame], config: dict, status: dict) -> None:
+        """The five frames, the config, and at last the status."""
+        missing = set(RUN_FRAMES) - set(frames)
+        if missing:
+            raise ValueError(f"a run has the frames {', '.join(RUN_FRAMES)}; missing: {', '.join(sorted(missing))}")
+        for name, df in frames.items():
+            df.write.mode("overwrite").parquet(f"{self.runs_dir}/{run_id}/{name}")
+        for name, doc in (("config", config), ("status", status)):
+            text = json.dumps(doc, default=str)
+            self.spark.createDataFrame([(text,)], "doc string").coalesce(1).write.mode("overwrite").text(f"{self.runs_dir}/{run_id}/{name}")
+
+    def runs(self) -> DataFrame:
+        """``run_id, status, has_results``, newest first; a run whose status
+        is missing or not readable has a null one."""
+        if not self._has():
+            return self.spark.createDataFrame([], "run_id string, status string, has_results boolean")
+        fs, p = _fs(self.spark, self.runs_dir)
+        found = [(f.getPath().getName(),) for f in fs.listStatus(p) if f.isDirectory()]
+        rows = [(r, self._has(r, "metrics", "_SUCCESS") and self._has(r, "predictions", "_SUCCESS")) for (r,) in found]
+        listed = self.spark.createDataFrame(rows, "run_id string, has_results boolean")
+        status = self._documents("status").select("run_id", F.get_json_object("doc", "$.status").alias("status"))
+        return listed.join(status, "run_id", "left").select("run_id", "status", "has_results").orderBy(F.desc("run_id"))
+
+    def resolve(self, requested: str | None = None) -> str | None:
+        """The requested run if there is one; else the newest completed one,
+        else the newest with metrics and predictions, else None."""
+        runs = self.runs()
+        if requested:
+            chosen = runs.where(F.col("run_id") == requested)
+        else:
+            grade = F.when(F.lower("status") == "completed", 0).when(F.col("has_results"), 1)
+            chosen = runs.where(grade.isNotNull()).orderBy(grade, F.desc("run_id"))
+        first = chosen.select("run_id").first()
+        return first[0] if first else None
+
+    def frame(self, name: str, run_id: str | None = None) -> DataFrame:
+        """A frame of a run (of the resolved one by default); without rows,
+        but with its columns, where it was not written to the end."""
+        run = run_id or self.resolve()
+        if run is None or not self._has(run, name, "_SUCCESS"):
+            return self.spark.createDataFrame([], RUN_FRAMES[name])
+        return self.spark.read.parquet(f"{self.runs_dir}/{run}/{name}")
+
+    def config(self, run_id: str) -> dict:
+        """The run's configuration, empty if it has none."""
+        row = self._documents("config").where(F.col("run_id") == run_id).first()
+        return json.loads(row["doc"]) if row else {}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
