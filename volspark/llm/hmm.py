@@ -27,6 +27,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -110,7 +111,7 @@ def encode(docs: DataFrame, head: list[tuple[bytes, int]], emission_words: int,
             for text in b.column("text").cast(pa.binary()).to_pylist():
                 words = words_of(text)
                 words.append(END)
-                at = np.fromiter((place.get(w, far) for w in words), np.int64, len(words))
+                at = np.fromiter(map(place.get, words, repeat(far)), np.int64, len(words))
                 rest = symbol[at] >= emitted
                 lg = logs[at]
                 keys.append((part << 33) + row)
@@ -122,20 +123,23 @@ def encode(docs: DataFrame, head: list[tuple[bytes, int]], emission_words: int,
                 others.append([words[i] for i in places[-1]])
                 ids.append(symbol[at])
                 ids[-1][places[-1]] = [emitted + zlib.crc32(w) % classes for w in others[-1]]
-            off = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), b.column("doc_id"), b.column("held_out"), pa.ListArray.from_arrays(pa.array(off), pa.array(flat)), pa.array(in_model, pa.float64()), pa.array(in_rest, pa.float64()), pa.array(n_known, pa.int64()), pa.array(others, pa.list_(pa.binary())), pa.array(places, pa.list_(pa.int32()))],
+                [pa.array(keys, pa.int64()), b.column("doc_id"), b.column("held_out"), pa.array([x.astype(np.int32).tobytes() for x in ids], pa.binary()), pa.array(in_model, pa.float64()), pa.array(in_rest, pa.float64()), pa.array(n_known, pa.int64()), pa.array(others, pa.list_(pa.binary())), pa.array(places, pa.list_(pa.int32()))],
                 names=["key", "doc_id", "held_out", "ids", "in_model", "in_rest", "n_known", "others", "places"],
             )
 
-    return docs.mapInArrow(run, "key long, doc_id long, held_out boolean, ids array<int>, in_model double, in_rest double, n_known long, others array<binary>, places array<int>")
+    return docs.mapInArrow(run, "key long, doc_id long, held_out boolean, ids binary, in_model double, in_rest double, n_known long, others array<binary>, places array<int>")
 
 
 def ragged(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Flat values, starts and lengths of a list column."""
-    off = column.offsets.to_numpy().astype(np.int64)
-    return column.values.to_numpy(), off[:-1], np.diff(off)
+    """Flat values, starts and lengths of a column of integer lists, or of the
+    bytes of 32-bit integers."""
+    if pa.types.is_binary(column.type):
+        off = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4).astype(np.int64) // 4
+        flat = np.frombuffer(column.buffers()[2] or b"", np.int32)
+    else:
+        off, flat = column.offsets.to_numpy().astype(np.int64), column.values.to_numpy()
+    return flat, off[:-1], np.diff(off)
 
 
 class HiddenMarkov:
@@ -185,24 +189,28 @@ class HiddenMarkov:
             symbols[off[t] : off[t + 1]] = flat[s[:m] + t]
         e = self.emit.astype(np.float32)[symbols]
         alpha, scale = np.empty_like(e), np.empty(off[-1], np.float32)
+        a = self.start.astype(np.float32) * e[: active[0]]
         for t, m in enumerate(active):
             now = slice(off[t], off[t + 1])
-            a = (self.start.astype(np.float32) if t == 0 else alpha[off[t - 1] : off[t - 1] + m] @ step32) * e[now]
+            if t:
+                a = alpha[off[t - 1] : off[t - 1] + m] @ step32
+                a *= e[now]
             c = a.sum(axis=1)
             scale[now] = c
-            alpha[now] = a / c[:, None]
-        beta = np.ones((active[-1], k), np.float32)
-        pairs = np.zeros((k, k))
-        gamma = alpha  # becomes the state posteriors, from the last step backwards
+            np.divide(a, c[:, None], out=alpha[now])
+        # backwards: e becomes what is carried into a step, later what is carried out is 1 or its sum
+        e /= scale[:, None]
+        later, back = np.ones_like(e), np.ascontiguousarray(step32.T)
         for t in range(len(active) - 1, 0, -1):
-            m, before = active[t], slice(off[t - 1], off[t - 1] + active[t])
-            carried = e[off[t] : off[t + 1]] * beta[:m] / scale[off[t] : off[t + 1], None]
-            pairs += gamma[before].T.astype(np.float64) @ carried
-            gamma[off[t] : off[t + 1]] *= beta[:m]
-            wider = np.ones((active[t - 1], k), np.float32)
-            wider[:m] = carried @ step32.T
-            beta = wider
-        gamma[: active[0]] *= beta
+            now, m = slice(off[t], off[t + 1]), active[t]
+            np.multiply(e[now], later[now], out=e[now])
+            np.matmul(e[now], back, out=later[off[t - 1] : off[t - 1] + m])
+        pairs = np.zeros((k, k))
+        before = np.arange(off[1], off[-1]) - np.repeat(active[:-1], active[1:])
+        for i in range(0, len(before), 65_536):
+            pairs += alpha[before[i : i + 65_536]].T.astype(np.float64) @ e[off[1] + i : off[1] + i + len(before[i : i + 65_536])]
+        gamma = alpha
+        gamma *= later  # the state posteriors
         into[0][:] += gamma[: active[0]].sum(axis=0, dtype=np.float64)
         into[1][:] += pairs * self.step
         width = into[2].shape[0]
