@@ -69,6 +69,26 @@ def test_block_max_search_is_exact():
         assert np.allclose(cos, all_cos[want])
 
 
+def test_blocks_are_left_closed(monkeypatch):
+    """Examples of ten themes that also share a frequent term: a text of one theme opens few blocks."""
+    monkeypatch.setattr(toxicity, "FREQUENT", 20)
+    rng = np.random.default_rng(4)
+    examples = [(i, i % 2, [0, *(1 + 5 * (i % 10) + np.sort(rng.choice(5, 3, replace=False))).tolist()], [1, 2, 1, 3]) for i in range(1280)]
+    index = toxicity.BlockMaxIndex(np.r_[0.2, np.ones(50)], examples)
+    dense = np.zeros((1280, 51))
+    for place, doc in enumerate(index.ids):
+        t, w = index.unit(examples[doc][2], examples[doc][3])
+        dense[place, t] = w
+    for _, _, t, c in examples[:40]:
+        docs, cos = index.nearest(t, c, 9)
+        q = np.zeros(51)
+        q[t] = index.unit(t, c)[1]
+        every = dense @ q
+        want = sorted(range(1280), key=lambda j: (-round(every[j], 12), index.ids[j]))[:9]
+        assert index.ids[docs].tolist() == index.ids[want].tolist() and np.allclose(cos, every[want])
+    assert index.opened < index.asked / 2
+
+
 def test_toxicity_indexes_every_term_and_example(spark):
     # few examples: no term passes a significance threshold, most texts hold none
     rows = [(i, f"the of and word{'abcdefgh'[i % 8]}", "en", "x") for i in range(200)]

@@ -8,9 +8,14 @@
    The IDF is multiplied by the distance of the term's smoothed log odds
    between the classes of the examples (a departure from plain TF-IDF, see the
    README); no term is left out by it.
-3. The examples' vectors form an inverted index; terms that ``FREQUENT`` or
-   more examples hold are columns of a matrix instead.  The cosines of a text
-   with all examples are summed from both: the search is exact.
+   The same pass writes each text's term numbers and counts; texts are not read
+   again.
+3. The examples' vectors form a block-max inverted index: examples of like
+   content are neighbours, ``BLOCK`` of them a block.  Postings of rare terms are
+   summed for all examples; of terms that ``FREQUENT`` or more examples hold each
+   block keeps the largest weight, which bounds what the block can reach.  Blocks
+   are opened by falling bound until no bound reaches the k-th cosine found: the
+   search is exact.
 4. The neighbours vote with their cosines; a logistic curve, fitted on a
    second bounded sample of labelled rows, turns votes into probabilities.
    The neighbours (ids and cosines) are returned as evidence.
@@ -38,8 +43,10 @@ from volspark.session import cut_lineage
 
 WORD = re.compile(rb"[a-z\x80-\xff]+")
 STEMS = (4, 5, 6)
-#: Terms in so many examples are summed as a matrix product, the others by postings.
+#: Terms in so many examples are summed by block, the others by postings.
 FREQUENT = 400
+#: Examples in a block, and blocks opened before the first bound is compared.
+BLOCK, FIRST = 64, 3
 #: Texts whose cosines are summed together, and words remembered with their terms.
 TOGETHER, REMEMBERED = 100, 200_000
 SCHEMA = "doc_id long, score double, vote double, neighbours string"
@@ -112,18 +119,39 @@ def count_terms(batches, at: dict[bytes, int]):
         yield b, cell // max(1, len(at)), cell % max(1, len(at)), np.bincount(back, np.array(count, float), len(cell))
 
 
-def document_frequencies(texts: DataFrame, at: dict[bytes, int]) -> tuple[int, np.ndarray]:
-    """The number of texts, and in how many of them each term occurs."""
+CELLS = "doc_id long, terms binary, counts binary"
+
+
+def encoded(texts: DataFrame, at: dict[bytes, int]) -> tuple[DataFrame, int, np.ndarray]:
+    """``doc_id, terms, counts`` (32-bit numbers) of every text, the number of
+    texts, and in how many of them each term occurs; the texts are read once."""
+    names = [c.split()[0] for c in f"{CELLS}, {PARTS}".split(", ")]
 
     def run(batches):
         total = np.zeros(len(at) + 1)
-        for b, _, term, _ in count_terms(batches, at):
+        for b, row, term, count in count_terms(batches, at):
             total += np.bincount(np.append(term, [len(at)] * b.num_rows), minlength=len(total))
-        yield from array_parts(total, TaskContext.get().partitionId())
-
-    parts = add_arrays(texts.select("text").mapInArrow(run, PARTS)).collect()
+            cut = np.searchsorted(row, np.arange(b.num_rows + 1))
+            blobs = [pa.array([v[i:j].tobytes() for i, j in zip(cut, cut[1:])], pa.binary()) for v in (term.astype(np.int32), count.astype(np.int32))]
+            none = [pa.nulls(b.num_rows, kind) for kind in (pa.int32(), pa.int32(), pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *blobs, *none], names=names)
+        for part in array_parts(total, TaskContext.get().partitionId()):
+            none = [pa.nulls(part.num_rows, kind) for kind in (pa.int64(), pa.binary(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*none, *part.columns], names=names)
+
+    found = cut_lineage(texts.mapInArrow(run, f"{CELLS}, {PARTS}"))
+    parts = add_arrays(found.filter(F.col("chunk").isNotNull()).select("chunk", "task", "values")).collect()
     total = np.concatenate([r["values"] for r in sorted(parts, key=lambda r: r.chunk)]) if parts else np.zeros(len(at) + 1)
-    return int(total[-1]), total[:-1]
+    return found.filter(F.col("chunk").isNull()).select("doc_id", "terms", "counts"), int(total[-1]), total[:-1]
+
+
+def cells_of(batches):
+    """For slices of batches of :func:`encoded`: the slice, and the rows, term
+    numbers and counts of its texts."""
+    for b in small(batches, TOGETHER):
+        term, count = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.int32) for c in ("terms", "counts"))
+        size = [len(x) // 4 for x in b.column("terms").to_pylist()]
+        yield b, np.repeat(np.arange(b.num_rows), size), term.astype(np.int64), count.astype(float)
 
 
 def vectors_of(texts: DataFrame, at: dict[bytes, int]) -> DataFrame:
@@ -138,13 +166,16 @@ def vectors_of(texts: DataFrame, at: dict[bytes, int]) -> DataFrame:
     return texts.select("doc_id", "y", "text").mapInArrow(run, "doc_id long, y int, terms array<int>, counts array<int>")
 
 
-class ExampleIndex:
-    """Inverted index over the unit vectors of all examples; frequent terms
-    are columns of a matrix."""
+class BlockMaxIndex:
+    """Inverted index over the unit vectors of all examples, in blocks."""
 
     def __init__(self, idf: np.ndarray, examples: Iterable[tuple[int, int, list[int], list[int]]]):
         self.idf = idf
         units = [(doc, y, *self.unit(t, c)) for doc, y, t, c in examples]
+        # examples of like content side by side: by the heaviest term that many of them hold
+        held = np.bincount(np.concatenate([u[2] for u in units]), minlength=len(idf)) if units else np.zeros(len(idf))
+        theme = [int(t[np.argmax(np.where(held[t] >= BLOCK // 4, w, 0))]) if len(t) else -1 for _, _, t, w in units]
+        units = [units[i] for i in sorted(range(len(units)), key=lambda i: (units[i][1], theme[i], units[i][0]))]
         self.ids = np.array([e[0] for e in units], np.int64)
         self.y = np.array([e[1] for e in units], float)
         term = np.concatenate([e[2] for e in units]) if units else np.zeros(0, np.int64)
@@ -156,19 +187,28 @@ class ExampleIndex:
         self.frequent = np.flatnonzero(np.diff(self.start) >= FREQUENT)
         self.column = np.full(len(idf), -1, np.int64)
         self.column[self.frequent] = np.arange(len(self.frequent))
-        self.matrix = np.zeros((len(self.frequent), len(units)))
+        self.blocks = -(-len(units) // BLOCK)
+        matrix = np.zeros((len(self.frequent), self.blocks * BLOCK))
         for i, t in enumerate(self.frequent):
             at = slice(self.start[t], self.start[t + 1])
-            self.matrix[i, self.doc[at]] = self.weight[at]
+            matrix[i, self.doc[at]] = self.weight[at]
+        cube = matrix.reshape(len(self.frequent), self.blocks, BLOCK)
+        self.top = cube.max(axis=2) if self.blocks else np.zeros((len(self.frequent), 0))
+        self.cube = np.ascontiguousarray(cube.transpose(1, 0, 2))
+        self.opened = self.asked = 0
 
     def unit(self, terms, counts) -> tuple[np.ndarray, np.ndarray]:
         t = np.asarray(terms, np.int64)
         w = (1 + np.log(np.asarray(counts, float))) * self.idf[t]
         return t, w / max(np.sqrt((w**2).sum()), 1e-300)
 
-    def cosines(self, rows: int, row: np.ndarray, term: np.ndarray, count: np.ndarray) -> np.ndarray:
-        """Of ``rows`` texts, given by cells (row, term, count), with all examples."""
-        n = len(self.ids)
+    def nearest_of(self, rows: int, row: np.ndarray, term: np.ndarray, count: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per text, given by cells (row, term, count): examples and cosines of
+        the exact k nearest (cosine above 0), ties to the smaller id."""
+        none = np.zeros(0, np.int64), np.zeros(0)
+        if not len(self.ids) or not len(term):
+            return [none] * rows
+        width = self.blocks * BLOCK
         w = (1 + np.log(count)) * self.idf[term]
         w = w / np.maximum(np.sqrt(np.bincount(row, w**2, rows)), 1e-300)[row]
         column = self.column[term]
@@ -179,37 +219,40 @@ class ExampleIndex:
         first = self.start[term]
         size = self.start[term + 1] - first
         into = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        rare = np.bincount(np.repeat(row * n, size) + self.doc[into], self.weight[into] * np.repeat(w, size), rows * n)
-        return query @ self.matrix + rare.reshape(rows, n)
-
-    def nearest_of(self, rows: int, row, term, count, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Per text: examples and cosines of the exact k nearest (cosine above
-        0), ties to the smaller id."""
-        none = np.zeros(0, np.int64), np.zeros(0)
-        n = len(self.ids)
-        if not n or not len(term):
-            return [none] * rows
-        every = self.cosines(rows, row, term, count)
-        kth = np.partition(every, n - k, axis=1)[:, n - k] if n > k else np.zeros(rows)
-        out = []
-        for cos, least in zip(every, kth):
-            docs = np.flatnonzero((cos > 0) & (cos >= least - 1e-11))
-            best = docs[np.lexsort((self.ids[docs], -cos[docs].round(12)))[:k]]
-            out.append((best, cos[best]))
-        return out
+        rare = np.bincount(np.repeat(row * width, size) + self.doc[into], self.weight[into] * np.repeat(w, size), rows * width).reshape(rows, self.blocks, BLOCK)
+        bound = rare.max(axis=2) + query @ self.top
+        order = np.argsort(-bound, axis=1)
+        return [self._best(rare[i], query[i], bound[i], order[i], k) for i in range(rows)]
+
+    def _best(self, rare: np.ndarray, query: np.ndarray, bound: np.ndarray, order: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        used = np.flatnonzero(query)
+        some, cosines, at = order[:FIRST], [], []
+        rest = order[FIRST:]
+        while len(some):
+            cosines.append((rare[some] + query[used] @ self.cube[some][:, used]).ravel())
+            at.append((some[:, None] * BLOCK + np.arange(BLOCK)).ravel())
+            self.opened += len(some)
+            every = cosines[0] if len(cosines) == 1 else np.concatenate(cosines)
+            least = np.partition(every, len(every) - k)[len(every) - k] if len(every) > k else 0.0
+            go = (bound[rest] >= least - 1e-11) & (bound[rest] > 0)
+            some, rest = rest[go][: 4 * FIRST], rest[go][4 * FIRST :]
+        self.asked += self.blocks
+        docs = np.concatenate(at)
+        near = np.flatnonzero((every > 0) & (every >= least - 1e-11) & (docs < len(self.ids)))
+        docs, cos = docs[near], every[near]
+        best = np.lexsort((self.ids[docs], -cos.round(12)))[:k]
+        return docs[best], cos[best]
 
     def nearest(self, terms, counts, k: int) -> tuple[np.ndarray, np.ndarray]:
         t = np.asarray(terms, np.int64)
         return self.nearest_of(1, np.zeros(len(t), np.int64), t, np.asarray(counts, float), k)[0]
 
 
-BlockMaxIndex = ExampleIndex  # its earlier name
-
 
 class Voter:
     """Distance-weighted vote and its calibration curve."""
 
-    def __init__(self, index: ExampleIndex, k: int, prior: float):
+    def __init__(self, index: BlockMaxIndex, k: int, prior: float):
         self.index, self.k, self.prior = index, k, prior
         self.coef: np.ndarray | None = None
 
@@ -253,11 +296,11 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out_mod
     indexed = labelled.filter("indexed")
     odds = class_terms(indexed)
     at = {t: i for i, t in enumerate(odds)}
-    n, df = document_frequencies(texts, at)
+    cells, n, df = encoded(texts, at)
     idf = (np.log((n + 1) / (df + 1)) + 1) * np.array(list(odds.values()))
     rows = vectors_of(indexed, at).toArrow().sort_by("doc_id")
     prior = float(np.mean(rows["y"].to_numpy())) if rows.num_rows else 0.0
-    voter = Voter(ExampleIndex(idf, zip(rows["doc_id"].to_pylist(), rows["y"].to_pylist(), *([v.values.to_numpy() for v in rows[c]] for c in ("terms", "counts")))), k, prior)
+    voter = Voter(BlockMaxIndex(idf, zip(rows["doc_id"].to_pylist(), rows["y"].to_pylist(), *([v.values.to_numpy() for v in rows[c]] for c in ("terms", "counts")))), k, prior)
 
     def cast(batches):
         for b, *cells in count_terms(batches, at):
@@ -268,11 +311,11 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out_mod
     voter.calibrate([(r.votes, r.y) for r in sorted(held, key=lambda r: r.doc_id)])
 
     def run(batches):
-        for b, *cells in count_terms(batches, at):
-            out = voter.votes(b.num_rows, *cells)
+        for b, *found in cells_of(batches):
+            out = voter.votes(b.num_rows, *found)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([voter.probability(v) for v, _ in out], pa.float64()), pa.array([v[0] for v, _ in out], pa.float64()), pa.array([e for _, e in out], pa.string())],
                 names=["doc_id", "score", "vote", "neighbours"],
             )
 
-    return texts.mapInArrow(run, SCHEMA)
+    return cells.mapInArrow(run, SCHEMA)
