@@ -30,3 +30,27 @@ def test_legacy_moments_match_pandas(spark):
     w2 = (second.b1 * second.as1 + second.a1 * second.bs1) / (second.bs1 + second.as1)
     rv2 = np.sqrt((np.log(w2).diff().dropna() ** 2).sum())
     assert np.isclose(got["log_rv_second"], np.log(rv2 + 1e-8))
+
+
+def test_large_windows_in_blocks(spark, monkeypatch):
+    """A window of 9000 raw rows, cut into blocks, gives the features of the whole."""
+    from pyspark.sql import functions as F
+
+    from volspark.operators import legacy as LG
+
+    n = F.col("id")
+    book = spark.range(9000 + 700).select(
+        F.when(n < 9000, 1).otherwise(2).cast("bigint").alias("time_id"), F.expr("CAST(CASE WHEN id < 9000 THEN id DIV 15 ELSE (id - 9000) * 6 DIV 7 END AS INT) AS seconds_in_bucket"),
+        *[(1 + (n * k % 97) / 1e4).alias(c) for k, c in ((7, "bid_price1"), (11, "ask_price1"), (13, "bid_price2"), (17, "ask_price2"))],
+        *[F.when(n % 50 == 3, 0.0).otherwise((1 + n * k % 31).cast("double")).alias(c) for k, c in ((3, "bid_size1"), (5, "ask_size1"), (1, "bid_size2"), (9, "ask_size2"))],
+        F.lit("stock_1").alias("stock_id"),
+    ).repartition(6)
+    made = {}
+    for limit in (10**9, 1000):
+        monkeypatch.setattr(LG, "LARGE", limit)
+        made[limit] = [{r["time_id"]: r.asDict() for r in f(book).collect()} for f in (LG.window_features, LG.har_base, LG.window_rv)]
+    for whole, parts in zip(made[10**9], made[1000]):
+        assert set(whole) == set(parts) == {1, 2}
+        for t, row in whole.items():
+            for c, v in row.items():
+                assert v == parts[t][c] or abs(v - parts[t][c]) <= 1e-9 * max(1, abs(v)), (t, c)
