@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +36,6 @@ def texts_of(docs: DataFrame) -> DataFrame:
 def give_back() -> None:
     """Return freed memory to the system: Python workers serve many stages, and
     what one leaves in its allocator counts against the next one's."""
-    gc.collect()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):  # another C library
@@ -47,10 +45,13 @@ def give_back() -> None:
 def small(batches, rows: int = 500):
     """The Arrow batches in slices, so that a worker turns few texts at a time
     into Python objects."""
+    seen = 0
     for b in batches:
+        seen += b.num_rows
         for i in range(0, b.num_rows, rows):
             yield b.slice(i, rows)
-    give_back()
+    if seen >= rows:
+        give_back()
 
 
 #: Arrays that tasks add up travel in chunks of this many numbers.
