@@ -122,8 +122,19 @@ def count_terms(batches, at: dict[bytes, int]):
 CELLS = "doc_id long, terms binary, counts binary"
 
 
+def thin(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, all lowest bytes first, then the next ones: small numbers
+    leave runs of zeros, which the files' compression takes away."""
+    return numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unthin(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
 def encoded(texts: DataFrame, at: dict[bytes, int]) -> tuple[DataFrame, int, np.ndarray]:
-    """``doc_id, terms, counts`` (32-bit numbers) of every text, the number of
+    """``doc_id, terms, counts`` of every text (steps between its ascending term
+    numbers, and their counts less one, as :func:`thin` numbers), the number of
     texts, and in how many of them each term occurs; the texts are read once."""
     names = [c.split()[0] for c in f"{CELLS}, {PARTS}".split(", ")]
 
@@ -132,7 +143,8 @@ def encoded(texts: DataFrame, at: dict[bytes, int]) -> tuple[DataFrame, int, np.
         for b, row, term, count in count_terms(batches, at):
             total += np.bincount(np.append(term, [len(at)] * b.num_rows), minlength=len(total))
             cut = np.searchsorted(row, np.arange(b.num_rows + 1))
-            blobs = [pa.array([v[i:j].tobytes() for i, j in zip(cut, cut[1:])], pa.binary()) for v in (term.astype(np.int32), count.astype(np.int32))]
+            steps = [np.diff(term[i:j], prepend=0) for i, j in zip(cut, cut[1:])]
+            blobs = [pa.array([thin(v) for v in lists], pa.binary()) for lists in (steps, [count[i:j] - 1 for i, j in zip(cut, cut[1:])])]
             none = [pa.nulls(b.num_rows, kind) for kind in (pa.int32(), pa.int32(), pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *blobs, *none], names=names)
         for part in array_parts(total, TaskContext.get().partitionId()):
@@ -149,9 +161,10 @@ def cells_of(batches):
     """For slices of batches of :func:`encoded`: the slice, and the rows, term
     numbers and counts of its texts."""
     for b in small(batches, TOGETHER):
-        term, count = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.int32) for c in ("terms", "counts"))
-        size = [len(x) // 4 for x in b.column("terms").to_pylist()]
-        yield b, np.repeat(np.arange(b.num_rows), size), term.astype(np.int64), count.astype(float)
+        terms = [np.cumsum(unthin(x)) for x in b.column("terms").to_pylist()]
+        counts = [unthin(x) for x in b.column("counts").to_pylist()]
+        size = [len(t) for t in terms]
+        yield b, np.repeat(np.arange(b.num_rows), size), np.concatenate(terms).astype(np.int64), np.concatenate(counts) + 1.0
 
 
 def vectors_of(texts: DataFrame, at: dict[bytes, int]) -> DataFrame:
