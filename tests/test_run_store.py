@@ -40,3 +40,29 @@ def test_stock_names_from_file_names(spark, tmp_path):
     (tmp_path / "stock_4.csv").write_text("time_id,seconds_in_bucket\n1,2\n")
     with pytest.raises(Exception):
         read_book(spark, str(tmp_path)).collect()
+
+
+def test_feature_table_files_are_few_and_sorted(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from volspark.sources.store import write_feature_table
+
+    rows = spark.range(6000).select(F.concat(F.lit("stock_"), (F.col("id") % 3).cast("string")).alias("stock_id"), ((F.col("id") * 7919) % 2000).alias("time_id"), *[F.rand(i).alias(f"f{i}") for i in range(40)])
+    path = str(tmp_path / "table")
+    write_feature_table(rows.repartition(32), path, row_group_bytes=64 << 10)
+    files = glob.glob(f"{path}/stock_id=*/*.parquet")
+    assert len(files) <= 8 + 3  # shuffle partitions and stocks
+    ranges, skipped = {}, 0
+    for f in files:
+        meta = pq.ParquetFile(f).metadata
+        at = meta.schema.names.index("time_id")
+        groups = [(s.min, s.max) for s in (meta.row_group(i).column(at).statistics for i in range(meta.num_row_groups))]
+        assert all(a[1] <= b[0] for a, b in zip(groups, groups[1:]))  # sorted by window
+        skipped += sum(not lo <= 1000 <= hi for lo, hi in groups)
+        ranges.setdefault(f.split("stock_id=")[1].split("/")[0], []).append((groups[0][0], groups[-1][1]))
+    for own in ranges.values():
+        own.sort()
+        assert all(a[1] < b[0] for a, b in zip(own, own[1:]))  # files of a stock hold separate windows
+    assert skipped > 3 and spark.read.parquet(path).where("time_id = 1000").count() == 3

@@ -1,5 +1,7 @@
 import tempfile
 
+from pyspark.sql import functions as F
+
 from volspark.config import FeatureConfig
 from volspark.operators.features import build_features
 from volspark.sources.book import derived_book
@@ -29,3 +31,21 @@ def test_replayed_batch_changes_nothing(spark):
     got = {(r[0], r[1]): r[2] for r in read_features(spark, f"{base}/t").select("stock_id", "time_id", "RV_30").collect()}
     want = {(r[0], r[1]): r[2] for r in build_features(book, CFG).select("stock_id", "time_id", "RV_30").collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_a_batch_reads_only_the_spans_it_touches(spark):
+    import glob
+    import shutil
+
+    base = tempfile.mkdtemp(prefix="vs-stream-")
+    book = derived_book(spark, "/root/testdata/sf0.001").withColumn("time_id", F.col("time_id") * 64)
+    absorb_batch(book, f"{base}/t", 0, CFG)
+    assert len(glob.glob(f"{base}/t/rows/epoch=0/span=*")) == book.select("time_id").distinct().count() > 2
+    for other in glob.glob(f"{base}/t/rows/epoch=0/span=*"):
+        if not other.endswith("span=1"):
+            shutil.move(other, f"{base}/{other.rsplit('=', 1)[1]}")  # gone: not needed for span 1
+    again = book.where("time_id = 64")
+    absorb_batch(again, f"{base}/t", 1, CFG)
+    got = {(r[0], r[1]): r[2] for r in read_features(spark, f"{base}/t").select("stock_id", "time_id", "RV_30").collect()}
+    want = {(r[0], r[1]): r[2] for r in build_features(book, CFG).select("stock_id", "time_id", "RV_30").collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)

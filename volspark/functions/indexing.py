@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def ordered_index(keys: DataFrame, order_cols: list[str], name: str = "idx", partitions: int | None = None) -> DataFrame:
     """Append a 0-based ``name`` by ascending ``order_cols`` and a column
@@ -19,11 +21,12 @@ def ordered_index(keys: DataFrame, order_cols: list[str], name: str = "idx", par
     spark = keys.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = keys.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-    tagged = ranged.select(
+    # written once, so that the positions are the same whenever they are read
+    tagged = cut_lineage(ranged.select(
         "*",
         F.spark_partition_id().alias("_pid"),
         F.monotonically_increasing_id().alias("_mid"),
-    ).withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
+    )).withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
     offsets = counts.select(
         "_pid",

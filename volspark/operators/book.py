@@ -1,12 +1,12 @@
 """Book regularisation and returns (U2, J1, W1, P1-P4, W2, F3): D1 -> D2.
 
-Plan shape (one exchange for the per-window work):
+Plan shape (two exchanges):
 
-1. ``collapse_copies``: ``groupBy(stock_id, time_id)`` with ``collect_set`` of
-   the rows, so exact copies collapse map-side before the one shuffle; a
-   source that repeats a window many times costs no more than one copy
-   downstream.  ``dedupe_seconds`` then keeps one row per second.
-2. ``book_runs``: the same ``(stock_id, time_id)`` partitioning, one sort by second,
+1. ``dedupe_seconds``: ``groupBy(stock_id, time_id, second)`` with the minimum
+   struct of the book columns.  The minimum runs map-side first, so copies of a
+   row, however many, collapse before the shuffle; at most 600 rows a window
+   are left.
+2. ``book_runs``: partitioned by ``(stock_id, time_id)``, one sort by second,
    and window functions over the observed rows only (<= 600 per window):
    per-column forward fill, weighted price, log return against the previous
    observed row, the next observed second, and the count of usable returns

@@ -99,13 +99,8 @@ from .queries import R, book_ctes, predictions, sql_losses, sql_pred, sql_stock_
 
 BOOK_ONLY = "WITH " + book_ctes().lstrip().split(",\ndedup")[0]
 LORDER = "seconds_in_bucket, " + ", ".join(BOOK_VALUE_COLUMNS)
-LEG_OUT = [
-    "rv_first", "std_log_return", "skew_log_return", "kurt_log_return", "max_log_return", "min_log_return",
-    "realized_quarticity", "abs_return_mean", "max_abs_return", "wap_range", "wap_std", "n_price_changes", "n_rows",
-    "mean_spread", "std_spread", "spread_range", "mean_rel_spread", "std_rel_spread", "mean_depth", "std_depth",
-    "mean_imbalance", "std_imbalance", "mean_bid_size1", "mean_ask_size1", "arrival_rate", "wap_momentum",
-    "acf1", "acf5", "pacf1", "pacf5", "log_rv_second",
-]
+#: What one window gives: the published features but for lags and products, and the label.
+LEG_OUT = [c for c in LG.FEATURE_COLS if "lag" not in c and "rolling" not in c and "_x_" not in c and "_per_" not in c] + ["log_rv_second"]
 
 
 def _legacy_sql_ctes() -> str:

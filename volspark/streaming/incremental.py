@@ -5,28 +5,37 @@ book files arriving in a folder are read as a file stream, and every
 micro-batch recomputes the windows that it touches from all their rows so far,
 so a window may arrive in any number of files.  Rows and features are kept per
 batch, in a folder of the batch's own that a replay overwrites; the newest
-version of a window counts.  Progress lives in the checkpoint location.
+version of a window counts.  Rows lie in folders by span of ``SPAN`` windows, and
+a batch reads only the spans it touches.  Progress lives in the checkpoint
+location.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import FeatureConfig
 from ..operators.features import build_features
 from ..sources.book import BOOK_SCHEMA
 
 KEYS = ["stock_id", "time_id"]
+#: Windows (consecutive ``time_id``) whose rows share a folder.
+SPAN = 64
 
 
 def absorb_batch(batch: DataFrame, table_path: str, epoch: int, cfg: FeatureConfig = FeatureConfig()) -> None:
     """Keep the batch's rows, then write the features of its windows."""
     spark = batch.sparkSession
-    batch.write.mode("overwrite").parquet(f"{table_path}/rows/epoch={epoch}")
-    rows = spark.read.parquet(f"{table_path}/rows").where(F.col("epoch") <= epoch)
-    touched = rows.where(F.col("epoch") == epoch).select(*KEYS).distinct()
-    known = rows.drop("epoch").join(touched, KEYS, "left_semi")
+    own = f"{table_path}/rows/epoch={epoch}"
+    spanned = batch.where(F.col("time_id").isNotNull()).withColumn("span", F.floor(F.col("time_id") / SPAN))
+    spanned.write.mode("overwrite").partitionBy("span").parquet(own)
+    touched = spark.read.schema(spanned.schema).parquet(own)
+    spans = [r[0] for r in touched.select("span").distinct().collect()]  # folders of this batch
+    kept = T.StructType([*spanned.schema.fields, T.StructField("epoch", T.IntegerType())])
+    rows = spark.read.schema(kept).parquet(f"{table_path}/rows").where(F.col("span").isin(spans) & (F.col("epoch") <= epoch))
+    known = rows.drop("epoch", "span").join(touched.select(*KEYS).distinct(), KEYS, "left_semi")
     build_features(known, cfg).write.mode("overwrite").parquet(f"{table_path}/features/epoch={epoch}")
 
 
