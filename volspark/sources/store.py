@@ -105,6 +105,7 @@ def write_new_stocks(features: DataFrame, path: str) -> None:
     marks = path + "_done"
     if path_exists(spark, marks):
         features = features.join(spark.read.schema("stock_id string").parquet(marks), "stock_id", "left_anti")
+    features = cut_lineage(features)  # built once, for the table and for the marks
     writer = features.sortWithinPartitions("stock_id", "time_id").write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy("stock_id").parquet(path)
     features.select("stock_id").distinct().write.mode("append").parquet(marks)
