@@ -30,7 +30,8 @@ def absorb_batch(batch: DataFrame, table_path: str, epoch: int, cfg: FeatureConf
     spark = batch.sparkSession
     own = f"{table_path}/rows/epoch={epoch}"
     spanned = batch.where(F.col("time_id").isNotNull()).withColumn("span", F.floor(F.col("time_id") / SPAN))
-    spanned.write.mode("overwrite").partitionBy("span").parquet(own)
+    # a span's rows together, or every task leaves a file in every folder
+    spanned.hint("rebalance", "span").write.mode("overwrite").partitionBy("span").parquet(own)
     touched = spark.read.schema(spanned.schema).parquet(own)
     spans = [r[0] for r in touched.select("span").distinct().collect()]  # folders of this batch
     kept = T.StructType([*spanned.schema.fields, T.StructField("epoch", T.IntegerType())])
