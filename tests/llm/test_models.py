@@ -265,3 +265,23 @@ def test_sampling_follows_the_weights():
     drawn = collections.Counter(tuple(x.tolist()) for x in s.encode([" there"] * 20000, list(range(20000))))
     assert set(drawn) <= set(total)
     assert max(abs(drawn[p] / 20000 - w / sum(total.values())) for p, w in total.items()) < 0.02
+
+
+def test_arrays_of_sums_are_few(spark):
+    """The second round of adding moves no more than eight arrays, and tasks that leave one are bounded."""
+    import numpy as np
+
+    from volspark.llm.common import PARTS, add_arrays, array_parts, in_few
+
+    many = spark.range(0, 400, 1, 100)
+    assert in_few(many).rdd.getNumPartitions() <= max(16, 2 * spark.sparkContext.defaultParallelism)
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        total = sum(float(np.asarray(b.column("id")).sum()) for b in batches)
+        yield from array_parts(np.array([total, 1.0]), TaskContext.get().partitionId())
+
+    parts = many.mapInArrow(run, PARTS)
+    assert add_arrays(parts).first()["values"] == [400 * 399 / 2, 100.0]
+    assert "pmod(task#" in (plan := add_arrays(parts)._jdf.queryExecution().optimizedPlan().toString()) and ", 8)" in plan

@@ -65,8 +65,15 @@ def array_parts(values: np.ndarray, task: int):
         yield pa.RecordBatch.from_arrays([pa.array([c // CHUNK], pa.int32()), pa.array([task], pa.int32()), pa.array([values[c : c + CHUNK].astype(float)], pa.list_(pa.float64()))], names=["chunk", "task", "values"])
 
 
-def add_arrays(parts: DataFrame, fan: int = 64) -> DataFrame:
-    """Sums ``values`` by ``chunk`` over ``task``, in two rounds."""
+def in_few(rows: DataFrame) -> DataFrame:
+    """``rows`` in at most twice as many partitions as there are cores: tasks that
+    each leave a large array of sums then leave no more of them as the input grows."""
+    return rows.coalesce(max(16, 2 * rows.sparkSession.sparkContext.defaultParallelism))
+
+
+def add_arrays(parts: DataFrame, fan: int = 8) -> DataFrame:
+    """Sums ``values`` by ``chunk`` over ``task``, in two rounds; the second moves
+    at most ``fan`` arrays."""
 
     def add(t: pa.Table) -> pa.Table:
         total = np.sum([np.asarray(v) for v in t["values"].to_numpy()], axis=0)

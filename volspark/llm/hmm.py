@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from volspark.llm.common import PARTS, add_arrays, array_parts, fold, small, texts_of
+from volspark.llm.common import PARTS, add_arrays, array_parts, fold, in_few, small, texts_of
 from volspark.session import cut_lineage
 
 END = b""  # no word is empty
@@ -243,7 +243,7 @@ def baum_welch(encoded: DataFrame, model: HiddenMarkov, prior: np.ndarray, round
             task = TaskContext.get().partitionId()
             yield from array_parts(every, task)
 
-        sums = add_arrays(encoded.select("ids").mapInArrow(run, PARTS)).collect()
+        sums = add_arrays(in_few(encoded.select("ids")).mapInArrow(run, PARTS)).collect()
         if not sums:
             break
         every = np.concatenate([r["values"] for r in sorted(sums, key=lambda r: r.chunk)])
