@@ -3,10 +3,12 @@ planted signals, and edge cases."""
 
 import collections
 import math
+import pickle
 import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,6 +91,52 @@ def test_blocks_are_left_closed(monkeypatch):
     assert index.opened < index.asked / 2
 
 
+def test_terms_are_counted_once_a_word_and_blocks_opened_for_many_texts(monkeypatch):
+    """Words are looked up once, however often and in however many texts they
+    stand; a block is opened by one product for all texts of a batch."""
+    monkeypatch.setattr(toxicity, "FREQUENT", 5)
+    texts = ["The theatre, THE theatres", "", "naïve 12 theatre unknownword", "the " * 50] * 50
+    looked = collections.Counter()
+
+    class Numbers(dict):
+        def get(self, term):
+            looked[term] += 1
+            return super().get(term)
+
+    at = Numbers((t, i) for i, t in enumerate(sorted({t for w in (b"the", b"theatre", b"theatres", "naïve".encode()) for t in toxicity.terms_of(w)})))
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    got = {}
+    for words in (200_000, 3):  # one slice, and slices that are cut by words
+        monkeypatch.setattr(toxicity, "WORDS", words)
+        looked.clear()
+        rows, done = [], 0
+        for b, row, term, count in toxicity.count_terms([batch], at):
+            rows += [(done + int(r), int(t), int(c)) for r, t, c in zip(row, term, count)]
+            done += b.num_rows
+        assert done == len(texts) and {w for w, n in looked.items() if n == 1} >= {b"the", b"theatre", b"theatres", b"unknownword"}
+        got[words] = rows
+    want = []
+    for r, text in enumerate(texts):
+        each = collections.Counter(at[t] for w in toxicity.words_of(text) for t in toxicity.terms_of(w) if t in at)
+        want += [(r, t, c) for t, c in sorted(each.items())]
+    assert got[200_000] == got[3] == want
+
+    rng = np.random.default_rng(5)
+    examples = [(i, i % 2, sorted(rng.choice(60, 12, replace=False).tolist()), rng.integers(1, 5, 12).tolist()) for i in range(400)]
+    index = toxicity.BlockMaxIndex(rng.uniform(0.5, 4, 60), examples)
+    cells = [np.concatenate([e[n] for e in examples]) for n in (2, 3)]
+    together = index.nearest_of(len(examples), np.repeat(np.arange(len(examples)), 12), cells[0], cells[1].astype(float), 9)
+    for (_, _, t, c), (docs, cos) in zip(examples, together):
+        alone = index.nearest(t, c, 9)
+        assert docs.tolist() == alone[0].tolist() and np.allclose(cos, alone[1])
+    sent = pickle.dumps(index)
+    assert len(sent) < sum(x.nbytes for x in (*index.postings, index.idf, index.ids, index.y)) + 2000
+    again = pickle.loads(sent).nearest(*examples[3][2:], 9)
+    assert again[0].tolist() == together[3][0].tolist() and np.allclose(again[1], together[3][1])
+    only = toxicity.BlockMaxIndex(np.ones(4), [(7, 1, [0, 1], [1, 1])])
+    assert len(only.nearest([2, 3], [1, 1], 9)[0]) == 0  # terms that no example holds
+
+
 def test_toxicity_indexes_every_term_and_example(spark):
     # few examples: no term passes a significance threshold, most texts hold none
     rows = [(i, f"the of and word{'abcdefgh'[i % 8]}", "en", "x") for i in range(200)]

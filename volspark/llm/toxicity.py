@@ -12,8 +12,8 @@
    content are neighbours, ``BLOCK`` of them a block.  Postings of rare terms are
    summed for all examples; of terms that ``FREQUENT`` or more examples hold each
    block keeps the largest weight, which bounds what the block can reach.  Blocks
-   are opened by falling bound until no bound reaches the k-th cosine found: the
-   search is exact.
+   are opened by falling bound, each for all texts of a batch that ask for it,
+   until no bound reaches the k-th cosine found: the search is exact.
 4. The neighbours vote with their cosines; a logistic curve, fitted on a
    second bounded sample of labelled rows, turns votes into probabilities.
    The neighbours (ids and cosines) are returned as evidence.
@@ -26,7 +26,7 @@ both classes every score is the share of label 1 (0 without any label).
 
 from __future__ import annotations
 
-import re
+from array import array
 from collections import Counter
 from collections.abc import Iterable
 
@@ -39,24 +39,27 @@ from pyspark.sql import functions as F
 from volspark.llm.common import PARTS, add_arrays, array_parts, fold, small, texts_of
 from volspark.session import cut_lineage
 
-WORD = re.compile(rb"[a-z\x80-\xff]+")
+#: Bytes of words as they are, all others blank.
+LETTERS = bytes(c if c >= 0x80 or chr(c) in "abcdefghijklmnopqrstuvwxyz" else 0x20 for c in range(256))
 STEMS = (4, 5, 6)
 #: Terms in so many examples are summed by block, the others by postings.
 FREQUENT = 400
+#: Postings of the others stand in tables of rows so long, filled up with zeros.
+LENGTHS = (2, 8, 32, 64, 128, 192, 256)
 #: Examples in a block, and blocks opened before the first bound is compared.
 BLOCK, FIRST = 64, 3
-#: Texts whose cosines are summed together, and words remembered with their terms.
-TOGETHER, REMEMBERED = 100, 200_000
+#: Texts, and about how many words, handled together; words remembered with their terms.
+TOGETHER, WORDS, REMEMBERED = 200, 200_000, 400_000
 SCHEMA = "doc_id long, score double, vote double, neighbours string"
 
 
 def words_of(text: str) -> list[bytes]:
-    return WORD.findall(text.lower().encode())
+    return text.lower().encode().translate(LETTERS).split()
 
 
 def terms_of(word: bytes) -> list[bytes]:
     """A word and its leading parts; these are marked by a final blank."""
-    return [word, *(word[:n] + b" " for n in STEMS if len(word) > n)]
+    return [word, *[word[:n] + b" " for n in STEMS if len(word) > n]]
 
 
 def sample_of(labels: DataFrame, label: str, held_out_mod: int, held_out: int, per_class: int, calibration: int):
@@ -95,26 +98,60 @@ def class_terms(rows: DataFrame) -> dict[bytes, float]:
     return dict(sorted(zip(got["term"].to_pylist(), np.abs(odds[1] - odds[0]).tolist())))
 
 
+class _WordTerms(dict):
+    """Word -> number; the numbers of its terms stand in ``flat`` from
+    ``ends[number]`` to ``ends[number + 1]``."""
+
+    def __init__(self, at: dict[bytes, int]):
+        super().__init__()
+        self.number_of = at.get
+        self.clear()
+
+    def clear(self) -> None:
+        super().clear()
+        self.flat, self.ends = array("q"), array("q", [0])
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        # the terms of terms_of, without a list of them: half of all words come once
+        number_of, flat, n = self.number_of, self.flat, len(word)
+        if (i := number_of(word)) is not None:
+            flat.append(i)
+        for stem in STEMS:
+            if n > stem and (i := number_of(word[:stem] + b" ")) is not None:
+                flat.append(i)
+        self.ends.append(len(flat))
+        return number
+
+
 def count_terms(batches, at: dict[bytes, int]):
     """For slices of Arrow batches: the slice, and the rows, term numbers and
     counts of its texts, by row and term.  ``at`` numbers the terms."""
-    known: dict[bytes, list[int]] = {}
+    known, width = _WordTerms(at), max(1, len(at))
+
+    def cells(parts: list[np.ndarray]):
+        ends, flat = np.frombuffer(known.ends, np.int64), np.frombuffer(known.flat, np.int64)
+        word = np.concatenate(parts)
+        row = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        first, n = ends[word], ends[word + 1] - ends[word]
+        key = flat[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))] if len(flat) else np.zeros(0, np.int64)
+        key += np.repeat(row, n) * width
+        key.sort()
+        edge = np.flatnonzero(np.diff(key, prepend=-1))
+        cell = key[edge]
+        return cell // width, cell % width, np.diff(edge, append=len(key)).astype(float)
+
     for b in small(batches, TOGETHER):
-        row, term, count = [], [], []
+        parts, done, held = [], 0, 0
         for i, text in enumerate(b.column("text").to_pylist()):
-            before = len(term)
-            for w, n in Counter(words_of(text)).items():
-                ids = known.get(w)
-                if ids is None:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    ids = known[w] = [at[t] for t in terms_of(w) if t in at]
-                term += ids
-                count += [n] * len(ids)
-            row.append(len(term) - before)
-        key = np.repeat(np.arange(b.num_rows), row) * max(1, len(at)) + np.array(term, np.int64)
-        cell, back = np.unique(key, return_inverse=True)
-        yield b, cell // max(1, len(at)), cell % max(1, len(at)), np.bincount(back, np.array(count, float), len(cell))
+            words = words_of(text)
+            parts.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
+            held += len(words)
+            if held >= WORDS or i + 1 == b.num_rows:
+                yield b.slice(done, len(parts)), *cells(parts)
+                parts, done, held = [], i + 1, 0
+                if len(known) >= REMEMBERED:
+                    known.clear()
 
 
 def document_frequencies(texts: DataFrame, at: dict[bytes, int]) -> tuple[int, np.ndarray]:
@@ -159,21 +196,43 @@ class BlockMaxIndex:
         weight = np.concatenate([e[3] for e in units]) if units else np.zeros(0)
         doc = np.repeat(np.arange(len(units), dtype=np.int32), [len(e[2]) for e in units])
         order = np.lexsort((doc, term))
-        term, self.doc, self.weight = term[order], doc[order], weight[order]
-        self.start = np.searchsorted(term, np.arange(len(idf) + 1))
-        self.frequent = np.flatnonzero(np.diff(self.start) >= FREQUENT)
-        self.column = np.full(len(idf), -1, np.int64)
+        self._lay_out(np.searchsorted(term[order], np.arange(len(idf) + 1)), doc[order], weight[order])
+
+    def _lay_out(self, start: np.ndarray, doc: np.ndarray, weight: np.ndarray) -> None:
+        """Tables and blocks of the postings, sorted by term."""
+        size = np.diff(start)
+        self.frequent = np.flatnonzero(size >= FREQUENT)
+        lengths = [*(n for n in LENGTHS if n < FREQUENT), FREQUENT]
+        self.postings = start, doc, weight
+        self.table, self.line, self.tables = np.searchsorted(lengths, size), np.zeros(len(size), np.int64), []
+        for i, length in enumerate(lengths):
+            terms = np.flatnonzero((self.table == i) & (size < FREQUENT))
+            self.line[terms] = np.arange(len(terms))
+            filled = np.arange(length) < size[terms, None]
+            docs, weights = np.zeros(filled.shape, np.int32), np.zeros(filled.shape)
+            into = (start[terms, None] + np.arange(length))[filled]
+            docs[filled], weights[filled] = doc[into], weight[into]
+            self.tables.append((docs, weights))
+        self.column = np.full(len(size), -1, np.int64)
         self.column[self.frequent] = np.arange(len(self.frequent))
-        self.blocks = -(-len(units) // BLOCK)
+        self.blocks = -(-len(self.ids) // BLOCK)
         matrix = np.zeros((len(self.frequent), self.blocks * BLOCK))
         for i, t in enumerate(self.frequent):
-            at = slice(self.start[t], self.start[t + 1])
-            matrix[i, self.doc[at]] = self.weight[at]
+            at = slice(start[t], start[t + 1])
+            matrix[i, doc[at]] = weight[at]
         cube = matrix.reshape(len(self.frequent), self.blocks, BLOCK)
         self.top = cube.max(axis=2) if self.blocks else np.zeros((len(self.frequent), 0))
         self.cube = np.ascontiguousarray(cube.transpose(1, 0, 2))
         self.opened = self.asked = 0
 
+    def __getstate__(self):
+        """What travels to the tasks: the postings alone, laid out again there."""
+        return self.idf, self.ids, self.y, self.postings
+
+    def __setstate__(self, state):
+        self.idf, self.ids, self.y, postings = state
+        self._lay_out(*postings)
+
     def unit(self, terms, counts) -> tuple[np.ndarray, np.ndarray]:
         t = np.asarray(terms, np.int64)
         w = (1 + np.log(np.asarray(counts, float))) * self.idf[t]
@@ -192,40 +251,49 @@ class BlockMaxIndex:
         dense = column >= 0
         query = np.zeros((rows, len(self.frequent)))
         query[row[dense], column[dense]] = w[dense]
-        row, term, w = row[~dense], term[~dense], w[~dense]
-        first = self.start[term]
-        size = self.start[term + 1] - first
-        into = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        rare = np.bincount(np.repeat(row * width, size) + self.doc[into], self.weight[into] * np.repeat(w, size), rows * width).reshape(rows, self.blocks, BLOCK)
+        rare = self._rare(rows, row[~dense], term[~dense], w[~dense]).reshape(rows, self.blocks, BLOCK)
         bound = rare.max(axis=2) + query @ self.top
-        order = np.argsort(-bound, axis=1)
-        return [self._best(rare[i], query[i], bound[i], order[i], k) for i in range(rows)]
-
-    def _best(self, rare: np.ndarray, query: np.ndarray, bound: np.ndarray, order: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        used = np.flatnonzero(query)
-        some, cosines, at = order[:FIRST], [], []
-        rest = order[FIRST:]
-        while len(some):
-            cosines.append((rare[some] + query[used] @ self.cube[some][:, used]).ravel())
-            at.append((some[:, None] * BLOCK + np.arange(BLOCK)).ravel())
-            self.opened += len(some)
-            every = cosines[0] if len(cosines) == 1 else np.concatenate(cosines)
-            least = np.partition(every, len(every) - k)[len(every) - k] if len(every) > k else 0.0
-            go = (bound[rest] >= least - 1e-11) & (bound[rest] > 0)
-            some, rest = rest[go][: 4 * FIRST], rest[go][4 * FIRST :]
-        self.asked += self.blocks
-        docs = np.concatenate(at)
-        near = np.flatnonzero((every > 0) & (every >= least - 1e-11) & (docs < len(self.ids)))
-        docs, cos = docs[near], every[near]
-        best = np.lexsort((self.ids[docs], -cos.round(12)))[:k]
-        return docs[best], cos[best]
+        found, least, left = np.zeros_like(rare), np.zeros(rows), bound > 0
+        place = np.argsort(np.argsort(-bound, axis=1), axis=1)
+        for most in (FIRST, 5 * FIRST, self.blocks):  # the blocks of the largest bounds first
+            go = left & (place < most) & (bound >= least[:, None] - 1e-11)
+            for block in np.flatnonzero(go.any(axis=0)):
+                some = np.flatnonzero(go[:, block])
+                found[some, block] = rare[some, block] + query[some] @ self.cube[block]
+            self.opened += int(go.sum())
+            left &= ~go
+            for i, (cos, low) in enumerate(zip(found.reshape(rows, width), least)):
+                cos = cos[cos > low]
+                if len(cos) >= k:
+                    least[i] = np.partition(cos, len(cos) - k)[len(cos) - k]
+        self.asked += rows * self.blocks
+        return [self._best(cos, low, k) for cos, low in zip(found.reshape(rows, width), least)]
+
+    def _rare(self, rows: int, row: np.ndarray, term: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """What the texts' rare terms add to each example's cosine."""
+        out = np.zeros((rows, self.blocks * BLOCK))
+        key = row * len(self.tables) + self.table[term]
+        order = np.argsort(key, kind="stable")
+        key, line, w = key[order], self.line[term[order]], w[order]
+        edge = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)] if len(key) else [0]
+        for i, j in zip(edge[:-1], edge[1:]):
+            text, table = divmod(int(key[i]), len(self.tables))
+            docs, weights = self.tables[table]
+            part = weights.take(line[i:j], axis=0)
+            part *= w[i:j, None]
+            out[text] += np.bincount(docs.take(line[i:j], axis=0).ravel(), part.ravel(), out.shape[1])
+        return out
+
+    def _best(self, cos: np.ndarray, least: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+        docs = np.flatnonzero((cos > 0) & (cos >= least - 1e-11))
+        best = docs[np.lexsort((self.ids[docs], -cos[docs].round(12)))[:k]]
+        return best, cos[best]
 
     def nearest(self, terms, counts, k: int) -> tuple[np.ndarray, np.ndarray]:
         t = np.asarray(terms, np.int64)
         return self.nearest_of(1, np.zeros(len(t), np.int64), t, np.asarray(counts, float), k)[0]
 
 
-
 class Voter:
     """Distance-weighted vote and its calibration curve."""
 
