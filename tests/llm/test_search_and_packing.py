@@ -4,6 +4,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,6 +79,22 @@ def test_pieces_and_places(spark):
     assert len(filled) <= best_fit_decreasing([r.length for r in rows], 64)
 
 
+def test_texts_are_encoded_together():
+    """All texts of a slice at once, each distinct word looked up once."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer_path())
+    texts = [t or "" for t in TEXTS]
+    encoder = packing.WordEncoder(tokenizer_path(), max_words=50)
+    want = [[*tok.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    for size in (1, 500, 10**9):
+        slices = list(packing.few(batch, size))
+        assert [d for docs, _ in slices for d in docs] == list(range(len(texts)))
+        assert [ids.tolist() for _, part in slices for ids in encoder.encode(part)] == want
+    assert encoder.encode([]) == []
+
+
 def test_pack_empty_and_repeated(spark):
     schema = "doc_id long, text string"
     assert packing.pack(spark.createDataFrame([], schema), tokenizer_path()).count() == 0

@@ -36,6 +36,7 @@ def texts_of(docs: DataFrame) -> DataFrame:
 def give_back() -> None:
     """Return freed memory to the system: Python workers serve many stages, and
     what one leaves in its allocator counts against the next one's."""
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):  # another C library
@@ -54,6 +55,12 @@ def small(batches, rows: int = 500):
         give_back()
 
 
+def numbered(words: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The distinct words, and each word's number among them."""
+    coded = pa.array(words, pa.large_binary()).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy()
+
+
 #: Arrays that tasks add up travel in chunks of this many numbers.
 CHUNK = 8192
 PARTS = "chunk int, task int, values array<double>"

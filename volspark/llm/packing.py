@@ -20,14 +20,13 @@ import gc
 import re
 import zlib
 from array import array
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from volspark.llm.common import give_back, small, texts_of
+from volspark.llm.common import give_back, numbered, small, texts_of
 from volspark.session import cut_lineage
 
 #: ASCII punctuation that, after a letter or digit, begins a token of its own
@@ -35,6 +34,9 @@ from volspark.session import cut_lineage
 TAIL = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 
 
+#: About how many bytes of text are split into words at a time.
+BYTES = 2_000_000
+
 #: Lower-case letters of Latin-1: no normalisation, case or splitting to do.
 PLAIN = re.compile("[a-zß-öø-ÿ]+")
 
@@ -62,6 +64,7 @@ class WordEncoder:
 
         self.tokenizer, self.max_words = Tokenizer.from_file(path), max_words
         self.bytes_as_text = self._byte_letters()
+        self.plain_ascii = self.bytes_as_text is not None and all(self.bytes_as_text[c] == chr(c) for c in range(ord("a"), ord("z") + 1))
         self._clear()
 
     def _byte_letters(self) -> dict[int, str] | None:
@@ -95,7 +98,8 @@ class WordEncoder:
         words, first = self.words, len(self.ends) - 1
         parts: list[tuple[int, int] | None] = []
         while len(parts) < len(words.new):  # cores and tails may be new words too
-            split = self._split(words.new[len(parts)])
+            word = words.new[len(parts)]
+            split = self._split(word) if word[-1] in TAIL else None
             parts.append(split and (words[split[0]], words[split[1]]))
         ids: list[list[int] | None] = [None] * len(parts)
         table, merge, others = self.bytes_as_text, self.tokenizer.model.tokenize, []
@@ -103,10 +107,10 @@ class WordEncoder:
             if p is None:
                 text = w.decode()
                 if table is not None and PLAIN.fullmatch(text):
-                    ids[i] = [t.id for t in merge(text.translate(table))]
+                    ids[i] = [t.id for t in merge(text if text.isascii() and self.plain_ascii else text.translate(table))]
                 else:
                     others.append((i, text))
-        for (i, _), e in zip(others, self.tokenizer.encode_batch([t for _, t in others], add_special_tokens=False)):
+        for (i, _), e in zip(others, self.tokenizer.encode_batch_fast([t for _, t in others], add_special_tokens=False)):
             ids[i] = e.ids
         for p, own in zip(parts, ids):
             if p is None:
@@ -117,23 +121,31 @@ class WordEncoder:
             self.ends.append(len(self.flat))
         words.new = []
 
-    def encode(self, text: bytes) -> np.ndarray:
-        """The text's ids and then the separator, id 0."""
-        if b"<|" in text:  # perhaps a special token: case and neighbours count
-            return np.array([*self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, 0], np.uint32)
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Each text's ids and then the separator, id 0.  Words are numbered for
+        all texts together, so that each is looked up once."""
         if len(self.words) > self.max_words:
             self._clear()
-        words = text.lower().split()
-        # one call for all words; the separate last one makes it a sequence
-        at = np.array(itemgetter(*words, words[-1])(self.words)[:-1], np.int64) if words else np.zeros(0, np.int64)
+        whole: dict[int, list[int]] = {}
+        words, sizes = [], []
+        for i, text in enumerate(texts):
+            before = len(words)
+            if b"<|" in text:  # perhaps a special token: case and neighbours count
+                whole[i] = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
+            else:
+                words += text.lower().split()
+            sizes.append(len(words) - before)
+        distinct, at = numbered(words)
+        distinct = distinct.to_pylist()
+        number = np.fromiter(map(self.words.__getitem__, distinct), np.int64, len(distinct))
         if self.words.new:
             self._learn()
         ends, flat = np.frombuffer(self.ends, np.int64), np.frombuffer(self.flat, np.int32)
-        first, n = ends[at], ends[at + 1] - ends[at]
-        out = np.zeros(int(n.sum()) + 1, np.uint32)
-        if len(out) > 1:
-            out[:-1] = flat[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(len(out) - 1)]
-        return out
+        first, n = ends[number][at], (ends[number + 1] - ends[number])[at]
+        done = np.concatenate([[0], np.cumsum(n)])
+        ids = flat[np.repeat(first - done[:-1], n) + np.arange(done[-1])].astype(np.uint32) if len(flat) else np.zeros(0, np.uint32)
+        edge = done[np.cumsum([0, *sizes])].tolist()
+        return [np.array([*whole[i], 0], np.uint32) if i in whole else np.append(ids[edge[i] : edge[i + 1]], np.uint32(0)) for i in range(len(texts))]
 
 
 #: One encoder per tokenizer file and Python worker; workers serve many tasks,
@@ -147,6 +159,19 @@ def encoder_for(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
+def few(batch: pa.RecordBatch, size: int = BYTES):
+    """Ids and texts of the batch, about ``size`` bytes of text at a time."""
+    docs, texts, held = [], [], 0
+    for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+        docs.append(doc), texts.append(text)
+        held += len(text)
+        if held > size:
+            yield docs, texts
+            docs, texts, held = [], [], 0
+    if texts:
+        yield docs, texts
+
+
 def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: pieces of at most ``capacity`` ids."""
 
@@ -158,11 +183,11 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFrame:
         try:
             for b in small(batches):
                 rows = []
-                for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist()):
-                    tokens = encoder.encode(text)
-                    for piece, start in enumerate(range(0, len(tokens), capacity)):
-                        part = tokens[start : start + capacity]
-                        rows.append((doc, piece, start, len(part), zlib.crc32(part.astype("<u4").tobytes())))
+                for docs_of, texts in few(b):
+                    for doc, tokens in zip(docs_of, encoder.encode(texts)):
+                        for piece, start in enumerate(range(0, len(tokens), capacity)):
+                            part = tokens[start : start + capacity]
+                            rows.append((doc, piece, start, len(part), zlib.crc32(part.astype("<u4").tobytes())))
                 cols = list(zip(*rows)) if rows else [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
         finally:
