@@ -226,6 +226,20 @@ def test_one_state_is_the_base(spark):
     assert all(abs(r.score - r.base_score) < 1e-6 * r.n_tokens for r in got)
 
 
+def test_hmm_counts_do_not_depend_on_slices(spark):
+    texts = [None, "", "A b a", "É é\u00a0x", "one two  three\tfour " * 30, *[f"w{i % 7} Rare{i}" for i in range(40)]]
+    docs = spark.createDataFrame([(i, t or "", i % 5 == 1) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean").coalesce(1)
+    want, train = collections.Counter(), collections.Counter()
+    for i, t in enumerate(texts):
+        for w in [*hmm.words_of((t or "").encode()), b""]:
+            want[w] += 1
+            train[w] += i % 5 != 1
+    for flush, together in ((400_000, 100_000), (3, 4)):
+        counts = hmm.count_tokens(docs, flush, together)
+        got = {bytes(r.word): (r.c, r.n) for r in counts.collect()}
+        assert got == {w: (train[w], n) for w, n in want.items()}
+
+
 def test_hmm_learns_rare_words_and_whole_texts(spark):
     # after "a" always comes a rare word of one kind, after "b" one of the other: one class of all the rest cannot tell
     rng = random.Random(5)

@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from itertools import repeat
 
 import numpy as np
@@ -35,10 +34,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from volspark.llm.common import PARTS, add_arrays, array_parts, fold, in_few, small, texts_of
+from volspark.llm.common import PARTS, add_arrays, array_parts, fold, in_few, numbered, small, texts_of
 from volspark.session import cut_lineage
 
 END = b""  # no word is empty
+#: About how many tokens a worker holds as Python objects at a time.
+TOGETHER = 100_000
 KEPT = ["doc_id", "held_out", "in_model", "in_rest", "n_known", "more"]
 
 
@@ -47,27 +48,36 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def count_tokens(docs: DataFrame, flush: int = 400_000) -> DataFrame:
+def count_tokens(docs: DataFrame, flush: int = 400_000, together: int = TOGETHER) -> DataFrame:
     """``word, c, n``: occurrences in training texts and in all texts."""
 
     def run(batches):
-        seen, kept = Counter(), Counter()  # of training texts, of the others
+        parts = []  # counts of slices: word, c, n
 
-        def rows():
-            words = list(seen.keys() | kept.keys())
-            c = [seen[w] for w in words]
-            n = [a + kept[w] for a, w in zip(c, words)]
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(c, pa.int64()), pa.array(n, pa.int64())], names=["word", "c", "n"])
+        def count(seen, kept):
+            words, at = numbered(seen + kept)
+            c = np.bincount(at[: len(seen)], minlength=len(words))
+            parts.append(pa.table({"word": words.cast(pa.binary()), "c": c, "n": c + np.bincount(at[len(seen) :], minlength=len(words))}))
 
+        def summed():
+            got = pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("c", "sum"), ("n", "sum")])
+            return got.select(["word", "c_sum", "n_sum"]).rename_columns(["word", "c", "n"]).combine_chunks()
+
+        seen, kept = [], []  # words of training texts, of the others
         for b in small(batches):
             for text, held in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("held_out").to_pylist()):
                 into = kept if held else seen
-                into.update(words_of(text))
-                into[END] += 1
-                if len(seen) + len(kept) > flush:
-                    yield rows()
-                    seen.clear(), kept.clear()
-        yield rows()
+                into += words_of(text)
+                into.append(END)
+                if len(seen) + len(kept) > together:
+                    count(seen, kept)
+                    seen, kept = [], []
+                    if sum(p.num_rows for p in parts) > 2 * flush:
+                        parts[:] = [summed()]
+                        if parts[0].num_rows > flush:
+                            yield from parts.pop().to_batches()
+        count(seen, kept)
+        yield from summed().to_batches()
 
     return docs.select("text", "held_out").mapInArrow(run, "word binary, c long, n long").groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
 
