@@ -121,3 +121,20 @@ def test_one_value_and_constant_columns(spark):
     df = spark.createDataFrame([("u", i, i, i < 8, [1.0, float(i)], 3.5) for i in range(10)], "unit string, row long, draw long, train boolean, x array<double>, y double")
     assert {r.raw for r in TR.fit_units(df, LEARNERS, 2).collect() if r.row is not None} == {3.5}
     assert TR.fit_units(df.limit(0), LEARNERS, 2).count() == 0
+
+
+def test_large_units_with_parts_that_hold_only_training_rows(spark):
+    x, y, draw, train = data(300)
+    rows = [("a", i, int(draw[i]), bool(train[i]), x[i].tolist(), float(y[i])) for i in range(300)]
+    df = spark.createDataFrame(rows, "unit string, row long, draw long, train boolean, x array<double>, y double")
+    df = df.repartitionByRange(4, "train", "row")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
+    learners = {"DT": Learner("tree", depth=1, min_leaf=20), "RF": Learner("forest", 5)}
+    try:
+        got = {(r.model, r.row): r.raw for r in TR.fit_units(df, learners, 4, bound=20).collect() if r.row is not None}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for name, learner in learners.items():
+        want, _ = TR.fit_in_memory(x, y, draw, train, learner)
+        assert np.allclose([got[name, i] for i in np.flatnonzero(~train)], want[~train], rtol=0, atol=1e-12)
+    assert len(got) == 2 * (~train).sum()

@@ -627,8 +627,8 @@ def forest_large(base: DataFrame, learner: Learner, targets: dict[str, Target],
                     ends = ~np.isin(node, grown.open[unit, tree])
                     use = np.flatnonzero(~c["train"] | ((w > 0) & ~ends))
                     value = np.where(ends, made.values(learner, targets[u])[node], np.nan)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([u] * len(use)), pa.array([tree] * len(use), pa.int32()), pa.array(node[use], pa.int32()), pa.array(c["row"][use]), pa.array(w[use]), pa.array(g[use]), pa.array(value[use]), pa.array([r.tobytes() for r in bins[use]], pa.binary())],
+                    yield pa.RecordBatch.from_arrays(  # maybe no rows: every type is named
+                        [pa.array([u] * len(use), pa.string()), pa.array([tree] * len(use), pa.int32()), pa.array(node[use], pa.int32()), pa.array(c["row"][use]), pa.array(w[use]), pa.array(g[use]), pa.array(value[use]), pa.array([r.tobytes() for r in bins[use]], pa.binary())],
                         names=["unit", "tree", "node", "row", "w", "g", "value", "bins"],
                     )
 
@@ -643,7 +643,7 @@ def forest_large(base: DataFrame, learner: Learner, targets: dict[str, Target],
             made = grow(own, g[use] * w[use], w[use], np.zeros(len(use), int), learner.allowed(tree, features)[None], learner, np.argsort(own.T, axis=1, kind="stable"))
             ask = np.flatnonzero(w == 0)
             value = made.values(learner, targets[u])[made.leaf(bins[ask])]
-            return pa.table({"unit": pa.array([u] * len(ask)), "row": pa.array(row[ask]), "value": pa.array(value, pa.float64())})
+            return pa.table({"unit": pa.array([u] * len(ask), pa.string()), "row": pa.array(row[ask]), "value": pa.array(value, pa.float64())})
 
         ended = rows.where("w = 0 AND NOT isnan(value)").select("unit", "row", "value")
         parts.append(cut_lineage(ended.unionByName(rows.where("isnan(value)").groupBy("unit", "tree", "node").applyInArrow(finish, "unit string, row long, value double"))))
