@@ -138,3 +138,26 @@ def test_large_units_with_parts_that_hold_only_training_rows(spark):
         want, _ = TR.fit_in_memory(x, y, draw, train, learner)
         assert np.allclose([got[name, i] for i in np.flatnonzero(~train)], want[~train], rtol=0, atol=1e-12)
     assert len(got) == 2 * (~train).sum()
+
+
+def test_a_split_may_be_at_any_value(spark):
+    """More values than bins, and the steps of the label lie between the ends of bins."""
+    rng = np.random.default_rng(5)
+    n = 1500
+    x = np.stack([rng.permutation(n) + 0.0, np.round(rng.normal(size=n), 2), rng.normal(size=n)], axis=1)
+    y = 3.0 * (x[:, 0] > 701) + (x[:, 2] > 0.1234) * (x[:, 1] > 0.37) + rng.normal(size=n) * 0.2
+    draw, train = rng.integers(-(2**62), 2**62, n), rng.random(n) < 0.8
+    learners = {"stump": Learner("tree", depth=1, min_leaf=20), "tree": Learner("tree", depth=4, min_leaf=5), "forest": Learner("forest", 3, 3)}
+    df = spark.createDataFrame([("u", i, int(draw[i]), bool(train[i]), x[i].tolist(), float(y[i])) for i in range(n)], "unit string, row long, draw long, train boolean, x array<double>, y double")
+    whole, parts = ({(r.model, r.row): r.raw for r in TR.fit_units(df, learners, 3, bound=b).collect() if r.row is not None} for b in (None, 100))
+    ranks, asked = np.stack([np.searchsorted(np.unique(x[train, j])[:-1], x[:, j]) for j in range(3)], axis=1), np.flatnonzero(~train)
+    target = TR.Target.of(train.sum(), y[train].mean(), y[train].min(), y[train].max())
+    for name, learner in learners.items():
+        total = np.zeros(len(asked))
+        for t in range(learner.trees):
+            w = learner.weights(draw[train], t)
+            tree = plain_tree(ranks[train][w > 0], (np.rint((y[train] - target.mean) * target.factor) * w)[w > 0], w[w > 0], learner, np.ones(3, bool))
+            total += [plain_value(tree, b, learner) / target.factor for b in ranks[asked]]
+        for got in (whole, parts):
+            assert np.allclose([got[name, i] for i in asked], target.mean + total / learner.trees, rtol=0, atol=1e-12)
+    assert {round(parts["stump", i], 9) for i in asked} == {round(y[train][side].mean(), 9) for side in (x[train, 0] <= 701, x[train, 0] > 701)}
