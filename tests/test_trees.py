@@ -161,3 +161,26 @@ def test_a_split_may_be_at_any_value(spark):
         for got in (whole, parts):
             assert np.allclose([got[name, i] for i in asked], target.mean + total / learner.trees, rtol=0, atol=1e-12)
     assert {round(parts["stump", i], 9) for i in asked} == {round(y[train][side].mean(), 9) for side in (x[train, 0] <= 701, x[train, 0] > 701)}
+
+
+def test_the_ways_to_search_a_level_agree(monkeypatch):
+    """Histograms of a few nodes at a time, sorted rows, and values in promising bins."""
+    rng = np.random.default_rng(2)
+    n, nodes = 3000, 6
+    ranks = rng.integers(0, 200, (n, 4)).astype(np.uint32)
+    node, g, w = rng.integers(0, nodes, n), np.rint(rng.normal(size=n) * 1e6 + 1e5 * (ranks[:, 2] > 77)), rng.integers(1, 4, n).astype(float)
+    allowed = rng.random((nodes, 4)) < 0.8
+    learner = Learner("tree", depth=3, min_leaf=4)
+    some = [TR.best_of_histogram(TR.histogram(node, ranks, nodes, g, w), allowed, learner), TR.best_of_order(node, ranks, g, w, nodes, allowed, learner, TR.order_of(ranks))]
+    coarse = (ranks // 25).astype(np.uint8)
+    for at_once in (100, 2):
+        monkeypatch.setattr(TR, "nodes_at_once", lambda hist, k=at_once: k)
+        some += [TR.best_of_histogram(TR.histogram(node, ranks, nodes, g, w), allowed, learner), TR.best_of_values(node, coarse, ranks, g, w, nodes, allowed, learner)]
+    for s in some:
+        for name in vars(s):
+            assert np.array_equal(getattr(s, name), getattr(some[0], name)), name
+
+
+def test_groups_of_the_legacy_models_at_six_gb():
+    """A cluster of 360,000 windows of 39 features is fitted by groups."""
+    assert TR.rows_in_a_group(39) >= 360_000
